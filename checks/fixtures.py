@@ -1,0 +1,174 @@
+"""Raw tables, CSV lines and file names derived from the given tables.
+
+Each text below is valid for both engines once its slots are filled.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tallyhouse.functions.clock import clock_literal
+
+AS_OF = dt.date(2025, 1, 31)
+SPLIT = dt.datetime(2001, 1, 1)
+
+SPARK = {
+    "S": "string",
+    "N": "_ntz",
+    "ISO": "date_format(l_shipdate, 'yyyy-MM-dd')",
+    "COMPACT": "date_format(l_shipdate, \"yyyyMMdd'T'HHmmss.SSS\")",
+    "DIGITS": "date_format(l_shipdate, 'yyyyMMdd')",
+    "ORDER_DIGITS": "date_format(o_orderdate, 'yyyyMMdd')",
+}
+DUCKDB = {
+    "S": "varchar",
+    "N": "",
+    "ISO": "strftime(l_shipdate, '%Y-%m-%d')",
+    "COMPACT": "strftime(l_shipdate, '%Y%m%dT%H%M%S.%g')",
+    "DIGITS": "strftime(l_shipdate, '%Y%m%d')",
+    "ORDER_DIGITS": "strftime(o_orderdate, '%Y%m%d')",
+}
+
+RAW_SALES_SQL = """
+select case when l_orderkey % 41 = 0 then '  ' else '' end || 'store_' || cast(l_suppkey as <S>) as store_token,
+       cast(l_orderkey % 200 as <S>) || '-' || cast(l_linenumber as <S>) as transaction_id,
+       cast(l_partkey as <S>) as receipt_token,
+       case when l_orderkey % 97 = 0 then <ISO> else <COMPACT> end as transaction_time,
+       case when l_partkey % 53 = 0 then 'N/A'
+            when l_partkey % 2 = 0 then '$' || cast(cast(l_extendedprice as decimal(11,2)) as <S>)
+            else cast(cast(l_extendedprice as decimal(11,2)) as <S>) end as amount,
+       l_returnflag as source_id, l_linestatus as user_role,
+       cast(l_shipdate as date) as batch_date, l_shipdate as loaded_at
+from lineitem
+union all
+select 'store_token', 'transaction_id', 'receipt_token', 'transaction_time', 'amount', 'source_id', 'user_role',
+       cast(l_shipdate as date), l_shipdate
+from (select distinct l_shipdate from lineitem) h where extract(day from l_shipdate) = 1
+"""
+
+RAW_STORES_SQL = """
+select n_name as store_group, 'store_' || cast(s_suppkey as <S>) as store_token, ' ' || s_name as store_name,
+       date '2025-01-01' as batch_date, timestamp<N> '2025-01-01 00:00:00' as loaded_at
+from supplier join nation on s_nationkey = n_nationkey where s_suppkey % 10 <> 0
+union all
+select n_name, 'store_' || cast(s_suppkey as <S>), s_name || ' v2', date '2025-01-02',
+       timestamp<N> '2025-01-02 00:00:00'
+from supplier join nation on s_nationkey = n_nationkey where s_suppkey % 3 = 0 and s_suppkey % 10 <> 0
+union all
+select 'store_group', 'store_token', 'store_name', date '2025-01-02', timestamp<N> '2025-01-02 00:00:00'
+"""
+
+# The logical fields of each sales line and the shape the line is written in.
+SALES_DROPS_SQL = """
+select l_orderkey as k, l_shipdate, <DIGITS> as digits,
+       'store_' || cast(l_suppkey as <S>) as f1,
+       cast(l_orderkey as <S>) || '-' || cast(l_linenumber as <S>) as f2,
+       case when l_orderkey % 29 = 0 then 'rec, "x" ' || cast(l_partkey as <S>)
+            when l_orderkey % 37 = 0 then 'NULL'
+            when l_orderkey % 43 = 0 then 'null'
+            when l_orderkey % 47 = 0 then ''
+            else cast(l_partkey as <S>) end as f3,
+       <COMPACT> as f4,
+       '$' || cast(cast(l_extendedprice as decimal(11,2)) as <S>) as f5,
+       l_returnflag as source, l_linestatus as job,
+       case when l_orderkey % 4999 = 0 and l_linenumber = 1 then 'bad'
+            when l_orderkey % 83 = 0 then 'short'
+            when l_orderkey % 59 = 0 then 'wide'
+            when l_orderkey % 31 = 0 then 'norole'
+            when l_linenumber % 2 = 1 then 'six'
+            else 'seven' end as shape
+from lineitem
+"""
+
+SALES_LINES_SQL = """
+select f1 || ',' || f2 || ',' ||
+       case when k % 29 = 0 then '"' || replace(f3, '"', '""') || '"' else f3 end ||
+       case when shape = 'short' then '' else ',' || f4 || ',' || f5 end ||
+       case shape when 'short' then '' when 'six' then ',' || job when 'seven' then ',' || source || ',' || job
+                  when 'norole' then ',' || source || ',' when 'wide' then ',' || source || ',' || job || ',extra'
+                  else ',' || source || ',"' || job end as value,
+       digits
+from ({drops}) d
+union all
+select 'store_token,transaction_id,receipt_token,transaction_time,amount,source_id,user_role', digits
+from (select distinct l_shipdate, digits from ({drops}) d) h where extract(day from l_shipdate) = 1
+"""
+
+STORE_LINES_SQL = """
+select case when s_suppkey % 7 = 0 then '"' || n_name || ', Ltd"' else n_name end || ',store_' ||
+       cast(s_suppkey as <S>) || case when s_suppkey % 11 = 0 then '' when s_suppkey % 13 = 0 then ',"' || s_name
+                                      else ',' || s_name || case when s_suppkey % 5 = 0 then ',x' else '' end end
+       as value
+from supplier join nation on s_nationkey = n_nationkey
+union all
+select 'store_group,store_token,store_name'
+"""
+
+FILE_NAMES_SQL = """
+select o_orderkey,
+       case cast(o_orderkey % 8 as int)
+            when 0 then 'inbox/sales_' || <ORDER_DIGITS> || '.csv'
+            when 1 then 'inbox/STORES_' || <ORDER_DIGITS> || '.CSV'
+            when 2 then 'inbox/store_sales_' || <ORDER_DIGITS> || '.csv'
+            when 3 then 'drop/inbox/2025/daily-Sale-' || <ORDER_DIGITS> || '0001.csv'
+            when 4 then 'outbox/sales_' || <ORDER_DIGITS> || '.csv'
+            when 5 then 'inbox/stores/other_' || <ORDER_DIGITS> || '.csv'
+            when 6 then 'inbox/sales_99999999.csv'
+            else 'inbox/sales/' end as file_key
+from orders
+"""
+
+
+def fill(sql: str, slots: dict[str, str]) -> str:
+    for slot, text in slots.items():
+        sql = sql.replace(f"<{slot}>", text)
+    return sql
+
+
+def run(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
+    """Run a fixture text in Spark on the tables of one folder."""
+    names = [name for name in ("lineitem", "supplier", "nation", "orders") if name in sql]
+    text = fill(sql, SPARK)
+    for name in names:
+        text = text.replace(f"from {name}", f"from {{{name}}}").replace(f"join {name}", f"join {{{name}}}")
+    return spark.sql(text, **{name: spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in names})
+
+
+def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run(spark, sf_dir, RAW_SALES_SQL)
+
+
+def raw_stores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run(spark, sf_dir, RAW_STORES_SQL)
+
+
+def _as_lines(values: DataFrame, path) -> DataFrame:
+    return values.select(
+        "value",
+        path.alias("file_path"),
+        clock_literal("2025-01-31 12:00:00").alias("file_modified_at"),
+        clock_literal("2025-01-31 13:00:00").alias("loaded_at"),
+    )
+
+
+def sales_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CSV lines in one sales file per ship day, with the lineage a file read would give."""
+    values = run(spark, sf_dir, SALES_LINES_SQL.replace("{drops}", SALES_DROPS_SQL))
+    return _as_lines(values, F.concat(F.lit("inbox/sales_"), F.col("digits"), F.lit(".csv")))
+
+
+def store_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CSV lines of one stores file."""
+    return _as_lines(run(spark, sf_dir, STORE_LINES_SQL), F.lit("inbox/stores_20250112.csv"))
+
+
+def file_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run(spark, sf_dir, FILE_NAMES_SQL)
+
+
+def write_drop(lines: DataFrame, folder: str, name: str) -> None:
+    """Write lines as text files whose base names start with `name`."""
+    lines.select("value").write.mode("append").option("mapreduce.output.basename", name).text(folder)

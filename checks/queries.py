@@ -1,0 +1,407 @@
+"""One query per operator and report, each over whole tables."""
+
+from __future__ import annotations
+
+import datetime as dt
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
+
+from checks import fixtures
+from checks.fixtures import AS_OF, SPLIT
+from tallyhouse.functions.cleaning import clean_amount, null_tokens, parse_timestamp
+from tallyhouse.functions.clock import clock_literal
+from tallyhouse.functions.files import STORES, TRANSACTIONS, batch_date, in_inbox, route_file
+from tallyhouse.operators import quality
+from tallyhouse.operators.dedup import keep_latest
+from tallyhouse.operators.incremental import high_water_filter, high_water_mark, lookback_start, upsert
+from tallyhouse.operators.landing import (
+    archive_rows,
+    describe_files,
+    good_lines,
+    ingest_log,
+    is_bad_line,
+    sales_rows,
+    shift_roles,
+    split_fields,
+    split_line,
+    stores_rows,
+)
+from tallyhouse.operators.ranking import month_running_total, top_n_dense
+from tallyhouse.plans import marts
+from tallyhouse.plans.landing import land_files
+from tallyhouse.plans.stage import clean_sales, clean_stores, drop_headers, stage_sales, stage_stores
+from tallyhouse.schemas import (
+    RAW_SALES,
+    RAW_STORES,
+    SALES_FIELDS,
+    SALES_KEYS,
+    STAGE_SALES,
+    STORES_FIELDS,
+    STORES_KEYS,
+)
+from tallyhouse.session import scratch_dir
+from tallyhouse.sources.raw import read_raw
+from tallyhouse.sources.versioned import VersionedTable
+from tallyhouse.streaming.ingest import start_ingest
+from tallyhouse.streaming.stage import start_upsert
+
+# Day up to which the target of the lookback queries has been built.
+BUILT_TO = dt.datetime(2001, 10, 10)
+
+Query = Callable[[SparkSession, str], DataFrame]
+
+
+def _plain(df: DataFrame) -> DataFrame:
+    """Decimals as double, so both engines hand over the same number type."""
+    return df.select(
+        *[
+            F.col(f.name).cast("double").alias(f.name) if isinstance(f.dataType, DecimalType) else F.col(f.name)
+            for f in df.schema
+        ]
+    )
+
+
+def _stage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stage_sales(fixtures.raw_sales(spark, sf_dir))
+
+
+def _stage_stores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stage_stores(fixtures.raw_stores(spark, sf_dir))
+
+
+def _store_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marts.daily_store_sales(_stage(spark, sf_dir))
+
+
+def _until(df: DataFrame, moment: dt.datetime) -> DataFrame:
+    return df.filter(F.col("loaded_at") <= clock_literal(moment))
+
+
+# Landing
+
+
+def route_files(spark, sf_dir):
+    names = fixtures.file_names(spark, sf_dir)
+    return names.select("o_orderkey", "file_key", route_file(F.col("file_key")).alias("file_type"))
+
+
+def inbox_filter(spark, sf_dir):
+    return fixtures.file_names(spark, sf_dir).filter(in_inbox(F.col("file_key")))
+
+
+def batch_date_extract(spark, sf_dir):
+    names = fixtures.file_names(spark, sf_dir)
+    return names.select("o_orderkey", batch_date(F.col("file_key"), AS_OF).alias("batch_date"))
+
+
+def _described_sales(spark, sf_dir):
+    return describe_files(fixtures.sales_lines(spark, sf_dir), AS_OF)
+
+
+def _described_stores(spark, sf_dir):
+    return describe_files(fixtures.store_lines(spark, sf_dir), AS_OF)
+
+
+def _accepted(described: DataFrame, feed: str) -> DataFrame:
+    return good_lines(described, ingest_log(described), feed)
+
+
+def csv_scan(spark, sf_dir):
+    lines = fixtures.sales_lines(spark, sf_dir).filter(~is_bad_line(F.col("value")))
+    return lines.select(split_line(F.col("value"), 7).alias("f")).select("f.*")
+
+
+def null_token_values(spark, sf_dir):
+    fields = split_line(F.col("value"), 3)
+    lines = fixtures.sales_lines(spark, sf_dir).filter(~is_bad_line(F.col("value")))
+    return lines.select(fields["c2"].alias("transaction_id"), null_tokens(fields["c3"]).alias("receipt_token"))
+
+
+def sales_positional_shift(spark, sf_dir):
+    lines = fixtures.sales_lines(spark, sf_dir).filter(~is_bad_line(F.col("value")))
+    shifted = shift_roles(split_fields(lines, 7))
+    return shifted.select(F.col("c2").alias("transaction_id"), "source_id", "user_role")
+
+
+def bad_row_policy(spark, sf_dir):
+    sales = _accepted(_described_sales(spark, sf_dir), TRANSACTIONS)
+    stores = _accepted(_described_stores(spark, sf_dir), STORES)
+    kept = sales.select("file_path").unionByName(stores.select("file_path"))
+    return kept.groupBy("file_path").agg(F.count("*").alias("kept_rows"))
+
+
+def raw_sales(spark, sf_dir):
+    return sales_rows(_accepted(_described_sales(spark, sf_dir), TRANSACTIONS))
+
+
+def raw_stores(spark, sf_dir):
+    return stores_rows(_accepted(_described_stores(spark, sf_dir), STORES))
+
+
+def _all_lines(spark, sf_dir):
+    """Sales and stores files, one file of neither feed and one without a valid date."""
+    stores = fixtures.store_lines(spark, sf_dir)
+    unknown = stores.withColumn("file_path", F.lit("inbox/readme_20250112.txt"))
+    undated = stores.withColumn("file_path", F.lit("inbox/sales_99999999.csv"))
+    lines = fixtures.sales_lines(spark, sf_dir).unionByName(stores).unionByName(unknown).unionByName(undated)
+    return describe_files(lines, AS_OF)
+
+
+def ingest_log_query(spark, sf_dir):
+    return ingest_log(_all_lines(spark, sf_dir)).drop("file_modified_at")
+
+
+def history_partitions(spark, sf_dir):
+    described = _all_lines(spark, sf_dir)
+    kept = archive_rows(described, ingest_log(described), F.col("loaded_at"))
+    per_file = kept.groupBy("file_type", "year", "month", "day", "file_path").agg(F.count("*").alias("n"))
+    return per_file.groupBy("file_type", "year", "month", "day").agg(
+        F.count("*").alias("file_count"), F.sum("n").alias("line_count")
+    )
+
+
+def _write_inbox(spark, sf_dir, inbox):
+    """Two sales drops and a stores drop of well-formed lines."""
+    lines = fixtures.sales_lines(spark, sf_dir).filter(~is_bad_line(F.col("value")))
+    late = F.substring_index(F.col("value"), ",", 1).endswith("1")
+    fixtures.write_drop(lines.filter(~late), inbox, "sales_20250111")
+    fixtures.write_drop(lines.filter(late), inbox, "sales_20250112")
+    fixtures.write_drop(fixtures.store_lines(spark, sf_dir), inbox, "stores_20250112")
+
+
+def _landed(spark, root):
+    return read_raw(spark, f"{root}/raw/sales", RAW_SALES).select(*SALES_FIELDS, "batch_date")
+
+
+def csv_stream_ingest(spark, sf_dir):
+    root = scratch_dir(spark, "stream-ingest")
+    _write_inbox(spark, sf_dir, f"{root}/inbox")
+    start_ingest(spark, f"{root}/inbox", root, f"{root}/checkpoint", AS_OF).awaitTermination()
+    return _landed(spark, root)
+
+
+def csv_batch_ingest(spark, sf_dir):
+    root = scratch_dir(spark, "batch-ingest")
+    _write_inbox(spark, sf_dir, f"{root}/inbox")
+    land_files(spark, f"{root}/inbox", root, AS_OF)
+    stores = read_raw(spark, f"{root}/raw/stores", RAW_STORES).select(*STORES_FIELDS, "batch_date")
+    return _landed(spark, root).unionByName(stores, allowMissingColumns=True)
+
+
+# Cleaning and staging
+
+
+def header_filter(spark, sf_dir):
+    kept = drop_headers(fixtures.raw_sales(spark, sf_dir))
+    return kept.select("store_token", "transaction_id", "batch_date", "loaded_at")
+
+
+def amount_clean(spark, sf_dir):
+    raw = fixtures.raw_sales(spark, sf_dir)
+    return raw.select("transaction_id", F.col("amount").alias("text"), clean_amount(F.col("amount")).alias("amount"))
+
+
+def timestamp_parse(spark, sf_dir):
+    text = F.col("transaction_time")
+    raw = fixtures.raw_sales(spark, sf_dir)
+    return raw.select("transaction_id", text.alias("text"), parse_timestamp(text).alias("transaction_time"))
+
+
+def dedup_latest_sales(spark, sf_dir):
+    latest = keep_latest(clean_sales(fixtures.raw_sales(spark, sf_dir)), SALES_KEYS)
+    return latest.select("store_token", "transaction_id", "amount", "loaded_at")
+
+
+def dedup_latest_stores(spark, sf_dir):
+    latest = keep_latest(clean_stores(fixtures.raw_stores(spark, sf_dir)), STORES_KEYS)
+    return latest.select("store_token", "store_name", "loaded_at")
+
+
+# Reports and their parts
+
+
+def daily_stats(spark, sf_dir):
+    return marts.daily_stats(_store_days(spark, sf_dir))
+
+
+def top_store_per_day(spark, sf_dir):
+    return marts.top_store_per_day(_store_days(spark, sf_dir))
+
+
+def monthly_running_total(spark, sf_dir):
+    days = marts.daily_stats(_store_days(spark, sf_dir)).select("transaction_date", "total_amount")
+    return month_running_total(days, "transaction_date", "total_amount", "monthly_cumulative_sales")
+
+
+def report_daily_sales(spark, sf_dir):
+    return marts.report_daily_sales(_stage(spark, sf_dir), AS_OF)
+
+
+def sales_left_join_stores(spark, sf_dir):
+    joined = marts.sales_with_stores(_stage(spark, sf_dir), _stage_stores(spark, sf_dir))
+    return joined.select("store_token", "transaction_id", "store_name", "amount")
+
+
+def top_n_dense_rank(spark, sf_dir):
+    return top_n_dense(_store_days(spark, sf_dir), "transaction_date", "store_daily_sales", 5).withColumn(
+        "ranking", F.col("ranking").cast("bigint")
+    )
+
+
+def last_10_dates(spark, sf_dir):
+    return marts.last_dates(_stage(spark, sf_dir))
+
+
+def report_top_stores(spark, sf_dir):
+    report = marts.report_top_stores(_stage(spark, sf_dir), _stage_stores(spark, sf_dir), AS_OF)
+    return report.withColumn("range_top_id", F.col("range_top_id").cast("bigint"))
+
+
+def lifecycle_raw_stats(spark, sf_dir):
+    return marts.raw_batch_stats(fixtures.raw_sales(spark, sf_dir))
+
+
+def lifecycle_valid_stats(spark, sf_dir):
+    return marts.valid_batch_stats(_stage(spark, sf_dir))
+
+
+def lifecycle_full_outer(spark, sf_dir):
+    return marts.join_batch_stats(lifecycle_raw_stats(spark, sf_dir), lifecycle_valid_stats(spark, sf_dir))
+
+
+def report_transactions_lifecycle(spark, sf_dir):
+    raw = fixtures.raw_sales(spark, sf_dir)
+    return marts.report_transactions_lifecycle(raw, stage_sales(raw), AS_OF)
+
+
+# Incremental runs
+
+
+def high_water(spark, sf_dir):
+    return high_water_mark(_stage(spark, sf_dir))
+
+
+def stg_sales_incremental(spark, sf_dir):
+    raw = fixtures.raw_sales(spark, sf_dir)
+    target = stage_sales(_until(raw, SPLIT))
+    return stage_sales(high_water_filter(raw, high_water_mark(target)))
+
+
+def upsert_merge(spark, sf_dir):
+    raw = fixtures.raw_sales(spark, sf_dir)
+    target = stage_sales(_until(raw, SPLIT))
+    return upsert(target, stage_sales(high_water_filter(raw, SPLIT)), SALES_KEYS)
+
+
+def full_refresh_equivalence(spark, sf_dir):
+    """A base and two deltas committed in turn; the result is that of one full run."""
+    raw = fixtures.raw_sales(spark, sf_dir)
+    table = VersionedTable(
+        spark, scratch_dir(spark, "runs"), STAGE_SALES, SALES_KEYS, "loaded_at", "transaction_time"
+    )
+    for moment in (dt.datetime(2000, 6, 15), SPLIT, dt.datetime(9999, 1, 1)):
+        landed = high_water_filter(_until(raw, moment), table.high_water())
+        table.append_delta(stage_sales(landed))
+    return table.read()
+
+
+def daily_lookback(spark, sf_dir):
+    raw = fixtures.raw_sales(spark, sf_dir)
+    target = marts.report_daily_sales(stage_sales(_until(raw, BUILT_TO)), AS_OF, limit=None)
+    start = lookback_start(target, "transaction_date", marts.DAILY_LOOKBACK_DAYS)
+    return marts.report_daily_sales(stage_sales(raw), AS_OF, start)
+
+
+def lifecycle_lookback(spark, sf_dir):
+    raw = fixtures.raw_sales(spark, sf_dir)
+    built = _until(raw, BUILT_TO)
+    target = marts.report_transactions_lifecycle(built, stage_sales(built), AS_OF, limit=None)
+    start = lookback_start(target, "batch_date", marts.LIFECYCLE_LOOKBACK_DAYS)
+    return marts.report_transactions_lifecycle(raw, stage_sales(raw), AS_OF, start)
+
+
+def stream_upsert(spark, sf_dir):
+    """Three drops in load order, each taken up by a run of the same stream."""
+    root = scratch_dir(spark, "stream-upsert")
+    raw = fixtures.raw_sales(spark, sf_dir)
+    table = VersionedTable(spark, f"{root}/stage", STAGE_SALES, SALES_KEYS, "loaded_at", "transaction_time")
+    earlier = None
+    for moment in (dt.datetime(2000, 6, 15), SPLIT, dt.datetime(9999, 1, 1)):
+        high_water_filter(_until(raw, moment), earlier).write.mode("append").parquet(f"{root}/raw")
+        earlier = moment
+        start_upsert(
+            spark, f"{root}/raw", raw.schema, table, stage_sales, f"{root}/checkpoint"
+        ).awaitTermination()
+    return table.read()
+
+
+# Data checks
+
+
+def dq_not_null(spark, sf_dir):
+    sales = raw_sales(spark, sf_dir)
+    stores = raw_stores(spark, sf_dir)
+    sales_check = quality.not_null(sales, ["store_token", "transaction_id", "receipt_token", "user_role"])
+    stores_check = quality.not_null(stores, ["store_token", "store_name"])
+    return sales_check.withColumn("table_name", F.lit("sales")).unionByName(
+        stores_check.withColumn("table_name", F.lit("stores"))
+    )
+
+
+def dq_unique(spark, sf_dir):
+    raw = quality.unique(fixtures.raw_stores(spark, sf_dir), "store_token")
+    stage = quality.unique(_stage_stores(spark, sf_dir), "store_token")
+    return raw.withColumn("table_name", F.lit("raw")).unionByName(stage.withColumn("table_name", F.lit("stage")))
+
+
+QUERIES: dict[str, Query] = {
+    "route_files": route_files,
+    "inbox_filter": inbox_filter,
+    "batch_date_extract": batch_date_extract,
+    "csv_scan": csv_scan,
+    "null_tokens": null_token_values,
+    "sales_positional_shift": sales_positional_shift,
+    "bad_row_policy": bad_row_policy,
+    "raw_sales": raw_sales,
+    "raw_stores": raw_stores,
+    "history_partitions": history_partitions,
+    "ingest_log": ingest_log_query,
+    "csv_batch_ingest": csv_batch_ingest,
+    "header_filter": header_filter,
+    "amount_clean": amount_clean,
+    "timestamp_parse": timestamp_parse,
+    "dedup_latest_sales": dedup_latest_sales,
+    "dedup_latest_stores": dedup_latest_stores,
+    "stg_sales": _stage,
+    "stg_stores": _stage_stores,
+    "daily_store_sales": _store_days,
+    "daily_stats": daily_stats,
+    "top_store_per_day": top_store_per_day,
+    "monthly_running_total": monthly_running_total,
+    "report_daily_sales": report_daily_sales,
+    "sales_left_join_stores": sales_left_join_stores,
+    "top_n_dense_rank": top_n_dense_rank,
+    "last_10_dates": last_10_dates,
+    "report_top_stores": report_top_stores,
+    "lifecycle_raw_stats": lifecycle_raw_stats,
+    "lifecycle_valid_stats": lifecycle_valid_stats,
+    "lifecycle_full_outer": lifecycle_full_outer,
+    "report_transactions_lifecycle": report_transactions_lifecycle,
+    "high_water_mark": high_water,
+    "upsert_merge": upsert_merge,
+    "stg_sales_incremental": stg_sales_incremental,
+    "daily_lookback": daily_lookback,
+    "lifecycle_lookback": lifecycle_lookback,
+    "full_refresh_equivalence": full_refresh_equivalence,
+    "dq_not_null": dq_not_null,
+    "dq_unique": dq_unique,
+    "csv_stream_ingest": csv_stream_ingest,
+    "stream_upsert": stream_upsert,
+}
+
+
+def queries() -> dict[str, Query]:
+    return {name: (lambda spark, sf_dir, q=query: _plain(q(spark, sf_dir))) for name, query in QUERIES.items()}

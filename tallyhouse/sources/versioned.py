@@ -1,0 +1,164 @@
+"""A keyed table on plain parquet that is replaced or extended one committed run at a time.
+
+Layout below the table's path:
+
+* `runs/seq=N/` holds the rows of run N, either a full `base` or a `delta` of upserted rows;
+* `commits/` holds one small row per finished run, written after the rows.
+
+Readers look at committed runs only, so a job that dies half-way leaves the table as it was, and
+running it again overwrites its own unfinished folder. A delta costs what it holds, not what the
+table holds; `compact` folds deltas into a new base. One writer at a time.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+from dataclasses import dataclass
+from functools import reduce
+
+from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, LongType, StringType, StructField, StructType, TimestampNTZType
+
+from tallyhouse.operators.dedup import keep_latest
+from tallyhouse.operators.incremental import upsert
+from tallyhouse.session import delete_path, path_exists
+
+COMMIT = StructType(
+    [
+        StructField("seq", LongType()),
+        StructField("kind", StringType()),
+        StructField("label", StringType()),
+        StructField("row_count", LongType()),
+        StructField("high_water", TimestampNTZType()),
+    ]
+)
+
+
+@dataclass(frozen=True)
+class VersionedTable:
+    """`month_of` names a timestamp column by whose month the base is laid out in folders."""
+
+    spark: SparkSession
+    path: str
+    schema: StructType
+    keys: list[str]
+    high_water_column: str | None = None
+    month_of: str | None = None
+    null_safe_keys: bool = False
+
+    @property
+    def month_column(self) -> str | None:
+        return f"{self.month_of}_month" if self.month_of else None
+
+    def commits(self) -> DataFrame:
+        path = f"{self.path}/commits"
+        if not path_exists(self.spark, path):
+            return self.spark.createDataFrame([], COMMIT)
+        return self.spark.read.schema(COMMIT).parquet(path)
+
+    def live_commits(self) -> list[Row]:
+        """The newest base and the deltas after it, in order: one small row per run."""
+        commits = self.commits()
+        base = commits.filter("kind = 'base'").agg(F.max("seq").alias("seq")).scalar()
+        return commits.filter(F.col("seq") >= base).orderBy("seq").collect()
+
+    def has_run(self, label: str) -> bool:
+        return not self.commits().filter(F.col("label") == label).isEmpty()
+
+    def high_water(self) -> dt.datetime | None:
+        """Largest high-water mark of any committed run; None on an empty table."""
+        return self.commits().agg(F.max("high_water")).first()[0]
+
+    def read(self, since: dt.date | None = None) -> DataFrame:
+        """Current rows, one per key.
+
+        `since` keeps rows whose `month_of` column is on or after that day. It prunes the base by
+        folder and row group, and is put on the deltas only after their newest row per key is
+        known, so a corrected row that has left the range hides its older version.
+        """
+        live = self.live_commits()
+        if not live:
+            return self.spark.createDataFrame([], self.schema)
+        base = self._base(live[0].seq, since)
+        if len(live) == 1:
+            return base
+        deltas = self._deltas([commit.seq for commit in live[1:]])
+        current = upsert(base, deltas, self.keys, self.null_safe_keys)
+        return current if since is None else current.filter(F.col(self.month_of) >= F.lit(since))
+
+    def _base(self, seq: int, since: dt.date | None) -> DataFrame:
+        path = f"{self.path}/runs/seq={seq}"
+        if not self.month_of:
+            return self.spark.read.schema(self.schema).parquet(path)
+        full = StructType(self.schema.fields + [StructField(self.month_column, DateType())])
+        rows = self.spark.read.schema(full).parquet(path)
+        if since is not None:
+            rows = rows.filter(
+                (F.col(self.month_column) >= F.lit(since.replace(day=1))) & (F.col(self.month_of) >= F.lit(since))
+            )
+        return rows.drop(self.month_column)
+
+    def _deltas(self, seqs: list[int]) -> DataFrame:
+        """Newest row per key over the deltas; rows with a NULL key replace nothing and all stay."""
+        full = StructType(self.schema.fields + [StructField("seq", LongType())])
+        paths = [f"{self.path}/runs/seq={seq}" for seq in seqs]
+        rows = self.spark.read.schema(full).option("basePath", f"{self.path}/runs").parquet(*paths)
+        if len(seqs) == 1:
+            return rows.drop("seq")
+        newest = [F.desc("seq")]
+        if self.null_safe_keys:
+            return keep_latest(rows, self.keys, newest).drop("seq")
+        whole = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in self.keys])
+        return keep_latest(rows.filter(whole), self.keys, newest).unionByName(rows.filter(~whole)).drop("seq")
+
+    def replace(self, rows: DataFrame, label: str = "replace") -> int:
+        """Commit the rows as the whole new content; returns the row count."""
+        return self._commit(rows, "base", label)
+
+    def append_delta(self, rows: DataFrame, label: str = "delta") -> int:
+        """Commit rows, one per key, that replace older rows of the same key."""
+        if self.commits().filter("kind = 'base'").isEmpty():
+            return self._commit(rows, "base", label)
+        return self._commit(rows, "delta", label)
+
+    def compact(self) -> None:
+        """Fold the deltas into a new base; readers of the old files are not disturbed."""
+        if len(self.live_commits()) > 1:
+            self._commit(self.read(), "base", "compact")
+
+    def drop_merged_runs(self) -> list[int]:
+        """Delete the files of runs older than the newest base; readers of those must be done."""
+        live = self.live_commits()
+        old = self.commits().filter(F.col("seq") < (live[0].seq if live else 0)).select("seq").collect()
+        for commit in old:
+            delete_path(self.spark, f"{self.path}/runs/seq={commit.seq}")
+        return sorted(commit.seq for commit in old)
+
+    def _commit(self, rows: DataFrame, kind: str, label: str) -> int:
+        last = self.commits().agg(F.max("seq")).first()[0]
+        seq = 0 if last is None else last + 1
+        run = f"{self.path}/runs/seq={seq}"
+        writer = self._laid_out(rows.select(*self.schema.fieldNames()), kind).write.mode("overwrite")
+        if kind == "base" and self.month_of:
+            writer = writer.partitionBy(self.month_column)
+        writer.parquet(run)
+        row_count, mark = self._written(run)
+        if kind == "delta" and not row_count:
+            return 0
+        entry = self.spark.createDataFrame([(seq, kind, label, row_count, mark)], COMMIT)
+        entry.coalesce(1).write.mode("append").parquet(f"{self.path}/commits")
+        return row_count
+
+    def _written(self, run: str) -> tuple[int, dt.datetime | None]:
+        """Row count and newest mark of a finished run, from its own files: exact after task retries."""
+        rows = self.spark.read.schema(self.schema).parquet(run)
+        mark = F.max(self.high_water_column) if self.high_water_column else F.lit(None).cast("timestamp_ntz")
+        return tuple(rows.agg(F.count(F.lit(1)), mark).first())
+
+    def _laid_out(self, rows: DataFrame, kind: str) -> DataFrame:
+        """Base rows go to month folders; Spark splits a large month over several files."""
+        if kind != "base" or not self.month_of:
+            return rows
+        by_month = rows.withColumn(self.month_column, F.trunc(self.month_of, "MM"))
+        return by_month.hint("rebalance", self.month_column).sortWithinPartitions(self.month_column, self.month_of)
