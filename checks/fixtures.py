@@ -101,10 +101,10 @@ STORE_LINES_SQL = """
 select case when s_suppkey % 7 = 0 then '"' || n_name || ', Ltd"' else n_name end || ',store_' ||
        cast(s_suppkey as <S>) || case when s_suppkey % 11 = 0 then '' when s_suppkey % 13 = 0 then ',"' || s_name
                                       else ',' || s_name || case when s_suppkey % 5 = 0 then ',x' else '' end end
-       as value
+       as value, cast(n_nationkey as <S>) as part
 from supplier join nation on s_nationkey = n_nationkey
 union all
-select 'store_group,store_token,store_name'
+select 'store_group,store_token,store_name', cast(n_nationkey as <S>) from nation
 """
 
 FILE_NAMES_SQL = """
@@ -161,8 +161,9 @@ def sales_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def store_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """CSV lines of one stores file."""
-    return _as_lines(run(spark, sf_dir, STORE_LINES_SQL), F.lit("inbox/stores_20250112.csv"))
+    """CSV lines in one stores file per nation."""
+    values = run(spark, sf_dir, STORE_LINES_SQL)
+    return _as_lines(values, F.concat(F.lit("inbox/stores_20250112_"), F.col("part"), F.lit(".csv")))
 
 
 def file_names(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -147,11 +147,11 @@ LANDED_STORES = f"""
     select case when s_suppkey % 7 = 0 then n_name || ', Ltd' else n_name end as store_group,
            'store_' || s_suppkey as store_token,
            case when s_suppkey % 11 = 0 then null else s_name end as store_name,
-           'inbox/stores_20250112.csv' as source_filename, date '2025-01-12' as batch_date, {LINEAGE}
+           'inbox/stores_20250112_' || n_nationkey || '.csv' as source_filename, date '2025-01-12' as batch_date, {LINEAGE}
     from supplier join nation on s_nationkey = n_nationkey where s_suppkey % 11 = 0 or s_suppkey % 13 <> 0
     union all
-    select 'store_group', 'store_token', 'store_name', 'inbox/stores_20250112.csv', date '2025-01-12',
-           timestamp '2025-01-31 12:00:00', timestamp '2025-01-31 13:00:00'"""
+    select 'store_group', 'store_token', 'store_name', 'inbox/stores_20250112_' || n_nationkey || '.csv',
+           date '2025-01-12', timestamp '2025-01-31 12:00:00', timestamp '2025-01-31 13:00:00' from nation"""
 
 SALES_FILES = f"""
     select digits, sum(n) as line_count, sum(bad) as bad_line_count from (
@@ -160,9 +160,9 @@ SALES_FILES = f"""
         select digits, 1, 0 from (select distinct l_shipdate, digits from ({DROPS}) d) h
         where extract(day from l_shipdate) = 1) l group by 1"""
 STORE_COUNTS = f"""
-    select count(*) as line_count,
+    select part, count(*) as line_count,
            count(*) filter (where (length(value) - length(replace(value, '"', ''))) % 2 = 1) as bad_line_count
-    from ({STORE_LINES}) s"""
+    from ({STORE_LINES}) s group by 1"""
 LOG = f"""
     select 'inbox/sales_' || digits || '.csv' as file_path, 'transactions' as file_type,
            cast(strptime(digits, '%Y%m%d') as date) as batch_date, cast(line_count as bigint) as line_count,
@@ -172,13 +172,13 @@ LOG = f"""
            cast(case when bad_line_count > 0 then 0 else line_count end as bigint) as row_count
     from ({SALES_FILES}) f
     union all
-    select 'inbox/stores_20250112.csv', 'stores', date '2025-01-12', line_count, bad_line_count, null, 'loaded',
+    select 'inbox/stores_20250112_' || part || '.csv', 'stores', date '2025-01-12', line_count, bad_line_count, null, 'loaded',
            line_count - bad_line_count from ({STORE_COUNTS}) s
     union all
-    select 'inbox/readme_20250112.txt', null, date '2025-01-12', line_count, bad_line_count, 'unknown file type',
+    select 'inbox/readme_20250112_' || part || '.csv', null, date '2025-01-12', line_count, bad_line_count, 'unknown file type',
            'skipped', 0 from ({STORE_COUNTS}) s
     union all
-    select 'inbox/sales_99999999.csv', 'transactions', null, line_count, bad_line_count,
+    select 'inbox/sales_99999999_' || part || '.csv', 'transactions', null, line_count, bad_line_count,
            'no valid batch date in file name', 'rejected', 0 from ({STORE_COUNTS}) s"""
 
 DROPPED = f"""

@@ -142,10 +142,11 @@ def raw_stores(spark, sf_dir):
 
 
 def _all_lines(spark, sf_dir):
-    """Sales and stores files, one file of neither feed and one without a valid date."""
+    """Sales and stores files, files of neither feed and files without a valid date."""
     stores = fixtures.store_lines(spark, sf_dir)
-    unknown = stores.withColumn("file_path", F.lit("inbox/readme_20250112.txt"))
-    undated = stores.withColumn("file_path", F.lit("inbox/sales_99999999.csv"))
+    path = F.col("file_path")
+    unknown = stores.withColumn("file_path", F.replace(path, F.lit("stores"), F.lit("readme")))
+    undated = stores.withColumn("file_path", F.replace(path, F.lit("stores_20250112"), F.lit("sales_99999999")))
     lines = fixtures.sales_lines(spark, sf_dir).unionByName(stores).unionByName(unknown).unionByName(undated)
     return describe_files(lines, AS_OF)
 

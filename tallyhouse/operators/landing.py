@@ -119,14 +119,18 @@ def good_lines(
 ) -> DataFrame:
     """Lines of one feed that load: bad lines are dropped, files not loaded are left out whole.
 
-    Only files that were turned away are matched. They are broadcast when `max_files` bounds the
-    number of files in this batch; otherwise Spark picks the join by measured size.
+    A feed that only skips bad lines needs no join. For the other, only files that were turned away
+    are matched; they are broadcast when `max_files` bounds the number of files in this batch, and
+    otherwise Spark picks the join by measured size.
     """
+    lines = described.filter((F.col("file_type") == feed) & F.col("batch_date").isNotNull())
+    lines = lines.filter(~is_bad_line(F.col("value")))
+    if ON_ERROR[feed] == "skip_row":
+        return lines
     turned_away = log.filter((F.col("file_type") == feed) & (F.col("status") == REJECTED)).select("file_path")
     if max_files is not None and max_files <= 10_000:
         turned_away = F.broadcast(turned_away)
-    lines = described.filter((F.col("file_type") == feed) & F.col("batch_date").isNotNull())
-    return lines.filter(~is_bad_line(F.col("value"))).join(turned_away, "file_path", "left_anti")
+    return lines.join(turned_away, "file_path", "left_anti")
 
 
 def archive_rows(described: DataFrame, log: DataFrame, processed_at: Column) -> DataFrame:

@@ -6,11 +6,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def descending(name: str, nulls_rank: str = "first") -> Column:
-    """Descending order with NULLs ranked as the largest value, or last on request."""
+def nulls_lead(nulls_rank: str) -> bool:
     if nulls_rank not in ("first", "last"):
         raise ValueError("nulls_rank is 'first' or 'last'")
-    return F.desc_nulls_first(name) if nulls_rank == "first" else F.desc_nulls_last(name)
+    return nulls_rank == "first"
+
+
+def descending(name: str, nulls_rank: str = "first") -> Column:
+    """Descending order with NULLs ranked as the largest value, or last on request."""
+    return F.desc_nulls_first(name) if nulls_lead(nulls_rank) else F.desc_nulls_last(name)
 
 
 def top_one(df: DataFrame, group: str, measure: str, tie: str, nulls_rank: str = "first") -> DataFrame:

@@ -12,6 +12,7 @@ from tallyhouse.operators.ranking import (
     month_running_total,
     newest_rows,
     newest_values,
+    nulls_lead,
     top_n_dense,
     top_one,
 )
@@ -65,7 +66,7 @@ def daily_summary(store_days: DataFrame, nulls_rank: str = "first") -> DataFrame
     neither a second pass over the store days nor a join.
     """
     total = F.col("store_daily_sales")
-    null_flag = total.isNotNull() if nulls_rank == "first" else total.isNull()
+    null_flag = total.isNotNull() if nulls_lead(nulls_rank) else total.isNull()
     best = F.min(F.struct(null_flag.alias("flag"), (-total).alias("total"), F.col("store_token")))
     return store_days.groupBy("transaction_date").agg(
         *_day_metrics(), best["store_token"].alias("top_store_token")
@@ -112,7 +113,8 @@ def sales_with_stores(sales: DataFrame, stores: DataFrame) -> DataFrame:
 
 def last_dates(sales: DataFrame, n: int = TOP_STORE_DATES) -> DataFrame:
     """The newest `n` days with a transaction."""
-    days = sales.select(F.to_date("transaction_time").alias("transaction_date")).dropna()
+    dated = sales.filter(F.col("transaction_time").isNotNull())
+    days = dated.select(F.to_date("transaction_time").alias("transaction_date"))
     return newest_values(days, "transaction_date", n)
 
 

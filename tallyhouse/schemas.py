@@ -107,7 +107,8 @@ def column_ddl(schema: StructType, defaults: dict[str, str] | None = None) -> st
 def create_raw_tables(spark: SparkSession, database: str, location: str) -> None:
     """Create the typed raw tables; a row inserted without `loaded_at` gets the load time."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{location}'")
-    load_time = {"loaded_at": "CAST(current_timestamp() AS TIMESTAMP_NTZ)"}
+    epoch = "TIMESTAMP_NTZ '1970-01-01 00:00:00'"
+    load_time = {"loaded_at": f"timestampadd(MICROSECOND, unix_micros(current_timestamp()), {epoch})"}
     for name, schema in (("sales", RAW_SALES), ("stores", RAW_STORES)):
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {database}.{name} ({column_ddl(schema, load_time)}) USING parquet"

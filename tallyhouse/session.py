@@ -15,6 +15,7 @@ def build_session(app: str = "tallyhouse", master: str | None = None, **settings
         builder = builder.master(master)
     defaults = {
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",

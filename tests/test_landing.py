@@ -1,0 +1,200 @@
+import datetime as dt
+import os
+import time
+
+import pytest
+from pyspark.sql import functions as F
+
+from helpers import at, tuples
+from tallyhouse.functions.files import STORES, TRANSACTIONS
+from tallyhouse.operators.landing import describe_files, good_lines, ingest_log, sales_rows, stores_rows
+from tallyhouse.plans import landing
+from tallyhouse.plans.landing import INGEST_LOG, land_files, read_ledger
+from tallyhouse.schemas import RAW_SALES, RAW_STORES, create_raw_tables
+from tallyhouse.sources.lines import read_multiline_csv
+from tallyhouse.sources.raw import read_raw
+
+TODAY = dt.date(2025, 1, 31)
+HEADER = "store_token,transaction_id,receipt_token,transaction_time,amount,source_id,user_role"
+
+
+def lines(spark, values, path="inbox/sales_20250110.csv"):
+    df = spark.createDataFrame([(v, path) for v in values], "value string, file_path string")
+    clock = F.lit("2025-01-31 12:00:00").cast("timestamp_ntz")
+    return describe_files(df.withColumns({"file_modified_at": clock, "loaded_at": clock}), TODAY)
+
+
+def test_sales_line_shapes(spark):
+    values = [
+        "a,6,r,t,1,clerk",
+        "a,7,r,t,1,src,clerk",
+        "a,norole,r,t,1,src,",
+        "a,wide,r,t,1,src,clerk,more",
+        "a,short",
+        'a,quoted,"r, ""x""",t,"$1,234.50",src,clerk',
+        "a,nulls,NULL,null,,src,clerk",
+        "",
+    ]
+    rows = sales_rows(lines(spark, values))
+    got = {r[1]: r for r in tuples(rows.select(*RAW_SALES.fieldNames()[:7]))}
+    assert got == {
+        "6": ("a", "6", "r", "t", "1", None, "clerk"),
+        "7": ("a", "7", "r", "t", "1", "src", "clerk"),
+        "norole": ("a", "norole", "r", "t", "1", None, "src"),
+        "wide": ("a", "wide", "r", "t", "1", "src", "clerk"),
+        "short": ("a", "short", None, None, None, None, None),
+        "quoted": ("a", "quoted", 'r, "x"', "t", "$1,234.50", "src", "clerk"),
+        "nulls": ("a", "nulls", None, None, None, "src", "clerk"),
+        None: (None,) * 7,
+    }
+
+
+def test_stores_columns_are_group_token_name(spark):
+    rows = stores_rows(lines(spark, ["G,tok,Name", "G,tok2"], "inbox/stores.csv"))
+    assert sorted(tuples(rows, "store_token", "store_group", "store_name", "batch_date")) == [
+        ("tok", "G", "Name", TODAY),
+        ("tok2", "G", None, TODAY),
+    ]
+
+
+def test_bad_row_policy_per_feed(spark):
+    bad_sales = lines(spark, ["a,1,r", 'a,2,"r'], "inbox/sales_20250101.csv")
+    good_sales = lines(spark, ["a,3,r"], "inbox/sales_20250102.csv")
+    stores = lines(spark, ["G,tok,Name", 'G,"tok2,Name'], "inbox/stores_20250101.csv")
+    undated = lines(spark, ["a,4,r"], "inbox/sales_99999999.csv")
+    unknown = lines(spark, ["a,5,r"], "inbox/other.csv")
+    everything = bad_sales.union(good_sales).union(stores).union(undated).union(unknown)
+    log = ingest_log(everything)
+    assert {r[0].split("/")[1]: r[1:] for r in tuples(log, "file_path", "status", "line_count", "row_count")} == {
+        "sales_20250101.csv": ("rejected", 2, 0),
+        "sales_20250102.csv": ("loaded", 1, 1),
+        "stores_20250101.csv": ("loaded", 2, 1),
+        "sales_99999999.csv": ("rejected", 1, 0),
+        "other.csv": ("skipped", 1, 0),
+    }
+    for bound in (None, 100):
+        assert tuples(good_lines(everything, log, TRANSACTIONS, bound), "value") == [("a,3,r",)]
+        assert tuples(good_lines(everything, log, STORES, bound), "value") == [("G,tok,Name",)]
+
+
+def put(folder, name, *rows):
+    path = folder / name
+    path.parent.mkdir(parents=True, exist_ok=True)
+    path.write_text("".join(r + "\n" for r in rows))
+    return path
+
+
+def names(spark, root):
+    log = spark.read.schema(INGEST_LOG).parquet(f"{root}/ingest_log")
+    return {(r[0].split("/")[-1], r[1]) for r in tuples(log, "file_path", "status")}
+
+
+def test_land_files_end_to_end(spark, tmp_path):
+    inbox, root = tmp_path / "inbox", str(tmp_path / "wh")
+    put(inbox, "sales_20250111.csv", "A,x1,r1,20250111T100000.000,$10.50,s,clerk", "A,x2,r2,20250111T100500.000,$5,clerk")
+    put(inbox, "sub/Sales_20250112.csv", HEADER, "B,x3,r3,20250112T093000.000,7.00,s,boss")
+    put(inbox, "stores_20250112.csv", "store_group,store_token,store_name", "G,A,Alpha")
+    put(inbox, "sales_bad_20250113.csv", 'C,x9,"r,20250113T100000.000,1,s,clerk', "C,x8,r,20250113T100000.000,1,s,clerk")
+    put(inbox, "notes.txt", "hello")
+    assert len(land_files(spark, str(inbox), root, TODAY, archive=True)) == 1
+    sales = read_raw(spark, f"{root}/raw/sales", RAW_SALES)
+    assert sorted(tuples(sales, "store_token", "transaction_id", "source_id", "user_role", "batch_date")) == [
+        ("A", "x1", "s", "clerk", dt.date(2025, 1, 11)),
+        ("A", "x2", None, "clerk", dt.date(2025, 1, 11)),
+        ("B", "x3", "s", "boss", dt.date(2025, 1, 12)),
+        ("store_token", "transaction_id", "source_id", "user_role", dt.date(2025, 1, 12)),
+    ]
+    assert read_raw(spark, f"{root}/raw/stores", RAW_STORES).count() == 2
+    assert names(spark, root) == {
+        ("sales_20250111.csv", "loaded"),
+        ("Sales_20250112.csv", "loaded"),
+        ("stores_20250112.csv", "loaded"),
+        ("sales_bad_20250113.csv", "rejected"),
+        ("notes.txt", "skipped"),
+    }
+    history = spark.read.parquet(f"{root}/history")
+    assert history.count() == 6
+    day = sales.select(F.date_format("loaded_at", "yyyy-MM-dd")).first()[0]
+    folder = "year={}/month={}/day={}".format(*day.split("-"))
+    assert os.path.isdir(f"{root}/history/file_type=transactions/{folder}")
+    assert os.path.isdir(f"{root}/history/file_type=stores/{folder}")
+
+
+def test_land_files_takes_each_version_of_a_file_once(spark, tmp_path):
+    inbox, root = tmp_path / "inbox", str(tmp_path / "wh")
+    path = put(inbox, "sales_20250111.csv", "A,x1,r1,t,1,clerk")
+    assert len(land_files(spark, str(inbox), root, TODAY)) == 1
+    assert land_files(spark, str(inbox), root, TODAY) == []
+    put(inbox, "sales_20250111.csv", "A,x1,r1,t,1,clerk", "A,x2,r1,t,1,clerk")
+    os.utime(path, (time.time() + 5, time.time() + 5))
+    put(inbox, "sales_20250112.csv", "A,x3,r1,t,1,clerk")
+    assert len(land_files(spark, str(inbox), root, TODAY)) == 1
+    sales = read_raw(spark, f"{root}/raw/sales", RAW_SALES)
+    assert sorted(r[0] for r in tuples(sales, "transaction_id")) == ["x1", "x1", "x2", "x3"]
+
+
+def test_land_files_in_small_batches_oldest_first(spark, tmp_path):
+    inbox, root = tmp_path / "inbox", str(tmp_path / "wh")
+    for day in (3, 1, 2):
+        path = put(inbox, f"sales_2025010{day}.csv", f"A,x{day},r1,t,1,clerk")
+        os.utime(path, (1_700_000_000 + day, 1_700_000_000 + day))
+    assert len(land_files(spark, str(inbox), root, TODAY, max_files=2)) == 2
+    sales = read_raw(spark, f"{root}/raw/sales", RAW_SALES).orderBy("loaded_at", "transaction_id")
+    assert [r[0] for r in tuples(sales, "transaction_id")] == ["x1", "x2", "x3"]
+    assert sales.select("loaded_at").distinct().count() == 2
+
+
+def test_a_batch_that_dies_is_finished_by_the_next_run(spark, tmp_path, monkeypatch):
+    inbox, root = tmp_path / "inbox", str(tmp_path / "wh")
+    put(inbox, "sales_20250111.csv", "A,x1,r1,t,1,clerk")
+    put(inbox, "stores_20250111.csv", "G,A,Alpha")
+    whole = landing.append_raw
+    calls = []
+
+    def die_on_second(rows, path, ingest_batch):
+        calls.append(path)
+        if len(calls) == 2:
+            raise RuntimeError("lost")
+        whole(rows, path, ingest_batch)
+
+    monkeypatch.setattr(landing, "append_raw", die_on_second)
+    with pytest.raises(RuntimeError):
+        land_files(spark, str(inbox), root, TODAY)
+    first_load = read_raw(spark, f"{root}/raw/sales", RAW_SALES).first().loaded_at
+    monkeypatch.setattr(landing, "append_raw", whole)
+    put(inbox, "sales_20250112.csv", "A,x2,r1,t,1,clerk")
+    assert len(land_files(spark, str(inbox), root, TODAY)) == 2
+    sales = read_raw(spark, f"{root}/raw/sales", RAW_SALES)
+    assert sorted(tuples(sales, "transaction_id")) == [("x1",), ("x2",)]
+    assert sales.filter("transaction_id = 'x1'").first().loaded_at == first_load
+    assert read_raw(spark, f"{root}/raw/stores", RAW_STORES).count() == 1
+    assert read_ledger(spark, root).filter("state = 'done'").count() == 2
+
+
+def test_multiline_reader_is_opt_in(spark, tmp_path):
+    put(tmp_path, "inbox/sales_20250111.csv", 'A,x1,"two', 'lines",t,1,s,clerk', 'B,x2,"say ""hi""",t,1,clerk')
+    rows = read_multiline_csv(spark, str(tmp_path / "inbox"), 7)
+    assert sorted(tuples(rows, "c1", "c3", "c6", "c7")) == [
+        ("A", "two\nlines", "s", "clerk"),
+        ("B", 'say "hi"', "clerk", None),
+    ]
+
+
+def test_load_time_is_utc_wherever_the_session_is(spark, tmp_path, zone):
+    zone("Asia/Tokyo")
+    inbox, root = tmp_path / "inbox", str(tmp_path / "wh")
+    put(inbox, "sales_20250111.csv", "A,x1,r1,t,1,clerk")
+    land_files(spark, str(inbox), root, TODAY)
+    now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    row = read_raw(spark, f"{root}/raw/sales", RAW_SALES).first()
+    assert abs((now - row.loaded_at).total_seconds()) < 120
+    assert abs((now - row.file_modified_at).total_seconds()) < 120
+
+
+def test_raw_tables_fill_the_load_time(spark, tmp_path):
+    create_raw_tables(spark, "raw_layer", str(tmp_path / "raw_layer"))
+    spark.sql("INSERT INTO raw_layer.stores (store_group, store_token, store_name) VALUES ('g', 's', 'n')")
+    row = spark.table("raw_layer.stores").first()
+    assert row.loaded_at > at("2020-01-01 00:00:00") and row.batch_date is None
+    assert spark.table("raw_layer.sales").schema.simpleString() == RAW_SALES.simpleString()
+    spark.sql("DROP DATABASE raw_layer CASCADE")

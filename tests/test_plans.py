@@ -1,0 +1,68 @@
+"""What the physical plans must look like to hold at scale."""
+
+import datetime as dt
+
+import pytest
+
+from checks import fixtures
+from checks.queries import QUERIES
+from tallyhouse.plans import marts
+from tallyhouse.plans.stage import stage_sales
+from tallyhouse.schemas import SALES_KEYS, STAGE_SALES
+from tallyhouse.sources.versioned import VersionedTable
+
+SF_DIR = "/root/testdata/sf0.001"
+WRITES = {"csv_stream_ingest", "csv_batch_ingest", "full_refresh_equivalence", "stream_upsert"}
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture(scope="module")
+def table(spark, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("plans") / "t")
+    sales = VersionedTable(spark, path, STAGE_SALES, SALES_KEYS, "loaded_at", "transaction_time")
+    sales.append_delta(stage_sales(fixtures.raw_sales(spark, SF_DIR)))
+    return sales
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - WRITES))
+def test_no_python_no_cross_join(spark, name):
+    text = plan(QUERIES[name](spark, SF_DIR))
+    for operator in ("Python", "Pandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert operator not in text
+
+
+def test_dedup_cuts_keys_before_its_only_shuffle(spark, tmp_path):
+    fixtures.raw_sales(spark, SF_DIR).write.parquet(f"{tmp_path}/raw")
+    text = plan(stage_sales(spark.read.parquet(f"{tmp_path}/raw")))
+    assert text.count("Exchange hashpartitioning") == 1
+    assert text.index("Final") < text.index("Exchange") < text.index("Partial")
+    assert "PushedFilters: [IsNotNull(store_token), Not(EqualTo(store_token,store_token))]" in text
+
+
+def test_lookback_reaches_folders_and_row_groups(spark, table):
+    day = dt.date(2001, 10, 20)
+    text = plan(marts.report_daily_sales(table.read(day.replace(day=1)), lookback_start=day))
+    assert "transaction_time_month" in text.split("PartitionFilters: [")[1].split("]")[0]
+    assert "GreaterThanOrEqual(transaction_time,2001-10-01T00:00" in text
+    assert "receipt_token" not in text and "loaded_at" not in text
+
+
+def test_daily_report_reads_the_stage_once(spark, table):
+    text = plan(marts.report_daily_sales(table.read()))
+    assert text.count("FileScan") == 1 and "Join" not in text
+
+
+def test_newest_dates_reach_the_scan_as_a_bound(spark, table):
+    stores = QUERIES["stg_stores"](spark, SF_DIR)
+    text = plan(marts.report_top_stores(table.read(), stores))
+    assert "transaction_time >= Subquery" in text.replace("#", " ").replace("  ", " ") or ">= Subquery" in text
+
+
+def test_lifecycle_lookback_is_below_the_join(spark, table):
+    day = dt.date(2001, 10, 20)
+    raw = table.read()
+    text = plan(marts.report_transactions_lifecycle(raw, table.read(), lookback_start=day))
+    assert text.count("GreaterThanOrEqual(batch_date,2001-10-20)") == 2
