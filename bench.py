@@ -39,9 +39,10 @@ def run(df) -> None:
 def prepare(spark, root: str) -> dict:
     """Write the raw layer, the CSV drops and the stage layer."""
     raw = fixtures.raw_sales(spark, SF_DIR)
-    raw.write.parquet(f"{root}/raw_sales")
+    raw.repartition(int(CPUS)).write.parquet(f"{root}/raw_sales")
     fixtures.raw_stores(spark, SF_DIR).write.parquet(f"{root}/raw_stores")
-    fixtures.write_drop(fixtures.sales_lines(spark, SF_DIR), f"{root}/inbox", "sales_20250111")
+    lines = fixtures.sales_lines(spark, SF_DIR).repartition(int(CPUS))
+    fixtures.write_drop(lines, f"{root}/inbox", "sales_20250111")
     raw = spark.read.parquet(f"{root}/raw_sales")
     stores = spark.read.parquet(f"{root}/raw_stores")
     newest = raw.agg(F.max("loaded_at")).first()[0]

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.functions.clock import clock_literal
+from tallyhouse.session import scratch_dir
 
 AS_OF = dt.date(2025, 1, 31)
 SPLIT = dt.datetime(2001, 1, 1)
@@ -145,10 +146,17 @@ def raw_stores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run(spark, sf_dir, RAW_STORES_SQL)
 
 
-def _as_lines(values: DataFrame, path) -> DataFrame:
-    return values.select(
+def _as_lines(spark: SparkSession, values: DataFrame, path) -> DataFrame:
+    """Lines with their file, read back from a written table.
+
+    A line is a long text expression. Left in the plan it would be copied into every place that
+    looks at the line, and the generated code would grow too large to be compiled.
+    """
+    folder = scratch_dir(spark, "lines")
+    values.select("value", path.alias("file_path")).write.parquet(folder)
+    return spark.read.schema("value string, file_path string").parquet(folder).select(
         "value",
-        path.alias("file_path"),
+        "file_path",
         clock_literal("2025-01-31 12:00:00").alias("file_modified_at"),
         clock_literal("2025-01-31 13:00:00").alias("loaded_at"),
     )
@@ -157,13 +165,13 @@ def _as_lines(values: DataFrame, path) -> DataFrame:
 def sales_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """CSV lines in one sales file per ship day, with the lineage a file read would give."""
     values = run(spark, sf_dir, SALES_LINES_SQL.replace("{drops}", SALES_DROPS_SQL))
-    return _as_lines(values, F.concat(F.lit("inbox/sales_"), F.col("digits"), F.lit(".csv")))
+    return _as_lines(spark, values, F.concat(F.lit("inbox/sales_"), F.col("digits"), F.lit(".csv")))
 
 
 def store_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """CSV lines in one stores file per nation."""
     values = run(spark, sf_dir, STORE_LINES_SQL)
-    return _as_lines(values, F.concat(F.lit("inbox/stores_20250112_"), F.col("part"), F.lit(".csv")))
+    return _as_lines(spark, values, F.concat(F.lit("inbox/stores_20250112_"), F.col("part"), F.lit(".csv")))
 
 
 def file_names(spark: SparkSession, sf_dir: str) -> DataFrame:

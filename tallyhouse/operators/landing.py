@@ -21,6 +21,9 @@ LOADED = "loaded"
 REJECTED = "rejected"
 SKIPPED = "skipped"
 
+# Longest list of files that is broadcast.
+BROADCAST_FILES = 10_000
+
 # What one bad line does to its feed.
 ON_ERROR = {STORES: "skip_row", TRANSACTIONS: "reject_file"}
 
@@ -119,7 +122,8 @@ def good_lines(
 ) -> DataFrame:
     """Lines of one feed that load: bad lines are dropped, files not loaded are left out whole.
 
-    A feed that only skips bad lines needs no join. For the other, only files that were turned away
+    The feed test looks at the file path alone, so Spark does not open files of the other feed. A
+    feed that only skips bad lines needs no join. For the other, only files that were turned away
     are matched; they are broadcast when `max_files` bounds the number of files in this batch, and
     otherwise Spark picks the join by measured size.
     """
@@ -128,14 +132,26 @@ def good_lines(
     if ON_ERROR[feed] == "skip_row":
         return lines
     turned_away = log.filter((F.col("file_type") == feed) & (F.col("status") == REJECTED)).select("file_path")
-    if max_files is not None and max_files <= 10_000:
-        turned_away = F.broadcast(turned_away)
-    return lines.join(turned_away, "file_path", "left_anti")
+    return lines.join(_bounded(turned_away, max_files), "file_path", "left_anti")
+
 
+def _bounded(files: DataFrame, max_files: int | None) -> DataFrame:
+    """A list of files, to be broadcast if a small bound for its length is known."""
+    return F.broadcast(files) if max_files is not None and max_files <= BROADCAST_FILES else files
 
-def archive_rows(described: DataFrame, log: DataFrame, processed_at: Column) -> DataFrame:
+
+def file_counts(log: DataFrame) -> DataFrame:
+    """Number of files and rows per feed and state."""
+    return log.groupBy("file_type", "status").agg(
+        F.count("*").alias("file_count"), F.sum("row_count").alias("row_count")
+    )
+
+
+def archive_rows(
+    described: DataFrame, log: DataFrame, processed_at: Column, max_files: int | None = None
+) -> DataFrame:
     """Every line of the loaded files with the archive folder columns."""
-    loaded = log.filter(F.col("status") == LOADED).select("file_path")
+    loaded = _bounded(log.filter(F.col("status") == LOADED).select("file_path"), max_files)
     lines = described.filter(F.col("file_type").isNotNull()).join(loaded, "file_path", "left_semi")
     return lines.withColumns(archive_parts(processed_at)).select(
         "value", "file_path", "file_type", "year", "month", "day"

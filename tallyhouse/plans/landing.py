@@ -18,7 +18,9 @@ from pyspark.sql.types import (
 
 from tallyhouse.functions.files import STORES, TRANSACTIONS, in_inbox
 from tallyhouse.operators.landing import (
+    BROADCAST_FILES,
     LOADED,
+    REJECTED,
     archive_rows,
     describe_files,
     good_lines,
@@ -30,8 +32,8 @@ from tallyhouse.session import path_exists
 from tallyhouse.sources.lines import list_files, read_lines
 from tallyhouse.sources.raw import append_batch, append_raw
 
-# Fixed value: files per landing batch; it bounds what a batch broadcasts.
-MAX_FILES = 10_000
+# Files per landing batch; it bounds what a batch broadcasts.
+MAX_FILES = BROADCAST_FILES
 
 INGEST_LOG = StructType(
     [
@@ -59,19 +61,23 @@ LEDGER = StructType(
 )
 
 
+class RejectedFiles(Exception):
+    """Some files of a strict landing were rejected; all others have landed."""
+
+
 def land(
     lines: DataFrame,
     root: str,
     ingest_batch: str,
     run_date: dt.date | None = None,
     archive: bool = False,
-    max_files: int = MAX_FILES,
+    max_files: int | None = None,
 ) -> DataFrame:
     """Write one batch of lines to the raw tables below `root` and return its ingest log.
 
     One bad file does not stop the others. Every write replaces what an earlier try of the same
     batch left behind. The log is written first and read back, so the files to turn away are known
-    before any of their rows land.
+    before any of their rows land. `max_files` states a bound for the files of this batch, if any.
     """
     spark = lines.sparkSession
     described = describe_files(lines.filter(in_inbox(F.col("file_path"))), run_date)
@@ -89,7 +95,7 @@ def land(
             accepted = rows(good_lines(described, log, feed, max_files))
             append_raw(accepted, f"{root}/raw/{table}", ingest_batch)
     if archive and feeds:
-        kept = archive_rows(described, log, F.col("loaded_at"))
+        kept = archive_rows(described, log, F.col("loaded_at"), max_files)
         append_batch(kept, f"{root}/history", ingest_batch, ["file_type", "year", "month", "day"])
     return log
 
@@ -115,17 +121,19 @@ def land_files(
     run_date: dt.date | None = None,
     archive: bool = False,
     max_files: int = MAX_FILES,
+    strict: bool = False,
 ) -> list[str]:
     """Land everything new in the inbox, in batches of at most `max_files`, and name the batches.
 
     The file list and the load time of a batch are noted before it starts and marked done after,
     so a run that dies is taken up by the next one with the same files and the same load time.
+    `strict` raises once all batches are through if a file was rejected.
     """
     landed = []
     while True:
         batch = _open_batch(spark, root) or _plan_batch(spark, inbox, root, max_files)
         if batch is None:
-            return landed
+            break
         ingest_batch, loaded_at = batch
         files = read_ledger(spark, root).filter(
             (F.col("ingest_batch") == ingest_batch) & (F.col("state") == "planned")
@@ -134,6 +142,21 @@ def land_files(
         land(read_lines(spark, paths, loaded_at), root, ingest_batch, run_date, archive, max_files)
         _note(spark, root, [(None, None, None, loaded_at, "done", ingest_batch)])
         landed.append(ingest_batch)
+    if strict:
+        _raise_rejected(spark, root, landed)
+    return landed
+
+
+def _raise_rejected(spark: SparkSession, root: str, batches: list[str]) -> None:
+    path = f"{root}/ingest_log"
+    if not batches or not path_exists(spark, path):
+        return
+    log = spark.read.schema(INGEST_LOG).parquet(path)
+    rejected = log.filter(F.col("ingest_batch").isin(batches) & (F.col("status") == REJECTED))
+    count = rejected.count()
+    if count:
+        some = "; ".join(f"{r.file_path}: {r.error}" for r in rejected.orderBy("file_path").limit(20).collect())
+        raise RejectedFiles(f"{count} files rejected: {some}")
 
 
 def _note(spark: SparkSession, root: str, rows: list[tuple]) -> None:

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import datetime as dt
 from dataclasses import dataclass
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.operators.incremental import high_water_filter, upsert
+from tallyhouse.operators.quality import not_null, unique
 from tallyhouse.plans import marts
 from tallyhouse.plans.landing import land_files
 from tallyhouse.plans.stage import stage_sales, stage_stores
@@ -73,8 +74,32 @@ class Warehouse:
         path = f"{self.root}/marts/report_transactions_lifecycle"
         return VersionedTable(self.spark, path, REPORT_LIFECYCLE, ["batch_date"])
 
-    def land(self, inbox: str, run_date: dt.date | None = None, archive: bool = False) -> list[str]:
-        return land_files(self.spark, inbox, self.root, run_date, archive)
+    def land(
+        self, inbox: str, run_date: dt.date | None = None, archive: bool = False, strict: bool = False
+    ) -> list[str]:
+        return land_files(self.spark, inbox, self.root, run_date, archive, strict=strict)
+
+    def check(self, layer: str = "stage") -> DataFrame:
+        """Failures of the column checks, one row per check.
+
+        Stores are sent again when they change, so on the raw layer the unique check counts every
+        store that was ever updated.
+        """
+        if layer not in ("stage", "raw"):
+            raise ValueError("layer is 'stage' or 'raw'")
+        staged = layer == "stage"
+        sales = self.sales.read() if staged else self.raw_sales()
+        stores = self.stores.read() if staged else self.raw_stores()
+        checks = [
+            ("sales", "not_null", not_null(sales, ["store_token", "transaction_id"])),
+            ("stores", "not_null", not_null(stores, ["store_token"])),
+            ("stores", "unique", unique(stores, "store_token")),
+        ]
+        named = [
+            found.select(F.lit(table).alias("table_name"), "column_name", F.lit(kind).alias("check"), "failures")
+            for table, kind, found in checks
+        ]
+        return reduce(DataFrame.unionByName, named)
 
     def run_stage(self, full_refresh: bool = False) -> None:
         for table, raw, build in (

@@ -23,20 +23,24 @@ def start_upsert(
     once: bool = True,
     interval: str = "1 minute",
     compact_after: int = 20,
+    after: Callable[[], None] | None = None,
 ) -> StreamingQuery:
     """Stage each micro-batch of new raw files and commit it as a delta of `table`.
 
     Batches come in file order, so a later batch replaces the rows of an earlier one. The label of
-    a committed batch is kept with the commit, and a replay of that batch does nothing.
+    a committed batch is kept with the commit, and a replay of that batch adds nothing. `after` runs
+    once a batch is in, for instance to bring the reports up to date over their lookback; it must
+    bear being run twice.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         label = batch_label(batch, batch_id)
-        if table.has_run(label):
-            return
-        table.append_delta(stage(batch), label)
+        if not table.has_run(label):
+            table.append_delta(stage(batch), label)
         if len(table.live_commits()) > compact_after:
             table.compact()
+        if after is not None:
+            after()
 
     trigger = {"availableNow": True} if once else {"processingTime": interval}
     return (

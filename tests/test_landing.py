@@ -7,9 +7,16 @@ from pyspark.sql import functions as F
 
 from helpers import at, tuples
 from tallyhouse.functions.files import STORES, TRANSACTIONS
-from tallyhouse.operators.landing import describe_files, good_lines, ingest_log, sales_rows, stores_rows
+from tallyhouse.operators.landing import (
+    describe_files,
+    file_counts,
+    good_lines,
+    ingest_log,
+    sales_rows,
+    stores_rows,
+)
 from tallyhouse.plans import landing
-from tallyhouse.plans.landing import INGEST_LOG, land_files, read_ledger
+from tallyhouse.plans.landing import INGEST_LOG, RejectedFiles, land_files, read_ledger
 from tallyhouse.schemas import RAW_SALES, RAW_STORES, create_raw_tables
 from tallyhouse.sources.lines import read_multiline_csv
 from tallyhouse.sources.raw import read_raw
@@ -120,6 +127,19 @@ def test_land_files_end_to_end(spark, tmp_path):
     assert os.path.isdir(f"{root}/history/file_type=stores/{folder}")
 
 
+def test_strict_landing_raises_after_the_good_files(spark, tmp_path):
+    inbox, root = tmp_path / "inbox", str(tmp_path / "wh")
+    put(inbox, "sales_20250111.csv", "A,x1,r1,t,1,clerk")
+    put(inbox, "sales_99999999.csv", "A,x2,r1,t,1,clerk")
+    with pytest.raises(RejectedFiles, match="1 files rejected: .*sales_99999999.csv: no valid batch date"):
+        land_files(spark, str(inbox), root, TODAY, strict=True)
+    assert read_raw(spark, f"{root}/raw/sales", RAW_SALES).count() == 1
+    log = spark.read.schema(INGEST_LOG).parquet(f"{root}/ingest_log")
+    counts = sorted(tuples(file_counts(log), "file_type", "status", "file_count", "row_count"))
+    assert counts == [("transactions", "loaded", 1, 1), ("transactions", "rejected", 1, 0)]
+    assert land_files(spark, str(inbox), root, TODAY, strict=True) == []
+
+
 def test_land_files_takes_each_version_of_a_file_once(spark, tmp_path):
     inbox, root = tmp_path / "inbox", str(tmp_path / "wh")
     path = put(inbox, "sales_20250111.csv", "A,x1,r1,t,1,clerk")

@@ -62,9 +62,18 @@ def test_upsert_stream_keeps_latest_and_survives_replay(spark, tmp_path):
     raw, checkpoint = str(tmp_path / "raw"), str(tmp_path / "cp")
     table = VersionedTable(spark, str(tmp_path / "stage"), STAGE_SALES, SALES_KEYS, "loaded_at", "transaction_time")
 
+    seen = []
+
     def run(compact_after=20):
         start_upsert(
-            spark, raw, RAW_SALES, table, stage_sales, checkpoint, compact_after=compact_after
+            spark,
+            raw,
+            RAW_SALES,
+            table,
+            stage_sales,
+            checkpoint,
+            compact_after=compact_after,
+            after=lambda: seen.append(len(table.live_commits())),
         ).awaitTermination()
         return sorted(tuples(table.read(), "transaction_id", "receipt_token"))
 
@@ -81,3 +90,4 @@ def test_upsert_stream_keeps_latest_and_survives_replay(spark, tmp_path):
     raw_sales(spark, [{"transaction_id": "4", **later}]).write.mode("append").parquet(raw)
     assert run(compact_after=1) == expected + [("4", "new")]
     assert len(table.live_commits()) == 1
+    assert seen == [1, 2, 2, 1]

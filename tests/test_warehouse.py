@@ -56,6 +56,25 @@ def test_files_in_other_layouts_have_no_time_by_default(spark, tmp_path):
     assert lifecycle(warehouse) == [(dt.date(2025, 1, 11), 2, 2, 0), (dt.date(2025, 1, 12), 3, 2, 1)]
 
 
+def test_column_checks(spark, tmp_path):
+    inbox = tmp_path / "inbox"
+    put(inbox, "sales_20250111.csv", "a,,r,20250111T100000.000,1,clerk", "a,t1,r,20250111T100000.000,1,clerk")
+    put(inbox, "stores_20250111.csv", "G,a,Old")
+    put(inbox, "stores_20250112.csv", "G,a,New")
+    warehouse = Warehouse(spark, str(tmp_path / "wh"))
+    warehouse.land(str(inbox))
+    warehouse.run_stage()
+    expected = {
+        ("sales", "store_token", "not_null"): 0,
+        ("sales", "transaction_id", "not_null"): 1,
+        ("stores", "store_token", "not_null"): 0,
+        ("stores", "store_token", "unique"): 0,
+    }
+    for layer, duplicated in (("stage", 0), ("raw", 1)):
+        found = {r[:3]: r[3] for r in tuples(warehouse.check(layer), "table_name", "column_name", "check", "failures")}
+        assert found == {**expected, ("stores", "store_token", "unique"): duplicated}
+
+
 def test_incremental_runs(spark, tmp_path):
     inbox = tmp_path / "inbox"
     first_drop(inbox)
