@@ -19,7 +19,7 @@ from checks.fixtures import AS_OF
 from tallyhouse.functions.clock import clock_literal
 from tallyhouse.functions.files import TRANSACTIONS
 from tallyhouse.operators.incremental import high_water_filter
-from tallyhouse.operators.landing import describe_files, good_lines, ingest_log, sales_rows
+from tallyhouse.operators.landing import good_lines, ingest_log, is_bad_line, sales_rows
 from tallyhouse.plans import marts
 from tallyhouse.plans.stage import stage_sales, stage_stores
 from tallyhouse.schemas import SALES_KEYS, STAGE_SALES, STAGE_STORES, STORES_KEYS
@@ -41,8 +41,8 @@ def prepare(spark, root: str) -> dict:
     raw = fixtures.raw_sales(spark, SF_DIR)
     raw.repartition(int(CPUS)).write.parquet(f"{root}/raw_sales")
     fixtures.raw_stores(spark, SF_DIR).write.parquet(f"{root}/raw_stores")
-    lines = fixtures.sales_lines(spark, SF_DIR).repartition(int(CPUS))
-    fixtures.write_drop(lines, f"{root}/inbox", "sales_20250111")
+    lines = fixtures.sales_lines(spark, SF_DIR).filter(~is_bad_line(F.col("value")))
+    fixtures.write_drop(lines.repartition(int(CPUS)), f"{root}/inbox", "sales_20250111")
     raw = spark.read.parquet(f"{root}/raw_sales")
     stores = spark.read.parquet(f"{root}/raw_stores")
     newest = raw.agg(F.max("loaded_at")).first()[0]
@@ -77,8 +77,8 @@ def jobs(spark, env: dict) -> dict:
     raw, start = env["raw"], env["start"]
 
     def land_parse():
-        lines = describe_files(read_lines(spark, f"{env['root']}/inbox"), AS_OF)
-        run(sales_rows(good_lines(lines, ingest_log(lines), TRANSACTIONS, max_files=1000)))
+        lines = read_lines(spark, f"{env['root']}/inbox")
+        run(sales_rows(good_lines(lines, ingest_log(lines, AS_OF), TRANSACTIONS, max_files=1000)))
 
     return {
         "landing_parse": land_parse,

@@ -19,7 +19,6 @@ from tallyhouse.operators.dedup import keep_latest
 from tallyhouse.operators.incremental import high_water_filter, high_water_mark, lookback_start, upsert
 from tallyhouse.operators.landing import (
     archive_rows,
-    describe_files,
     good_lines,
     ingest_log,
     is_bad_line,
@@ -97,16 +96,8 @@ def batch_date_extract(spark, sf_dir):
     return names.select("o_orderkey", batch_date(F.col("file_key"), AS_OF).alias("batch_date"))
 
 
-def _described_sales(spark, sf_dir):
-    return describe_files(fixtures.sales_lines(spark, sf_dir), AS_OF)
-
-
-def _described_stores(spark, sf_dir):
-    return describe_files(fixtures.store_lines(spark, sf_dir), AS_OF)
-
-
-def _accepted(described: DataFrame, feed: str) -> DataFrame:
-    return good_lines(described, ingest_log(described), feed)
+def _accepted(lines: DataFrame, feed: str) -> DataFrame:
+    return good_lines(lines, ingest_log(lines, AS_OF), feed)
 
 
 def csv_scan(spark, sf_dir):
@@ -127,18 +118,18 @@ def sales_positional_shift(spark, sf_dir):
 
 
 def bad_row_policy(spark, sf_dir):
-    sales = _accepted(_described_sales(spark, sf_dir), TRANSACTIONS)
-    stores = _accepted(_described_stores(spark, sf_dir), STORES)
+    sales = _accepted(fixtures.sales_lines(spark, sf_dir), TRANSACTIONS)
+    stores = _accepted(fixtures.store_lines(spark, sf_dir), STORES)
     kept = sales.select("file_path").unionByName(stores.select("file_path"))
     return kept.groupBy("file_path").agg(F.count("*").alias("kept_rows"))
 
 
 def raw_sales(spark, sf_dir):
-    return sales_rows(_accepted(_described_sales(spark, sf_dir), TRANSACTIONS))
+    return sales_rows(_accepted(fixtures.sales_lines(spark, sf_dir), TRANSACTIONS))
 
 
 def raw_stores(spark, sf_dir):
-    return stores_rows(_accepted(_described_stores(spark, sf_dir), STORES))
+    return stores_rows(_accepted(fixtures.store_lines(spark, sf_dir), STORES))
 
 
 def _all_lines(spark, sf_dir):
@@ -147,17 +138,16 @@ def _all_lines(spark, sf_dir):
     path = F.col("file_path")
     unknown = stores.withColumn("file_path", F.replace(path, F.lit("stores"), F.lit("readme")))
     undated = stores.withColumn("file_path", F.replace(path, F.lit("stores_20250112"), F.lit("sales_99999999")))
-    lines = fixtures.sales_lines(spark, sf_dir).unionByName(stores).unionByName(unknown).unionByName(undated)
-    return describe_files(lines, AS_OF)
+    return fixtures.sales_lines(spark, sf_dir).unionByName(stores).unionByName(unknown).unionByName(undated)
 
 
 def ingest_log_query(spark, sf_dir):
-    return ingest_log(_all_lines(spark, sf_dir)).drop("file_modified_at")
+    return ingest_log(_all_lines(spark, sf_dir), AS_OF).drop("file_modified_at")
 
 
 def history_partitions(spark, sf_dir):
-    described = _all_lines(spark, sf_dir)
-    kept = archive_rows(described, ingest_log(described), F.col("loaded_at"))
+    lines = _all_lines(spark, sf_dir)
+    kept = archive_rows(lines, ingest_log(lines, AS_OF), F.col("loaded_at"))
     per_file = kept.groupBy("file_type", "year", "month", "day", "file_path").agg(F.count("*").alias("n"))
     return per_file.groupBy("file_type", "year", "month", "day").agg(
         F.count("*").alias("file_count"), F.sum("n").alias("line_count")

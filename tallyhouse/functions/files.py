@@ -7,8 +7,10 @@ import datetime as dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# The feeds and the word in the file name that marks each.
 STORES = "stores"
 TRANSACTIONS = "transactions"
+FEED_WORDS = {STORES: "store", TRANSACTIONS: "sale"}
 
 
 def base_name(path: Column) -> Column:
@@ -22,8 +24,12 @@ def in_inbox(key: Column) -> Column:
 
 def route_file(path: Column) -> Column:
     """Feed of a file by its base name; the store rule goes first. NULL when no rule fits."""
-    name = F.lower(base_name(path))
-    return F.when(name.contains("store"), F.lit(STORES)).when(name.contains("sale"), F.lit(TRANSACTIONS))
+    return F.when(may_hold(path, STORES), F.lit(STORES)).when(may_hold(path, TRANSACTIONS), F.lit(TRANSACTIONS))
+
+
+def may_hold(path: Column, feed: str) -> Column:
+    """Whether the base name has the word of a feed: true for all its files and maybe for others."""
+    return F.lower(base_name(path)).contains(FEED_WORDS[feed])
 
 
 def batch_date(path: Column, run_date: dt.date | None = None) -> Column:

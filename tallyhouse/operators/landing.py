@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.functions.cleaning import null_tokens
-from tallyhouse.functions.files import STORES, TRANSACTIONS, archive_parts, batch_date, route_file
+from tallyhouse.functions.files import STORES, TRANSACTIONS, archive_parts, batch_date, may_hold, route_file
 from tallyhouse.schemas import RAW_SALES, RAW_STORES
 
 # File states in the ingest log.
@@ -28,9 +28,9 @@ BROADCAST_FILES = 10_000
 ON_ERROR = {STORES: "skip_row", TRANSACTIONS: "reject_file"}
 
 
-def describe_files(lines: DataFrame, run_date: dt.date | None = None) -> DataFrame:
-    """Add the feed and the batch date of each line's file."""
-    return lines.withColumns(
+def describe_files(files: DataFrame, run_date: dt.date | None = None) -> DataFrame:
+    """Add the feed and the batch date that the file path states."""
+    return files.withColumns(
         {"file_type": route_file(F.col("file_path")), "batch_date": batch_date(F.col("file_path"), run_date)}
     )
 
@@ -73,7 +73,7 @@ def _raw_columns(fields: DataFrame, names: dict[str, str], schema) -> DataFrame:
 
 
 def sales_rows(lines: DataFrame) -> DataFrame:
-    """Raw sales rows of described lines, six or seven fields each."""
+    """Raw sales rows of lines with a batch date, six or seven fields each."""
     names = {
         "c1": "store_token",
         "c2": "transaction_id",
@@ -85,18 +85,18 @@ def sales_rows(lines: DataFrame) -> DataFrame:
 
 
 def stores_rows(lines: DataFrame) -> DataFrame:
-    """Raw store rows of described lines: group, token, name."""
+    """Raw store rows of lines with a batch date: group, token, name."""
     names = {"c1": "store_group", "c2": "store_token", "c3": "store_name"}
     return _raw_columns(split_fields(lines, 3), names, RAW_STORES)
 
 
-def ingest_log(described: DataFrame) -> DataFrame:
-    """One row per file: line counts, state and the reason when it was not loaded.
+def ingest_log(lines: DataFrame, run_date: dt.date | None = None) -> DataFrame:
+    """One row per file: feed, batch date, line counts, state and the reason if it is not loaded.
 
-    The rows of a file are counted inside each task first, so a file that holds most of the lines
-    costs no more than the others.
+    The lines of a file are counted inside each task first, so a file that holds most of them costs
+    no more than the others, and the file path is read once per file and not once per line.
     """
-    files = described.groupBy("file_path", "file_modified_at", "file_type", "batch_date").agg(
+    files = lines.groupBy("file_path", "file_modified_at").agg(
         F.count("*").alias("line_count"),
         F.count_if(is_bad_line(F.col("value"))).alias("bad_line_count"),
     )
@@ -112,47 +112,48 @@ def ingest_log(described: DataFrame) -> DataFrame:
         .otherwise(F.lit(LOADED))
     )
     good = F.col("line_count") - F.col("bad_line_count")
-    return files.withColumn("error", error).withColumns(
-        {"status": status, "row_count": F.when(F.col("error").isNull(), good).otherwise(F.lit(0))}
+    return (
+        describe_files(files, run_date)
+        .withColumn("error", error)
+        .withColumns(
+            {"status": status, "row_count": F.when(F.col("error").isNull(), good).otherwise(F.lit(0))}
+        )
     )
 
 
-def good_lines(
-    described: DataFrame, log: DataFrame, feed: str, max_files: int | None = None
-) -> DataFrame:
-    """Lines of one feed that load: bad lines are dropped, files not loaded are left out whole.
+def file_counts(log: DataFrame) -> DataFrame:
+    """Number of files and rows per feed and state."""
+    return log.groupBy("file_type", "status").agg(
+        F.count("*").alias("file_count"), F.sum("row_count").alias("row_count")
+    )
 
-    The feed test looks at the file path alone, so Spark does not open files of the other feed. A
-    feed that only skips bad lines needs no join. For the other, only files that were turned away
-    are matched; they are broadcast when `max_files` bounds the number of files in this batch, and
-    otherwise Spark picks the join by measured size.
-    """
-    lines = described.filter((F.col("file_type") == feed) & F.col("batch_date").isNotNull())
-    lines = lines.filter(~is_bad_line(F.col("value")))
-    if ON_ERROR[feed] == "skip_row":
-        return lines
-    turned_away = log.filter((F.col("file_type") == feed) & (F.col("status") == REJECTED)).select("file_path")
-    return lines.join(_bounded(turned_away, max_files), "file_path", "left_anti")
 
+def _loaded(log: DataFrame, max_files: int | None) -> DataFrame:
+    """The loaded files with what the log says of them.
 
-def _bounded(files: DataFrame, max_files: int | None) -> DataFrame:
-    """A list of files, to be broadcast if a small bound for its length is known."""
+    They are broadcast if `max_files` states a small bound for the files of this batch; otherwise
+    Spark picks the join by measured size.
+    """
+    files = log.filter(F.col("status") == LOADED).select("file_path", "file_type", "batch_date")
     return F.broadcast(files) if max_files is not None and max_files <= BROADCAST_FILES else files
 
 
-def file_counts(log: DataFrame) -> DataFrame:
-    """Number of files and rows per feed and state."""
-    return log.groupBy("file_type", "status").agg(
-        F.count("*").alias("file_count"), F.sum("row_count").alias("row_count")
-    )
+def good_lines(lines: DataFrame, log: DataFrame, feed: str, max_files: int | None = None) -> DataFrame:
+    """Lines of one feed that load, with their batch date.
+
+    Files that are not loaded are left out whole, and so are bad lines. The first filter decides by
+    the file path alone, so Spark does not open files of the other feed; the log has the last word.
+    """
+    near = lines.filter(may_hold(F.col("file_path"), feed))
+    kept = near.filter(~is_bad_line(F.col("value")))
+    return kept.join(_loaded(log, max_files).filter(F.col("file_type") == feed), "file_path")
 
 
 def archive_rows(
-    described: DataFrame, log: DataFrame, processed_at: Column, max_files: int | None = None
+    lines: DataFrame, log: DataFrame, processed_at: Column, max_files: int | None = None
 ) -> DataFrame:
     """Every line of the loaded files with the archive folder columns."""
-    loaded = _bounded(log.filter(F.col("status") == LOADED).select("file_path"), max_files)
-    lines = described.filter(F.col("file_type").isNotNull()).join(loaded, "file_path", "left_semi")
-    return lines.withColumns(archive_parts(processed_at)).select(
+    archived = lines.join(_loaded(log, max_files), "file_path")
+    return archived.withColumns(archive_parts(processed_at)).select(
         "value", "file_path", "file_type", "year", "month", "day"
     )

@@ -22,7 +22,6 @@ from tallyhouse.operators.landing import (
     LOADED,
     REJECTED,
     archive_rows,
-    describe_files,
     good_lines,
     ingest_log,
     sales_rows,
@@ -80,9 +79,9 @@ def land(
     before any of their rows land. `max_files` states a bound for the files of this batch, if any.
     """
     spark = lines.sparkSession
-    described = describe_files(lines.filter(in_inbox(F.col("file_path"))), run_date)
+    lines = lines.filter(in_inbox(F.col("file_path")))
     log_path = f"{root}/ingest_log"
-    append_batch(ingest_log(described), log_path, ingest_batch, [])
+    append_batch(ingest_log(lines, run_date), log_path, ingest_batch, [])
     if not path_exists(spark, log_path):
         return spark.createDataFrame([], INGEST_LOG)
     log = spark.read.schema(INGEST_LOG).parquet(log_path).filter(F.col("ingest_batch") == ingest_batch)
@@ -92,10 +91,10 @@ def land(
         (STORES, "stores", stores_rows),
     ):
         if feed in feeds:
-            accepted = rows(good_lines(described, log, feed, max_files))
+            accepted = rows(good_lines(lines, log, feed, max_files))
             append_raw(accepted, f"{root}/raw/{table}", ingest_batch)
     if archive and feeds:
-        kept = archive_rows(described, log, F.col("loaded_at"), max_files)
+        kept = archive_rows(lines, log, F.col("loaded_at"), max_files)
         append_batch(kept, f"{root}/history", ingest_batch, ["file_type", "year", "month", "day"])
     return log
 

@@ -28,7 +28,7 @@ HEADER = "store_token,transaction_id,receipt_token,transaction_time,amount,sourc
 def lines(spark, values, path="inbox/sales_20250110.csv"):
     df = spark.createDataFrame([(v, path) for v in values], "value string, file_path string")
     clock = F.lit("2025-01-31 12:00:00").cast("timestamp_ntz")
-    return describe_files(df.withColumns({"file_modified_at": clock, "loaded_at": clock}), TODAY)
+    return df.withColumns({"file_modified_at": clock, "loaded_at": clock})
 
 
 def test_sales_line_shapes(spark):
@@ -42,7 +42,7 @@ def test_sales_line_shapes(spark):
         "a,nulls,NULL,null,,src,clerk",
         "",
     ]
-    rows = sales_rows(lines(spark, values))
+    rows = sales_rows(describe_files(lines(spark, values), TODAY))
     got = {r[1]: r for r in tuples(rows.select(*RAW_SALES.fieldNames()[:7]))}
     assert got == {
         "6": ("a", "6", "r", "t", "1", None, "clerk"),
@@ -57,7 +57,7 @@ def test_sales_line_shapes(spark):
 
 
 def test_stores_columns_are_group_token_name(spark):
-    rows = stores_rows(lines(spark, ["G,tok,Name", "G,tok2"], "inbox/stores.csv"))
+    rows = stores_rows(describe_files(lines(spark, ["G,tok,Name", "G,tok2"], "inbox/stores.csv"), TODAY))
     assert sorted(tuples(rows, "store_token", "store_group", "store_name", "batch_date")) == [
         ("tok", "G", "Name", TODAY),
         ("tok2", "G", None, TODAY),
@@ -71,7 +71,7 @@ def test_bad_row_policy_per_feed(spark):
     undated = lines(spark, ["a,4,r"], "inbox/sales_99999999.csv")
     unknown = lines(spark, ["a,5,r"], "inbox/other.csv")
     everything = bad_sales.union(good_sales).union(stores).union(undated).union(unknown)
-    log = ingest_log(everything)
+    log = ingest_log(everything, TODAY)
     assert {r[0].split("/")[1]: r[1:] for r in tuples(log, "file_path", "status", "line_count", "row_count")} == {
         "sales_20250101.csv": ("rejected", 2, 0),
         "sales_20250102.csv": ("loaded", 1, 1),

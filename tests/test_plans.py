@@ -8,7 +8,7 @@ import pytest
 from checks import fixtures
 from checks.queries import QUERIES
 from tallyhouse.functions.files import STORES
-from tallyhouse.operators.landing import describe_files, good_lines, ingest_log
+from tallyhouse.operators.landing import good_lines, ingest_log
 from tallyhouse.plans import marts
 from tallyhouse.plans.stage import stage_sales
 from tallyhouse.schemas import SALES_KEYS, STAGE_SALES
@@ -55,7 +55,7 @@ def test_files_of_the_other_feed_are_not_opened(spark, tmp_path):
     for key, value in per_file.items():
         spark.conf.set(key, value)
     try:
-        lines = describe_files(read_lines(spark, str(tmp_path / "inbox")))
+        lines = read_lines(spark, str(tmp_path / "inbox"))
         stores = good_lines(lines, ingest_log(lines), STORES)
         assert lines.rdd.getNumPartitions() == 4 and stores.rdd.getNumPartitions() == 1
     finally:
