@@ -43,11 +43,11 @@ class Warehouse:
     timestamp_formats: list[str] | None = None
     compact_after: int = 20
 
-    def raw_sales(self) -> DataFrame:
-        return read_raw(self.spark, f"{self.root}/raw/sales", RAW_SALES)
+    def raw_sales(self, since: dt.date | None = None) -> DataFrame:
+        return read_raw(self.spark, f"{self.root}/raw/sales", RAW_SALES, since)
 
-    def raw_stores(self) -> DataFrame:
-        return read_raw(self.spark, f"{self.root}/raw/stores", RAW_STORES)
+    def raw_stores(self, since: dt.date | None = None) -> DataFrame:
+        return read_raw(self.spark, f"{self.root}/raw/stores", RAW_STORES, since)
 
     @property
     def sales(self) -> VersionedTable:
@@ -102,11 +102,12 @@ class Warehouse:
         return reduce(DataFrame.unionByName, named)
 
     def run_stage(self, full_refresh: bool = False) -> None:
-        for table, raw, build in (
-            (self.sales, self.raw_sales(), partial(stage_sales, timestamp_formats=self.timestamp_formats)),
-            (self.stores, self.raw_stores(), stage_stores),
+        for table, read, build in (
+            (self.sales, self.raw_sales, partial(stage_sales, timestamp_formats=self.timestamp_formats)),
+            (self.stores, self.raw_stores, stage_stores),
         ):
             mark = None if full_refresh else table.high_water()
+            raw = read(mark.date() if mark else None)
             rows = build(high_water_filter(raw, mark, "loaded_at", "load_date"))
             if full_refresh:
                 table.replace(rows, "full refresh")

@@ -8,8 +8,30 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+MIB = 1 << 20
+
+
+def sizing(input_bytes: int, cores: int) -> dict[str, str]:
+    """Scan and shuffle settings for a run over `input_bytes` of raw data on `cores`.
+
+    Adaptive execution merges small shuffle partitions but does not split large ones, so the number
+    it starts from has to fit the data. Beyond some 50,000 partitions and 200,000 scan tasks the
+    shuffle's block count grows faster than smaller tasks help; sorts in larger tasks spill.
+    """
+    scan = min(1024 * MIB, max(128 * MIB, input_bytes // 200_000))
+    partitions = min(50_000, max(cores, -(-input_bytes // (256 * MIB))))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(scan),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * MIB if input_bytes > 1 << 40 else 64 * MIB),
+    }
+
+
 def build_session(app: str = "tallyhouse", master: str | None = None, **settings: str) -> SparkSession:
-    """A session with adaptive execution and skew handling on; cluster settings win if present."""
+    """A session with adaptive execution and skew handling on; `settings` go on top.
+
+    Pass `**sizing(...)` for runs over large tables.
+    """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
@@ -49,6 +71,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return file_system.exists(target)
 
 
+def child_names(spark: SparkSession, path: str, pattern: str) -> list[str]:
+    """Names right below a folder that match a glob, without listing what they hold."""
+    file_system, _ = _file_system(spark, path)
+    found = file_system.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{pattern}"))
+    return sorted(status.getPath().getName() for status in found or [])
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Delete a folder of a table this package wrote."""
     file_system, target = _file_system(spark, path)
