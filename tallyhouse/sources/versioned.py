@@ -22,7 +22,7 @@ from pyspark.sql.types import DateType, LongType, StringType, StructField, Struc
 
 from tallyhouse.operators.dedup import keep_latest
 from tallyhouse.operators.incremental import upsert
-from tallyhouse.session import delete_path, path_exists
+from tallyhouse.session import child_names, delete_path, path_exists
 
 COMMIT = StructType(
     [
@@ -57,18 +57,25 @@ class VersionedTable:
             return self.spark.createDataFrame([], COMMIT)
         return self.spark.read.schema(COMMIT).parquet(path)
 
+    def state(self) -> Row:
+        """Number of the last run and of the newest base, and the high-water mark; NULLs at first."""
+        base = F.when(F.col("kind") == "base", F.col("seq"))
+        return (
+            self.commits()
+            .agg(F.max("seq").alias("last"), F.max(base).alias("base"), F.max("high_water").alias("high_water"))
+            .first()
+        )
+
     def live_commits(self) -> list[Row]:
         """The newest base and the deltas after it, in order: one small row per run."""
-        commits = self.commits()
-        base = commits.filter("kind = 'base'").agg(F.max("seq").alias("seq")).scalar()
-        return commits.filter(F.col("seq") >= base).orderBy("seq").collect()
+        return self.commits().filter(F.col("seq") >= F.lit(self.state().base)).orderBy("seq").collect()
 
     def has_run(self, label: str) -> bool:
         return not self.commits().filter(F.col("label") == label).isEmpty()
 
     def high_water(self) -> dt.datetime | None:
         """Largest high-water mark of any committed run; None on an empty table."""
-        return self.commits().agg(F.max("high_water")).first()[0]
+        return self.state().high_water
 
     def read(self, since: dt.date | None = None) -> DataFrame:
         """Current rows, one per key.
@@ -114,30 +121,30 @@ class VersionedTable:
 
     def replace(self, rows: DataFrame, label: str = "replace") -> int:
         """Commit the rows as the whole new content; returns the row count."""
-        return self._commit(rows, "base", label)
+        return self._commit(rows, "base", label, self.state())
 
     def append_delta(self, rows: DataFrame, label: str = "delta") -> int:
         """Commit rows, one per key, that replace older rows of the same key."""
-        if self.commits().filter("kind = 'base'").isEmpty():
-            return self._commit(rows, "base", label)
-        return self._commit(rows, "delta", label)
+        state = self.state()
+        return self._commit(rows, "base" if state.base is None else "delta", label, state)
 
     def compact(self) -> None:
         """Fold the deltas into a new base; readers of the old files are not disturbed."""
         if len(self.live_commits()) > 1:
-            self._commit(self.read(), "base", "compact")
+            self._commit(self.read(), "base", "compact", self.state())
 
     def drop_merged_runs(self) -> list[int]:
         """Delete the files of runs older than the newest base; readers of those must be done."""
         live = self.live_commits()
-        old = self.commits().filter(F.col("seq") < (live[0].seq if live else 0)).select("seq").collect()
-        for commit in old:
-            delete_path(self.spark, f"{self.path}/runs/seq={commit.seq}")
-        return sorted(commit.seq for commit in old)
-
-    def _commit(self, rows: DataFrame, kind: str, label: str) -> int:
-        last = self.commits().agg(F.max("seq")).first()[0]
-        seq = 0 if last is None else last + 1
+        names = child_names(self.spark, f"{self.path}/runs", "seq=*")
+        old = sorted(int(name.split("=")[1]) for name in names)
+        old = [seq for seq in old if live and seq < live[0].seq]
+        for seq in old:
+            delete_path(self.spark, f"{self.path}/runs/seq={seq}")
+        return old
+
+    def _commit(self, rows: DataFrame, kind: str, label: str, state: Row) -> int:
+        seq = 0 if state.last is None else state.last + 1
         run = f"{self.path}/runs/seq={seq}"
         writer = self._laid_out(rows.select(*self.schema.fieldNames()), kind).write.mode("overwrite")
         if kind == "base" and self.month_of:
