@@ -14,8 +14,8 @@ import time
 
 from pyspark.sql import functions as F
 
-from checks import fixtures
-from checks.fixtures import AS_OF
+from tallyhouse.checks import fixtures
+from tallyhouse.checks.fixtures import AS_OF
 from tallyhouse.functions.clock import clock_literal
 from tallyhouse.functions.files import TRANSACTIONS
 from tallyhouse.operators.incremental import high_water_filter

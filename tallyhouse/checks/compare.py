@@ -1,4 +1,4 @@
-"""Run queries beside their SQL and report rows that differ: python -m checks.compare [sf] [name ...]"""
+"""Run queries beside their SQL and report rows that differ: python -m tallyhouse.checks.compare [sf] [name ...]"""
 
 from __future__ import annotations
 
@@ -8,7 +8,8 @@ import time
 
 import duckdb
 
-from __spark_entry__ import oracle_sql, queries
+from tallyhouse.checks.oracles import oracle_sql
+from tallyhouse.checks.queries import queries
 from tallyhouse.session import build_session
 
 TABLES = (

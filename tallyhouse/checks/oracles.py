@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from checks.fixtures import (
+from tallyhouse.checks.fixtures import (
     AS_OF,
     DUCKDB,
     FILE_NAMES_SQL,
@@ -13,7 +13,7 @@ from checks.fixtures import (
     STORE_LINES_SQL,
     fill,
 )
-from checks.queries import BUILT_TO
+from tallyhouse.checks.queries import BUILT_TO
 
 AS_OF_SQL = f"date '{AS_OF}'"
 

@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-from checks import fixtures
-from checks.fixtures import AS_OF, SPLIT
+from tallyhouse.checks import fixtures
+from tallyhouse.checks.fixtures import AS_OF, SPLIT
 from tallyhouse.functions.cleaning import clean_amount, null_tokens, parse_timestamp
 from tallyhouse.functions.clock import clock_literal
 from tallyhouse.functions.files import STORES, TRANSACTIONS, batch_date, in_inbox, route_file

@@ -5,8 +5,8 @@ import re
 
 import pytest
 
-from checks import fixtures
-from checks.queries import QUERIES
+from tallyhouse.checks import fixtures
+from tallyhouse.checks.queries import QUERIES
 from tallyhouse.functions.files import STORES
 from tallyhouse.operators.landing import good_lines, ingest_log
 from tallyhouse.plans import marts

@@ -1,7 +1,7 @@
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
-from checks.compare import connect, difference
+from tallyhouse.checks.compare import connect, difference
 
 SF_DIR = "/root/testdata/sf0.001"
 
