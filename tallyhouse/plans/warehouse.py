@@ -33,15 +33,15 @@ from tallyhouse.sources.versioned import VersionedTable
 class Warehouse:
     """Raw, stage and report layers below `root`.
 
-    Stage runs take what landed after the newest staged load time and append it as a delta;
-    `compact_after` deltas are folded into a new base. Reports look back a few days behind their
-    newest row. `full_refresh` rebuilds from the whole layer below.
+    Stage runs take what landed after the newest staged load time and append it as a delta; more
+    than `max_deltas` of them are merged. Reports look back a few days behind their newest row.
+    `full_refresh` rebuilds from the whole layer below.
     """
 
     spark: SparkSession
     root: str
     timestamp_formats: list[str] | None = None
-    compact_after: int = 20
+    max_deltas: int = 20
 
     def raw_sales(self, since: dt.date | None = None) -> DataFrame:
         return read_raw(self.spark, f"{self.root}/raw/sales", RAW_SALES, since)
@@ -113,8 +113,7 @@ class Warehouse:
                 table.replace(rows, "full refresh")
                 continue
             table.append_delta(rows)
-            if len(table.live_commits()) > self.compact_after:
-                table.compact()
+            table.tidy(self.max_deltas)
 
     def _start(self, report: VersionedTable, day: str, days: int, full_refresh: bool) -> dt.date | None:
         """First day of the lookback; None for a first run, an empty report or a full refresh."""
@@ -158,6 +157,11 @@ class Warehouse:
         rows = marts.report_transactions_lifecycle(self.raw_sales(), self.sales.read(), as_of, start)
         self._merge(self.lifecycle, rows, start)
 
+    def drop_merged_runs(self) -> None:
+        """Delete files of all tables that newer runs have replaced; no reader may still use them."""
+        for table in (self.sales, self.stores, self.daily_sales, self.top_stores, self.lifecycle):
+            table.drop_merged_runs()
+
     def run(self, as_of: dt.date | None = None, full_refresh: bool = False) -> None:
         """Stage tables first, then the three reports."""
         self.run_stage(full_refresh)

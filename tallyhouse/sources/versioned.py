@@ -2,12 +2,14 @@
 
 Layout below the table's path:
 
-* `runs/seq=N/` holds the rows of run N, either a full `base` or a `delta` of upserted rows;
+* `runs/seq=N/` holds the rows of run N: a full `base`, a `delta` of upserted rows, or all deltas
+  since the base `merged` into one;
 * `commits/` holds one small row per finished run, written after the rows.
 
 Readers look at committed runs only, so a job that dies half-way leaves the table as it was, and
 running it again overwrites its own unfinished folder. A delta costs what it holds, not what the
-table holds; `compact` folds deltas into a new base. One writer at a time.
+table holds. `tidy` merges deltas when there are many, and rewrites the base only once the deltas have
+grown to a good share of it. One writer at a time.
 """
 
 from __future__ import annotations
@@ -58,17 +60,30 @@ class VersionedTable:
         return self.spark.read.schema(COMMIT).parquet(path)
 
     def state(self) -> Row:
-        """Number of the last run and of the newest base, and the high-water mark; NULLs at first."""
-        base = F.when(F.col("kind") == "base", F.col("seq"))
+        """Numbers of the last run, the newest base and the newest run that starts the deltas anew, and
+        the high-water mark; NULLs at first."""
+
+        def newest(*kinds):
+            return F.max(F.when(F.col("kind").isin(*kinds), F.col("seq")))
+
         return (
             self.commits()
-            .agg(F.max("seq").alias("last"), F.max(base).alias("base"), F.max("high_water").alias("high_water"))
+            .agg(
+                F.max("seq").alias("last"),
+                newest("base").alias("base"),
+                newest("base", "merged").alias("anew"),
+                F.max("high_water").alias("high_water"),
+            )
             .first()
         )
 
     def live_commits(self) -> list[Row]:
-        """The newest base and the deltas after it, in order: one small row per run."""
-        return self.commits().filter(F.col("seq") >= F.lit(self.state().base)).orderBy("seq").collect()
+        """The newest base and the deltas that count, in order: one small row per run."""
+        state = self.state()
+        if state.base is None:
+            return []
+        live = (F.col("seq") == state.base) | (F.col("seq") >= state.anew)
+        return self.commits().filter(live).orderBy("seq").collect()
 
     def has_run(self, label: str) -> bool:
         return not self.commits().filter(F.col("label") == label).isEmpty()
@@ -133,12 +148,23 @@ class VersionedTable:
         if len(self.live_commits()) > 1:
             self._commit(self.read(), "base", "compact", self.state())
 
+    def tidy(self, max_deltas: int = 20, share: float = 0.25) -> None:
+        """Bring more than `max_deltas` deltas down to one, or to none if they hold `share` of the base."""
+        base, *deltas = self.live_commits() or [None]
+        if len(deltas) <= max_deltas:
+            return
+        if sum(delta.row_count for delta in deltas) >= share * base.row_count:
+            self.compact()
+        else:
+            merged = self._deltas([delta.seq for delta in deltas])
+            self._commit(merged, "merged", "tidy", self.state())
+
     def drop_merged_runs(self) -> list[int]:
-        """Delete the files of runs older than the newest base; readers of those must be done."""
-        live = self.live_commits()
+        """Delete the files of runs that no longer count; readers of those must be done."""
+        live = {commit.seq for commit in self.live_commits()}
         names = child_names(self.spark, f"{self.path}/runs", "seq=*")
         old = sorted(int(name.split("=")[1]) for name in names)
-        old = [seq for seq in old if live and seq < live[0].seq]
+        old = [seq for seq in old if live and seq not in live and seq < max(live)]
         for seq in old:
             delete_path(self.spark, f"{self.path}/runs/seq={seq}")
         return old

@@ -22,7 +22,7 @@ def start_upsert(
     max_files: int = 1000,
     once: bool = True,
     interval: str = "1 minute",
-    compact_after: int = 20,
+    max_deltas: int = 20,
     after: Callable[[], None] | None = None,
 ) -> StreamingQuery:
     """Stage each micro-batch of new raw files and commit it as a delta of `table`.
@@ -37,8 +37,7 @@ def start_upsert(
         label = batch_label(batch, batch_id)
         if not table.has_run(label):
             table.append_delta(stage(batch), label)
-        if len(table.live_commits()) > compact_after:
-            table.compact()
+        table.tidy(max_deltas)
         if after is not None:
             after()
 

@@ -129,6 +129,25 @@ def test_null_keys_add_one_row_per_delta(spark, tmp_path):
     assert table.read().count() == 4 and len(table.live_commits()) == 1
 
 
+def test_tidy_merges_small_deltas_and_rewrites_the_base_for_large_ones(spark, tmp_path):
+    table = VersionedTable(spark, f"{tmp_path}/t", STAGE_SALES, SALES_KEYS, "loaded_at", "transaction_time")
+    table.tidy(0)
+    time = "2021-01-01T10:00"
+    expected = {str(i): 0 for i in range(20)}
+    table.append_delta(staged(spark, [("a", k, time, v) for k, v in expected.items()]))
+    kinds = []
+    for run in range(1, 6):
+        changed = {"1": run, f"new{run}": run}
+        expected.update(changed)
+        table.append_delta(staged(spark, [("a", k, time, v) for k, v in changed.items()]))
+        table.tidy(1)
+        kinds.append([c.kind for c in table.live_commits()])
+        assert {r[0]: int(r[1]) for r in tuples(table.read(), "transaction_id", "amount")} == expected
+    assert kinds == [["base", "delta"], ["base", "merged"], ["base"], ["base", "delta"], ["base", "merged"]]
+    assert table.drop_merged_runs() == [0, 1, 2, 3, 4, 6, 7]
+    assert table.read().count() == len(expected)
+
+
 def test_empty_table_and_empty_delta(spark, tmp_path):
     table = VersionedTable(spark, f"{tmp_path}/t", STAGE_SALES, SALES_KEYS, "loaded_at", "transaction_time")
     assert table.read().count() == 0 and table.high_water() is None

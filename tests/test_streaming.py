@@ -64,7 +64,7 @@ def test_upsert_stream_keeps_latest_and_survives_replay(spark, tmp_path):
 
     seen = []
 
-    def run(compact_after=20):
+    def run(max_deltas=20):
         start_upsert(
             spark,
             raw,
@@ -72,7 +72,7 @@ def test_upsert_stream_keeps_latest_and_survives_replay(spark, tmp_path):
             table,
             stage_sales,
             checkpoint,
-            compact_after=compact_after,
+            max_deltas=max_deltas,
             after=lambda: seen.append(len(table.live_commits())),
         ).awaitTermination()
         return sorted(tuples(table.read(), "transaction_id", "receipt_token"))
@@ -88,6 +88,6 @@ def test_upsert_stream_keeps_latest_and_survives_replay(spark, tmp_path):
     assert run() == expected
     assert len(table.live_commits()) == 2
     raw_sales(spark, [{"transaction_id": "4", **later}]).write.mode("append").parquet(raw)
-    assert run(compact_after=1) == expected + [("4", "new")]
+    assert run(max_deltas=1) == expected + [("4", "new")]
     assert len(table.live_commits()) == 1
     assert seen == [1, 2, 2, 1]

@@ -78,7 +78,7 @@ def test_column_checks(spark, tmp_path):
 def test_incremental_runs(spark, tmp_path):
     inbox = tmp_path / "inbox"
     first_drop(inbox)
-    warehouse = Warehouse(spark, str(tmp_path / "wh"), [COMPACT, ISO_SPACE, ISO_T], compact_after=1)
+    warehouse = Warehouse(spark, str(tmp_path / "wh"), [COMPACT, ISO_SPACE, ISO_T], max_deltas=0)
     warehouse.land(str(inbox))
     warehouse.run(AS_OF)
     eleven, twelve, thirteen = (dt.date(2025, 1, d) for d in (11, 12, 13))
@@ -113,6 +113,8 @@ def test_incremental_runs(spark, tmp_path):
     names = dict(tuples(warehouse.top_stores.read(), "store_token", "store_name"))
     assert names == {"shop_1": "Shop One", "shop_2": "Shop Two", "shop_3": None}
     before = [daily(warehouse), lifecycle(warehouse), sorted(tuples(warehouse.sales.read()))]
+    warehouse.drop_merged_runs()
+    assert [daily(warehouse), lifecycle(warehouse), sorted(tuples(warehouse.sales.read()))] == before
     warehouse.run(AS_OF, full_refresh=True)
     assert [daily(warehouse), lifecycle(warehouse), sorted(tuples(warehouse.sales.read()))] == before
 
