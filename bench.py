@@ -77,7 +77,7 @@ def jobs(spark, env: dict) -> dict:
     raw, start = env["raw"], env["start"]
 
     def land_parse():
-        lines = read_lines(spark, f"{env['root']}/inbox")
+        lines = read_lines(spark, f"{env['root']}/inbox", env["cut"])
         run(sales_rows(good_lines(lines, ingest_log(lines, AS_OF), TRANSACTIONS, max_files=1000)))
 
     return {

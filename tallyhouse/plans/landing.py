@@ -64,6 +64,13 @@ class RejectedFiles(Exception):
     """Some files of a strict landing were rejected; all others have landed."""
 
 
+def check_inbox(inbox: str) -> str:
+    """The folder itself, if its files pass the inbox test; a folder named otherwise would land nothing."""
+    if "inbox/" not in f"{inbox.rstrip('/')}/":
+        raise ValueError(f"the path of an inbox has a folder named inbox, unlike {inbox!r}")
+    return inbox
+
+
 def land(
     lines: DataFrame,
     root: str,
@@ -128,6 +135,7 @@ def land_files(
     so a run that dies is taken up by the next one with the same files and the same load time.
     `strict` raises once all batches are through if a file was rejected.
     """
+    check_inbox(inbox)
     landed = []
     while True:
         batch = _open_batch(spark, root) or _plan_batch(spark, inbox, root, max_files)

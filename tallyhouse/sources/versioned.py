@@ -172,7 +172,8 @@ class VersionedTable:
     def _commit(self, rows: DataFrame, kind: str, label: str, state: Row) -> int:
         seq = 0 if state.last is None else state.last + 1
         run = f"{self.path}/runs/seq={seq}"
-        writer = self._laid_out(rows.select(*self.schema.fieldNames()), kind).write.mode("overwrite")
+        laid_out = self._laid_out(rows.select(*self.schema.fieldNames()), kind)
+        writer = laid_out.write.mode("overwrite").option("partitionOverwriteMode", "static")
         if kind == "base" and self.month_of:
             writer = writer.partitionBy(self.month_column)
         writer.parquet(run)

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from tallyhouse.plans.landing import land
+from tallyhouse.plans.landing import check_inbox, land
 from tallyhouse.sources.lines import stream_lines
 
 
@@ -41,7 +41,7 @@ def start_ingest(
 
     trigger = {"availableNow": True} if once else {"processingTime": interval}
     return (
-        stream_lines(spark, inbox, max_files, **options)
+        stream_lines(spark, check_inbox(inbox), max_files, **options)
         .writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)

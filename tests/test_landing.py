@@ -20,6 +20,7 @@ from tallyhouse.plans.landing import INGEST_LOG, RejectedFiles, land_files, read
 from tallyhouse.schemas import RAW_SALES, RAW_STORES, create_raw_tables
 from tallyhouse.sources.lines import read_multiline_csv
 from tallyhouse.sources.raw import read_raw
+from tallyhouse.streaming.ingest import start_ingest
 
 TODAY = dt.date(2025, 1, 31)
 HEADER = "store_token,transaction_id,receipt_token,transaction_time,amount,source_id,user_role"
@@ -140,6 +141,14 @@ def test_strict_landing_raises_after_the_good_files(spark, tmp_path):
     assert land_files(spark, str(inbox), root, TODAY, strict=True) == []
 
 
+def test_a_folder_that_is_no_inbox_is_refused(spark, tmp_path):
+    put(tmp_path / "drops", "sales_20250111.csv", "A,x1,r1,t,1,clerk")
+    with pytest.raises(ValueError, match="folder named inbox"):
+        land_files(spark, str(tmp_path / "drops"), str(tmp_path / "wh"), TODAY)
+    with pytest.raises(ValueError, match="folder named inbox"):
+        start_ingest(spark, str(tmp_path / "drops"), str(tmp_path / "wh"), str(tmp_path / "cp"))
+
+
 def test_land_files_takes_each_version_of_a_file_once(spark, tmp_path):
     inbox, root = tmp_path / "inbox", str(tmp_path / "wh")
     path = put(inbox, "sales_20250111.csv", "A,x1,r1,t,1,clerk")
