@@ -7,11 +7,11 @@ LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 OP4 = f"""
 WITH RECURSIVE words AS (
   SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), '{LETTERS}', '{LETTERS.lower()}'),
-         '[\\x20\\x09-\\x0D]+'), x -> x <> '') AS w
+         '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w
   FROM documents
 ), sets AS (
-  SELECT doc_id, CASE WHEN len(w) < 2 THEN list_transform(w, x -> [x])
-         ELSE list_distinct(list_transform(range(1, len(w)), i -> [w[i], w[i + 1]])) END AS s
+  SELECT doc_id, CASE WHEN len(w) < 2 THEN list_transform(w, lambda x: [x])
+         ELSE list_distinct(list_transform(range(1, len(w)), lambda i: [w[i], w[i + 1]])) END AS s
   FROM words
 ), flat AS (
   SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets
