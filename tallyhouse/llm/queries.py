@@ -4,21 +4,62 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tallyhouse.llm.ann import nearest_neighbours
+from tallyhouse.llm.embedding_dedup import embedding_near_duplicates
 from tallyhouse.llm.minhash import minhash_components
+from tallyhouse.llm.mixing import mix_sources
+from tallyhouse.llm.quality import fit_quality, quality_scores
+from tallyhouse.llm.substring_dedup import substring_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _held_out() -> Column:
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+
+
+def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    model = fit_quality(documents, labels.where(~_held_out()))
+    scored = quality_scores(documents.select("doc_id", "text"), model)
+    return scored.select("doc_id", _held_out().alias("held_out"), "score", "predicted")
+
+
 def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_components(_table(spark, sf_dir, "documents"), words=2)
 
 
+def op5_approximate_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_neighbours(_table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
+
+
+def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(_table(spark, sf_dir, "documents"))
+
+
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    cut = substring_dedup(documents)
+    gone = F.aggregate("removed", F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["start"])
+    return cut.select("doc_id", "text", F.size("removed").alias("n_removed"), gone.alias("removed_bytes"), "removed")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
+        op1_embedding_near_dedup,
+        op2_quality_classifier,
         op4_minhash_near_dedup,
+        op5_approximate_nearest_neighbours,
+        op7_source_mixing,
+        op8_substring_dedup,
     ]
     return {f.__name__: f for f in found}
