@@ -11,10 +11,21 @@ from tallyhouse.llm.ann import nearest_neighbours
 from tallyhouse.llm.embedding_dedup import embedding_near_duplicates
 from tallyhouse.llm.minhash import minhash_components
 from tallyhouse.llm.mixing import mix_sources
+from tallyhouse.llm.packing import pack_documents
 from tallyhouse.llm.quality import fit_quality, quality_scores
 from tallyhouse.llm.substring_dedup import substring_dedup
 
 
+TOKENIZER = "byte_bpe_50k.json"
+
+
+def tokenizer_path() -> str:
+    """Where the public tokenizer lies on this machine; all machines have it at the same place."""
+    import public_tokenizers
+
+    return public_tokenizers.path(TOKENIZER)
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -42,6 +53,10 @@ def op5_approximate_nearest_neighbours(spark: SparkSession, sf_dir: str) -> Data
     return nearest_neighbours(_table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(_table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(_table(spark, sf_dir, "documents"))
 
@@ -59,6 +74,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op2_quality_classifier,
         op4_minhash_near_dedup,
         op5_approximate_nearest_neighbours,
+        op6_packing,
         op7_source_mixing,
         op8_substring_dedup,
     ]
