@@ -1,4 +1,7 @@
-"""The corpus pipeline: documents through the stages below, each over all that its predecessor kept."""
+"""The corpus pipeline: documents through the stages below, each over all that its predecessor kept.
+
+All stages but the last return the columns of documents. Rows without a doc_id pass the near-dedup and substring stages as they are.
+"""
 
 from __future__ import annotations
 
@@ -8,20 +11,52 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.llm.minhash import minhash_components
+from tallyhouse.llm.mixing import mix_sources
+from tallyhouse.llm.packing import pack_documents
+from tallyhouse.llm.quality import fit_quality, quality_scores
+from tallyhouse.llm.queries import tokenizer_path
 from tallyhouse.llm.scratch import Scratch
+from tallyhouse.llm.substring_dedup import substring_dedup
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go; it learns from the folder's labels."""
+    model = fit_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality_scores(docs, model).where("predicted = 1").select(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays, the one with the smallest doc_id."""
-    kept = minhash_components(docs, words=5, percent=80).where("kept").select("doc_id").distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
+    gone = minhash_components(docs, words=5, percent=80).where("NOT kept").select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+
+
+def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages that a document of smaller doc_id holds are cut out; n_chars follows the new text."""
+    return substring_dedup(docs).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it; rows that share a doc_id all go by the largest of their counts."""
+    copies = mix_sources(docs).groupBy(F.col("doc_id").alias("_doc_id")).agg(F.max("copies").cast("int").alias("_copies"))
+    taken = docs.join(copies, F.col("doc_id").eqNullSafe(F.col("_doc_id")))
+    return taken.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), F.col("_copies")))).select(*docs.columns)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents and their places in sequences of 2048 ids."""
+    return pack_documents(docs, tokenizer_path())
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality", quality),
     ("near_dedup", near_dedup),
+    ("passages", passages),
+    ("mix", mix),
+    ("packing", packing),
 ]
 
-#: The quality classifier and the mix are beyond SQL; tests hold the stages against brute force.
+#: Voting, random rounding and tokens are beyond SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 

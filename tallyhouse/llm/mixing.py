@@ -117,8 +117,8 @@ def _round_group(rows: pa.Table, level: int, last: bool) -> pa.Table:
 def mix_sources(documents: DataFrame, total_share: float = 1.5, most: float = 2.0, weights: tuple[float, ...] = WEIGHTS) -> DataFrame:
     """How many words of each document a mix takes, so that each source gives its target.
 
-    Returns doc_id, size (words of the whole text; null and blank: 0), source_size, target and taken (size times
-    the copies taken), one row per row of `documents`, of which doc_id, source and text are read. Targets are
+    Returns doc_id, size (words of the whole text; null and blank: 0), source_size, target, taken (size times
+    copies) and copies, one row per row of `documents`, of which doc_id, source and text are read. Targets are
     those of `source_targets`; copies are floor or ceiling of target / source_size, so nothing exceeds `most`
     times its size if `most` is whole. A null source is a source of its own. Repeated rows and rows without a doc_id count as they come.
     An empty table gives an empty result.
@@ -155,7 +155,8 @@ def mix_sources(documents: DataFrame, total_share: float = 1.5, most: float = 2.
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
-    return out.select("doc_id", "size", "source_size", "target", ((F.col("whole") + F.col("extra")) * F.col("size")).alias("taken"))
+    copies = F.col("whole") + F.col("extra")
+    return out.select("doc_id", "size", "source_size", "target", (copies * F.col("size")).alias("taken"), copies.alias("copies"))
 
 
 def _rounding(level: int, last: bool):

@@ -126,7 +126,7 @@ def fitted(rows: np.ndarray, labels: np.ndarray) -> QualityModel:
 def _term_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         found = [terms(x.as_py()).tobytes() for x in batch.column(1)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["label", "terms"])
+        yield pa.RecordBatch.from_arrays([batch.column(2), batch.column(0), pa.array(found, pa.binary())], names=["doc_id", "label", "terms"])
 
 
 def fit_quality(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> QualityModel:
@@ -140,10 +140,10 @@ def fit_quality(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -
     chosen = usable.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     texts = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     rows = texts.join(F.broadcast(chosen), "doc_id").select("label", "text", "doc_id")  # `sample` rows of 12 bytes
-    found = rows.select("label", "text").mapInArrow(_term_rows, "label int, terms binary").collect()
+    found = rows.mapInArrow(_term_rows, "doc_id long, label int, terms binary").collect()
+    found.sort(key=lambda r: (r["doc_id"], bytes(r["terms"])))  # the same model whatever order the rows arrive in
     matrix = np.frombuffer(b"".join(bytes(r["terms"]) for r in found), dtype=np.float32).reshape(len(found), TERMS)
-    order = np.lexsort(matrix.T[:8])  # the same model whatever order the rows arrive in
-    return fitted(matrix[order], np.array([r["label"] for r in found], dtype=np.float64)[order])
+    return fitted(matrix, np.array([r["label"] for r in found], dtype=np.float64))
 
 
 def quality_scores(documents: DataFrame, model: QualityModel, threshold: float = 0.7) -> DataFrame:

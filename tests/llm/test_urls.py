@@ -1,0 +1,88 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallyhouse.llm.queries import URL_RULES, op3_url_filter
+from tallyhouse.llm.url_filter import (
+    ALLOW_NAMES,
+    BLOCK_NAMES,
+    Rule,
+    UrlModel,
+    features,
+    fit_urls,
+    labelled_urls,
+    train_url_model,
+    url_host,
+    url_path,
+    url_verdicts,
+)
+
+URLS = [
+    None, "", "no scheme", "http://", "https://A.Example.ORG", "https://a.example.org/es/x?y#z", "ftp://example.org/en/17", "x://y://z/w",
+    "http://Example.ORG?q=/es/", "http://example.org#/es/", "http://notexample.org/es/1", "http://B.com/fr/", "http://b.com/de", "http://b.com/de/é",
+    "http://É.com/De/", "http://u:p@b.com:80/de/?a", "://h/p", "http://b.net/en/1\nx", "x" * 200_000 + "://long.org/" + "p" * 200_000,
+]
+
+
+def parts(url):
+    if url is None or "://" not in url:
+        return "", ""
+    rest = url.split("://", 1)[1]
+    cut = min([rest.find(c) for c in "/?#" if c in rest], default=len(rest))
+    host = "".join(c.lower() if "A" <= c <= "Z" else c for c in rest[:cut])
+    tail = rest[cut:]
+    return host, tail[: min([tail.find(c) for c in "?#" if c in tail], default=len(tail))]
+
+
+def ruled(host, path, rules):
+    fits = [r for r in rules if (host == r.host or host.endswith("." + r.host)) and path.startswith(r.path)]
+    best = max(fits, key=lambda r: len(r.text), default=None)
+    return (best.text, best.action) if best else (None, None)
+
+
+def test_verdicts_by_brute_force(spark):
+    model = train_url_model(labelled_urls(spark))
+    df = spark.createDataFrame([(k, u, "x") for k, u in enumerate(URLS)] + [(None, URLS[5], "y")] * 2, "page_id long, url string, score string")
+    rows = url_verdicts(df, URL_RULES, model).collect()
+    assert len(rows) == len(URLS) + 2
+    for r in rows:
+        host, path = parts(URLS[5 if r.page_id is None else r.page_id])
+        rule, action = ruled(host, path, URL_RULES)
+        score = model.probability(host, path)
+        assert (r.host, r.path, r.rule) == (host, path, rule)
+        assert r.verdict == (action or ("block" if score >= 0.5 else "allow")) and abs(r.score - score) < 1e-12
+    assert url_verdicts(df.limit(0), URL_RULES, model).count() == 0
+
+
+def test_model_on_names_it_has_not_seen():
+    rng = random.Random(0)
+    block, allow = rng.sample(BLOCK_NAMES, 36), rng.sample(ALLOW_NAMES, 36)
+    rows = [(f"www.{n}.example.com", "/en/1", y) for names, y in ((block, 1), (allow, 0)) for n in names]
+    model = fit_urls(rows)
+    assert all((model.probability(h, p) >= 0.5) == y for h, p, y in rows)
+    joined = [(a + "-" + b, 1) for a, b in zip(block, block[1:], strict=False)] + [(a + b, 0) for a, b in zip(allow, allow[1:], strict=False)]
+    right = sum((model.probability(f"blog.{n}.example.org", "/de/5") >= 0.5) == y for n, y in joined)
+    assert right >= 0.85 * len(joined)
+
+
+def test_whole_table(spark):
+    sf = "/root/testdata/sf0.001"
+    rows = op3_url_filter(spark, sf).collect()
+    urls = {r.page_id: r.url for r in spark.read.parquet(f"{sf}/pages.parquet").select("page_id", "url").collect()}
+    assert len(rows) == len(urls)
+    for r in rows:
+        host, path = parts(urls[r.page_id])
+        assert (r.host, r.path, r.rule) == (host, path, ruled(host, path, URL_RULES)[0])
+
+
+def test_bounds_and_empty_models(spark):
+    with pytest.raises(ValueError):
+        url_verdicts(spark.createDataFrame([], "page_id long, url string"), [Rule("allow", "org/")] * 201, UrlModel(None, 0.0))
+    assert fit_urls([]).probability("", "") < 0.5
+    assert len(features("", "")) == 0
+    many = spark.range(6000).select(F.concat(F.lit("http://h"), F.col("id")).alias("url"), F.lit(1).alias("label"))
+    with pytest.raises(ValueError):
+        train_url_model(many)
+    row = spark.createDataFrame([("http://A/b",)], "u string").select(url_host(F.col("u")), url_path(F.col("u"))).first()
+    assert tuple(row) == ("a", "/b")
