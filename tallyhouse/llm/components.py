@@ -33,6 +33,7 @@ def connected_components(links: DataFrame, scratch: Scratch) -> DataFrame:
         scratch.drop(last)
         now = table.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before or now[0] == 0:
-            return table.select(F.col("u").alias("id"), F.col("v").alias("component")).distinct()
+            roots = table.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()
+            return table.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(roots)
         before = now
     raise RuntimeError(f"components did not settle in {MAX_ROUNDS} rounds")
