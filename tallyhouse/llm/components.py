@@ -14,16 +14,17 @@ from tallyhouse.llm.scratch import Scratch
 MAX_ROUNDS = 60
 
 
-def connected_components(links: DataFrame, scratch: Scratch) -> DataFrame:
+def connected_components(links: DataFrame, scratch: Scratch, rounds: int | None = None) -> DataFrame:
     """(id, component) for every id that has a link; component is the smallest id it reaches.
 
     `links` has two long columns a and b. Nulls, self-links and repeated links are ignored; an empty
-    table gives an empty one.
+    table gives an empty one. With `rounds`, work ends after so many: component is then an id that is reached, and
+    not always the same in all of a component.
     """
     edges = links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
     table = scratch.write(edges.distinct(), "edges")
     before = None
-    for _ in range(MAX_ROUNDS):
+    for k in range(rounds or MAX_ROUNDS):
         both = table.unionByName(table.select(F.col("v").alias("u"), F.col("u").alias("v")))
         lowest = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(lowest, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
@@ -31,6 +32,12 @@ def connected_components(links: DataFrame, scratch: Scratch) -> DataFrame:
         small = large.join(lowest, "u").selectExpr("if(v = m, u, v) AS u", "m AS v").where("u <> v").distinct()
         last, table = table, scratch.write(small, "edges")
         scratch.drop(last)
+        if rounds is not None:
+            if k + 1 < rounds:
+                continue
+            own = table.select(F.col("v").alias("id"), F.col("v").alias("component"))
+            reached = table.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(own)
+            return reached.groupBy("id").agg(F.min("component").alias("component"))
         now = table.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before or now[0] == 0:
             roots = table.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()

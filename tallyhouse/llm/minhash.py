@@ -12,8 +12,8 @@ other four bytes.
 Copies (equal sets) are one class from the start. Within a key, members are first compared
 with a few centres only, the same few for all keys as they go by one global order, and components are built from the links
 that full sets confirm. What still lies in different components although it shares a key is
-then compared pair by pair, so no link that joins two components is lost, and a large group of near copies
-costs rows in proportion to its size.
+then compared without exception, so no link that joins two components is lost: pair by pair where few
+share a key, and else in blocks of full sets, out of which only links come.
 """
 
 from __future__ import annotations
@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.llm.components import connected_components
+from tallyhouse.llm.nndescent import whole_groups
 from tallyhouse.llm.scratch import Scratch
 from tallyhouse.llm.words import mixed, shingle_set
 
@@ -34,20 +35,25 @@ CHUNKS = 13
 PLACES = 5
 SYMBOLS = CHUNKS * PLACES
 MAX_DISTANCE = 2 * CHUNKS - 1
-CENTRES = 2
-ROUNDS = 2
+CENTRES = 3
+ROUNDS = 1
+#: Keys with as many members or more are compared in blocks of about BLOCK documents, others pair by pair.
+LARGE_KEY = 8
+BLOCK = 128
+#: Shingles looked at together in a block.
+COLUMNS = 8192
 
 _rng = np.random.default_rng(20240229)
 _FACTORS = _rng.integers(1, 1 << 63, size=(SYMBOLS, 1), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _OFFSETS = _rng.integers(0, 1 << 63, size=(SYMBOLS, 1), dtype=np.uint64)
-_BLOCK = 2048
+_HASHED = 2048
 
 
 def signature(shingles: np.ndarray) -> bytes:
     """One byte per hash function, from the least hash of the set."""
     least = np.full(SYMBOLS, np.iinfo(np.uint64).max, dtype=np.uint64)
-    for at in range(0, len(shingles), _BLOCK):
-        np.minimum(least, (shingles[at : at + _BLOCK] * _FACTORS + _OFFSETS).min(axis=1), out=least)
+    for at in range(0, len(shingles), _HASHED):
+        np.minimum(least, (shingles[at : at + _HASHED] * _FACTORS + _OFFSETS).min(axis=1), out=least)
     return (mixed(least) & np.uint64(255)).astype(np.uint8).tobytes()
 
 
@@ -182,13 +188,20 @@ def minhash_components(documents: DataFrame, words: int = 5, percent: int = 80)
             pairs = mixed_keys.select("id", F.explode(F.array_distinct(centres)).alias("centre")).distinct()
             pairs = pairs.where("id <> centre")
         else:
-            pairs = _cross_pairs(mixed_keys)
+            counts = mixed_keys.groupBy("key").agg(F.count("*").alias("n"))
+            counted = mixed_keys.join(counts, "key")
+            pairs = _cross_pairs(counted.where(f"n < {LARGE_KEY}"))
+            found = scratch.write(_block_links(counted.where(f"n >= {LARGE_KEY}"), sets, scratch, percent), "links")
+            links = links.unionByName(found)
         pairs = pairs.select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b")).distinct()
         near = scratch.write(_close(pairs, classes, percent), "near")
         found = scratch.write(_confirmed(near, sets, percent), "links")
         links = found if links is None else links.unionByName(found)
-        components = scratch.write(connected_components(links, scratch), "components")
+        # Until all links are in, two rounds do: a component that is still in parts only means more to compare.
+        rounds = 2 if turn < ROUNDS else None
+        components = scratch.write(connected_components(links, scratch, rounds), "components")
 
+    scratch.drop(members, ids, sets, mixed_keys)
     by_digest = classes.join(components, "id", "left").select("digest", F.coalesce("component", "id").alias("component_id"))
     out = rows.select("doc_id", "n_shingles", "digest").join(by_digest, "digest", "left")
     component = F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
@@ -197,14 +210,77 @@ def minhash_components(documents: DataFrame, words: int = 5, percent: int = 80)
 
 
 def _cross_pairs(mixed_keys: DataFrame) -> DataFrame:
-    """All pairs of members that share a key but no component.
+    """All pairs of members that share a key of few members but no component."""
+    here = mixed_keys.select("key", "id", "component")
+    there = here.select("key", F.col("id").alias("centre"), F.col("component").alias("other"))
+    return here.join(there, "key").where("component < other").select("id", "centre").distinct()
 
-    Components that meet in a key are paired first, without repeats, and then their members: a
-    pair of documents comes up once and not for each of its many common keys.
+
+def _block_links(mixed_keys: DataFrame, sets: DataFrame, scratch: Scratch, percent: int) -> DataFrame:
+    """Links between components that share a key of many members, one for each document and component at least.
+
+    Keys with the same first centre make one bundle. Its documents are the core, those in the centre's own component,
+    and the strays. Strays meet one another and the core block by block; the core need not meet itself.
     """
-    here = mixed_keys.select("key", "component").distinct()
-    other = here.select("key", F.col("component").alias("other"))
-    meeting = here.join(other, "key").where("component < other").select("component", "other").distinct()
-    ids = mixed_keys.select("id", "component").distinct()
-    far = ids.select(F.col("id").alias("centre"), F.col("component").alias("other"))
-    return meeting.join(ids, "component").join(far, "other").select("id", "centre")
+    lead = mixed_keys.where("id = centre0").select("key", F.col("component").alias("bundle"))
+    bundles = mixed_keys.join(lead, "key").select("bundle", "id", "component").distinct()
+    bundles = scratch.write(bundles.withColumn("stray", F.col("component") != F.col("bundle")), "bundles")
+    count = bundles.groupBy("bundle").agg(
+        F.ceil(F.count_if("stray") / BLOCK).alias("strays"), F.ceil(F.count_if(~F.col("stray")) / BLOCK).alias("cores")
+    )
+    block = F.pmod(F.xxhash64("id"), F.when(F.col("stray"), F.col("strays")).otherwise(F.col("cores")))
+    placed = bundles.join(count, "bundle").withColumn("block", block)
+    # A meeting is a block of strays (first) and a block of strays no earlier (second) or of the core (second, from `strays` on).
+    blocks, firsts = F.col("strays") + F.col("cores"), F.sequence(F.lit(0).cast("long"), F.col("strays") - 1)
+    as_first = placed.where("stray").withColumn("second", F.explode(F.sequence(F.col("block"), blocks - 1))).select(
+        "bundle", (F.col("block") * blocks + F.col("second")).alias("meeting"), "id", "component", F.lit(True).alias("first")
+    )
+    own = F.when(F.col("stray"), F.col("block")).otherwise(F.col("strays") + F.col("block"))
+    earlier = F.filter(firsts, lambda k: k < own)
+    as_second = placed.withColumn("with", F.explode(earlier)).select(
+        "bundle", (F.col("with") * blocks + own).alias("meeting"), "id", "component", F.lit(False).alias("first")
+    )
+    rows = as_first.unionByName(as_second).join(sets, "id").select("bundle", "meeting", "id", "component", "first", "shingles")
+    rows = rows.repartition("bundle", "meeting").sortWithinPartitions("bundle", "meeting")
+    return rows.mapInArrow(_meetings(percent), "a long, b long").distinct()
+
+
+def _meetings(percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_groups(batches, 2, 1):
+            table = table.combine_chunks()
+            bundle, meeting = table.column(0).to_numpy(), table.column(1).to_numpy()
+            cuts = np.flatnonzero((bundle[1:] != bundle[:-1]) | (meeting[1:] != meeting[:-1])) + 1
+            for a, b in zip(np.r_[0, cuts], np.r_[cuts, len(bundle)], strict=True):
+                part = table.slice(a, b - a)
+                ids, component, first = (part.column(k).to_numpy() for k in (2, 3, 4))
+                lists = part.column(5).chunk(0)
+                sizes = np.diff(lists.offsets.to_numpy())
+                common = _intersections(sizes, lists.flatten().to_numpy(), first)
+                total = sizes[first][:, None] + sizes[None, :] - common
+                linked = (100 * common >= percent * total) & (component[first][:, None] != component[None, :])
+                i, j = np.nonzero(linked)
+                x, y = ids[first][i], ids[j]
+                _, one = np.unique(np.stack([x, component[j]]), axis=1, return_index=True)
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)[one]), pa.array(np.maximum(x, y)[one])], names=["a", "b"])
+
+    return run
+
+
+def _intersections(sizes: np.ndarray, shingles: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of the sets of `first` with all sets, by products over shared shingles."""
+    rows = np.repeat(np.arange(len(sizes)), sizes)
+    _, column, count = np.unique(shingles, return_inverse=True, return_counts=True)
+    shared = count > 1
+    number = np.cumsum(shared) - 1
+    keep = shared[column]
+    rows, column = rows[keep], number[column[keep]]
+    order = np.argsort(column, kind="stable")
+    rows, column = rows[order], column[order]
+    out = np.zeros((int(first.sum()), len(sizes)), dtype=np.int64)
+    for low in range(0, int(shared.sum()), COLUMNS):
+        a, b = np.searchsorted(column, [low, low + COLUMNS])
+        held = np.zeros((len(sizes), COLUMNS), dtype=np.float32)
+        held[rows[a:b], column[a:b] - low] = 1
+        out += np.rint(held[first] @ held.T).astype(np.int64)
+    return out

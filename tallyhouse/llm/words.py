@@ -11,7 +11,7 @@ import xxhash
 
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 #: Words remembered by one Python worker before it starts anew; bounds memory, never results.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 100_000
 
 _MIX1 = np.uint64(0x9E3779B97F4A7C15)
 _MIX2 = np.uint64(0xBF58476D1CE4E5B9)
