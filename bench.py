@@ -19,7 +19,7 @@ from tallyhouse.checks.fixtures import AS_OF
 from tallyhouse.functions.clock import clock_literal
 from tallyhouse.functions.files import TRANSACTIONS
 from tallyhouse.operators.incremental import high_water_filter
-from tallyhouse.operators.landing import good_lines, ingest_log, is_bad_line, sales_rows
+from tallyhouse.operators.landing import good_lines, ingest_log, sales_rows
 from tallyhouse.plans import marts
 from tallyhouse.plans.stage import stage_sales, stage_stores
 from tallyhouse.schemas import SALES_KEYS, STAGE_SALES, STAGE_STORES, STORES_KEYS
@@ -41,7 +41,7 @@ def prepare(spark, root: str) -> dict:
     raw = fixtures.raw_sales(spark, SF_DIR)
     raw.repartition(int(CPUS)).write.parquet(f"{root}/raw_sales")
     fixtures.raw_stores(spark, SF_DIR).write.parquet(f"{root}/raw_stores")
-    lines = fixtures.sales_lines(spark, SF_DIR).filter(~is_bad_line(F.col("value")))
+    lines = fixtures.sales_lines(spark, SF_DIR).filter(~F.col("bad"))
     fixtures.write_drop(lines.repartition(int(CPUS)), f"{root}/inbox", "sales_20250111")
     raw = spark.read.parquet(f"{root}/raw_sales")
     stores = spark.read.parquet(f"{root}/raw_stores")

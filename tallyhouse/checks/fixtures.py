@@ -34,7 +34,8 @@ DUCKDB = {
 }
 
 RAW_SALES_SQL = """
-select case when l_orderkey % 41 = 0 then '  ' else '' end || 'store_' || cast(l_suppkey as <S>) as store_token,
+select case when l_orderkey % 41 = 0 then '  ' else '' end || case when l_orderkey % 10 = 3 then 'gone_' else 'store_' end ||
+       cast(l_suppkey as <S>) as store_token,
        cast(l_orderkey % 200 as <S>) || '-' || cast(l_linenumber as <S>) as transaction_id,
        cast(l_partkey as <S>) as receipt_token,
        case when l_orderkey % 97 = 0 then <ISO> else <COMPACT> end as transaction_time,
@@ -53,11 +54,11 @@ from (select distinct l_shipdate from lineitem) h where extract(day from l_shipd
 RAW_STORES_SQL = """
 select n_name as store_group, 'store_' || cast(s_suppkey as <S>) as store_token, ' ' || s_name as store_name,
        date '2025-01-01' as batch_date, timestamp<N> '2025-01-01 00:00:00' as loaded_at
-from supplier join nation on s_nationkey = n_nationkey where s_suppkey % 10 <> 0
+from supplier join nation on s_nationkey = n_nationkey
 union all
 select n_name, 'store_' || cast(s_suppkey as <S>), s_name || ' v2', date '2025-01-02',
        timestamp<N> '2025-01-02 00:00:00'
-from supplier join nation on s_nationkey = n_nationkey where s_suppkey % 3 = 0 and s_suppkey % 10 <> 0
+from supplier join nation on s_nationkey = n_nationkey where s_suppkey % 3 = 0
 union all
 select 'store_group', 'store_token', 'store_name', date '2025-01-02', timestamp<N> '2025-01-02 00:00:00'
 """
@@ -71,11 +72,13 @@ select l_orderkey as k, l_shipdate, <DIGITS> as digits,
             when l_orderkey % 37 = 0 then 'NULL'
             when l_orderkey % 43 = 0 then 'null'
             when l_orderkey % 47 = 0 then ''
+            when l_orderkey % 53 = 0 then '5" pipe ' || cast(l_partkey as <S>)
             else cast(l_partkey as <S>) end as f3,
        <COMPACT> as f4,
        '$' || cast(cast(l_extendedprice as decimal(11,2)) as <S>) as f5,
        l_returnflag as source, l_linestatus as job,
-       case when l_orderkey % 4999 = 0 and l_linenumber = 1 then 'bad'
+       case when l_orderkey % 4999 = 0 and l_linenumber = 1 then 'open'
+            when l_orderkey % 4993 = 0 and l_linenumber = 1 then 'tail'
             when l_orderkey % 83 = 0 then 'short'
             when l_orderkey % 59 = 0 then 'wide'
             when l_orderkey % 31 = 0 then 'norole'
@@ -90,22 +93,25 @@ select f1 || ',' || f2 || ',' ||
        case when shape = 'short' then '' else ',' || f4 || ',' || f5 end ||
        case shape when 'short' then '' when 'six' then ',' || job when 'seven' then ',' || source || ',' || job
                   when 'norole' then ',' || source || ',' when 'wide' then ',' || source || ',' || job || ',extra'
-                  else ',' || source || ',"' || job end as value,
-       digits
+                  when 'open' then ',' || source || ',"' || job else ',' || source || ',"' || job || '"x' end as value,
+       digits, shape in ('open', 'tail') as bad
 from ({drops}) d
 union all
-select 'store_token,transaction_id,receipt_token,transaction_time,amount,source_id,user_role', digits
+select 'store_token,transaction_id,receipt_token,transaction_time,amount,source_id,user_role', digits, false
 from (select distinct l_shipdate, digits from ({drops}) d) h where extract(day from l_shipdate) = 1
 """
 
 STORE_LINES_SQL = """
 select case when s_suppkey % 7 = 0 then '"' || n_name || ', Ltd"' else n_name end || ',store_' ||
        cast(s_suppkey as <S>) || case when s_suppkey % 11 = 0 then '' when s_suppkey % 13 = 0 then ',"' || s_name
-                                      else ',' || s_name || case when s_suppkey % 5 = 0 then ',x' else '' end end
-       as value, cast(n_nationkey as <S>) as part
+                                      when s_suppkey % 17 = 0 then ',"' || s_name || '"x'
+                                      else ',' || s_name || case when s_suppkey % 5 = 0 then ',x' when s_suppkey % 5 = 1
+                                      then ' 5"' else '' end end
+       as value, cast(n_nationkey as <S>) as part,
+       s_suppkey % 11 <> 0 and (s_suppkey % 13 = 0 or s_suppkey % 17 = 0) as bad
 from supplier join nation on s_nationkey = n_nationkey
 union all
-select 'store_group,store_token,store_name', cast(n_nationkey as <S>) from nation
+select 'store_group,store_token,store_name', cast(n_nationkey as <S>), false from nation
 """
 
 FILE_NAMES_SQL = """
@@ -153,17 +159,18 @@ def _as_lines(spark: SparkSession, values: DataFrame, path) -> DataFrame:
     looks at the line, and the generated code would grow too large to be compiled.
     """
     folder = scratch_dir(spark, "lines")
-    values.select("value", path.alias("file_path")).write.parquet(folder)
-    return spark.read.schema("value string, file_path string").parquet(folder).select(
+    values.select("value", path.alias("file_path"), "bad").write.parquet(folder)
+    return spark.read.schema("value string, file_path string, bad boolean").parquet(folder).select(
         "value",
         "file_path",
+        "bad",
         clock_literal("2025-01-31 12:00:00").alias("file_modified_at"),
         clock_literal("2025-01-31 13:00:00").alias("loaded_at"),
     )
 
 
 def sales_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """CSV lines in one sales file per ship day, with the lineage a file read would give."""
+    """CSV lines in one sales file per ship day, with the lineage a file read would give, and whether a line is bad."""
     values = run(spark, sf_dir, SALES_LINES_SQL.replace("{drops}", SALES_DROPS_SQL))
     return _as_lines(spark, values, F.concat(F.lit("inbox/sales_"), F.col("digits"), F.lit(".csv")))
 

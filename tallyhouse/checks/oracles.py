@@ -13,7 +13,7 @@ from tallyhouse.checks.fixtures import (
     STORE_LINES_SQL,
     fill,
 )
-from tallyhouse.checks.queries import BUILT_TO
+from tallyhouse.checks.queries import BUILT_TO, GAP_FROM
 
 AS_OF_SQL = f"date '{AS_OF}'"
 
@@ -54,7 +54,7 @@ STAGE_STORES = f"""
                        trim(store_name) as store_name, batch_date, loaded_at
                 from ({RAW_STORES}) s where store_token <> 'store_token') c) r where rn = 1"""
 
-STAGE_PLAIN = """select store_token, transaction_id, receipt_token, transaction_time, cast(amount as double) as amount,
+STAGE_PLAIN = """select store_token, transaction_id, receipt_token, transaction_time, cast(amount as varchar) as amount,
     source_id, user_role, batch_date, loaded_at from ({}) s"""
 
 STORE_DAYS = f"""
@@ -62,8 +62,8 @@ STORE_DAYS = f"""
     from ({STAGE}) s where transaction_time is not null group by 1, 2"""
 
 # Mean to six decimals, half up, in whole numbers: exact for any sum.
-MEAN = """cast((2 * cast(sum(store_daily_sales) * 100 as hugeint) * 10000 + count(store_daily_sales))
-                // nullif(2 * count(store_daily_sales), 0) as double) / 1000000"""
+MEAN = """cast(cast((2 * cast(sum(store_daily_sales) * 100 as hugeint) * 10000 + count(store_daily_sales))
+                // nullif(2 * count(store_daily_sales), 0) as decimal(30,0)) * cast(0.000001 as decimal(7,6)) as varchar)"""
 
 STATS = f"""
     select transaction_date, count(distinct store_token) as active_stores, sum(store_daily_sales) as total_amount,
@@ -76,9 +76,9 @@ TOP = f"""
           from ({STORE_DAYS}) d) r where rnk = 1 group by 1"""
 
 RUNNING = f"""
-    select transaction_date, cast(total_amount as double) as total_amount,
+    select transaction_date, cast(total_amount as varchar) as total_amount,
            cast(sum(total_amount) over (partition by date_trunc('month', transaction_date)
-                                        order by transaction_date) as double) as monthly_cumulative_sales
+                                        order by transaction_date) as varchar) as monthly_cumulative_sales
     from ({STATS}) s"""
 
 DAILY = f"""
@@ -98,11 +98,13 @@ LAST_DATES = f"""
 RAW_STATS = f"select batch_date, count(*) as total_raw_rows from ({RAW}) r group by 1"
 VALID_STATS = f"""select batch_date, count(*) as total_valid_rows, max(loaded_at) as processing_date
     from ({STAGE}) s group by 1"""
+# Landed rows count as one each and current rows are taken off again; rows without a batch date match no other side.
 LIFECYCLE = f"""
-    select coalesce(r.batch_date, v.batch_date) as batch_date, coalesce(total_raw_rows, 0) as total_raw_rows,
-           coalesce(total_valid_rows, 0) as total_valid_rows,
-           coalesce(total_raw_rows, 0) - coalesce(total_valid_rows, 0) as total_ignored_rows, processing_date
-    from ({RAW_STATS}) r full outer join ({VALID_STATS}) v on r.batch_date = v.batch_date"""
+    select batch_date, cast(sum(landed) as bigint) as total_raw_rows, cast(sum(current) as bigint) as total_valid_rows,
+           cast(sum(landed - current) as bigint) as total_ignored_rows, max(staged_at) as processing_date
+    from (select batch_date, 1 as landed, 0 as current, null as staged_at, 'landed' as side from ({RAW}) l
+          union all select batch_date, 0, 1, loaded_at, 'staged' from ({STAGE}) s) rows_of_both
+    group by batch_date, case when batch_date is null then side end"""
 
 HEADER_FIELDS = [
     "store_token",
@@ -120,8 +122,9 @@ FIELDS = f"""
            case when shape = 'short' then null else f4 end as c4,
            case when shape = 'short' then null else f5 end as c5,
            case shape when 'short' then null when 'six' then job else source end as c6,
-           case when shape in ('seven', 'wide') then job end as c7
-    from ({DROPS}) d where shape <> 'bad'
+           case when shape in ('seven', 'wide') then job when 'open' = shape then '"' || job
+                when shape = 'tail' then '"' || job || '"x' end as c7
+    from ({DROPS}) d
     union all
     select digits, 'seven', {", ".join(f"'{name}'" for name in HEADER_FIELDS)}
     from (select distinct l_shipdate, digits from ({DROPS}) d) h where extract(day from l_shipdate) = 1"""
@@ -129,45 +132,45 @@ FIELDS = f"""
 NO_TOKEN = "case when c3 in ('NULL', 'null') then null else c3 end"
 
 LANDED = f"""
-    select digits, c1 as store_token, c2 as transaction_id, {NO_TOKEN} as receipt_token, c4 as transaction_time,
+    select digits, shape, c1 as store_token, c2 as transaction_id, {NO_TOKEN} as receipt_token, c4 as transaction_time,
            c5 as amount, case when c7 is not null then c6 end as source_id, coalesce(c7, c6) as user_role
     from ({FIELDS}) f"""
 
 ACCEPTED = f"""
-    select * from ({LANDED}) l where digits not in (select digits from ({DROPS}) d where shape = 'bad')"""
+    select * from ({LANDED}) l where digits not in (select digits from ({DROPS}) d where shape in ('open', 'tail'))"""
 
 LINEAGE = "timestamp '2025-01-31 12:00:00' as file_modified_at, timestamp '2025-01-31 13:00:00' as loaded_at"
 LANDED_SALES = f"""
-    select * exclude (digits), 'inbox/sales_' || digits || '.csv' as source_filename,
+    select * exclude (digits, shape), 'inbox/sales_' || digits || '.csv' as source_filename,
            cast(strptime(digits, '%Y%m%d') as date) as batch_date, {LINEAGE}
     from ({ACCEPTED}) a"""
 
-# Store lines with an unclosed quote are those of suppliers divisible by 13 but not by 11.
+# Bad store lines are those of suppliers divisible by 13 or 17 but not by 11.
 LANDED_STORES = f"""
     select case when s_suppkey % 7 = 0 then n_name || ', Ltd' else n_name end as store_group,
            'store_' || s_suppkey as store_token,
-           case when s_suppkey % 11 = 0 then null else s_name end as store_name,
+           case when s_suppkey % 11 = 0 then null when s_suppkey % 5 = 1 then s_name || ' 5"' else s_name end as store_name,
            'inbox/stores_20250112_' || n_nationkey || '.csv' as source_filename, date '2025-01-12' as batch_date, {LINEAGE}
-    from supplier join nation on s_nationkey = n_nationkey where s_suppkey % 11 = 0 or s_suppkey % 13 <> 0
+    from supplier join nation on s_nationkey = n_nationkey where s_suppkey % 11 = 0 or (s_suppkey % 13 <> 0 and s_suppkey % 17 <> 0)
     union all
     select 'store_group', 'store_token', 'store_name', 'inbox/stores_20250112_' || n_nationkey || '.csv',
            date '2025-01-12', timestamp '2025-01-31 12:00:00', timestamp '2025-01-31 13:00:00' from nation"""
 
 SALES_FILES = f"""
     select digits, sum(n) as line_count, sum(bad) as bad_line_count from (
-        select digits, 1 as n, case when shape = 'bad' then 1 else 0 end as bad from ({DROPS}) d
+        select digits, 1 as n, case when shape in ('open', 'tail') then 1 else 0 end as bad from ({DROPS}) d
         union all
         select digits, 1, 0 from (select distinct l_shipdate, digits from ({DROPS}) d) h
         where extract(day from l_shipdate) = 1) l group by 1"""
 STORE_COUNTS = f"""
     select part, count(*) as line_count,
-           count(*) filter (where (length(value) - length(replace(value, '"', ''))) % 2 = 1) as bad_line_count
+           count(*) filter (where bad) as bad_line_count
     from ({STORE_LINES}) s group by 1"""
 LOG = f"""
     select 'inbox/sales_' || digits || '.csv' as file_path, 'transactions' as file_type,
            cast(strptime(digits, '%Y%m%d') as date) as batch_date, cast(line_count as bigint) as line_count,
            cast(bad_line_count as bigint) as bad_line_count,
-           case when bad_line_count > 0 then 'unclosed quote' end as error,
+           case when bad_line_count > 0 then 'malformed quotes' end as error,
            case when bad_line_count > 0 then 'rejected' else 'loaded' end as status,
            cast(case when bad_line_count > 0 then 0 else line_count end as bigint) as row_count
     from ({SALES_FILES}) f
@@ -182,9 +185,9 @@ LOG = f"""
            'no valid batch date in file name', 'rejected', 0 from ({STORE_COUNTS}) s"""
 
 DROPPED = f"""
-    select * exclude (digits), case when store_token like '%1' then date '2025-01-12' else date '2025-01-11' end
+    select * exclude (digits, shape), case when store_token like '%1' then date '2025-01-12' else date '2025-01-11' end
            as batch_date
-    from ({LANDED}) l"""
+    from ({LANDED}) l where shape not in ('open', 'tail')"""
 
 BASE_NAME = "regexp_extract(file_key, '([^/]*)$', 1)"
 DIGITS = f"regexp_extract({BASE_NAME}, '([0-9]{{8}})', 1)"
@@ -195,10 +198,17 @@ def oracle_sql() -> dict[str, str]:
     target = _stage(raw_until)
     delta = _stage(f"select * from ({RAW}) r where loaded_at > (select max(loaded_at) from ({target}) t)")
     later = _stage(f"select * from ({RAW}) r where loaded_at > timestamp '{SPLIT}'")
-    built = _stage(f"select * from ({RAW}) r where loaded_at <= timestamp '{BUILT_TO}'")
-    daily_start = f"(select max(cast(transaction_time as date)) from ({built}) b) - interval 7 day"
-    batch_start = f"""(select max(cast(loaded_at as date)) from ({RAW}) r
-        where loaded_at <= timestamp '{BUILT_TO}') - interval 3 day"""
+
+    def daily_after(moment):
+        built = _stage(f"select * from ({RAW}) r where loaded_at <= timestamp '{moment}'")
+        start = f"(select max(cast(transaction_time as date)) from ({built}) b) - interval 7 day"
+        return f"select * from ({DAILY}) d where transaction_date >= {start}"
+
+    def lifecycle_after(moment):
+        start = f"""(select max(cast(loaded_at as date)) from ({RAW}) r
+            where loaded_at <= timestamp '{moment}') - interval 3 day"""
+        return f"select {AS_OF_SQL} as snapshot_date, * from ({LIFECYCLE}) l where batch_date >= {start}"
+
     return {
         "route_files": f"""select o_orderkey, file_key,
             case when lower({BASE_NAME}) like '%store%' then 'stores'
@@ -208,7 +218,7 @@ def oracle_sql() -> dict[str, str]:
             where file_key like '%inbox/%' and file_key not like '%/'""",
         "batch_date_extract": f"""select o_orderkey, case when {DIGITS} = '' then {AS_OF_SQL}
             else cast(try_strptime({DIGITS}, '%Y%m%d') as date) end as batch_date from ({FILE_NAMES}) f""",
-        "csv_scan": f"select c1, c2, c3, c4, c5, c6, c7 from ({FIELDS}) f",
+        "csv_scan": f"select c1, c2, c3, c4, c5, c6, c7, shape in ('open', 'tail') as bad from ({FIELDS}) f",
         "null_tokens": f"select c2 as transaction_id, {NO_TOKEN} as receipt_token from ({FIELDS}) f",
         "sales_positional_shift": f"select transaction_id, source_id, user_role from ({LANDED}) l",
         "bad_row_policy": f"select file_path, row_count as kept_rows from ({LOG}) l where status = 'loaded'",
@@ -219,6 +229,11 @@ def oracle_sql() -> dict[str, str]:
             from ({LOG}) l where status = 'loaded' group by 1""",
         "ingest_log": LOG,
         "csv_stream_ingest": DROPPED,
+        "file_lineage": f"""select file_name, count(*) as row_count, count(*) as known_rows from (
+            select case when store_token like '%1' then 'sales 20250112' else 'sales_20250111' end as file_name from ({DROPPED}) d
+            union all select 'stores_20250112' from ({LANDED_STORES}) s) f group by 1""",
+        "raw_ddl": f"""select store_token, transaction_id, receipt_token, transaction_time, amount, source_id, user_role, batch_date,
+            true as has_load_time from ({RAW}) r""",
         "csv_batch_ingest": f"""select store_token, transaction_id, receipt_token, transaction_time, amount,
             source_id, user_role, batch_date, null as store_group, null as store_name from ({DROPPED}) d
             union all
@@ -227,28 +242,28 @@ def oracle_sql() -> dict[str, str]:
         "header_filter": f"""select store_token, transaction_id, batch_date, loaded_at from ({RAW}) r
             where store_token <> 'store_token'""",
         "amount_clean": f"""select transaction_id, amount as text,
-            cast(try_cast(replace(amount, '$', '') as decimal(11,2)) as double) as amount from ({RAW}) r""",
+            cast(try_cast(replace(amount, '$', '') as decimal(11,2)) as varchar) as amount from ({RAW}) r""",
         "timestamp_parse": f"""select transaction_id, transaction_time as text,
             try_strptime(transaction_time, '%Y%m%dT%H%M%S.%g') as transaction_time from ({RAW}) r""",
-        "dedup_latest_sales": f"""select store_token, transaction_id, cast(amount as double) as amount, loaded_at
+        "dedup_latest_sales": f"""select store_token, transaction_id, cast(amount as varchar) as amount, loaded_at
             from ({STAGE}) s""",
         "dedup_latest_stores": f"select store_token, store_name, loaded_at from ({STAGE_STORES}) s",
         "stg_sales": STAGE_PLAIN.format(STAGE),
         "stg_stores": STAGE_STORES,
         "daily_store_sales": f"""select transaction_date, store_token,
-            cast(store_daily_sales as double) as store_daily_sales from ({STORE_DAYS}) d""",
-        "daily_stats": f"""select transaction_date, active_stores, cast(total_amount as double) as total_amount,
+            cast(store_daily_sales as varchar) as store_daily_sales from ({STORE_DAYS}) d""",
+        "daily_stats": f"""select transaction_date, active_stores, cast(total_amount as varchar) as total_amount,
             avg_store_sales from ({STATS}) s""",
         "top_store_per_day": f"select transaction_date, top_store_token as store_token from ({TOP}) t",
         "monthly_running_total": RUNNING,
         "report_daily_sales": f"{DAILY} order by s.transaction_date desc limit 40",
-        "sales_left_join_stores": f"""select s.store_token, transaction_id, store_name, cast(amount as double) as amount
+        "sales_left_join_stores": f"""select s.store_token, transaction_id, store_name, cast(amount as varchar) as amount
             from ({STAGE}) s left join ({STAGE_STORES}) t on s.store_token = t.store_token""",
         "top_n_dense_rank": f"""select transaction_date, store_token,
-            cast(store_daily_sales as double) as store_daily_sales, ranking from ({RANKED}) r where ranking <= 5""",
+            cast(store_daily_sales as varchar) as store_daily_sales, ranking from ({RANKED}) r where ranking <= 5""",
         "last_10_dates": LAST_DATES,
         "report_top_stores": f"""select {AS_OF_SQL} as snapshot_date, transaction_date, ranking as range_top_id,
-            cast(store_daily_sales as double) as total_sales, r.store_token, store_name
+            cast(store_daily_sales as varchar) as total_sales, r.store_token, store_name
             from ({RANKED}) r left join ({STAGE_STORES}) t on r.store_token = t.store_token
             where ranking <= 5 and transaction_date in ({LAST_DATES})""",
         "lifecycle_raw_stats": RAW_STATS,
@@ -263,10 +278,10 @@ def oracle_sql() -> dict[str, str]:
             union all select * from ({later}) d"""
         ),
         "stg_sales_incremental": STAGE_PLAIN.format(delta),
-        "daily_lookback": f"""select * from ({DAILY}) d where transaction_date >= {daily_start}
-            order by transaction_date desc limit 40""",
-        "lifecycle_lookback": f"""select {AS_OF_SQL} as snapshot_date, * from ({LIFECYCLE}) l
-            where batch_date >= {batch_start} order by batch_date desc limit 40""",
+        "daily_lookback": daily_after(BUILT_TO),
+        "lifecycle_lookback": lifecycle_after(BUILT_TO),
+        "daily_gap_over_40_days": daily_after(GAP_FROM),
+        "lifecycle_gap_over_40_days": lifecycle_after(GAP_FROM),
         "full_refresh_equivalence": STAGE_PLAIN.format(STAGE),
         "stream_upsert": STAGE_PLAIN.format(STAGE),
         "dq_not_null": f"""

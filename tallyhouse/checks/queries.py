@@ -30,7 +30,7 @@ from tallyhouse.operators.landing import (
 )
 from tallyhouse.operators.ranking import month_running_total, top_n_dense
 from tallyhouse.plans import marts
-from tallyhouse.plans.landing import land_files
+from tallyhouse.plans.landing import land_files, read_ledger
 from tallyhouse.plans.stage import clean_sales, clean_stores, drop_headers, stage_sales, stage_stores
 from tallyhouse.schemas import (
     RAW_SALES,
@@ -40,6 +40,7 @@ from tallyhouse.schemas import (
     STAGE_SALES,
     STORES_FIELDS,
     STORES_KEYS,
+    create_raw_tables,
 )
 from tallyhouse.session import scratch_dir
 from tallyhouse.sources.raw import read_raw
@@ -49,15 +50,16 @@ from tallyhouse.streaming.stage import start_upsert
 
 # Day up to which the target of the lookback queries has been built.
 BUILT_TO = dt.datetime(2001, 10, 10)
+GAP_FROM = dt.datetime(2001, 6, 1)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _plain(df: DataFrame) -> DataFrame:
-    """Decimals as double, so both engines hand over the same number type."""
+    """Decimals as text: both engines hand over the same type, and every cent counts."""
     return df.select(
         *[
-            F.col(f.name).cast("double").alias(f.name) if isinstance(f.dataType, DecimalType) else F.col(f.name)
+            F.col(f.name).cast("string").alias(f.name) if isinstance(f.dataType, DecimalType) else F.col(f.name)
             for f in df.schema
         ]
     )
@@ -101,19 +103,18 @@ def _accepted(lines: DataFrame, feed: str) -> DataFrame:
 
 
 def csv_scan(spark, sf_dir):
-    lines = fixtures.sales_lines(spark, sf_dir).filter(~is_bad_line(F.col("value")))
-    return lines.select(split_line(F.col("value"), 7).alias("f")).select("f.*")
+    lines = fixtures.sales_lines(spark, sf_dir)
+    return lines.select(split_line(F.col("value"), 7).alias("f"), is_bad_line(F.col("value")).alias("bad")).select("f.*", "bad")
 
 
 def null_token_values(spark, sf_dir):
     fields = split_line(F.col("value"), 3)
-    lines = fixtures.sales_lines(spark, sf_dir).filter(~is_bad_line(F.col("value")))
+    lines = fixtures.sales_lines(spark, sf_dir)
     return lines.select(fields["c2"].alias("transaction_id"), null_tokens(fields["c3"]).alias("receipt_token"))
 
 
 def sales_positional_shift(spark, sf_dir):
-    lines = fixtures.sales_lines(spark, sf_dir).filter(~is_bad_line(F.col("value")))
-    shifted = shift_roles(split_fields(lines, 7))
+    shifted = shift_roles(split_fields(fixtures.sales_lines(spark, sf_dir), 7))
     return shifted.select(F.col("c2").alias("transaction_id"), "source_id", "user_role")
 
 
@@ -155,11 +156,12 @@ def history_partitions(spark, sf_dir):
 
 
 def _write_inbox(spark, sf_dir, inbox):
-    """Two sales drops and a stores drop of well-formed lines."""
-    lines = fixtures.sales_lines(spark, sf_dir).filter(~is_bad_line(F.col("value")))
+    """Two sales drops, one with a blank in its name, a sales drop with all bad lines, which is turned away, and a stores drop."""
+    lines = fixtures.sales_lines(spark, sf_dir)
     late = F.substring_index(F.col("value"), ",", 1).endswith("1")
-    fixtures.write_drop(lines.filter(~late), inbox, "sales_20250111")
-    fixtures.write_drop(lines.filter(late), inbox, "sales_20250112")
+    fixtures.write_drop(lines.filter(~late & ~F.col("bad")), inbox, "sales_20250111")
+    fixtures.write_drop(lines.filter(late & ~F.col("bad")), inbox, "sales 20250112")
+    fixtures.write_drop(lines.filter(F.col("bad")).coalesce(1), inbox, "sales_20250113")
     fixtures.write_drop(fixtures.store_lines(spark, sf_dir), inbox, "stores_20250112")
 
 
@@ -167,6 +169,36 @@ def _landed(spark, root):
     return read_raw(spark, f"{root}/raw/sales", RAW_SALES).select(*SALES_FIELDS, "batch_date")
 
 
+def file_lineage(spark, sf_dir):
+    """Every landed row names a file of the ledger, its time and the load time of its batch."""
+    root = scratch_dir(spark, "lineage")
+    _write_inbox(spark, sf_dir, f"{root}/inbox")
+    land_files(spark, f"{root}/inbox", root, AS_OF)
+    known = read_ledger(spark, root).where("state = 'planned'").select(
+        F.col("path").alias("source_filename"), "file_modified_at", "loaded_at", F.lit(True).alias("known")
+    )
+    drop = F.regexp_extract("source_filename", r"([a-z]+[ _]\d{8})[^/]*$", 1).alias("file_name")
+    rows = read_raw(spark, f"{root}/raw/sales", RAW_SALES).select("source_filename", "file_modified_at", "loaded_at")
+    rows = rows.unionByName(read_raw(spark, f"{root}/raw/stores", RAW_STORES).select(*rows.columns))
+    joined = rows.join(known, ["source_filename", "file_modified_at", "loaded_at"], "left")
+    return joined.groupBy(drop).agg(F.count("*").alias("row_count"), F.count("known").alias("known_rows"))
+
+
+def raw_ddl(spark, sf_dir):
+    """Raw rows inserted by name into the declared tables; those without a load time get one."""
+    root = scratch_dir(spark, "ddl")
+    name = f"tallyhouse_ddl_{root[-8:]}"
+    create_raw_tables(spark, name, root)
+    fields = [*SALES_FIELDS, "batch_date"]
+    begin = F.current_timestamp()
+    fixtures.raw_sales(spark, sf_dir).select(*fields).createOrReplaceTempView("tallyhouse_ddl_rows")
+    names = ", ".join(fields)
+    spark.sql(f"INSERT INTO {name}.sales ({names}) SELECT {names} FROM tallyhouse_ddl_rows")
+    spark.catalog.dropTempView("tallyhouse_ddl_rows")
+    fresh = F.abs(F.unix_timestamp(F.col("loaded_at").cast("timestamp")) - F.unix_timestamp(begin)) < 86400
+    return spark.table(f"{name}.sales").select(*fields, fresh.alias("has_load_time"))
+
+
 def csv_stream_ingest(spark, sf_dir):
     root = scratch_dir(spark, "stream-ingest")
     _write_inbox(spark, sf_dir, f"{root}/inbox")
@@ -300,29 +332,46 @@ def full_refresh_equivalence(spark, sf_dir):
 
 
 def daily_lookback(spark, sf_dir):
+    return _daily_after(spark, sf_dir, BUILT_TO)
+
+
+def _daily_after(spark, sf_dir, moment):
     raw = fixtures.raw_sales(spark, sf_dir)
-    target = marts.report_daily_sales(stage_sales(_until(raw, BUILT_TO)), AS_OF, limit=None)
+    target = marts.report_daily_sales(stage_sales(_until(raw, moment)), AS_OF, limit=None)
     start = lookback_start(target, "transaction_date", marts.DAILY_LOOKBACK_DAYS)
     return marts.report_daily_sales(stage_sales(raw), AS_OF, start)
 
 
+def daily_gap_over_40_days(spark, sf_dir):
+    """More new days than a full report holds: none is left out."""
+    return _daily_after(spark, sf_dir, GAP_FROM)
+
+
+def lifecycle_gap_over_40_days(spark, sf_dir):
+    return _lifecycle_after(spark, sf_dir, GAP_FROM)
+
+
 def lifecycle_lookback(spark, sf_dir):
+    return _lifecycle_after(spark, sf_dir, BUILT_TO)
+
+
+def _lifecycle_after(spark, sf_dir, moment):
     raw = fixtures.raw_sales(spark, sf_dir)
-    built = _until(raw, BUILT_TO)
+    built = _until(raw, moment)
     target = marts.report_transactions_lifecycle(built, stage_sales(built), AS_OF, limit=None)
     start = lookback_start(target, "batch_date", marts.LIFECYCLE_LOOKBACK_DAYS)
     return marts.report_transactions_lifecycle(raw, stage_sales(raw), AS_OF, start)
 
 
 def stream_upsert(spark, sf_dir):
-    """Three drops in load order, each taken up by a run of the same stream."""
+    """Drops out of load order and one sent again, each taken up by a run of the same stream."""
     root = scratch_dir(spark, "stream-upsert")
     raw = fixtures.raw_sales(spark, sf_dir)
     table = VersionedTable(spark, f"{root}/stage", STAGE_SALES, SALES_KEYS, "loaded_at", "transaction_time")
-    earlier = None
-    for moment in (dt.datetime(2000, 6, 15), SPLIT, dt.datetime(9999, 1, 1)):
-        high_water_filter(_until(raw, moment), earlier).write.mode("append").parquet(f"{root}/raw")
-        earlier = moment
+    first, last = _until(raw, dt.datetime(2000, 6, 15)), high_water_filter(raw, SPLIT)
+    between = high_water_filter(_until(raw, SPLIT), dt.datetime(2000, 6, 15))
+    for drop in (between, last, first, between):
+        drop.write.mode("append").parquet(f"{root}/raw")
         start_upsert(
             spark, f"{root}/raw", raw.schema, table, stage_sales, f"{root}/checkpoint"
         ).awaitTermination()
@@ -361,6 +410,8 @@ QUERIES: dict[str, Query] = {
     "history_partitions": history_partitions,
     "ingest_log": ingest_log_query,
     "csv_batch_ingest": csv_batch_ingest,
+    "file_lineage": file_lineage,
+    "raw_ddl": raw_ddl,
     "header_filter": header_filter,
     "amount_clean": amount_clean,
     "timestamp_parse": timestamp_parse,
@@ -386,6 +437,8 @@ QUERIES: dict[str, Query] = {
     "stg_sales_incremental": stg_sales_incremental,
     "daily_lookback": daily_lookback,
     "lifecycle_lookback": lifecycle_lookback,
+    "daily_gap_over_40_days": daily_gap_over_40_days,
+    "lifecycle_gap_over_40_days": lifecycle_gap_over_40_days,
     "full_refresh_equivalence": full_refresh_equivalence,
     "dq_not_null": dq_not_null,
     "dq_unique": dq_unique,

@@ -35,10 +35,17 @@ def describe_files(files: DataFrame, run_date: dt.date | None = None) -> DataFra
     )
 
 
+# A field in quotes, doubled inside, that ends where the field ends, or a field that does not begin with a quote.
+FIELD = r'(?:"[^"]*+(?:""[^"]*+)*+"|(?!")[^,]*+)'
+WELL_FORMED = rf"\A{FIELD}(?:,{FIELD})*+\z"
+
+
 def is_bad_line(value: Column) -> Column:
-    """A quote that is never closed: an odd number of quote marks."""
-    quotes = F.length(value) - F.length(F.replace(value, F.lit('"'), F.lit("")))
-    return quotes % 2 == 1
+    """A field that begins with a quote and does not end with one: unclosed, or with text behind it.
+
+    Inside a field that does not begin with one, a quote is a character like others.
+    """
+    return ~value.rlike(WELL_FORMED)
 
 
 def split_line(value: Column, width: int) -> Column:
@@ -104,7 +111,7 @@ def ingest_log(lines: DataFrame, run_date: dt.date | None = None) -> DataFrame:
     error = (
         F.when(F.col("file_type").isNull(), F.lit("unknown file type"))
         .when(F.col("batch_date").isNull(), F.lit("no valid batch date in file name"))
-        .when(F.col("file_type").isin(strict) & (F.col("bad_line_count") > 0), F.lit("unclosed quote"))
+        .when(F.col("file_type").isin(strict) & (F.col("bad_line_count") > 0), F.lit("malformed quotes"))
     )
     status = (
         F.when(F.col("file_type").isNull(), F.lit(SKIPPED))

@@ -56,9 +56,10 @@ def newest_values(df: DataFrame, column: str, n: int) -> DataFrame:
     return df.select(column).distinct().orderBy(F.desc_nulls_first(column)).limit(n)
 
 
-def newest_rows(df: DataFrame, column: str, n: int) -> DataFrame:
-    """The first `n` rows by a column, newest first."""
-    return df.orderBy(F.desc_nulls_first(column)).limit(n)
+def newest_rows(df: DataFrame, column: str, n: int | None) -> DataFrame:
+    """The first `n` rows by a column, newest first; all rows without `n`."""
+    ordered = df.orderBy(F.desc_nulls_first(column))
+    return ordered.limit(n) if n else ordered
 
 
 def month_running_total(df: DataFrame, day: str, amount: str, total: str) -> DataFrame:

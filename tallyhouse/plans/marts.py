@@ -84,7 +84,8 @@ def report_daily_sales(
     """Daily totals, running month total and top store, newest days first.
 
     With `lookback_start`, a day or a one-row frame with column `start`, only days from then on are
-    produced. The running total then still begins on the first of the month, unless
+    produced, all of them: `limit` is one of the whole report, and days beyond it would be missing from the table
+    that the rows go to. The running total then still begins on the first of the month, unless
     `month_anchored` is off: then it begins at the lookback start.
     """
     if lookback_start is None:
@@ -102,7 +103,7 @@ def report_daily_sales(
     ).select(*REPORT_DAILY_SALES.fieldNames())
     if lookback_start is not None and month_anchored:
         report = since(report, "transaction_date", lookback_start)
-    return newest_rows(report, "transaction_date", limit) if limit else report
+    return newest_rows(report, "transaction_date", limit if lookback_start is None else None)
 
 
 def sales_with_stores(sales: DataFrame, stores: DataFrame) -> DataFrame:
@@ -178,7 +179,7 @@ def report_transactions_lifecycle(
 ) -> DataFrame:
     """Raw, valid and ignored rows per batch date, newest batches first.
 
-    A lookback is put on both inputs: Spark does not push it below the full join by itself, and the
+    `limit` is one of the whole report; under a lookback every batch date from the start on is produced. A lookback is put on both inputs: Spark does not push it below the full join by itself, and the
     joined batch date is on or after the start exactly when the input's is.
     """
     if lookback_start is not None:
@@ -186,4 +187,4 @@ def report_transactions_lifecycle(
         sales = since(sales, "batch_date", lookback_start)
     report = join_batch_stats(raw_batch_stats(raw_sales), valid_batch_stats(sales))
     report = report.withColumn("snapshot_date", _snapshot(as_of)).select(*REPORT_LIFECYCLE.fieldNames())
-    return newest_rows(report, "batch_date", limit) if limit else report
+    return newest_rows(report, "batch_date", limit if lookback_start is None else None)

@@ -9,7 +9,7 @@ from functools import partial, reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.operators.incremental import high_water_filter, upsert
+from tallyhouse.operators.incremental import high_water_filter
 from tallyhouse.operators.quality import not_null, unique
 from tallyhouse.plans import marts
 from tallyhouse.plans.landing import land_files
@@ -75,25 +75,34 @@ class Warehouse:
         return VersionedTable(self.spark, path, REPORT_LIFECYCLE, ["batch_date"])
 
     def land(
-        self, inbox: str, run_date: dt.date | None = None, archive: bool = False, strict: bool = False
+        self,
+        inbox: str,
+        run_date: dt.date | None = None,
+        archive: bool = False,
+        strict: bool = False,
+        move_to: str | None = None,
+        multiline: bool = False,
     ) -> list[str]:
-        return land_files(self.spark, inbox, self.root, run_date, archive, strict=strict)
+        return land_files(
+            self.spark, inbox, self.root, run_date, archive, strict=strict, move_to=move_to, multiline=multiline
+        )
 
-    def check(self, layer: str = "stage") -> DataFrame:
+    def check(self, layer: str | None = None) -> DataFrame:
         """Failures of the column checks, one row per check.
 
-        Stores are sent again when they change, so on the raw layer the unique check counts every
-        store that was ever updated.
+        By default missing values are counted in the raw layer, as staging leaves out rows without a store, and repeated
+        stores in the stage layer, as stores are sent again when they change. `layer`, "stage" or "raw", runs all
+        checks on one of the two.
         """
-        if layer not in ("stage", "raw"):
-            raise ValueError("layer is 'stage' or 'raw'")
-        staged = layer == "stage"
-        sales = self.sales.read() if staged else self.raw_sales()
-        stores = self.stores.read() if staged else self.raw_stores()
+        if layer not in ("stage", "raw", None):
+            raise ValueError("layer is 'stage', 'raw' or None")
+        first, second = layer or "raw", layer or "stage"
+        sales = self.sales.read() if first == "stage" else self.raw_sales()
+        stores = {"stage": self.stores.read, "raw": self.raw_stores}
         checks = [
             ("sales", "not_null", not_null(sales, ["store_token", "transaction_id"])),
-            ("stores", "not_null", not_null(stores, ["store_token"])),
-            ("stores", "unique", unique(stores, "store_token")),
+            ("stores", "not_null", not_null(stores[first](), ["store_token"])),
+            ("stores", "unique", unique(stores[second](), "store_token")),
         ]
         named = [
             found.select(F.lit(table).alias("table_name"), "column_name", F.lit(kind).alias("check"), "failures")
@@ -123,8 +132,12 @@ class Warehouse:
         return None if newest is None else newest - dt.timedelta(days=days)
 
     def _merge(self, report: VersionedTable, rows: DataFrame, start: dt.date | None) -> None:
-        """Reports hold one row per date, so the merged report is written anew as a whole."""
-        report.replace(rows if start is None else upsert(report.read(), rows, report.keys))
+        """A first run writes the report whole, a lookback its days as a delta, so either computes it once."""
+        if start is None:
+            report.replace(rows)
+        else:
+            report.append_delta(rows)
+            report.tidy(self.max_deltas)
 
     def run_daily_sales(
         self, as_of: dt.date | None = None, full_refresh: bool = False, month_anchored: bool = True

@@ -1,7 +1,9 @@
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from tallyhouse.checks.compare import connect, difference
+from tallyhouse.checks.oracles import oracle_sql
+from tallyhouse.checks.queries import queries
 
 SF_DIR = "/root/testdata/sf0.001"
 

@@ -14,22 +14,22 @@ def put(folder, name, *rows):
 
 
 def first_drop(inbox):
-    """Four files: sales and stores, each with and without a header line."""
+    """Two sales files, the second under a header line, and two store lists."""
     put(
         inbox,
-        "sales_20250111.csv",
-        "shop_1,t1,r1,2025-01-11 10:00:00,$150.50,s1,MANAGER",
-        "shop_1,t2,r2,2025-01-11 10:05:00,$50.00,s1,CLERK",
+        "sales_east_20250111.csv",
+        "kiosk_b,b-1,q1,2025-01-11 08:15:00,$12.25,web,LEAD",
+        "kiosk_a,a-1,q2,2025-01-11 08:40:00,$30.00,web,TEMP",
+        "kiosk_b,b-2,q3,2025-01-11 19:00:00,$7.75,web,TEMP",
     )
     put(
         inbox,
-        "sales_with_header_20250112.csv",
+        "weekend_sale_20250112.csv",
         "store_token,transaction_id,receipt_token,transaction_time,amount,source_id,user_role",
-        "shop_2,t3,7001,2025-01-12T09:30:00,150.50,1,manager",
-        "shop_2,t4,7002,2025-01-12T09:35:00,200.00,1,clerk",
+        "kiosk_c,c-1,41,2025-01-12T07:05:00,88.10,9,lead",
     )
-    put(inbox, "stores_no_header_20250112.csv", "G1,shop_8,Shop Eight", "G2,shop_9,Shop Nine")
-    put(inbox, "stores_with_header_20250112.csv", "store_group,store_token,store_name", "G3,shop_2,Shop Two")
+    put(inbox, "store_list_20250112.csv", "store_group,store_token,store_name", "North,kiosk_c,Kiosk at the pier")
+    put(inbox, "stores_closed_20250112.csv", "South,kiosk_x,Closed kiosk")
 
 
 def daily(warehouse):
@@ -49,11 +49,11 @@ def test_files_in_other_layouts_have_no_time_by_default(spark, tmp_path):
     warehouse.run(AS_OF)
     sales = warehouse.sales.read()
     assert sorted(tuples(sales, "amount", "transaction_time")) == [
-        (Decimal(a), None) for a in ("50.00", "150.50", "150.50", "200.00")
+        (Decimal(a), None) for a in ("7.75", "12.25", "30.00", "88.10")
     ]
-    assert warehouse.stores.read().count() == 3
+    assert warehouse.stores.read().count() == 2
     assert daily(warehouse) == [] and warehouse.top_stores.read().count() == 0
-    assert lifecycle(warehouse) == [(dt.date(2025, 1, 11), 2, 2, 0), (dt.date(2025, 1, 12), 3, 2, 1)]
+    assert lifecycle(warehouse) == [(dt.date(2025, 1, 11), 3, 3, 0), (dt.date(2025, 1, 12), 2, 1, 1)]
 
 
 def test_column_checks(spark, tmp_path):
@@ -70,7 +70,7 @@ def test_column_checks(spark, tmp_path):
         ("stores", "store_token", "not_null"): 0,
         ("stores", "store_token", "unique"): 0,
     }
-    for layer, duplicated in (("stage", 0), ("raw", 1)):
+    for layer, duplicated in (("stage", 0), ("raw", 1), (None, 0)):
         found = {r[:3]: r[3] for r in tuples(warehouse.check(layer), "table_name", "column_name", "check", "failures")}
         assert found == {**expected, ("stores", "store_token", "unique"): duplicated}
 
@@ -83,12 +83,14 @@ def test_incremental_runs(spark, tmp_path):
     warehouse.run(AS_OF)
     eleven, twelve, thirteen = (dt.date(2025, 1, d) for d in (11, 12, 13))
     first = [
-        (eleven, 1, Decimal("200.50"), Decimal("200.50"), "shop_1"),
-        (twelve, 1, Decimal("350.50"), Decimal("551.00"), "shop_2"),
+        (eleven, 2, Decimal("50.00"), Decimal("50.00"), "kiosk_a"),
+        (twelve, 1, Decimal("88.10"), Decimal("138.10"), "kiosk_c"),
     ]
     assert daily(warehouse) == first
-    top = warehouse.top_stores.read().orderBy("transaction_date")
-    assert tuples(top, "range_top_id", "store_token", "store_name") == [(1, "shop_1", None), (1, "shop_2", "Shop Two")]
+    top = warehouse.top_stores.read().orderBy("transaction_date", "range_top_id")
+    assert tuples(top, "range_top_id", "store_token", "store_name") == [
+        (1, "kiosk_a", None), (2, "kiosk_b", None), (1, "kiosk_c", "Kiosk at the pier"),
+    ]
 
     warehouse.run(AS_OF)
     assert daily(warehouse) == first
@@ -96,22 +98,22 @@ def test_incremental_runs(spark, tmp_path):
     put(
         inbox,
         "sales_20250113.csv",
-        "shop_1,t2,r2,20250111T100500.000,$60.00,s1,CLERK",
-        "shop_3,t5,r5,20250113T080000.000,$1.00,CLERK",
+        "kiosk_b,b-2,q3,20250111T190000.000,$27.75,web,TEMP",
+        "kiosk_d,d-1,q9,20250113T080000.000,$4.00,TEMP",
     )
-    put(inbox, "stores_20250113.csv", "G1,shop_1,Shop One")
+    put(inbox, "stores_20250113.csv", "North,kiosk_a,Kiosk by the lift")
     warehouse.land(str(inbox))
     warehouse.run(AS_OF)
     second = [
-        (eleven, 1, Decimal("210.50"), Decimal("210.50"), "shop_1"),
-        (twelve, 1, Decimal("350.50"), Decimal("561.00"), "shop_2"),
-        (thirteen, 1, Decimal("1.00"), Decimal("562.00"), "shop_3"),
+        (eleven, 2, Decimal("70.00"), Decimal("70.00"), "kiosk_b"),
+        (twelve, 1, Decimal("88.10"), Decimal("158.10"), "kiosk_c"),
+        (thirteen, 1, Decimal("4.00"), Decimal("162.10"), "kiosk_d"),
     ]
     assert daily(warehouse) == second
     # The corrected transaction now belongs to the newer batch.
-    assert lifecycle(warehouse) == [(eleven, 2, 1, 1), (twelve, 3, 2, 1), (thirteen, 2, 2, 0)]
+    assert lifecycle(warehouse) == [(eleven, 3, 2, 1), (twelve, 2, 1, 1), (thirteen, 2, 2, 0)]
     names = dict(tuples(warehouse.top_stores.read(), "store_token", "store_name"))
-    assert names == {"shop_1": "Shop One", "shop_2": "Shop Two", "shop_3": None}
+    assert names == {"kiosk_a": "Kiosk by the lift", "kiosk_b": None, "kiosk_c": "Kiosk at the pier", "kiosk_d": None}
     before = [daily(warehouse), lifecycle(warehouse), sorted(tuples(warehouse.sales.read()))]
     warehouse.drop_merged_runs()
     assert [daily(warehouse), lifecycle(warehouse), sorted(tuples(warehouse.sales.read()))] == before
@@ -152,3 +154,19 @@ def test_a_day_that_a_correction_empties(spark, tmp_path):
     assert days == [10, 11, 12, 13, 14, 16, 17, 18, 19, 20]
     warehouse.run(AS_OF, full_refresh=True)
     assert 15 not in {r[0].day for r in daily(warehouse)}
+
+
+def test_more_new_days_than_a_full_report_holds(spark, tmp_path):
+    """Sixty days landed at once all reach both reports; a full refresh keeps the newest forty."""
+    inbox = tmp_path / "inbox"
+    warehouse = Warehouse(spark, str(tmp_path / "wh"))
+    days = [dt.date(2025, 1, 1) + dt.timedelta(days=k) for k in range(63)]
+    lines = [f"a,t{d},r,{d:%Y%m%d}T100000.000,1.00,s,c" for d in days]
+    for part in (range(3), range(3, 63)):
+        for k in part:
+            put(inbox, f"sales_{days[k]:%Y%m%d}.csv", lines[k])
+        warehouse.land(str(inbox))
+        warehouse.run(AS_OF)
+    assert [r[0] for r in daily(warehouse)] == days and [r[0] for r in lifecycle(warehouse)] == days
+    warehouse.run(AS_OF, full_refresh=True)
+    assert [r[0] for r in daily(warehouse)] == days[-40:] and [r[0] for r in lifecycle(warehouse)] == days[-40:]
