@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+import itertools
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,18 +24,25 @@ from tallyhouse.operators.landing import (
     LOADED,
     REJECTED,
     archive_rows,
+    describe_files,
     good_lines,
     ingest_log,
     sales_rows,
     stores_rows,
 )
-from tallyhouse.session import path_exists
-from tallyhouse.sources.lines import list_files, read_lines
+from tallyhouse.session import delete_matching, move_path, path_exists
+from tallyhouse.sources.lines import exact_path, list_files, read_lines, read_multiline
 from tallyhouse.sources.raw import append_batch, append_raw
 
 # Files per landing batch; it bounds what a batch broadcasts.
 MAX_FILES = BROADCAST_FILES
 
+# Times that a listing starts anew because a file went meanwhile.
+LISTINGS = 5
+
+# What Spark says of a file that has gone or cannot be read.
+UNREADABLE = ("FAILED_READ_FILE", "PATH_NOT_FOUND", "FileNotFoundException", "ZipException", "EOFException")
+
 INGEST_LOG = StructType(
     [
         StructField("file_path", StringType()),
@@ -87,11 +96,12 @@ def land(
     """
     spark = lines.sparkSession
     lines = lines.filter(in_inbox(F.col("file_path")))
-    log_path = f"{root}/ingest_log"
-    append_batch(ingest_log(lines, run_date), log_path, ingest_batch, [])
+    append_batch(ingest_log(lines, run_date), f"{root}/ingest_log", ingest_batch, [])
+    log_path = f"{root}/ingest_log/ingest_batch={ingest_batch}"
     if not path_exists(spark, log_path):
         return spark.createDataFrame([], INGEST_LOG)
-    log = spark.read.schema(INGEST_LOG).parquet(log_path).filter(F.col("ingest_batch") == ingest_batch)
+    own = StructType(INGEST_LOG.fields[:-1])
+    log = spark.read.schema(own).parquet(log_path).withColumn("ingest_batch", F.lit(ingest_batch))
     feeds = {row[0] for row in log.filter(F.col("status") == LOADED).select("file_type").distinct().collect()}
     for feed, table, rows in (
         (TRANSACTIONS, "sales", sales_rows),
@@ -113,10 +123,9 @@ def read_ledger(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(LEDGER).parquet(path)
 
 
-def new_files(spark: SparkSession, inbox: str, root: str) -> DataFrame:
+def new_files(listing: DataFrame, root: str) -> DataFrame:
     """Listed files that no batch has taken: new names, and known names with changed content."""
-    listing = list_files(spark, inbox)
-    known = read_ledger(spark, root).select("path", "length", "file_modified_at")
+    known = read_ledger(listing.sparkSession, root).select("path", "length", "file_modified_at")
     return listing.join(known, ["path", "length", "file_modified_at"], "left_anti")
 
 
@@ -128,42 +137,120 @@ def land_files(
     archive: bool = False,
     max_files: int = MAX_FILES,
     strict: bool = False,
+    move_to: str | None = None,
+    multiline: bool = False,
 ) -> list[str]:
     """Land everything new in the inbox, in batches of at most `max_files`, and name the batches.
 
-    The file list and the load time of a batch are noted before it starts and marked done after,
+    The inbox is listed once. The file list and the load time of a batch are noted before it starts and marked done after,
     so a run that dies is taken up by the next one with the same files and the same load time.
-    `strict` raises once all batches are through if a file was rejected.
+    A file that has gone or cannot be read is turned away in the log, and the others of its batch land without it.
+    `strict` raises once all batches are through if a file was rejected. `move_to` is a folder on the same file
+    system that landed files are moved to, below the name of their batch. `multiline` reads files whose quoted
+    fields may hold line breaks, each in one task.
     """
     check_inbox(inbox)
+    _plan_new(spark, inbox, root, max_files)
+    read = read_multiline if multiline else read_lines
     landed = []
-    while True:
-        batch = _open_batch(spark, root) or _plan_batch(spark, inbox, root, max_files)
-        if batch is None:
-            break
-        ingest_batch, loaded_at = batch
-        files = read_ledger(spark, root).filter(
+    for ingest_batch, loaded_at in _open_batches(spark, root):
+        planned = read_ledger(spark, root).filter(
             (F.col("ingest_batch") == ingest_batch) & (F.col("state") == "planned")
         )
-        paths = [row.path for row in files.select("path").collect()]
-        land(read_lines(spark, paths, loaded_at), root, ingest_batch, run_date, archive, max_files)
+        paths = sorted({row.path for row in planned.select("path").collect()})
+        here = [path for path in paths if path_exists(spark, path)]
+        gone = sorted(set(paths) - set(here))
+        _turn_away(spark, root, gone, "missing", f"{ingest_batch}-missing", run_date)
+
+        def land_paths(paths: list[str], label: str) -> None:
+            lines = read(spark, [exact_path(path) for path in paths], loaded_at)  # noqa: B023
+            land(lines, root, label, run_date, archive, max_files)
+
+        _land_readable(spark, root, here, ingest_batch, land_paths, run_date)
         _note(spark, root, [(None, None, None, loaded_at, "done", ingest_batch)])
+        if move_to is not None:
+            _move_landed(spark, root, ingest_batch, move_to)
         landed.append(ingest_batch)
     if strict:
         _raise_rejected(spark, root, landed)
     return landed
 
 
+def _is_unreadable(error: Exception) -> bool:
+    return any(sign in str(error) for sign in UNREADABLE)
+
+
+def _land_readable(
+    spark: SparkSession,
+    root: str,
+    paths: list[str],
+    label: str,
+    land_paths: Callable[[list[str], str], None],
+    run_date: dt.date | None,
+) -> None:
+    """Land the files together; if one cannot be read, halve the list until it stands alone."""
+    if not paths:
+        return
+    try:
+        land_paths(paths, label)
+        return
+    except Exception as error:
+        if not _is_unreadable(error):
+            raise
+    for table in ("ingest_log", "raw/sales/*", "raw/stores/*", "history/*/*/*/*"):
+        delete_matching(spark, root, f"{table}/ingest_batch={label}")
+    if len(paths) == 1:
+        reason = "unreadable" if path_exists(spark, paths[0]) else "missing"
+        _turn_away(spark, root, paths, reason, label, run_date)
+        return
+    half = len(paths) // 2
+    _land_readable(spark, root, paths[:half], f"{label}-0", land_paths, run_date)
+    _land_readable(spark, root, paths[half:], f"{label}-1", land_paths, run_date)
+
+
+def _turn_away(
+    spark: SparkSession, root: str, paths: list[str], reason: str, label: str, run_date: dt.date | None
+) -> None:
+    """Log files none of whose lines could be read."""
+    if not paths:
+        return
+    files = describe_files(spark.createDataFrame([(path,) for path in paths], "file_path string"), run_date)
+    none = F.lit(0).cast("long")
+    values = {
+        "file_modified_at": F.lit(None).cast("timestamp_ntz"),
+        "line_count": none,
+        "bad_line_count": none,
+        "error": F.lit(reason),
+        "status": F.lit(REJECTED),
+        "row_count": none,
+    }
+    log = files.withColumns(values).select(*INGEST_LOG.fieldNames()[:-1])
+    append_batch(log, f"{root}/ingest_log", label, [])
+
+
+def _batch_log(spark: SparkSession, root: str, batches: list[str]) -> DataFrame:
+    """The log of some batches and of the parts they were halved into."""
+    log = spark.read.schema(INGEST_LOG).parquet(f"{root}/ingest_log")
+    return log.filter(F.substring_index("ingest_batch", "-", 2).isin(batches))
+
+
+def _move_landed(spark: SparkSession, root: str, ingest_batch: str, folder: str) -> None:
+    """Move the landed files of a batch, at most as many as a batch has, out of the inbox."""
+    if not path_exists(spark, f"{root}/ingest_log"):
+        return
+    landed = _batch_log(spark, root, [ingest_batch]).filter(F.col("status") == LOADED)
+    for row in landed.select("file_path").distinct().collect():
+        move_path(spark, row.file_path, f"{folder}/{ingest_batch}/{row.file_path.rpartition('inbox/')[2]}")
+
+
 def _raise_rejected(spark: SparkSession, root: str, batches: list[str]) -> None:
-    path = f"{root}/ingest_log"
-    if not batches or not path_exists(spark, path):
+    if not batches or not path_exists(spark, f"{root}/ingest_log"):
         return
-    log = spark.read.schema(INGEST_LOG).parquet(path)
-    rejected = log.filter(F.col("ingest_batch").isin(batches) & (F.col("status") == REJECTED))
+    rejected = _batch_log(spark, root, batches).filter(F.col("status") == REJECTED)
     count = rejected.count()
     if count:
         some = "; ".join(f"{r.file_path}: {r.error}" for r in rejected.orderBy("file_path").limit(20).collect())
-        raise RejectedFiles(f"{count} files rejected: {some}")
+        raise RejectedFiles(f"{count} files rejected, all in the ingest log, the first 20 here: {some}")
 
 
 def _note(spark: SparkSession, root: str, rows: list[tuple]) -> None:
@@ -171,26 +258,38 @@ def _note(spark: SparkSession, root: str, rows: list[tuple]) -> None:
     entry.write.mode("append").parquet(f"{root}/ledger")
 
 
-def _open_batch(spark: SparkSession, root: str) -> tuple[str, dt.datetime] | None:
-    """A batch that was planned and not finished."""
+def _open_batches(spark: SparkSession, root: str) -> list[tuple[str, dt.datetime]]:
+    """Batches that were planned and not finished, in the order of their load times."""
     ledger = read_ledger(spark, root)
     done = ledger.filter("state = 'done'").select("ingest_batch")
-    row = ledger.filter("state = 'planned'").join(done, "ingest_batch", "left_anti").first()
-    return (row.ingest_batch, row.loaded_at) if row else None
-
-
-def _plan_batch(
-    spark: SparkSession, inbox: str, root: str, max_files: int
-) -> tuple[str, dt.datetime] | None:
-    """Note the oldest new files as the next batch; the others wait for the batch after it."""
-    found = new_files(spark, inbox, root).orderBy("file_modified_at", "path").limit(max_files).collect()
-    if not found:
-        return None
-    loaded_at = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    ingest_batch = uuid.uuid4().hex
-    _note(
-        spark,
-        root,
-        [(f.path, f.length, f.file_modified_at, loaded_at, "planned", ingest_batch) for f in found],
-    )
-    return ingest_batch, loaded_at
+    rows = ledger.filter("state = 'planned'").join(done, "ingest_batch", "left_anti")
+    return [tuple(r) for r in rows.select("ingest_batch", "loaded_at").distinct().orderBy("loaded_at", "ingest_batch").collect()]
+
+
+def _plan_new(spark: SparkSession, inbox: str, root: str, max_files: int) -> None:
+    """Plan all new files of one listing; a file that goes while it is listed makes it start anew."""
+    for attempt in itertools.count():
+        try:
+            return _plan_batches(list_files(spark, inbox), root, max_files)
+        except Exception as error:
+            if attempt == LISTINGS or not _is_unreadable(error):
+                raise
+
+
+def _plan_batches(listing: DataFrame, root: str, max_files: int) -> None:
+    """Note all new files as batches, the oldest first; a batch at a time passes through the driver.
+
+    Load times grow from batch to batch and never fall behind an earlier run's, whatever the clock says.
+    """
+    spark = listing.sparkSession
+    newest = read_ledger(spark, root).agg(F.max("loaded_at")).first()[0]
+    found = new_files(listing, root).orderBy("file_modified_at", "path").toLocalIterator()
+    run, tick = uuid.uuid4().hex, dt.timedelta(microseconds=1)
+    for k in itertools.count():
+        files = list(itertools.islice(found, max_files))
+        if not files:
+            return
+        now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+        newest = now if newest is None else max(now, newest + tick)
+        label = f"{run}-{k:06d}"
+        _note(spark, root, [(f.path, f.length, f.file_modified_at, newest, "planned", label) for f in files])

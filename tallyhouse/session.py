@@ -51,11 +51,15 @@ def build_session(app: str = "tallyhouse", master: str | None = None, **settings
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new folder for intermediate tables and checkpoints.
 
-    It lies in the shared folder named by `spark.checkpoint.dir`. Only a session without that
-    setting (a local test) gets a temporary folder of its own.
+    It lies in the shared folder named by `spark.checkpoint.dir`. A session without that setting
+    gets a temporary folder of its own if it runs in one process; a cluster has to name a folder, as each
+    executor would write to a disk of its own.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
+        master = spark.conf.get("spark.master", "")
+        if master != "local" and not master.startswith("local["):
+            raise ValueError(f"spark.checkpoint.dir has to name a shared folder on {master or 'a cluster'}")
         shared = tempfile.mkdtemp(prefix="tallyhouse-")
     return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
@@ -78,6 +82,21 @@ def child_names(spark: SparkSession, path: str, pattern: str) -> list[str]:
     return sorted(status.getPath().getName() for status in found or [])
 
 
+def delete_matching(spark: SparkSession, path: str, pattern: str) -> None:
+    """Delete what a glob below a folder of this package finds."""
+    file_system, _ = _file_system(spark, path)
+    for status in file_system.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{pattern}")) or []:
+        file_system.delete(status.getPath(), True)
+
+
+def move_path(spark: SparkSession, source: str, target: str) -> bool:
+    """Move a file to another name on the same file system; False if that did not work."""
+    file_system, old = _file_system(spark, source)
+    new = spark._jvm.org.apache.hadoop.fs.Path(target)
+    file_system.mkdirs(new.getParent())
+    return file_system.rename(old, new)
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Delete a folder of a table this package wrote."""
     file_system, target = _file_system(spark, path)

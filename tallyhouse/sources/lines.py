@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
 from tallyhouse.functions.clock import clock_literal, utc_clock
 
@@ -15,12 +15,23 @@ def _with_lineage(text: DataFrame, loaded_at: dt.datetime | None) -> DataFrame:
     now = clock_literal(loaded_at) if loaded_at else utc_clock(F.current_timestamp())
     return text.select(
         "value",
-        F.col("_metadata.file_path").alias("file_path"),
+        _plain_path(F.col("_metadata.file_path")).alias("file_path"),
         utc_clock(F.col("_metadata.file_modification_time")).alias("file_modified_at"),
         now.alias("loaded_at"),
     )
 
 
+def _plain_path(path: Column) -> Column:
+    """The name as it is in the folder; the lineage column writes blanks and other characters as %20 and the like."""
+    decoded = F.try_url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    return F.when(path.contains("%"), F.coalesce(decoded, path)).otherwise(path)
+
+
+def exact_path(path: str) -> str:
+    """A path that a reader takes for itself and not for a pattern."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
+
+
 def list_files(spark: SparkSession, inbox: str) -> DataFrame:
     """Files below the inbox: `path`, `length`, `file_modified_at`. File contents are not read."""
     return (
@@ -54,20 +65,18 @@ def stream_lines(spark: SparkSession, inbox: str, max_files: int = 1000, **optio
     return _with_lineage(text, None)
 
 
-def read_multiline_csv(spark: SparkSession, paths: str | list[str], width: int) -> DataFrame:
-    """Fields c1..cN of files whose quoted fields may hold line breaks.
+# A record: fields as `is_bad_line` has them, whose quotes may hold line breaks, or else a line as it is.
+_QUOTED = r'"[^"]*+(?:""[^"]*+)*+"'
+_FIELD = rf'(?:{_QUOTED}|(?!")[^,\n]*+)'
+_RECORD = rf"((?:{_FIELD}(?:,{_FIELD})*+(?=\n|\z))|[^\n]++)(?:\n|\z)"
+
 
-    Such a file cannot be split over tasks, so this reader is opt-in and meant for small files.
+def read_multiline(spark: SparkSession, paths: str | list[str], loaded_at: dt.datetime | None = None) -> DataFrame:
+    """Records of files whose quoted fields may hold line breaks, in the columns of `read_lines`.
+
+    Such a file cannot be split over tasks, so this reader is opt-in and meant for small files. Empty lines are passed over.
     """
-    schema = StructType([StructField(f"c{i}", StringType()) for i in range(1, width + 1)])
-    rows = (
-        spark.read.schema(schema)
-        .options(escape='"', multiLine="true", mode="PERMISSIVE", recursiveFileLookup="true")
-        .csv(paths)
-    )
-    return rows.select(
-        *schema.fieldNames(),
-        F.col("_metadata.file_path").alias("file_path"),
-        utc_clock(F.col("_metadata.file_modification_time")).alias("file_modified_at"),
-        utc_clock(F.current_timestamp()).alias("loaded_at"),
-    )
+    text = spark.read.option("recursiveFileLookup", "true").text(paths, wholetext=True)
+    whole = F.replace(F.col("value"), F.lit("\r\n"), F.lit("\n"))
+    records = _with_lineage(text, loaded_at).withColumn("value", F.explode(F.regexp_extract_all(whole, F.lit(_RECORD), F.lit(1))))
+    return records.filter(F.col("value") != "")

@@ -1,4 +1,5 @@
 import datetime as dt
+import gzip
 import os
 import time
 
@@ -12,13 +13,14 @@ from tallyhouse.operators.landing import (
     file_counts,
     good_lines,
     ingest_log,
+    is_bad_line,
     sales_rows,
     stores_rows,
 )
 from tallyhouse.plans import landing
 from tallyhouse.plans.landing import INGEST_LOG, RejectedFiles, land_files, read_ledger
 from tallyhouse.schemas import RAW_SALES, RAW_STORES, create_raw_tables
-from tallyhouse.sources.lines import read_multiline_csv
+from tallyhouse.sources.lines import read_multiline
 from tallyhouse.sources.raw import read_raw
 from tallyhouse.streaming.ingest import start_ingest
 
@@ -132,7 +134,7 @@ def test_strict_landing_raises_after_the_good_files(spark, tmp_path):
     inbox, root = tmp_path / "inbox", str(tmp_path / "wh")
     put(inbox, "sales_20250111.csv", "A,x1,r1,t,1,clerk")
     put(inbox, "sales_99999999.csv", "A,x2,r1,t,1,clerk")
-    with pytest.raises(RejectedFiles, match="1 files rejected: .*sales_99999999.csv: no valid batch date"):
+    with pytest.raises(RejectedFiles, match="1 files rejected, .*sales_99999999.csv: no valid batch date"):
         land_files(spark, str(inbox), root, TODAY, strict=True)
     assert read_raw(spark, f"{root}/raw/sales", RAW_SALES).count() == 1
     log = spark.read.schema(INGEST_LOG).parquet(f"{root}/ingest_log")
@@ -202,11 +204,87 @@ def test_a_batch_that_dies_is_finished_by_the_next_run(spark, tmp_path, monkeypa
 
 def test_multiline_reader_is_opt_in(spark, tmp_path):
     put(tmp_path, "inbox/sales_20250111.csv", 'A,x1,"two', 'lines",t,1,s,clerk', 'B,x2,"say ""hi""",t,1,clerk')
-    rows = read_multiline_csv(spark, str(tmp_path / "inbox"), 7)
-    assert sorted(tuples(rows, "c1", "c3", "c6", "c7")) == [
+    assert land_files(spark, str(tmp_path / "inbox"), str(tmp_path / "by_line"), TODAY)
+    assert names(spark, str(tmp_path / "by_line")) == {("sales_20250111.csv", "rejected")}
+    land_files(spark, str(tmp_path / "inbox"), str(tmp_path / "wh"), TODAY, multiline=True)
+    sales = read_raw(spark, str(tmp_path / "wh/raw/sales"), RAW_SALES)
+    assert sorted(tuples(sales, "store_token", "receipt_token", "source_id", "user_role")) == [
         ("A", "two\nlines", "s", "clerk"),
-        ("B", 'say "hi"', "clerk", None),
+        ("B", 'say "hi"', None, "clerk"),
     ]
+    odd = ['5" pipe,x,"a', '', 'b",y', '"open,z', "", '"q"tail,w', "last"]
+    put(tmp_path, "odd/inbox/sales_20250112.csv", *odd)
+    found = [r[0] for r in tuples(read_multiline(spark, str(tmp_path / "odd/inbox")), "value")]
+    assert found == ['5" pipe,x,"a\n\nb",y', '"open,z', '"q"tail,w', "last"]
+
+
+def test_quotes_are_judged_as_the_parser_does(spark):
+    good = ['a,5" pipe,x', 'a,"x, ""y""",z', '""', '"",""', "", ",", 'a, "b', '"a\nb",c', "é," + "x" * 5000 + "," * 3000]
+    bad = ['"', 'a,"x', '"s2"x', 'G,"s2"x,name', '"a""', 'a,"b" ,c']
+    for values, count in ((good, 0), (bad, len(bad))):
+        assert lines(spark, values).filter(is_bad_line(F.col("value"))).count() == count
+
+
+def test_one_file_does_not_stop_the_others(spark, tmp_path, monkeypatch):
+    """A damaged file, one that goes while the batch is open, and one with a name that reads as a pattern."""
+    inbox, root = tmp_path / "inbox", str(tmp_path / "wh")
+    put(inbox, "sales_20250111.csv", "A,good,r1,t,1,clerk")
+    put(inbox, "sales_20250111[1].csv", "A,pattern,r1,t,1,clerk")
+    put(inbox, "sales {20250112}*.csv", "A,braces,r1,t,1,clerk")
+    put(inbox, "sales 20250113+%41.csv", "A,blank,r1,t,1,clerk")
+    whole = gzip.compress(b"A,damaged,r1,t,1,clerk\n" * 1000)
+    (inbox / "sales_20250114.csv.gz").write_bytes(whole[: len(whole) // 2])
+    gone = put(inbox, "sales_20250115.csv", "A,gone,r1,t,1,clerk")
+    plan = landing._plan_batches
+
+    def plan_and_lose(listing, *rest):
+        plan(listing, *rest)
+        gone.unlink()
+
+    monkeypatch.setattr(landing, "_plan_batches", plan_and_lose)
+    assert len(land_files(spark, str(inbox), root, TODAY)) == 1
+    sales = read_raw(spark, f"{root}/raw/sales", RAW_SALES)
+    assert sorted(tuples(sales, "transaction_id", "batch_date")) == [
+        ("blank", dt.date(2025, 1, 13)), ("braces", dt.date(2025, 1, 12)), ("good", dt.date(2025, 1, 11)), ("pattern", dt.date(2025, 1, 11)),
+    ]
+    log = spark.read.schema(INGEST_LOG).parquet(f"{root}/ingest_log")
+    errors = {r[0].split("/")[-1]: r[1] for r in tuples(log.filter("error IS NOT NULL"), "file_path", "error")}
+    assert errors == {"sales_20250114.csv.gz": "unreadable", "sales_20250115.csv": "missing"}
+    assert log.count() == 6
+    paths = {r[0] for r in tuples(read_ledger(spark, root).filter("state = 'planned'"), "path")}
+    assert {r[0] for r in tuples(sales, "source_filename")} <= paths
+    monkeypatch.setattr(landing, "_plan_batches", plan)
+    assert land_files(spark, str(inbox), root, TODAY) == []
+    assert read_raw(spark, f"{root}/raw/sales", RAW_SALES).count() == 4
+
+
+def test_a_planned_file_that_is_gone_at_the_next_run(spark, tmp_path, monkeypatch):
+    inbox, root = tmp_path / "inbox", str(tmp_path / "wh")
+    lost = put(inbox, "sales_20250111.csv", "A,x1,r1,t,1,clerk")
+    put(inbox, "sales_20250112.csv", "A,x2,r1,t,1,clerk")
+
+    def die(*_):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(landing, "land", die)
+    with pytest.raises(RuntimeError):
+        land_files(spark, str(inbox), root, TODAY)
+    monkeypatch.undo()
+    lost.unlink()
+    assert len(land_files(spark, str(inbox), root, TODAY)) == 1
+    assert names(spark, root) == {("sales_20250111.csv", "rejected"), ("sales_20250112.csv", "loaded")}
+
+
+def test_landed_files_can_leave_the_inbox(spark, tmp_path):
+    inbox, root = tmp_path / "inbox", str(tmp_path / "wh")
+    put(inbox, "sales_20250111.csv", "A,x1,r1,t,1,clerk")
+    put(inbox, "sub/sales 20250112.csv", "A,x2,r1,t,1,clerk")
+    put(inbox, "sales_99999999.csv", "A,x3,r1,t,1,clerk")
+    (batch,) = land_files(spark, str(inbox), root, TODAY, move_to=str(tmp_path / "done"))
+    left = {p.name for p in inbox.rglob("*.csv")}
+    assert left == {"sales_99999999.csv"}
+    assert (tmp_path / "done" / batch / "sub" / "sales 20250112.csv").read_text() == "A,x2,r1,t,1,clerk\n"
+    assert land_files(spark, str(inbox), root, TODAY) == []
 
 
 def test_load_time_is_utc_wherever_the_session_is(spark, tmp_path, zone):

@@ -1,5 +1,7 @@
 import datetime as dt
 
+import pytest
+
 from helpers import at, raw_sales, tuples
 from tallyhouse.schemas import RAW_SALES
 from tallyhouse.session import child_names, scratch_dir, sizing
@@ -25,6 +27,17 @@ def test_scratch_lies_in_the_shared_folder(spark, monkeypatch, tmp_path):
         assert folder.startswith(shared.rstrip("/") + "/x-")
 
 
+def test_a_cluster_has_to_name_a_shared_folder():
+    class Settings:
+        def __init__(self, **values):
+            self.conf = {k.replace("_", "."): v for k, v in values.items()}
+
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]", ""):
+        with pytest.raises(ValueError):
+            scratch_dir(Settings(spark_master=master), "x")
+    assert "/x-" in scratch_dir(Settings(spark_master="local[4]"), "x")
+
+
 def test_raw_folders_of_old_loads_are_not_listed(spark, tmp_path):
     path = str(tmp_path / "raw")
     assert read_raw(spark, path, RAW_SALES).count() == 0
