@@ -18,11 +18,11 @@ import datetime as dt
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, LongType, StringType, StructField, StructType, TimestampNTZType
+from pyspark.sql.types import ArrayType, DateType, LongType, StringType, StructField, StructType, TimestampNTZType
 
-from tallyhouse.operators.dedup import keep_latest
+from tallyhouse.operators.dedup import keep_latest, latest_first
 from tallyhouse.operators.incremental import upsert
 from tallyhouse.session import child_names, delete_path, path_exists
 
@@ -33,6 +33,7 @@ COMMIT = StructType(
         StructField("label", StringType()),
         StructField("row_count", LongType()),
         StructField("high_water", TimestampNTZType()),
+        StructField("months", ArrayType(DateType())),
     ]
 )
 
@@ -104,11 +105,30 @@ class VersionedTable:
             return self.spark.createDataFrame([], self.schema)
         base = self._base(live[0].seq, since)
         if len(live) == 1:
-            return base
+            return base.drop(self.month_column or "")
         deltas = self._deltas([commit.seq for commit in live[1:]])
-        current = upsert(base, deltas, self.keys, self.null_safe_keys)
+        months = self._months(live[1:])
+        if months is None:
+            current = upsert(base.drop(self.month_column or ""), deltas, self.keys, self.null_safe_keys)
+        else:
+            hit = F.coalesce(self._in_months(months), F.lit(False))
+            older = base.filter(hit).drop(self.month_column)
+            current = upsert(older, deltas, self.keys, self.null_safe_keys)
+            current = current.unionByName(base.filter(~hit).drop(self.month_column))
         return current if since is None else current.filter(F.col(self.month_of) >= F.lit(since))
 
+    def _in_months(self, months: list[dt.date | None]) -> Column:
+        month = F.col(self.month_column)
+        dated = [F.lit(day) for day in months if day is not None]
+        found = month.isin(*dated) if dated else F.lit(False)
+        return found | month.isNull() if None in months else found
+
+    def _months(self, deltas: list[Row]) -> list[dt.date | None] | None:
+        """Month folders of the base that hold older versions of the deltas' rows; None if that is not known."""
+        if not self.month_of or any(delta.months is None for delta in deltas):
+            return None
+        return sorted({day for delta in deltas for day in delta.months}, key=lambda day: (day is not None, day))
+
     def _base(self, seq: int, since: dt.date | None) -> DataFrame:
         path = f"{self.path}/runs/seq={seq}"
         if not self.month_of:
@@ -119,7 +139,7 @@ class VersionedTable:
             rows = rows.filter(
                 (F.col(self.month_column) >= F.lit(since.replace(day=1))) & (F.col(self.month_of) >= F.lit(since))
             )
-        return rows.drop(self.month_column)
+        return rows
 
     def _deltas(self, seqs: list[int]) -> DataFrame:
         """Newest row per key over the deltas; rows with a NULL key replace nothing and all stay."""
@@ -139,9 +159,49 @@ class VersionedTable:
         return self._commit(rows, "base", label, self.state())
 
     def append_delta(self, rows: DataFrame, label: str = "delta") -> int:
-        """Commit rows, one per key, that replace older rows of the same key."""
+        """Commit rows, one per key, that replace older rows of the same key.
+
+        With a high-water column, rows that are older than what the table holds under their key are left out, so runs may
+        come in any order: the newest load wins, as in a full run.
+        """
         state = self.state()
-        return self._commit(rows, "base" if state.base is None else "delta", label, state)
+        if state.base is None:
+            return self._commit(rows, "base", label, state)
+        if not self.high_water_column and not self.month_of:
+            return self._commit(rows, "delta", label, state)
+        staged = f"{self.path}/staged"
+        rows.select(*self.schema.fieldNames()).write.mode("overwrite").parquet(staged)
+        rows = self.spark.read.schema(self.schema).parquet(staged)
+        months = self._touched_months(rows, state.base) if self.month_of else None
+        if self.high_water_column:
+            rows = self._newer(rows)
+        count = self._commit(rows, "delta", label, state, months)
+        delete_path(self.spark, staged)
+        return count
+
+    def _same_keys(self, rows: DataFrame) -> tuple[DataFrame, Column]:
+        """The keys of the rows under other names, and the condition that a row has one of them."""
+        keys = rows.select([F.col(k).alias(f"_key_{k}") for k in self.keys])
+        pairs = [(F.col(k), F.col(f"_key_{k}")) for k in self.keys]
+        return keys, reduce(lambda a, b: a & b, [a.eqNullSafe(b) if self.null_safe_keys else a == b for a, b in pairs])
+
+    def _touched_months(self, rows: DataFrame, base: int) -> list[dt.date | None]:
+        """Months of the base rows that share a key with the rows; only key columns are read."""
+        keys, same = self._same_keys(rows)
+        found = self._base(base, None).select(*self.keys, self.month_column).join(keys, same, "left_semi")
+        return [row[0] for row in found.select(self.month_column).distinct().collect()]
+
+    def _newer(self, rows: DataFrame) -> DataFrame:
+        """Rows that come before what the table holds under their key; equal ones count as newer."""
+        keys, same = self._same_keys(rows)
+        held = self.read().join(keys, same, "left_semi")
+        order = latest_first(rows, self.keys, self.high_water_column) + [F.desc("_sent")]
+        both = held.withColumn("_sent", F.lit(0)).unionByName(rows.withColumn("_sent", F.lit(1)))
+        if self.null_safe_keys:
+            return keep_latest(both, self.keys, order).filter("_sent = 1").drop("_sent")
+        whole = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in self.keys])
+        kept = keep_latest(both.filter(whole), self.keys, order).filter("_sent = 1").drop("_sent")
+        return kept.unionByName(rows.filter(~whole))
 
     def compact(self) -> None:
         """Fold the deltas into a new base; readers of the old files are not disturbed."""
@@ -157,7 +217,7 @@ class VersionedTable:
             self.compact()
         else:
             merged = self._deltas([delta.seq for delta in deltas])
-            self._commit(merged, "merged", "tidy", self.state())
+            self._commit(merged, "merged", "tidy", self.state(), self._months(deltas))
 
     def drop_merged_runs(self) -> list[int]:
         """Delete the files of runs that no longer count; readers of those must be done."""
@@ -169,7 +229,9 @@ class VersionedTable:
             delete_path(self.spark, f"{self.path}/runs/seq={seq}")
         return old
 
-    def _commit(self, rows: DataFrame, kind: str, label: str, state: Row) -> int:
+    def _commit(
+        self, rows: DataFrame, kind: str, label: str, state: Row, months: list[dt.date | None] | None = None
+    ) -> int:
         seq = 0 if state.last is None else state.last + 1
         run = f"{self.path}/runs/seq={seq}"
         laid_out = self._laid_out(rows.select(*self.schema.fieldNames()), kind)
@@ -180,7 +242,7 @@ class VersionedTable:
         row_count, mark = self._written(run)
         if kind == "delta" and not row_count:
             return 0
-        entry = self.spark.createDataFrame([(seq, kind, label, row_count, mark)], COMMIT)
+        entry = self.spark.createDataFrame([(seq, kind, label, row_count, mark, months)], COMMIT)
         entry.coalesce(1).write.mode("append").parquet(f"{self.path}/commits")
         return row_count
 

@@ -3,6 +3,7 @@ import itertools
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from helpers import at, raw_sales, staged, tuples
 from tallyhouse.operators.incremental import high_water_filter, high_water_mark, lookback_start, since, upsert
@@ -163,11 +164,51 @@ def test_empty_table_and_empty_delta(spark, tmp_path):
 def test_corrected_row_that_left_the_range_hides_its_old_version(spark, tmp_path):
     table = VersionedTable(spark, f"{tmp_path}/t", STAGE_SALES, SALES_KEYS, "loaded_at", "transaction_time")
     table.append_delta(staged(spark, [("a", "1", "2021-03-05T10:00", 1), ("a", "2", "2021-03-06T10:00", 1)]))
-    table.append_delta(staged(spark, [("a", "1", "2021-01-05T10:00", 1)]))
+    table.append_delta(later(staged(spark, [("a", "1", "2021-01-05T10:00", 1)])))
     assert tuples(table.read(dt.date(2021, 3, 1)), "transaction_id") == [("2",)]
     assert table.read().count() == 2
 
 
+def later(rows, hours=1):
+    return rows.withColumn("loaded_at", F.col("loaded_at") + F.expr(f"INTERVAL {hours} HOURS"))
+
+
+def test_the_newest_load_wins_in_whatever_order_runs_come(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    table = VersionedTable(spark, path, STAGE_SALES, SALES_KEYS, "loaded_at", "transaction_time")
+    drops = [later(staged(spark, [("a", k, "2021-03-05T10:00", h) for k in keys]), h) for h, keys in ((2, "12"), (1, "123"), (4, "3"), (3, "34"))]
+    for drop in [*drops, drops[1]]:
+        table.append_delta(drop)
+    expected = {"1": 2, "2": 2, "3": 4, "4": 3}
+    assert {r[0]: int(r[1]) for r in tuples(table.read(), "transaction_id", "amount")} == expected
+    table.compact()
+    assert {r[0]: int(r[1]) for r in tuples(table.read(), "transaction_id", "amount")} == expected
+
+
+def test_months_without_new_versions_are_read_without_a_join(spark, tmp_path):
+    table = VersionedTable(spark, f"{tmp_path}/t", STAGE_SALES, SALES_KEYS, "loaded_at", "transaction_time")
+    times = ["2021-01-05T10:00", "2021-02-05T10:00", "2021-03-05T10:00", None]
+    table.append_delta(staged(spark, [("a", str(k), t, 1) for k, t in enumerate(times)]))
+    table.append_delta(later(staged(spark, [("a", "1", "2021-03-06T10:00", 2), ("a", "9", "2021-01-07T10:00", 2)])))
+    assert table.live_commits()[-1].months == [dt.date(2021, 2, 1)]
+    assert len(tuples(table.read())) == 5
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = table.read()._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    scans = [line for line in text.splitlines() if "PartitionFilters" in line and "transaction_time_month" in line]
+    assert len(scans) == 2 and text.count("Exchange") == 2  # the two sides of the join over February
+    table.append_delta(later(staged(spark, [("a", "3", "2021-05-06T10:00", 3)]), 2))
+    assert table.live_commits()[-1].months == [None]
+    rows = {r[0]: int(r[1]) for r in tuples(table.read(), "transaction_id", "amount")}
+    assert rows == {"0": 1, "1": 2, "2": 1, "3": 3, "9": 2}
+    table.tidy(1, share=9)
+    assert table.live_commits()[-1].kind == "merged" and table.live_commits()[-1].months == [None, dt.date(2021, 2, 1)]
+    assert {r[0]: int(r[1]) for r in tuples(table.read(), "transaction_id", "amount")} == rows
+
+
 def test_merged_runs_can_be_dropped(spark, tmp_path):
     table = VersionedTable(spark, f"{tmp_path}/t", STAGE_STORES, ["store_token"])
     rows = [spark.createDataFrame([(k, "g", "n", None, None)], STAGE_STORES) for k in ("a", "b")]
