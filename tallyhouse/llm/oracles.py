@@ -69,34 +69,34 @@ WITH rows_in AS (
   FROM written
 ), placed AS (
   SELECT *, coalesce(sum(tokens) OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, e_role, e_text
-                                       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS at
+                                       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos
   FROM counted
 ), windowed AS (
-  SELECT *, ceil((at + tokens) / 1536.0) - 1 AS w FROM placed
+  SELECT *, ceil((pos + tokens) / 1536.0) - 1 AS w FROM placed
 ), spans AS (
-  SELECT conv_id, w, min(at) AS first, max(at + tokens) AS after FROM windowed GROUP BY conv_id, w
+  SELECT conv_id, w, min(pos) AS first, max(pos + tokens) AS after FROM windowed GROUP BY conv_id, w
 ), chained AS (
   SELECT *, lead(w) OVER (PARTITION BY conv_id ORDER BY w) AS next_w FROM spans
 ), backwards AS (
-  SELECT *, row_number() OVER (PARTITION BY conv_id, w ORDER BY at DESC) AS back FROM windowed
+  SELECT *, row_number() OVER (PARTITION BY conv_id, w ORDER BY pos DESC) AS back FROM windowed
 ), history AS (
-  SELECT b.conv_id, c.next_w AS w, b.at, b.chars FROM backwards b JOIN chained c ON b.conv_id = c.conv_id AND b.w = c.w
-  WHERE b.back <= 2 AND c.after - b.at <= 512 AND c.next_w IS NOT NULL
+  SELECT b.conv_id, c.next_w AS w, b.pos, b.chars FROM backwards b JOIN chained c ON b.conv_id = c.conv_id AND b.w = c.w
+  WHERE b.back <= 2 AND c.after - b.pos <= 512 AND c.next_w IS NOT NULL
 ), systems AS (
-  SELECT conv_id, min(at) AS at, arg_min(chars, at) AS chars FROM windowed WHERE e_role = 'system' GROUP BY conv_id
+  SELECT conv_id, min(pos) AS pos, arg_min(chars, pos) AS chars FROM windowed WHERE e_role = 'system' GROUP BY conv_id
 ), begins AS (
-  SELECT s.conv_id, s.w, coalesce(min(h.at), min(s.first)) AS first
+  SELECT s.conv_id, s.w, coalesce(min(h.pos), min(s.first)) AS first
   FROM spans s LEFT JOIN history h ON s.conv_id = h.conv_id AND s.w = h.w GROUP BY s.conv_id, s.w
 ), repeated AS (
   SELECT conv_id, sum(chars) AS chars FROM (
     SELECT conv_id, chars FROM history
-    UNION ALL SELECT b.conv_id, s.chars FROM begins b JOIN systems s ON b.conv_id = s.conv_id AND s.at < b.first) r
+    UNION ALL SELECT b.conv_id, s.chars FROM begins b JOIN systems s ON b.conv_id = s.conv_id AND s.pos < b.first) r
   GROUP BY conv_id
 )
 SELECT p.conv_id, count(*) AS n_turns,
-       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY at)) AS turns_sha256,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY pos)) AS turns_sha256,
        CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
-       sha256(coalesce(string_agg(text, '' ORDER BY at) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       sha256(coalesce(string_agg(text, '' ORDER BY pos) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
        CAST(sum(p.chars) + coalesce(any_value(r.chars), 0) AS BIGINT) AS formatted_chars
 FROM placed p LEFT JOIN repeated r ON p.conv_id = r.conv_id GROUP BY p.conv_id
 """
