@@ -162,7 +162,8 @@ class VersionedTable:
         """Commit rows, one per key, that replace older rows of the same key.
 
         With a high-water column, rows that are older than what the table holds under their key are left out, so runs may
-        come in any order: the newest load wins, as in a full run.
+        come in any order: the newest load wins, as in a full run. If all of them are newer than any committed
+        row, as in runs by high-water mark, that needs no look at the table, whose rows are taken to have load times.
         """
         state = self.state()
         if state.base is None:
@@ -173,7 +174,7 @@ class VersionedTable:
         rows.select(*self.schema.fieldNames()).write.mode("overwrite").parquet(staged)
         rows = self.spark.read.schema(self.schema).parquet(staged)
         months = self._touched_months(rows, state.base) if self.month_of else None
-        if self.high_water_column:
+        if self.high_water_column and not self._all_newer(rows, state.high_water):
             rows = self._newer(rows)
         count = self._commit(rows, "delta", label, state, months)
         delete_path(self.spark, staged)
@@ -191,6 +192,10 @@ class VersionedTable:
         found = self._base(base, None).select(*self.keys, self.month_column).join(keys, same, "left_semi")
         return [row[0] for row in found.select(self.month_column).distinct().collect()]
 
+    def _all_newer(self, rows: DataFrame, mark: dt.datetime | None) -> bool:
+        first = rows.agg(F.min(self.high_water_column)).first()[0]
+        return mark is not None and first is not None and first > mark
+
     def _newer(self, rows: DataFrame) -> DataFrame:
         """Rows that come before what the table holds under their key; equal ones count as newer."""
         keys, same = self._same_keys(rows)
