@@ -35,7 +35,7 @@ CHUNKS = 13
 PLACES = 5
 SYMBOLS = CHUNKS * PLACES
 MAX_DISTANCE = 2 * CHUNKS - 1
-CENTRES = 3
+CENTRES = 2
 ROUNDS = 1
 #: Keys with as many members or more are compared in blocks of about BLOCK documents, others pair by pair.
 LARGE_KEY = 8
