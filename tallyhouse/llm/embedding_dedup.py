@@ -89,8 +89,51 @@ def _link_counts(members: DataFrame, threshold: float, dims: int) -> DataFrame:
     return cut.mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
 
 
+def _pairs(lists: DataFrame, threshold: float) -> DataFrame:
+    """(a, b): the entries that may reach the threshold, each pair once."""
+    pairs = lists.select("id", F.explode(F.arrays_zip("nbrs", "sims")).alias("e")).where(f"e.sims >= {threshold - SLACK}")
+    return pairs.select(F.least("id", "e.nbrs").alias("a"), F.greatest("id", "e.nbrs").alias("b")).distinct()
+
+
+def _full(lists: DataFrame, k: int, threshold: float) -> DataFrame:
+    """Lists of k entries that all may reach the threshold, so that further ones may be left out."""
+    return lists.where((F.size("nbrs") >= k) & (F.element_at("sims", -1) >= threshold - SLACK))
+
+
+def _joined(
+    lists: DataFrame, links: DataFrame, nodes: DataFrame, dims: int, scratch: Scratch, k: int, threshold: float
+) -> DataFrame:
+    """Components of the links and of those that full lists leave out.
+
+    A link that neither of its ends lists has a full list at both. So the nodes with full lists look for
+    neighbours once more, outside their component only, and those whose list is full again do so outside the
+    components this has joined. A list full of links has joined its component with another, so the components that
+    can still miss links at least halve each time.
+    """
+    components = scratch.write(connected_components(links, scratch), "components")
+    inside = _full(lists, k, threshold).select("id", "code", F.col("nbrs").alias("inside"))
+    while True:
+        full = inside.join(components, "id").select("id", "code", "component", "inside")
+        full = scratch.write(full, "full")
+        count, apart = full.agg(F.count("*"), F.count_distinct("component")).first()
+        if apart < 2:
+            return components
+        own = full.select("id", "component", "inside")
+        outer = neighbour_graph(full.select("id", "code"), count, dims, scratch, k, trees=4, rounds=6, least_change=0.02, inner=own)
+        more = scratch.write(_links(_pairs(outer, threshold), nodes, threshold), "links")
+        if more.isEmpty():
+            return components
+        links = links.unionByName(more)
+        components = scratch.write(connected_components(links, scratch), "components")
+        again = _full(outer, k, threshold).select("id", F.col("nbrs").alias("beyond"))
+        inside = full.join(again, "id").select("id", "code", F.concat(F.slice("inside", 1, k), F.slice("beyond", 1, k)).alias("inside"))
+
+
 def _recall(nodes: DataFrame, components: DataFrame, threshold: float, dims: int) -> float:
-    """Share of the links of a sample that lie inside the found components; the sample meets every vector."""
+    """Share of the links of a vector that lie inside its component, as a mean over those of a sample that have links.
+
+    The sample meets every vector. Each vector counts the same, so a large group does not outweigh the others.
+    """
     chosen = nodes.orderBy(F.xxhash64("id", F.lit("audit")), "id").limit(AUDIT).select("id", "raw").collect()
     sample = _unit(doubles(pa.array([bytes(r["raw"]) for r in chosen]), dims))
     own = np.array([r["id"] for r in chosen], dtype=np.int64)
@@ -106,8 +149,10 @@ def _recall(nodes: DataFrame, components: DataFrame, threshold: float, dims: int
     true = nodes.select("id", "raw").mapInArrow(run, "a long, b long")
     a = components.select(F.col("id").alias("a"), F.col("component").alias("ca"))
     b = components.select(F.col("id").alias("b"), F.col("component").alias("cb"))
-    met, total = true.join(a, "a", "left").join(b, "b", "left").agg(F.sum(F.expr("CAST(ca = cb AS int)")), F.count("*")).first()
-    return (met or 0) / total if total else 1.0
+    met = F.coalesce(F.expr("CAST(ca = cb AS int)"), F.lit(0))
+    each = true.join(a, "a", "left").join(b, "b", "left").groupBy("b").agg(F.avg(met).alias("met"))
+    mean = each.agg(F.avg("met")).first()[0]
+    return 1.0 if mean is None else mean
 
 
 def embedding_near_duplicates(
@@ -127,10 +172,11 @@ def embedding_near_duplicates(
     the smallest of their vectors counts for all. Shorter vectors count as ending in zeros. An empty
     table gives an empty result.
 
-    A list of k entries that all reach the threshold is saturated: there may be more. It is enlarged to
-    the whole component, whose links are counted in blocks, so no list grows with a group. An audit compares a
-    bounded sample with every vector; while fewer than `least_recall` of its links lie in the found
-    components, lists are doubled.
+    A list of k entries that all reach the threshold is full: there may be more. Its node looks for neighbours
+    outside its component until that list is not full, and the links of a component are counted in blocks, so no
+    list grows with a group. An audit compares a bounded sample with every vector; while the sampled vectors have
+    less than `least_recall` of their links in the found components on average, lists are doubled, and a
+    RuntimeError is raised if that does not help.
     """
     scratch = Scratch(table.sparkSession, "embedding-dedup")
     rows = vectors(table, id_column, vector_column)
@@ -142,13 +188,15 @@ def embedding_near_duplicates(
     codes = scratch.write(_codes(nodes, dims), "codes")
     components = None
     for attempt in range(4):
-        lists = neighbour_graph(codes, count, dims, scratch, k << attempt, trees=4, rounds=6, least_change=0.02)
-        pairs = lists.select("id", F.explode(F.arrays_zip("nbrs", "sims")).alias("e")).where(f"e.sims >= {threshold - SLACK}")
-        pairs = pairs.select(F.least("id", "e.nbrs").alias("a"), F.greatest("id", "e.nbrs").alias("b")).distinct()
-        links = scratch.write(_links(pairs, nodes, threshold), "links")
-        components = scratch.write(connected_components(links, scratch), "components")
-        if not count or _recall(nodes, components, threshold, dims) >= least_recall:
+        size = k << attempt
+        lists = neighbour_graph(codes, count, dims, scratch, size, trees=4, rounds=6, least_change=0.02)
+        links = scratch.write(_links(_pairs(lists, threshold), nodes, threshold), "links")
+        components = _joined(lists, links, nodes, dims, scratch, size, threshold)
+        recall = _recall(nodes, components, threshold, dims) if count else 1.0
+        if recall >= least_recall:
             break
+    else:
+        raise RuntimeError(f"an audit finds {recall:.3f} of the links with lists of {size}, less than {least_recall}")
     members = nodes.join(components, "id").select("component", "id", "raw", "copies")
     counts = _link_counts(members, threshold, dims)
     judged = nodes.join(components, "id", "left").join(counts, "id", "left").select(

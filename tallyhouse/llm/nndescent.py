@@ -152,7 +152,10 @@ def _cells(codes: DataFrame, trees: int, bits: int, dims: int) -> DataFrame:
 
 
 def _in_groups(k: int, limit_column: bool) -> Callable:
-    """The join of the members of each group; rows are (group, part, id, code[, limit, fresh])."""
+    """The join of the members of each group; rows are (group, part, id, code[, limit, fresh[, component]]).
+
+    Members of one component are not joined with one another.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_groups(batches, 2):
@@ -162,6 +165,7 @@ def _in_groups(k: int, limit_column: bool) -> Callable:
             units = decode(table.column(3).to_pylist())
             limits = table.column(4).to_numpy() if limit_column else np.full(len(ids), -2, dtype=np.float32)
             fresh = table.column(5).to_numpy() if limit_column else np.ones(len(ids), dtype=bool)
+            apart = table.column(6).to_numpy() if table.num_columns > 6 else ids
             cuts = np.flatnonzero((group[1:] != group[:-1]) | (part[1:] != part[:-1])) + 1
             found: list[tuple] = []
             for a, b in zip(np.r_[0, cuts], np.r_[cuts, len(ids)], strict=True):
@@ -171,7 +175,7 @@ def _in_groups(k: int, limit_column: bool) -> Callable:
                     if len(own) < 2 or not new.any():
                         continue
                     sims = units[rows] @ units[rows].T
-                    sims[own[:, None] == own[None, :]] = -3
+                    sims[apart[rows][:, None] == apart[rows][None, :]] = -3
                     if len(own) > k + 1:  # no more than k from here can enter a list
                         low = np.maximum(low, np.partition(sims, len(own) - k, axis=1)[:, len(own) - k] - 1e-7)
                     i, j = np.nonzero((sims > low[:, None]) & (new[:, None] | new[None, :]))
@@ -227,18 +231,28 @@ def neighbour_graph(
     trees: int = 3,
     rounds: int = 10,
     least_change: float = 0.01,
+    inner: DataFrame | None = None,
 ) -> DataFrame:
     """(id, code, nbrs, sims, fresh): for each code its k nearest by cosine, nearest first.
 
     `codes` has distinct ids and their codes, `count` of them with `dims` dimensions. Rounds stop at
     `rounds`, or once no more than the share `least_change` of all entries is new.
+
+    With `inner`, (id, component, inside) for each code, members of the own component enter no list. As
+    neighbours of neighbours would then lie on one's own side again, the ids of `inside`, near ones of the own
+    component, join around a node too.
     """
+    around_columns = ["node", "part", "id", "code", "limit", "fresh"]
     own = codes.selectExpr("id", "code", "CAST(array() AS array<long>) AS nbrs", "CAST(array() AS array<float>) AS sims", "true AS old")
     bits = max(0, math.ceil(math.log2(max(1, count) / (BLOCK / 2))))
     cells = _parts(_cells(codes, trees, bits, dims), ["tree", "cell"])
     cells = cells.select(F.xxhash64("tree", "cell").alias("group"), "part", "id", "code")
+    if inner is not None:
+        around_columns.append("component")
+        free = cells.withColumn("limit", F.lit(-2.0).cast("float")).withColumn("fresh", F.lit(True))
+        cells = free.join(inner.select("id", "component"), "id").select("group", *around_columns[1:])
     cells = cells.repartition("group", "part").sortWithinPartitions("group", "part")
-    lists = scratch.write(_merge(own, cells.mapInArrow(_in_groups(k, False), CANDIDATES), k), "lists")
+    lists = scratch.write(_merge(own, cells.mapInArrow(_in_groups(k, inner is not None), CANDIDATES), k), "lists")
     for _ in range(rounds):
         weakest = F.when(F.size("nbrs") < k, F.lit(-2.0)).otherwise(F.element_at("sims", -1)).cast("float")
         states = lists.select("id", "code", weakest.alias("limit"))
@@ -246,7 +260,12 @@ def neighbour_graph(
         listing = entries.select(F.col("e.nbrs").alias("node"), "id", "code", "limit", F.col("e.fresh").alias("fresh"))
         listed = entries.select(F.col("id").alias("node"), F.col("e.nbrs").alias("id"), F.col("e.fresh").alias("fresh"))
         listed = listed.join(states, "id").select("node", "id", "code", "limit", "fresh")
-        around = _parts(listing.unionByName(listed), ["node"]).select("node", "part", "id", "code", "limit", "fresh")
+        members = listing.unionByName(listed)
+        if inner is not None:
+            near = inner.select(F.col("id").alias("node"), F.explode("inside").alias("id"))
+            near = near.join(states, "id").select("node", "id", "code", "limit", F.lit(False).alias("fresh"))
+            members = members.unionByName(near).join(inner.select("id", "component"), "id")
+        around = _parts(members, ["node"]).select(around_columns)
         around = around.repartition("node", "part").sortWithinPartitions("node", "part")
         found = around.mapInArrow(_in_groups(k, True), CANDIDATES)
         known = lists.select("id", "code", "nbrs", "sims", F.lit(True).alias("old"))

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyhouse.llm.ann import nearest_neighbours
-from tallyhouse.llm.embedding_dedup import embedding_near_duplicates
+from tallyhouse.llm.embedding_dedup import _recall, embedding_near_duplicates
 from tallyhouse.llm.nndescent import best, decode, encode
 
 SCHEMA = "vec_id long, embedding array<float>, label int"
@@ -52,6 +52,34 @@ def test_links_by_brute_force(spark):
     assert got == brute_links(rows, 0.9)
 
 
+def test_groups_larger_than_the_lists_are_linked(spark):
+    """Vectors 0.99 alike inside a group and about 0.93 between groups fill each other's lists with their own group."""
+    rng = np.random.default_rng(3)
+    base = np.linalg.qr(rng.normal(size=(32, 8)))[0].T
+    rows = [list(row) for row in rng.normal(size=(200, 32))]
+    for group, mix in enumerate(([1, 0.0, 0], [1, 0.39, 0], [1, 0.78, 0], [0, 0, 1], [0, 0.2, 1])):
+        centre = np.array(mix) @ base[:3] + (0 if group < 3 else 0.3 * base[4])
+        centre /= np.linalg.norm(centre)
+        noise = rng.normal(size=(230, 32))
+        rows += [list(row) for row in centre + 0.1 * noise / np.linalg.norm(noise, axis=1, keepdims=True)]
+    rows = [(int(k), [float(np.float32(x)) for x in rows[at]]) for k, at in enumerate(rng.permutation(len(rows)))]
+    found = embedding_near_duplicates(frame(spark, rows)).collect()
+    assert {r.vec_id: (r.n_links, r.component_id, r.kept) for r in found} == brute_links(rows, 0.9)
+
+
+def test_an_audit_that_fails_is_an_error(spark, monkeypatch):
+    monkeypatch.setattr("tallyhouse.llm.embedding_dedup._recall", lambda *_: 0.5)
+    with pytest.raises(RuntimeError):
+        embedding_near_duplicates(frame(spark, clusters(2, 20, [(3, 0.1)])), k=2)
+
+
+def test_the_audit_counts_each_vector_the_same(spark):
+    rows = [(k, [1, k / 1000, 0, 0, 0]) for k in range(60)] + [(100, [0, 0, 1, 0, 0]), (101, [0, 0, 1, 0.1, 0]), (102, [0, 0, 0, 0, 1]), (103, [0, 0, 0, 0.1, 1])]
+    nodes = spark.createDataFrame([(i, np.array(v, dtype=float).tobytes()) for i, v in rows], "id long, raw binary")
+    found = spark.createDataFrame([(k, 0) for k in range(60)], "id long, component long")
+    assert _recall(nodes, found, 0.9, 5) == pytest.approx(60 / 64)
+
+
 def test_links_of_copies_and_odd_vectors(spark):
     rows = [(k, [1, 2, 3, 4, 0, 0, 0, 0]) for k in range(400)] + [(500, [2, 4, 6, 8, 0, 0, 0, 0]), (501, [-1, -2, -3, -4, 0, 0, 0, 0]), (502, [1e30] + [0] * 7)]
     df = frame(spark, [*rows, (3, rows[3][1]), *ODD]).withColumn("n_links", F.lit("x")).withColumn("raw", F.lit(1))
