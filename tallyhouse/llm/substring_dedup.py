@@ -2,7 +2,9 @@
 
 A gear hash rolls over the last 16 bytes; a chunk ends behind a white space byte where the hash is
 small, which happens at one word in six. Where chunks end depends on the text nearby only, so an
-insertion moves no cut but those next to it. Chunks with equal 128-bit digests are equal.
+insertion moves no cut but those next to it. What is compared are windows of neighbouring chunks that hold
+the least number of words of a passage, so one earlier document holds the whole window. Windows with equal 128-bit
+digests are equal.
 """
 
 from __future__ import annotations
@@ -52,15 +54,33 @@ def _digests(raw: bytes, ends: list[int]) -> list[bytes]:
     return [xxhash.xxh3_128_digest(raw[a:b]) for a, b in zip([0, *ends], ends, strict=False)]
 
 
-def chunk_digests(documents: DataFrame) -> DataFrame:
-    """(high, low, doc_id): the halves of each distinct chunk digest of each text that has a doc_id."""
+def windows(raw: bytes, ends: list[int], least_words: int) -> list[tuple[int, int, bytes]]:
+    """(first chunk, last chunk, digest): from each chunk on, and up to each chunk, the fewest with `least_words` words."""
+    if not ends:
+        return []
+    space = _IS_SPACE[np.frombuffer(raw, dtype=np.uint8)]
+    begun = np.cumsum(np.r_[0, ~space & np.r_[True, space[:-1]]])  # words that begin before a byte
+    starts, ends = np.r_[0, ends[:-1]].astype(np.int64), np.array(ends)
+    inside = ~space[starts] & (starts > 0) & ~space[starts - 1]
+    before, upto = begun[starts] - inside, begun[ends]
+    last = np.searchsorted(upto, before + least_words)
+    first = np.searchsorted(before, upto - least_words, "right") - 1
+    chunks = np.arange(len(ends))
+    spans = {(i, j) for i, j in zip(chunks.tolist(), last.tolist(), strict=True) if j < len(ends)}
+    spans |= {(i, j) for i, j in zip(first.tolist(), chunks.tolist(), strict=True) if 0 <= i <= j}
+    digests = b"".join(_digests(raw, ends.tolist()))
+    return [(i, j, xxhash.xxh3_128_digest(digests[16 * i : 16 * (j + 1)])) for i, j in sorted(spans)]
+
+
+def window_digests(documents: DataFrame, least_words: int) -> DataFrame:
+    """(high, low, doc_id): the halves of each distinct window digest of each text that has a doc_id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, sizes, found = [], [], []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 raw = (text.as_py() or "").encode("utf-8", "surrogatepass")
-                own = set(_digests(raw, cuts(raw)))
+                own = {digest for *_, digest in windows(raw, cuts(raw), least_words)}
                 ids.append(doc_id)
                 sizes.append(len(own))
                 found.extend(own)
@@ -82,26 +102,24 @@ def _digest_rows(ids: list, sizes: list, found: list) -> pa.RecordBatch:
 
 
 def removable(raw: bytes, repeated: set[int], least_words: int) -> list[tuple[int, int]]:
-    """Byte spans of runs of repeated chunks that hold at least `least_words` words."""
+    """Byte spans that repeated windows cover; those that meet are one span."""
     ends = cuts(raw)
-    spans, start, last = [], None, 0
-    for end, digest in zip(ends, _digests(raw, ends), strict=True):
+    starts = [0, *ends]
+    spans: list[tuple[int, int]] = []
+    for i, j, digest in windows(raw, ends, least_words):
         if int.from_bytes(digest[8:], "little", signed=True) in repeated:
-            start = last if start is None else start
-        elif start is not None:
-            spans.append((start, last))
-            start = None
-        last = end
-    if start is not None:
-        spans.append((start, last))
-    return [(a, b) for a, b in spans if len(raw[a:b].split()) >= least_words]
+            if spans and starts[i] <= spans[-1][1]:
+                spans[-1] = (spans[-1][0], max(spans[-1][1], ends[j]))
+            else:
+                spans.append((starts[i], ends[j]))
+    return spans
 
 
 def substring_dedup(documents: DataFrame, least_words: int = 12) -> DataFrame:
     """Documents without the passages that a document of smaller doc_id holds too.
 
-    Returns all columns, `text` without runs of repeated chunks of at least `least_words` words, and
-    removed, an array of (start, end) in bytes of the UTF-8 of the old text. Each passage stays in
+    A passage is at least `least_words` words in a row that one earlier document holds in a row; passages that meet
+    are cut as one. Returns all columns, `text` without them, and removed, an array of (start, end) in bytes of the UTF-8 of the old text. Each passage stays in
     the document with the smallest doc_id; repeats inside one document stay as well. As chunks end at
     cuts inside a passage, some words at its two ends stay. Null texts stay null, and rows without a doc_id stay as
     they are and take no part. Rows that repeat a doc_id count as one document. A column
@@ -110,10 +128,10 @@ def substring_dedup(documents: DataFrame, least_words: int = 12) -> DataFrame:
     A common passage is one row per task after the first step of the aggregation, and the join back to
     documents is an equi-join, which adaptive execution splits where a passage is hot.
     """
-    chunks = chunk_digests(documents)
-    shared = chunks.groupBy("high", "low").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last"))
+    held = window_digests(documents, least_words)
+    shared = held.groupBy("high", "low").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last"))
     shared = shared.where("owner < last").drop("last")
-    repeats = chunks.join(shared, ["high", "low"]).where("doc_id > owner")
+    repeats = held.join(shared, ["high", "low"]).where("doc_id > owner")
     repeats = repeats.groupBy(F.col("doc_id").alias("_repeats_of")).agg(F.collect_set("low").alias("_repeated"))
 
     @F.pandas_udf("text string, starts array<long>, ends array<long>")

@@ -2,7 +2,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.substring_dedup import LARGEST, cuts, removable, substring_dedup
+from tallyhouse.llm.substring_dedup import LARGEST, cuts, removable, substring_dedup, windows
 
 SCHEMA = "doc_id long, text string"
 
@@ -57,6 +57,35 @@ def test_short_common_lines_stay(spark):
     assert substring_dedup(spark.createDataFrame(rows, SCHEMA)).where(F.size("removed") > 0).count() == 0
 
 
+def test_phrases_of_different_documents_stay(spark):
+    """Chunks that each occur earlier, but in no one document side by side, are no passage."""
+    rng = random.Random(9)
+    chunks = []
+    for words in (400, 800):
+        raw = prose(rng, words).encode()
+        ends = cuts(raw)
+        chunks.append([raw[a:b].decode() for a, b in zip([0, *ends], ends, strict=False)][1:-1])
+    short = [c for c in chunks[0] if len(c.split()) < 12]
+    rows = [(k, chunks[1][k] + c + prose(rng, 30)) for k, c in enumerate(short)]
+    rows += [(1000, "".join(short)), (1001, "".join(short))]
+    got = {r.doc_id: r.text for r in substring_dedup(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got.pop(1001) == ""
+    assert got == dict(rows[:-1])
+
+
+def test_windows_hold_the_least_words():
+    rng = random.Random(10)
+    for text in (prose(rng, 300), " \n" + prose(rng, 40), "x" * 20_000 + " " + prose(rng, 30), prose(rng, 5), "", " "):
+        raw = text.encode()
+        ends = cuts(raw)
+        starts = [0, *ends]
+        words = lambda i, j: len(raw[starts[i] : ends[j]].split())
+        n = len(ends)
+        want = {(i, next(j for j in range(i, n) if words(i, j) >= 12)) for i in range(n) if words(i, n - 1) >= 12}
+        want |= {(next(i for i in range(j, -1, -1) if words(i, j) >= 12), j) for j in range(n) if words(0, j) >= 12}
+        assert {(i, j) for i, j, _ in windows(raw, ends, 12)} == want
+
+
 def test_whole_copies_keep_the_first(spark):
     rng = random.Random(3)
     text = prose(rng, 200)
