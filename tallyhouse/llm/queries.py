@@ -57,8 +57,9 @@ URL_RULES = [
 ]
 
 
-def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = train_url_model(labelled_urls(spark))
+def op3_url_filter(spark: SparkSession, sf_dir: str, labels: str | None = None) -> DataFrame:
+    """`labels` is the path of a labelled table (url, label), the general list of the module if there is none."""
+    model = train_url_model(labelled_urls(spark, labels))
     return url_verdicts(_table(spark, sf_dir, "pages"), URL_RULES, model)
 
 

@@ -86,3 +86,16 @@ def test_bounds_and_empty_models(spark):
         train_url_model(many)
     row = spark.createDataFrame([("http://A/b",)], "u string").select(url_host(F.col("u")), url_path(F.col("u"))).first()
     assert tuple(row) == ("a", "/b")
+
+
+def test_the_table_is_an_input_and_the_default_is_general(spark, tmp_path):
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    names = {r.host.split(".")[-3] for r in pages.select(url_host(F.col("url")).alias("host")).collect() if r.host.count(".") >= 2}
+    assert names and not names & {*BLOCK_NAMES, *ALLOW_NAMES}
+    rows = [(f"https://{word}{k}.com/", label) for word, label in (("gnat", 1), ("wren", 0)) for k in range(40)]
+    table = spark.createDataFrame(rows, "url string, label int")
+    table.write.parquet(f"{tmp_path}/labels.parquet")
+    table.write.csv(f"{tmp_path}/labels.csv", header=True)
+    for name in ("labels.parquet", "labels.csv"):
+        model = train_url_model(labelled_urls(spark, f"{tmp_path}/{name}"))
+        assert model.probability("gnat77.com", "/") > 0.5 > model.probability("wren77.com", "/")
