@@ -1,6 +1,7 @@
 """The corpus pipeline: documents through the stages below, each over all that its predecessor kept.
 
-All stages but the last return the columns of documents. Rows without a doc_id pass the near-dedup and substring stages as they are.
+All stages but the last return the columns of documents. The stages after quality go by rows and not by doc_id, so repeated
+rows and rows without a doc_id are treated like others.
 """
 
 from __future__ import annotations
@@ -25,22 +26,48 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_scores(docs, model).where("predicted = 1").select(*docs.columns)
 
 
+def _keyed(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """Documents with their row's place by doc_id (nulls last) and content as doc_id, and their own as _own_id.
+
+    Rows that are equal in all columns get places next to one another; rand lets a sort deal them to several tasks.
+    """
+    order = [F.col("doc_id").asc_nulls_last(), F.xxhash64(*docs.columns), F.rand(5)]
+    scratch = Scratch(spark, "pipeline-keys")
+    placed = scratch.write(docs.orderBy(*order).withColumn("_place", F.monotonically_increasing_id()), "placed")
+    part = F.shiftright("_place", 33)
+    starts, at = [], 0
+    for name, count in placed.groupBy(part.alias("part")).count().orderBy("part").collect():  # one row per partition of the sort
+        starts.append((name, at))
+        at += count
+    starts = spark.createDataFrame(starts, "_part long, _start long")
+    row = F.col("_start") + F.col("_place").bitwiseAND((1 << 33) - 1)
+    keyed = placed.withColumn("_part", part).join(F.broadcast(starts), "_part").withColumn("_own_id", F.col("doc_id")).withColumn("doc_id", row)
+    return keyed.select(*docs.columns, "_own_id")
+
+
+def _unkeyed(rows: DataFrame, columns: list[str]) -> DataFrame:
+    return rows.withColumn("doc_id", F.col("_own_id")).select(*columns)
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays, the one with the smallest doc_id."""
-    gone = minhash_components(docs, words=5, percent=80).where("NOT kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """One row of each group of near-duplicates stays, the one with the smallest doc_id; a row without one only if no row has one."""
+    rows = _keyed(spark, docs)
+    gone = minhash_components(rows, words=5, percent=80).where("NOT kept").select("doc_id")
+    return _unkeyed(rows.join(gone, "doc_id", "left_anti"), docs.columns)
 
 
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages that a document of smaller doc_id holds are cut out; n_chars follows the new text."""
-    return substring_dedup(docs).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    """Passages that an earlier row by doc_id holds are cut out; n_chars follows the new text."""
+    cut = substring_dedup(_keyed(spark, docs)).withColumn("n_chars", F.length("text").cast("long"))
+    return _unkeyed(cut, docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it; rows that share a doc_id all go by the largest of their counts."""
-    copies = mix_sources(docs).groupBy(F.col("doc_id").alias("_doc_id")).agg(F.max("copies").cast("int").alias("_copies"))
-    taken = docs.join(copies, F.col("doc_id").eqNullSafe(F.col("_doc_id")))
-    return taken.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), F.col("_copies")))).select(*docs.columns)
+    """Each row as often as the mix takes it."""
+    rows = _keyed(spark, docs)
+    copies = mix_sources(rows).select("doc_id", F.col("copies").cast("int").alias("_copies"))
+    taken = rows.join(copies, "doc_id").withColumn("_copy", F.explode(F.array_repeat(F.lit(1), F.col("_copies"))))
+    return _unkeyed(taken, docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

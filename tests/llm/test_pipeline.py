@@ -82,3 +82,27 @@ def test_run_returns_the_last_stage(spark, tmp_path):
     spark.createDataFrame([], SCHEMA).write.parquet(f"{empty}/documents.parquet")
     spark.createDataFrame([], "doc_id long, quality int").write.parquet(f"{empty}/labels.parquet")
     assert corpus_pipeline.run(spark, str(empty)).count() == 0
+
+
+def test_repeated_rows_and_rows_without_an_id(spark, tmp_path):
+    rng = random.Random(11)
+    prose = lambda n: " ".join("".join(rng.choice("abcdefghiklmnoprstu") for _ in range(rng.randint(2, 8))) for _ in range(n))
+    one, two, passage = prose(60), prose(60), prose(80)
+    texts = [(1, one)] * 4 + [(None, one)] * 2 + [(None, two)] * 5 + [(7, f"{prose(50)} {passage}"), (None, f"{prose(50)} {passage}")]
+    texts += [(None if k % 3 == 0 else k, prose(50)) for k in range(100, 500)]
+    rows = [(i, t, "en", f"s{k % 4}", len(t)) for k, (i, t) in enumerate(texts)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+
+    corpus_pipeline.near_dedup(spark, docs, "").write.parquet(f"{tmp_path}/deduped")
+    deduped = spark.read.parquet(f"{tmp_path}/deduped")
+    found = [(r.doc_id, r.text) for r in deduped.collect()]
+    assert sorted(found, key=str) == sorted(set(texts) - {(None, one)}, key=str)
+
+    corpus_pipeline.passages(spark, deduped, "").write.parquet(f"{tmp_path}/cut")
+    cut = spark.read.parquet(f"{tmp_path}/cut")
+    assert [r.doc_id for r in cut.collect() if passage in r.text] == [7]
+
+    words = lambda rows: sum(len(r.text.split()) for r in rows)
+    mixed = corpus_pipeline.mix(spark, cut, "").collect()
+    assert {r.doc_id is None for r in mixed} == {True, False}
+    assert abs(words(mixed) - 1.5 * words(cut.collect())) < 0.05 * words(cut.collect())
