@@ -102,9 +102,97 @@ FROM placed p LEFT JOIN repeated r ON p.conv_id = r.conv_id GROUP BY p.conv_id
 """
 
 
+# CRC-32 of a text `w` by the table `tab` of its 256 steps.
+CRC_STEPS = """steps(i, k, v) AS (
+  SELECT i, 0, CAST(i AS BIGINT) FROM range(256) r(i)
+  UNION ALL SELECT i, k + 1, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END FROM steps WHERE k < 8
+), crc_table AS (
+  SELECT list(v ORDER BY i) AS tab FROM steps WHERE k = 8
+)"""
+CRC = """xor(list_reduce(
+      list_prepend(4294967295::BIGINT, list_transform(range(octet_length(encode(w))),
+                   lambda i: ('0x' || substr(hex(encode(w)), CAST(2 * i + 1 AS INT), 2))::BIGINT)),
+      lambda a, b: xor(a >> 8, tab[(xor(a, b) & 255) + 1])), 4294967295)"""
+
+OP11 = f"""
+WITH RECURSIVE {CRC_STEPS}, source_words AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, '{LETTERS}', '{LETTERS.lower()}'),
+                        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w FROM documents
+), target_words AS (
+  SELECT unnest(regexp_extract_all(translate(text, '{LETTERS}', '{LETTERS.lower()}'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w FROM benchmark
+), vocabulary AS (
+  SELECT w, {CRC} % 10000 AS bucket
+  FROM (SELECT w FROM source_words UNION SELECT w FROM target_words) v, crc_table
+), source_counts AS (
+  SELECT bucket, count(*) AS s FROM source_words JOIN vocabulary USING (w) GROUP BY bucket
+), target_counts AS (
+  SELECT bucket, count(*) AS t FROM target_words JOIN vocabulary USING (w) GROUP BY bucket
+), totals AS (
+  SELECT CAST((SELECT count(*) FROM source_words) AS DOUBLE) AS s_all, CAST((SELECT count(*) FROM target_words) AS DOUBLE) AS t_all
+), gains AS (
+  SELECT bucket, floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * (s_all + 10000) / ((coalesce(s, 0) + 1) * (t_all + 10000)))) AS gain
+  FROM (SELECT DISTINCT bucket FROM vocabulary) b LEFT JOIN source_counts USING (bucket) LEFT JOIN target_counts USING (bucket), totals
+), weights AS (
+  SELECT doc_id, count(*) AS n, CAST(floor(sum(gain) / count(*)) AS BIGINT) AS weight
+  FROM source_words JOIN vocabulary USING (w) JOIN gains USING (bucket) GROUP BY doc_id
+), scored AS (
+  SELECT d.doc_id, coalesce(n, 0) AS n_features, coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || d.doc_id), 1, 8))::BIGINT + 0.5)::DOUBLE
+                                                          / 4294967296))) AS BIGINT) AS score
+  FROM documents d LEFT JOIN weights w ON d.doc_id = w.doc_id
+), ranked AS (
+  SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place FROM scored WHERE n_features >= 20
+)
+SELECT s.doc_id, CAST(n_features AS BIGINT) AS n_features, weight, score,
+       CASE WHEN place <= (SELECT count(*) FROM ranked) // 10 THEN place END AS rank
+FROM scored s LEFT JOIN ranked r ON s.doc_id = r.doc_id
+"""
+
+# Neighbours by texts with one position left out: of equal length with another one replaced there, or one longer than the text itself.
+OP13 = f"""
+WITH RECURSIVE {CRC_STEPS}, runs AS (
+  SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')), '{LETTERS}', '{LETTERS.lower()}') AS run FROM documents
+), kinds AS (
+  SELECT doc_id, run, doc_id || ':' || run AS w, count(*) AS n FROM runs WHERE length(run) >= 5 GROUP BY doc_id, run
+), hashed AS (
+  SELECT run, n, {CRC} AS h FROM kinds, crc_table
+), spelt AS (
+  SELECT CASE WHEN h % 97 = 0 THEN left(run, CAST(h % length(run) AS INT)) || substr(run, CAST(h % length(run) AS INT) + 2) ELSE run END AS word, n
+  FROM hashed
+), words AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM spelt WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3
+), skips AS (
+  SELECT word, n, unnest(range(length(word))) AS i FROM words
+), gaps AS (
+  SELECT word, n, i, left(word, CAST(i AS INT)) || substr(word, CAST(i AS INT) + 2) AS rest FROM skips
+), longer AS (
+  SELECT DISTINCT g.word AS a, g.n AS an, w.word AS b, w.n AS bn FROM gaps g JOIN words w ON g.rest = w.word
+), near AS (
+  SELECT g.word AS a, h.word AS b, h.n AS bn FROM gaps g JOIN gaps h ON g.rest = h.rest AND g.i = h.i AND g.word <> h.word
+  UNION ALL SELECT a, b, bn FROM longer
+  UNION ALL SELECT b, a, an FROM longer
+), best AS (
+  SELECT a, count(*) AS n_near, max(bn) AS best_n FROM near GROUP BY a
+), formed AS (
+  SELECT w.word, w.n, coalesce(b.n_near, 0) AS n_near,
+         CASE WHEN best_n >= 2 * w.n THEN (SELECT min(x.b) FROM near x WHERE x.a = w.word AND x.bn = best_n) END AS form,
+         CASE WHEN best_n >= 2 * w.n THEN best_n END AS form_n
+  FROM words w LEFT JOIN best b ON w.word = b.a
+), chain AS (
+  SELECT word, word AS root, form AS beyond FROM formed
+  UNION ALL SELECT c.word, f.word, f.form FROM chain c JOIN formed f ON c.beyond = f.word
+)
+SELECT f.word, f.form, c.root, f.n, f.n_near, f.form_n
+FROM formed f JOIN chain c ON f.word = c.word AND c.beyond IS NULL
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_embedding_near_dedup": OP1,
         "op4_minhash_near_dedup": OP4,
         "op9_chat_formatting": OP9,
+        "op11_importance_resampling": OP11,
+        "op13_spelling_variants": OP13,
     }

@@ -14,6 +14,8 @@ from tallyhouse.llm.minhash import minhash_components
 from tallyhouse.llm.mixing import mix_sources
 from tallyhouse.llm.packing import pack_documents
 from tallyhouse.llm.quality import fit_quality, quality_scores
+from tallyhouse.llm.resampling import importance_resample
+from tallyhouse.llm.spelling import spelling_variants
 from tallyhouse.llm.substring_dedup import substring_dedup
 from tallyhouse.llm.token_counts import token_counts
 from tallyhouse.llm.url_filter import Rule, labelled_urls, train_url_model, url_verdicts
@@ -109,6 +111,14 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(_table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance_resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(_table(spark, sf_dir, "documents"), misspell_every=97)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
         op1_embedding_near_dedup,
@@ -121,5 +131,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_substring_dedup,
         op9_chat_formatting,
         op10_token_counts,
+        op11_importance_resampling,
+        op13_spelling_variants,
     ]
     return {f.__name__: f for f in found}
