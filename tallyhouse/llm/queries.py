@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tallyhouse.llm.ann import nearest_neighbours
 from tallyhouse.llm.chat import format_chat, read_back
 from tallyhouse.llm.embedding_dedup import embedding_near_duplicates
+from tallyhouse.llm.html_extract import extract_main_text
 from tallyhouse.llm.minhash import minhash_components
 from tallyhouse.llm.mixing import mix_sources
 from tallyhouse.llm.packing import pack_documents
@@ -115,6 +116,10 @@ def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance_resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op12_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(_table(spark, sf_dir, "pages"))
+
+
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(_table(spark, sf_dir, "documents"), misspell_every=97)
 
@@ -132,6 +137,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op9_chat_formatting,
         op10_token_counts,
         op11_importance_resampling,
+        op12_html_extraction,
         op13_spelling_variants,
     ]
     return {f.__name__: f for f in found}

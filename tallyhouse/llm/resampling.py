@@ -106,7 +106,7 @@ class Head:
             last = (last + words)[-(max_words - 1) :] if max_words > 1 else []
 
 
-def _frequent(rows: DataFrame, width: int, size: int) -> list[bytes]:
+def _frequent(scratch: Scratch, rows: DataFrame, width: int, size: int) -> list[bytes]:
     """The most frequent runs of `width` words by the counts of all tasks, as bytes with one blank between words.
 
     A task that meets more distinct runs than it may hold forgets the rarer half, so a count can fall short; that costs time only.
@@ -128,15 +128,22 @@ def _frequent(rows: DataFrame, width: int, size: int) -> list[bytes]:
             [pa.array([word for word, _ in best], pa.binary()), pa.array([n for _, n in best], pa.int64())], names=["run", "n"]
         )
 
-    counted = rows.select("text").mapInArrow(run, "run binary, n long").groupBy("run").agg(F.sum("n").alias("n"))
-    return [bytes(r.run) for r in counted.orderBy(F.desc("n"), "run").limit(size).collect()]
+    counted = scratch.write(rows.select("text").mapInArrow(run, "run binary, n long").groupBy("run").agg(F.sum("n").alias("n")), "runs")
+    # Counts by steps of a sixteenth of a doubling, at most some thousand rows, tell from which step on no more than `size` runs are left.
+    step = F.floor(16 * F.log2("n")).cast("long")
+    least, held = None, 0
+    for value, n in counted.groupBy(step.alias("step")).count().orderBy(F.desc("step")).collect():
+        if held + n > size:
+            break
+        least, held = value, held + n
+    return [] if least is None else sorted(bytes(r.run) for r in counted.where(step >= least).select("run").collect())
 
 
-def head_vocabulary(rows: DataFrame, max_words: int, buckets: int) -> Head:
+def head_vocabulary(scratch: Scratch, rows: DataFrame, max_words: int, buckets: int) -> Head:
     """The head of a corpus; at most HEAD_WORDS words and HEAD_PAIRS pairs reach the driver."""
-    words = _frequent(rows, 1, HEAD_WORDS)
+    words = _frequent(scratch, rows, 1, HEAD_WORDS)
     known = set(words)
-    pairs = [tuple(pair.split(b" ")) for pair in (_frequent(rows, 2, HEAD_PAIRS) if max_words > 1 else [])]
+    pairs = [tuple(pair.split(b" ")) for pair in (_frequent(scratch, rows, 2, HEAD_PAIRS) if max_words > 1 else [])]
     return Head(words, [(a, b) for a, b in pairs if a in known and b in known], buckets)
 
 
@@ -232,7 +239,7 @@ def importance_resample(
     scratch = Scratch(spark, "resample")
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     wanted = target.select(F.col("text").cast("string").alias("text"))
-    head = spark.sparkContext.broadcast(head_vocabulary(rows, max_words, buckets))
+    head = spark.sparkContext.broadcast(head_vocabulary(scratch, rows, max_words, buckets))
     gains = bucket_gains(_bucket_counts(rows, head, max_words, buckets), _bucket_counts(wanted, head, max_words, buckets))
     weighed = _weights(rows, head, gains, max_words).withColumn("score", F.col("weight") + gumbel(F.col("doc_id"), seed))
     scored = scratch.write(weighed, "scored")
