@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse.llm import lstm
 from tallyhouse.llm.html_blocks import Page
-from tallyhouse.llm.html_training import labelled_pages
+from tallyhouse.llm.html_training import MARK, labelled_pages
 
 #: Training: pages that the layouts give, sequences at a time, rounds.
 TRAIN_PAGES, TRAIN_BATCH, EPOCHS, SEED = 6000, 64, 7, 12
@@ -67,7 +67,8 @@ def _training_sequence(html: str):
             parent, tokens = page.nodes[node]
             marks = [token for token in tokens if token.startswith("label ")]
             label = label or (marks[0] if marks else None)
-            ids += [_path_id(token) for token in tokens if not token.startswith("label ")]
+            if MARK not in tokens:
+                ids += [_path_id(token) for token in tokens if not token.startswith("label ")]
             node = parent
         paths.append(ids or [0])
         labels.append(label == "label main")

@@ -44,6 +44,9 @@ FUNCTION_WORDS = (
 ).split()
 SYLLABLES = "ba ce di fo gu ha je ki lo mu na pe ri so tu va we xi yo za th st er an en on ti re al or ne ra é ü ñ ß ça".split()
 
+#: An element that only carries a label; training does not see it.
+MARK = "x-mark"
+
 
 class Writer:
     """One page: its own vocabulary and its own habits of naming."""
@@ -229,14 +232,15 @@ class Writer:
         pieces = "".join(self.piece() for _ in range(self.rng.randint(1, 6)))
         if self.maybe(0.6):
             inside = self.rng.choice([self.words(1, 12), self.sentences(1, 3), pieces, pieces, f"<h1>{self.words(1, 6)}</h1>{pieces}"])
-            return self.rng.choice(["<html><body data-label='main'>{}</body></html>", "<div data-label='main'>{}</div>", "<p data-label='main'>{}"]).format(inside)
+            inside = f"<{MARK} data-label='main'>{inside}</{MARK}>"
+            return self.rng.choice(["<html><body>{}</body></html>", "<body>{}", "<div>{}</div>", "{}", "{}"]).format(inside)
         menu = f"<td data-label='other'>{self.links(MENU_WORDS, 2, 8, 0.3)}</td>"
         cell = f"<td data-label='main'><h1>{self.words(1, 6)}</h1>{pieces}</td>"
         foot = f"<p data-label='other'><small>&copy; {self.words(1, 3)} {self.rng.choice(FOOTER_WORDS)}</small></p>"
         return f"<html><body><table><tr>{menu}{cell}</tr></table>{foot if self.maybe(0.7) else ''}</body></html>"
 
     def page(self) -> str:
-        if self.maybe(0.1):
+        if self.maybe(0.12):
             return self.plain_page()
         before = [part() for part, share in ((self.notice, 0.25), (self.header, 0.55), (self.menu, 0.6), (self.advert, 0.4), (self.form, 0.1)) if self.maybe(share)]
         after = [part() for part, share in ((self.share, 0.2), (self.comments, 0.3), (self.sidebar, 0.35), (self.advert, 0.2), (self.notice, 0.15), (self.footer, 0.8)) if self.maybe(share)]
