@@ -1,0 +1,99 @@
+import hashlib
+import math
+import re
+from zlib import crc32
+
+import pytest
+
+from tallyhouse.llm.resampling import Head, bucket_gains, importance_resample, words_of
+
+SCHEMA = "doc_id long, text string"
+
+
+def features(text, widest):
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
+    return len(words), [" ".join(words[k : k + n]) for n in range(1, widest + 1) for k in range(len(words) - n + 1)]
+
+
+def brute_force(documents, target, widest, buckets, least, percent):
+    """The definition, one feature at a time."""
+    found = [(doc_id, *features(text, widest)) for doc_id, text in documents]
+    counts = [[0] * buckets, [0] * buckets]
+    for side, lists in enumerate(([own for _, _, own in found], [features(text, widest)[1] for (text,) in target])):
+        for own in lists:
+            for feature in own:
+                counts[side][crc32(feature.encode()) % buckets] += 1
+    s_all, t_all = float(sum(counts[0])), float(sum(counts[1]))
+    gains = [math.floor(1000 * math.log((t + 1) * (s_all + buckets) / ((s + 1) * (t_all + buckets)))) for s, t in zip(*counts)]
+    rows = []
+    for doc_id, n_words, own in found:
+        weight = sum(gains[crc32(f.encode()) % buckets] for f in own) // len(own) if own else 0
+        h = int(hashlib.sha256(f"2024:{'' if doc_id is None else doc_id}".encode()).hexdigest()[:8], 16)
+        score = weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296)))
+        rows.append((doc_id, n_words, len(own), weight, score))
+    eligible = sorted((r for r in rows if r[1] >= least), key=lambda r: (-r[4], r[0] is None, r[0] or 0))
+    drawn = eligible[: percent * len(eligible) // 100]
+    ranks = {}
+    for rank, row in enumerate(drawn, 1):
+        ranks.setdefault(row, []).append(rank)
+    return sorted([(r[0], r[2], r[3], r[4], ranks[r].pop(0) if ranks.get(r) else None) for r in rows], key=str)
+
+
+@pytest.mark.parametrize("widest", [1, 2, 3])
+def test_definition_feature_by_feature(spark, widest):
+    sf = "/root/testdata/sf0.001"
+    documents = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").limit(80)
+    documents = spark.createDataFrame(documents.collect(), SCHEMA)
+    target = spark.read.parquet(f"{sf}/benchmark.parquet").select("text")
+    got = importance_resample(documents, target, max_words=widest, buckets=700, least_words=5, percent=30)
+    want = brute_force([tuple(r) for r in documents.collect()], [tuple(r) for r in target.collect()], widest, 700, 5, 30)
+    assert sorted(map(tuple, got.collect()), key=str) == want
+
+
+def test_head_and_tail_give_the_same_buckets():
+    text = "the cat and the dog and the bird " * 5 + "é1 中文 the rare cat"
+    _, want = features(text, 2)
+    words = [w for part in words_of(text) for w in part]
+    known = [b"the", b"cat", b"and"]
+    for head in (Head([], [], 97), Head(known, [], 97), Head(known, [(b"and", b"the"), (b"the", b"cat")], 97)):
+        buckets = [list(found) for _, found in head.features(text, 2)]
+        assert sorted(sum(map(list, buckets), [])) == sorted(crc32(f.encode()) % 97 for f in want)
+        assert list(head.pairs(words)) == [crc32(a + b" " + b) % 97 for a, b in zip(words, words[1:])]
+
+
+def test_runs_go_on_across_slices(monkeypatch):
+    import tallyhouse.llm.resampling as module
+
+    text = "one two three four five six seven " * 20
+    whole = sorted(k for _, found in Head([], [], 50).features(text, 3) for k in found)
+    monkeypatch.setattr(module, "SLICE", 11)
+    assert len(list(words_of(text))) > 20
+    assert sorted(k for _, found in Head([], [], 50).features(text, 3) for k in found) == whole
+
+
+def test_nulls_repeats_long_texts_and_other_columns(spark):
+    words = " ".join(f"w{k % 50}" for k in range(200_000))
+    rows = [(1, None, "x", 0), (2, "", "x", 0), (3, "?!", "x", 0), (None, "a b c", "x", 0), (None, "a b c", "x", 0)]
+    rows += [(5, "a b c", "x", 0)] * 3 + [(6, words, "x", 0), (7, "A b C" * 3, "x", 0)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, rank string, score int")
+    target = spark.createDataFrame([("a b",), (None,)], "text string")
+    got = importance_resample(df, target, least_words=1, percent=100).collect()
+    assert len(got) == len(rows)
+    by_id = {r.doc_id: r for r in got}
+    assert all(by_id[k].n_features == 0 and by_id[k].weight == 0 and by_id[k]["rank"] is None for k in (1, 2, 3))
+    assert by_id[6].n_features == 200_000
+    assert sorted(r["rank"] for r in got if r["rank"] is not None) == list(range(1, 8))
+    plain = brute_force([(r[0], r[1]) for r in rows], [("a b",), (None,)], 1, 10_000, 1, 100)
+    assert sorted(tuple(r) for r in got if r.doc_id == 5) == sorted(r for r in plain if r[0] == 5)
+
+
+def test_empty_tables(spark):
+    df = spark.createDataFrame([(k, "a b c d") for k in range(10)], SCHEMA)
+    nothing = spark.createDataFrame([], "text string")
+    assert importance_resample(df.limit(0), nothing).collect() == []
+    assert importance_resample(df, nothing, least_words=1).where("rank IS NOT NULL").count() == 1
+    assert importance_resample(df, nothing, least_words=50).where("rank IS NOT NULL").count() == 0
+
+
+def test_gains_of_empty_sides():
+    assert bucket_gains([0, 0], [0, 0]) == [0, 0]
