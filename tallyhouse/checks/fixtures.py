@@ -77,8 +77,8 @@ select l_orderkey as k, l_shipdate, <DIGITS> as digits,
        <COMPACT> as f4,
        '$' || cast(cast(l_extendedprice as decimal(11,2)) as <S>) as f5,
        l_returnflag as source, l_linestatus as job,
-       case when l_orderkey % 4999 = 0 and l_linenumber = 1 then 'open'
-            when l_orderkey % 4993 = 0 and l_linenumber = 1 then 'tail'
+       case when l_orderkey % 499 = 0 and l_linenumber = 1 then 'open'
+            when l_orderkey % 491 = 0 and l_linenumber = 1 then 'tail'
             when l_orderkey % 83 = 0 then 'short'
             when l_orderkey % 59 = 0 then 'wide'
             when l_orderkey % 31 = 0 then 'norole'

@@ -36,32 +36,51 @@ def describe_files(files: DataFrame, run_date: dt.date | None = None) -> DataFra
 
 
 # A field in quotes, doubled inside, that ends where the field ends, or a field that does not begin with a quote.
-FIELD = r'(?:"[^"]*+(?:""[^"]*+)*+"|(?!")[^,]*+)'
+QUOTED = r'"[^"]*+(?:""[^"]*+)*+"'
+FIELD = rf'(?:{QUOTED}|(?!")[^,]*+)'
 WELL_FORMED = rf"\A{FIELD}(?:,{FIELD})*+\z"
+# Any field of any line: what is no whole field in quotes goes up to the next comma, its quotes being characters like others.
+ANY_FIELD = rf",({QUOTED}(?=,|\z)|[^,]*+)"
 
 
 def is_bad_line(value: Column) -> Column:
     """A field that begins with a quote and does not end with one: unclosed, or with text behind it.
 
-    Inside a field that does not begin with one, a quote is a character like others.
+    Inside a field that does not begin with one, a quote is a character like others. A line without quotes needs no pattern.
     """
-    return ~value.rlike(WELL_FORMED)
+    return value.contains('"') & ~value.rlike(WELL_FORMED)
+
+
+def field_texts(value: Column) -> Column:
+    """The texts between the commas outside quotes, as they are written."""
+    with_quotes = F.regexp_extract_all(F.concat(F.lit(","), value), F.lit(ANY_FIELD), F.lit(1))
+    return F.when(value.contains('"'), with_quotes).otherwise(F.split(value, ","))
+
+
+def unquoted(text: Column) -> Column:
+    """What a field says: without its quotes and with single ones inside; NULL for nothing at all.
+
+    A field that begins with a quote but is not whole in quotes stays as it is written.
+    """
+    inside = F.replace(F.substring(text, F.lit(2), F.length(text) - 2), F.lit('""'), F.lit('"'))
+    whole = text.startswith('"') & text.rlike(rf"\A{QUOTED}\z")
+    return F.when(whole, inside).when(text != "", text)
 
 
 def split_line(value: Column, width: int) -> Column:
     """Struct c1..cN of the comma-separated fields, quotes optional, doubled inside quotes.
 
-    Missing fields are NULL and extra fields are left out.
+    Missing fields are NULL and extra fields are left out. No character of a line is lost: an unclosed quote stays in its field.
     """
-    fields = ", ".join(f"c{i} string" for i in range(1, width + 1))
-    return F.from_csv(value, fields, {"escape": '"'})
+    texts = field_texts(value)
+    return F.struct(*[unquoted(F.get(texts, F.lit(i))).alias(f"c{i + 1}") for i in range(width)])
 
 
 def split_fields(lines: DataFrame, width: int) -> DataFrame:
     """The line frame with c1..cN in place of the text, null tokens taken out."""
-    split = lines.withColumn("_fields", split_line(F.col("value"), width))
-    cleaned = {f"c{i}": null_tokens(F.col(f"_fields.c{i}")) for i in range(1, width + 1)}
-    return split.withColumns(cleaned).drop("_fields", "value")
+    split = lines.withColumn("_texts", field_texts(F.col("value")))
+    cleaned = {f"c{i + 1}": null_tokens(unquoted(F.get("_texts", F.lit(i)))) for i in range(width)}
+    return split.withColumns(cleaned).drop("_texts", "value")
 
 
 def shift_roles(fields: DataFrame) -> DataFrame:

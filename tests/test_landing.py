@@ -1,6 +1,7 @@
 import datetime as dt
 import gzip
 import os
+import random
 import time
 
 import pytest
@@ -15,6 +16,7 @@ from tallyhouse.operators.landing import (
     ingest_log,
     is_bad_line,
     sales_rows,
+    split_line,
     stores_rows,
 )
 from tallyhouse.plans import landing
@@ -305,3 +307,38 @@ def test_raw_tables_fill_the_load_time(spark, tmp_path):
     assert row.loaded_at > at("2020-01-01 00:00:00") and row.batch_date is None
     assert spark.table("raw_layer.sales").schema.simpleString() == RAW_SALES.simpleString()
     spark.sql("DROP DATABASE raw_layer CASCADE")
+
+
+def written_fields(line):
+    """The fields of a line by its characters, and whether a field begins with a quote and does not end with one."""
+    out, bad, at = [], False, 0
+    while True:
+        end = line.find(",", at)
+        if line[at : at + 1] == '"':
+            close = at + 1
+            while close < len(line) and line[close : close + 2] != '"' and (line[close] != '"' or line[close + 1] == '"'):
+                close += 1 if line[close] != '"' else 2
+            if close < len(line) and line[close + 1 : close + 2] in ("", ","):
+                out.append(line[at + 1 : close].replace('""', '"'))
+                if close + 1 == len(line):
+                    return out, bad
+                at = close + 2
+                continue
+            bad = True
+        out.append((line[at:] if end < 0 else line[at:end]) or None)
+        if end < 0:
+            return out, bad
+        at = end + 1
+
+
+def test_any_line_is_split_as_it_is_written(spark):
+    """Random lines of commas, quotes and letters, closed and unclosed, against a splitter that goes by characters."""
+    rng = random.Random(11)
+    lines = ["", ",", ",a", "a,", '"', '""', '"",""', '"a""b",c', '"a', 'x,"F', 'x,"F"x', 'x,"a,b', 'a"b,c', '"a"b"', ',"', '"a,b",c']
+    lines += ["".join(rng.choices('a,"', (3, 2, 3), k=rng.randint(0, 12))) for _ in range(1500)]
+    df = spark.createDataFrame([(line,) for line in lines], "value string")
+    rows = df.select("value", split_line(F.col("value"), 14).alias("f"), is_bad_line(F.col("value")).alias("bad")).collect()
+    assert len(rows) == len(lines)
+    for row in rows:
+        fields, bad = written_fields(row["value"])
+        assert (list(row.f), row.bad) == (fields + [None] * (14 - len(fields)), bad), row["value"]
