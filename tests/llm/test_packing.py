@@ -1,5 +1,8 @@
 import zlib
 
+import pytest
+from tokenizers import Tokenizer
+
 from tallyhouse.llm.byte_bpe import byte_bpe
 from tallyhouse.llm.packing import pack_documents
 from tallyhouse.llm.queries import op6_packing, tokenizer_path
@@ -64,3 +67,24 @@ def test_nulls_empty_long_repeated_and_extra_columns(spark):
     pieces = pack_documents(again, tokenizer_path()).collect()
     assert sum(p.length for p in pieces) == 2 * len(encoded("a b")) + 2 * len(encoded("a"))
     assert pack_documents(df.limit(0), tokenizer_path()).count() == 0
+
+
+@pytest.mark.parametrize(
+    ("blank", "many"),
+    [(b, n) for b in (" ", "\t", "\n", " \t\n", "\n ", "\u3000") for n in (9_999, 10_000, 50_001)] + [(" ", 2_000_000), (" \t\n", 2_000_000)],
+)
+def test_long_runs_of_white_space(blank, many):
+    """The ids are those of the tokenizers library, with text before, behind and around the run."""
+    reference = Tokenizer.from_file(tokenizer_path())
+    run = (blank * many)[:many]
+    texts = [run, "a" + run, run + "b", "a b" + run + "c d", "x" + run + "'s" + run + "5"]
+    if many > 100_000:
+        texts = texts[3:]
+    for text, found in zip(texts, reference.encode_batch(texts, add_special_tokens=False), strict=True):
+        assert byte_bpe(tokenizer_path()).ids(text) == b"".join(k.to_bytes(4, "little") for k in found.ids)
+
+
+def test_packing_survives_long_white_space(spark):
+    docs = {1: " " * 1_000_000, 2: "a" + "\n" * 1_500_000 + "b", 3: "plain text", 4: None}
+    df = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    assert check(pack_documents(df, tokenizer_path()).collect(), docs, 2048) == 0
