@@ -24,6 +24,8 @@ from tallyhouse.llm.substring_dedup import substring_dedup
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+#: Longest list of files that is broadcast, at some 100 bytes each; a longer one is left to Spark.
+BROADCAST_FILES = 100_000
 #: The columns of documents.
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -60,6 +62,7 @@ def _keyed(spark: SparkSession, docs: DataFrame) -> DataFrame:
     try:
         names = [r.name for r in docs.select(F.col("_metadata.file_path").alias("name")).distinct().collect()]
         files = spark.createDataFrame(list(zip(sorted(names), range(len(names)))), "file_name string, file_number long")
+        files = F.broadcast(files) if len(names) <= BROADCAST_FILES else files
         placed = docs.select("*", F.col("_metadata.file_path").alias("file_name"), at.alias("row_index")).join(files, "file_name")
         number = F.shiftleft("file_number", 40) + F.col("row_index")
     except AnalysisException:  # not a table in files
