@@ -283,7 +283,10 @@ def oracle_sql() -> dict[str, str]:
         "daily_gap_over_40_days": daily_after(GAP_FROM),
         "lifecycle_gap_over_40_days": lifecycle_after(GAP_FROM),
         "full_refresh_equivalence": STAGE_PLAIN.format(STAGE),
+        "lifecycle_rollup": f"select {AS_OF_SQL} as snapshot_date, * from ({LIFECYCLE}) l",
         "stream_upsert": STAGE_PLAIN.format(STAGE),
+        "stream_daily_report": DAILY,
+        "stream_lifecycle_report": f"select {AS_OF_SQL} as snapshot_date, * from ({LIFECYCLE}) l",
         "dq_not_null": f"""
             select 'sales' as table_name, 'store_token' as column_name,
                    count(*) filter (where store_token is null) as failures from ({LANDED_SALES}) s

@@ -29,12 +29,15 @@ from tallyhouse.operators.landing import (
     stores_rows,
 )
 from tallyhouse.operators.ranking import month_running_total, top_n_dense
+from tallyhouse.operators.rollup import SignedCounts, raw_load_counts, raw_stats, valid_stats
 from tallyhouse.plans import marts
 from tallyhouse.plans.landing import land_files, read_ledger
-from tallyhouse.plans.stage import clean_sales, clean_stores, drop_headers, stage_sales, stage_stores
+from tallyhouse.plans.stage import clean_sales, clean_stores, drop_headers, sales_versions, stage_sales, stage_stores
 from tallyhouse.schemas import (
+    RAW_LOADS,
     RAW_SALES,
     RAW_STORES,
+    REPORT_DAILY_SALES,
     SALES_FIELDS,
     SALES_KEYS,
     STAGE_SALES,
@@ -43,10 +46,10 @@ from tallyhouse.schemas import (
     create_raw_tables,
 )
 from tallyhouse.session import scratch_dir
+from tallyhouse.sources.keyed import KeyedTable
 from tallyhouse.sources.raw import read_raw
-from tallyhouse.sources.versioned import VersionedTable
 from tallyhouse.streaming.ingest import start_ingest
-from tallyhouse.streaming.stage import start_upsert
+from tallyhouse.streaming.stage import DailyReport, start_raw_counts, start_upsert
 
 # Day up to which the target of the lookback queries has been built.
 BUILT_TO = dt.datetime(2001, 10, 10)
@@ -313,24 +316,47 @@ def stg_sales_incremental(spark, sf_dir):
     return stage_sales(high_water_filter(raw, high_water_mark(target)))
 
 
+def _stage_table(spark, root, watched=()):
+    return KeyedTable(spark, f"{root}/stage", STAGE_SALES, SALES_KEYS, "loaded_at", "transaction_time", 4, watched=watched)
+
+
 def upsert_merge(spark, sf_dir):
+    """New rows into a bucketed table, which is not shuffled for that."""
     raw = fixtures.raw_sales(spark, sf_dir)
-    target = stage_sales(_until(raw, SPLIT))
-    return upsert(target, stage_sales(high_water_filter(raw, SPLIT)), SALES_KEYS)
+    table = _stage_table(spark, scratch_dir(spark, "merge"))
+    table.replace(stage_sales(_until(raw, SPLIT)))
+    return upsert(table.read(), stage_sales(high_water_filter(raw, SPLIT)), SALES_KEYS)
 
 
 def full_refresh_equivalence(spark, sf_dir):
-    """A base and two deltas committed in turn; the result is that of one full run."""
+    """A first run and two runs by high-water mark into a bucketed table; the result is that of one full run."""
     raw = fixtures.raw_sales(spark, sf_dir)
-    table = VersionedTable(
-        spark, scratch_dir(spark, "runs"), STAGE_SALES, SALES_KEYS, "loaded_at", "transaction_time"
-    )
+    table = _stage_table(spark, scratch_dir(spark, "runs"))
     for moment in (dt.datetime(2000, 6, 15), SPLIT, dt.datetime(9999, 1, 1)):
-        landed = high_water_filter(_until(raw, moment), table.high_water())
-        table.append_delta(stage_sales(landed))
+        table.upsert(stage_sales(high_water_filter(_until(raw, moment), table.high_water())))
     return table.read()
 
 
+def _drops_out_of_order(raw):
+    """The middle loads, the newest, the oldest, and the middle ones once more."""
+    first, last = _until(raw, dt.datetime(2000, 6, 15)), high_water_filter(raw, SPLIT)
+    between = high_water_filter(_until(raw, SPLIT), dt.datetime(2000, 6, 15))
+    return between, last, first, between
+
+
+def lifecycle_rollup(spark, sf_dir):
+    """Loads out of order into the stage; the report comes from signed counts and reads no table again."""
+    root = scratch_dir(spark, "rollup")
+    raw = fixtures.raw_sales(spark, sf_dir)
+    table = _stage_table(spark, root, ("batch_date", "loaded_at"))
+    counts = SignedCounts(spark, f"{root}/counts")
+    loads = KeyedTable(spark, f"{root}/loads", RAW_LOADS, ["batch_date", "loaded_at"], "loaded_at", "batch_date", null_safe_keys=True)
+    for drop in _drops_out_of_order(raw):
+        table.upsert(stage_sales(drop), counts.add)
+        loads.upsert(raw_load_counts(drop))
+    return marts.lifecycle_of_counts(raw_stats(loads.read()), valid_stats(counts.read()), AS_OF, limit=None)
+
+
 def daily_lookback(spark, sf_dir):
     return _daily_after(spark, sf_dir, BUILT_TO)
 
@@ -363,19 +389,56 @@ def _lifecycle_after(spark, sf_dir, moment):
     return marts.report_transactions_lifecycle(raw, stage_sales(raw), AS_OF, start)
 
 
-def stream_upsert(spark, sf_dir):
+def _streamed(spark, sf_dir, root, run, repeat=True):
     """Drops out of load order and one sent again, each taken up by a run of the same stream."""
-    root = scratch_dir(spark, "stream-upsert")
     raw = fixtures.raw_sales(spark, sf_dir)
-    table = VersionedTable(spark, f"{root}/stage", STAGE_SALES, SALES_KEYS, "loaded_at", "transaction_time")
-    first, last = _until(raw, dt.datetime(2000, 6, 15)), high_water_filter(raw, SPLIT)
-    between = high_water_filter(_until(raw, SPLIT), dt.datetime(2000, 6, 15))
-    for drop in (between, last, first, between):
+    for drop in _drops_out_of_order(raw)[: None if repeat else 3]:
         drop.write.mode("append").parquet(f"{root}/raw")
+        run(raw.schema)
+
+
+def stream_upsert(spark, sf_dir):
+    root = scratch_dir(spark, "stream-upsert")
+    table = _stage_table(spark, root)
+
+    def run(schema):
+        start_upsert(spark, f"{root}/raw", schema, table, sales_versions, f"{root}/checkpoint").awaitTermination()
+
+    _streamed(spark, sf_dir, root, run)
+    return table.read()
+
+
+def stream_daily_report(spark, sf_dir):
+    """The daily report over all days, of which each run of the stream computes the months it changed anew."""
+    root = scratch_dir(spark, "stream-daily")
+    table = _stage_table(spark, root, ("transaction_time",))
+    report = KeyedTable(spark, f"{root}/report", REPORT_DAILY_SALES, ["transaction_date"], month_of="transaction_date")
+    daily = DailyReport(table, report, AS_OF)
+
+    def run(schema):
         start_upsert(
-            spark, f"{root}/raw", raw.schema, table, stage_sales, f"{root}/checkpoint"
+            spark, f"{root}/raw", schema, table, sales_versions, f"{root}/checkpoint", on_change=daily.on_change, after=daily.after
         ).awaitTermination()
-    return table.read()
+
+    _streamed(spark, sf_dir, root, run)
+    return report.read()
+
+
+def stream_lifecycle_report(spark, sf_dir):
+    """The lifecycle report over all batches from two streams: raw rows per load, and stage versions that come and go."""
+    root = scratch_dir(spark, "stream-lifecycle")
+    table = _stage_table(spark, root, ("batch_date", "loaded_at"))
+    counts = SignedCounts(spark, f"{root}/counts")
+    loads = KeyedTable(spark, f"{root}/loads", RAW_LOADS, ["batch_date", "loaded_at"], "loaded_at", "batch_date", null_safe_keys=True)
+
+    def run(schema):
+        start_raw_counts(spark, f"{root}/raw", schema, loads, f"{root}/checkpoint-raw").awaitTermination()
+        start_upsert(
+            spark, f"{root}/raw", schema, table, sales_versions, f"{root}/checkpoint", on_change=counts.add
+        ).awaitTermination()
+
+    _streamed(spark, sf_dir, root, run, repeat=False)
+    return marts.lifecycle_of_counts(raw_stats(loads.read()), valid_stats(counts.read()), AS_OF, limit=None)
 
 
 # Data checks
@@ -440,10 +503,13 @@ QUERIES: dict[str, Query] = {
     "daily_gap_over_40_days": daily_gap_over_40_days,
     "lifecycle_gap_over_40_days": lifecycle_gap_over_40_days,
     "full_refresh_equivalence": full_refresh_equivalence,
+    "lifecycle_rollup": lifecycle_rollup,
     "dq_not_null": dq_not_null,
     "dq_unique": dq_unique,
     "csv_stream_ingest": csv_stream_ingest,
     "stream_upsert": stream_upsert,
+    "stream_daily_report": stream_daily_report,
+    "stream_lifecycle_report": stream_lifecycle_report,
 }
 
 

@@ -27,3 +27,17 @@ def keep_latest(df: DataFrame, keys: list[str], order: list[Column] | None = Non
     """
     window = Window.partitionBy(F.xxhash64(*keys), *keys).orderBy(*(order or latest_first(df, keys)))
     return df.withColumn("_rank", F.row_number().over(window)).filter("_rank = 1").drop("_rank")
+
+
+def newest_by_aggregate(df: DataFrame, keys: list[str], lead: str = "loaded_at") -> DataFrame:
+    """One row per key, the first by `latest_first`, as an aggregation.
+
+    Over a stream this is state that Spark keeps: a row per key, and each batch gives the keys it brought rows for. The order is
+    that of `latest_first`: a missing lead is the newest, missing values are the oldest elsewhere.
+    """
+    known = [name for name in df.columns if name not in (*keys, lead)]
+    rest = [name for name in ("file_modified_at", "source_filename") if name in known]
+    rest += [name for name in known if name not in rest]
+    order = F.struct(F.col(lead).isNull().alias("unknown"), F.col(lead), *rest)
+    newest = df.groupBy(*keys).agg(F.max(order).alias("newest"))
+    return newest.select(*[name if name in keys else F.col(f"newest.{name}").alias(name) for name in df.columns])

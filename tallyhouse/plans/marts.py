@@ -179,12 +179,26 @@ def report_transactions_lifecycle(
 ) -> DataFrame:
     """Raw, valid and ignored rows per batch date, newest batches first.
 
-    `limit` is one of the whole report; under a lookback every batch date from the start on is produced. A lookback is put on both inputs: Spark does not push it below the full join by itself, and the
-    joined batch date is on or after the start exactly when the input's is.
+    `limit` is one of the whole report; under a lookback every batch date from the start on is produced. A lookback is put on
+    both inputs: Spark does not push it below the full join by itself, and the joined batch date is on or after the start exactly when the input's is.
     """
     if lookback_start is not None:
         raw_sales = since(raw_sales, "batch_date", lookback_start)
         sales = since(sales, "batch_date", lookback_start)
-    report = join_batch_stats(raw_batch_stats(raw_sales), valid_batch_stats(sales))
+    stats = raw_batch_stats(raw_sales), valid_batch_stats(sales)
+    return lifecycle_of_counts(*stats, as_of, limit=limit if lookback_start is None else None)
+
+
+def lifecycle_of_counts(
+    raw_stats: DataFrame,
+    valid_stats: DataFrame,
+    as_of: dt.date | None = None,
+    lookback_start: DataFrame | dt.date | None = None,
+    limit: int | None = REPORT_ROWS,
+) -> DataFrame:
+    """The lifecycle report from counts per batch date that were kept up by every run."""
+    if lookback_start is not None:
+        raw_stats, valid_stats = (since(stats, "batch_date", lookback_start) for stats in (raw_stats, valid_stats))
+    report = join_batch_stats(raw_stats, valid_stats)
     report = report.withColumn("snapshot_date", _snapshot(as_of)).select(*REPORT_LIFECYCLE.fieldNames())
     return newest_rows(report, "batch_date", limit if lookback_start is None else None)

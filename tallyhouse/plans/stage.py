@@ -45,6 +45,13 @@ def clean_stores(raw: DataFrame) -> DataFrame:
     )
 
 
+def sales_versions(raw: DataFrame, timestamp_formats: list[str] | None = None) -> DataFrame:
+    """Every version of every transaction, with the lineage that settles ties and the columns of the stage in their order."""
+    cleaned = clean_sales(raw, timestamp_formats)
+    rest = [name for name in cleaned.columns if name not in STAGE_SALES.fieldNames()]
+    return cleaned.select(*STAGE_SALES.fieldNames(), *rest)
+
+
 def stage_sales(raw: DataFrame, timestamp_formats: list[str] | None = None) -> DataFrame:
     """Newest version of every transaction."""
     latest = keep_latest(clean_sales(raw, timestamp_formats), SALES_KEYS)

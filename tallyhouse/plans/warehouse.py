@@ -4,17 +4,19 @@ from __future__ import annotations
 
 import datetime as dt
 from dataclasses import dataclass
-from functools import partial, reduce
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.operators.incremental import high_water_filter
 from tallyhouse.operators.quality import not_null, unique
+from tallyhouse.operators.rollup import WATCHED, SignedCounts, raw_load_counts, raw_stats, valid_stats
 from tallyhouse.plans import marts
 from tallyhouse.plans.landing import land_files
 from tallyhouse.plans.stage import stage_sales, stage_stores
 from tallyhouse.schemas import (
+    RAW_LOADS,
     RAW_SALES,
     RAW_STORES,
     REPORT_DAILY_SALES,
@@ -25,23 +27,23 @@ from tallyhouse.schemas import (
     STAGE_STORES,
     STORES_KEYS,
 )
+from tallyhouse.sources.keyed import KeyedTable
 from tallyhouse.sources.raw import read_raw
-from tallyhouse.sources.versioned import VersionedTable
 
 
 @dataclass(frozen=True)
 class Warehouse:
     """Raw, stage and report layers below `root`.
 
-    Stage runs take what landed after the newest staged load time and append it as a delta; more
-    than `max_deltas` of them are merged. Reports look back a few days behind their newest row.
-    `full_refresh` rebuilds from the whole layer below.
+    Stage runs take what landed after the newest staged load time. Reports look back a few days behind their newest row.
+    `full_refresh` rebuilds from the whole layer below. `buckets` is the number of parts by key of the stage of sales; it stays
+    what it was when that table was first written.
     """
 
     spark: SparkSession
     root: str
     timestamp_formats: list[str] | None = None
-    max_deltas: int = 20
+    buckets: int = 8
 
     def raw_sales(self, since: dt.date | None = None) -> DataFrame:
         return read_raw(self.spark, f"{self.root}/raw/sales", RAW_SALES, since)
@@ -50,29 +52,37 @@ class Warehouse:
         return read_raw(self.spark, f"{self.root}/raw/stores", RAW_STORES, since)
 
     @property
-    def sales(self) -> VersionedTable:
-        return VersionedTable(
-            self.spark, f"{self.root}/stage/sales", STAGE_SALES, SALES_KEYS, "loaded_at", "transaction_time"
-        )
+    def sales(self) -> KeyedTable:
+        path = f"{self.root}/stage/sales"
+        return KeyedTable(self.spark, path, STAGE_SALES, SALES_KEYS, "loaded_at", "transaction_time", self.buckets, watched=WATCHED)
+
+    @property
+    def stores(self) -> KeyedTable:
+        return KeyedTable(self.spark, f"{self.root}/stage/stores", STAGE_STORES, STORES_KEYS, "loaded_at")
+
+    @property
+    def sales_counts(self) -> SignedCounts:
+        return SignedCounts(self.spark, f"{self.root}/stage/sales_counts")
 
     @property
-    def stores(self) -> VersionedTable:
-        return VersionedTable(self.spark, f"{self.root}/stage/stores", STAGE_STORES, STORES_KEYS, "loaded_at")
+    def raw_loads(self) -> KeyedTable:
+        path = f"{self.root}/stage/raw_loads"
+        return KeyedTable(self.spark, path, RAW_LOADS, ["batch_date", "loaded_at"], "loaded_at", "batch_date", null_safe_keys=True)
 
     @property
-    def daily_sales(self) -> VersionedTable:
+    def daily_sales(self) -> KeyedTable:
         path = f"{self.root}/marts/report_daily_sales"
-        return VersionedTable(self.spark, path, REPORT_DAILY_SALES, ["transaction_date"])
+        return KeyedTable(self.spark, path, REPORT_DAILY_SALES, ["transaction_date"], month_of="transaction_date")
 
     @property
-    def top_stores(self) -> VersionedTable:
+    def top_stores(self) -> KeyedTable:
         path = f"{self.root}/marts/report_top_stores"
-        return VersionedTable(self.spark, path, REPORT_TOP_STORES, ["transaction_date", "store_token"])
+        return KeyedTable(self.spark, path, REPORT_TOP_STORES, ["transaction_date", "store_token"])
 
     @property
-    def lifecycle(self) -> VersionedTable:
+    def lifecycle(self) -> KeyedTable:
         path = f"{self.root}/marts/report_transactions_lifecycle"
-        return VersionedTable(self.spark, path, REPORT_LIFECYCLE, ["batch_date"])
+        return KeyedTable(self.spark, path, REPORT_LIFECYCLE, ["batch_date"], month_of="batch_date")
 
     def land(
         self,
@@ -110,34 +120,47 @@ class Warehouse:
         ]
         return reduce(DataFrame.unionByName, named)
 
+    def _new_raw(self, table: KeyedTable, read, full_refresh: bool) -> DataFrame:
+        """Raw rows that landed after the table's newest load; all of them for a first run or a full refresh."""
+        mark = None if full_refresh else table.high_water()
+        return high_water_filter(read(mark.date() if mark else None), mark, "loaded_at", "load_date")
+
     def run_stage(self, full_refresh: bool = False) -> None:
-        for table, read, build in (
-            (self.sales, self.raw_sales, partial(stage_sales, timestamp_formats=self.timestamp_formats)),
-            (self.stores, self.raw_stores, stage_stores),
+        sales, stores, counts, loads = self.sales, self.stores, self.sales_counts, self.raw_loads
+        for table in (sales, stores, loads):
+            table.recover(counts.add if table is sales else None)
+        rows = stage_sales(self._new_raw(sales, self.raw_sales, full_refresh), timestamp_formats=self.timestamp_formats)
+        if full_refresh or not sales.exists() or not counts.complete():
+            counts.forget()
+            if full_refresh or not sales.exists():
+                sales.replace(rows)
+            else:
+                sales.upsert(rows)
+            counts.count_whole(sales.read())
+        else:
+            sales.upsert(rows, counts.add)
+        for table, new in (
+            (stores, stage_stores(self._new_raw(stores, self.raw_stores, full_refresh))),
+            (loads, raw_load_counts(self._new_raw(loads, self.raw_sales, full_refresh))),
         ):
-            mark = None if full_refresh else table.high_water()
-            raw = read(mark.date() if mark else None)
-            rows = build(high_water_filter(raw, mark, "loaded_at", "load_date"))
             if full_refresh:
-                table.replace(rows, "full refresh")
-                continue
-            table.append_delta(rows)
-            table.tidy(self.max_deltas)
+                table.replace(new)
+            else:
+                table.upsert(new)
 
-    def _start(self, report: VersionedTable, day: str, days: int, full_refresh: bool) -> dt.date | None:
+    def _start(self, report: KeyedTable, day: str, days: int, full_refresh: bool) -> dt.date | None:
         """First day of the lookback; None for a first run, an empty report or a full refresh."""
         if full_refresh:
             return None
         newest = report.read().agg(F.max(day)).first()[0]
         return None if newest is None else newest - dt.timedelta(days=days)
 
-    def _merge(self, report: VersionedTable, rows: DataFrame, start: dt.date | None) -> None:
-        """A first run writes the report whole, a lookback its days as a delta, so either computes it once."""
+    def _merge(self, report: KeyedTable, rows: DataFrame, start: dt.date | None) -> None:
+        """A first run writes the report whole, a lookback its days."""
         if start is None:
             report.replace(rows)
         else:
-            report.append_delta(rows)
-            report.tidy(self.max_deltas)
+            report.upsert(rows)
 
     def run_daily_sales(
         self, as_of: dt.date | None = None, full_refresh: bool = False, month_anchored: bool = True
@@ -166,14 +189,10 @@ class Warehouse:
         self.top_stores.replace(marts.report_top_stores(recent, self.stores.read(), as_of))
 
     def run_lifecycle(self, as_of: dt.date | None = None, full_refresh: bool = False) -> None:
+        """From the counts that stage runs keep: neither the raw nor the stage layer is read."""
         start = self._start(self.lifecycle, "batch_date", marts.LIFECYCLE_LOOKBACK_DAYS, full_refresh)
-        rows = marts.report_transactions_lifecycle(self.raw_sales(), self.sales.read(), as_of, start)
-        self._merge(self.lifecycle, rows, start)
-
-    def drop_merged_runs(self) -> None:
-        """Delete files of all tables that newer runs have replaced; no reader may still use them."""
-        for table in (self.sales, self.stores, self.daily_sales, self.top_stores, self.lifecycle):
-            table.drop_merged_runs()
+        landed, valid = raw_stats(self.raw_loads.read()), valid_stats(self.sales_counts.read())
+        self._merge(self.lifecycle, marts.lifecycle_of_counts(landed, valid, as_of, start), start)
 
     def run(self, as_of: dt.date | None = None, full_refresh: bool = False) -> None:
         """Stage tables first, then the three reports."""

@@ -90,6 +90,12 @@ REPORT_LIFECYCLE = _schema(
     ("processing_date", TimestampNTZType()),
 )
 
+RAW_LOADS = _schema(
+    ("batch_date", DateType()),
+    ("loaded_at", TimestampNTZType()),
+    ("raw_rows", LongType()),
+)
+
 SALES_KEYS = ["store_token", "transaction_id"]
 STORES_KEYS = ["store_token"]
 

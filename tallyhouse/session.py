@@ -97,6 +97,12 @@ def move_path(spark: SparkSession, source: str, target: str) -> bool:
     return file_system.rename(old, new)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    """Make a folder and those above it."""
+    file_system, target = _file_system(spark, path)
+    file_system.mkdirs(target)
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Delete a folder of a table this package wrote."""
     file_system, target = _file_system(spark, path)

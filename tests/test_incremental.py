@@ -1,15 +1,20 @@
 import datetime as dt
 import itertools
+import os
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from helpers import at, raw_sales, staged, tuples
+from tallyhouse.operators.dedup import keep_latest, newest_by_aggregate
 from tallyhouse.operators.incremental import high_water_filter, high_water_mark, lookback_start, since, upsert
+from tallyhouse.operators.rollup import SignedCounts, raw_load_counts, raw_stats, valid_stats
+from tallyhouse.plans import marts
 from tallyhouse.plans.stage import stage_sales
-from tallyhouse.schemas import SALES_KEYS, STAGE_SALES, STAGE_STORES
-from tallyhouse.sources.versioned import VersionedTable
+from tallyhouse.schemas import RAW_LOADS, SALES_KEYS, STAGE_SALES, STAGE_STORES, STORES_KEYS
+from tallyhouse.sources.keyed import KeyedTable
 
 HOUR = dt.timedelta(hours=1)
 
@@ -73,9 +78,9 @@ row = st.tuples(
 @given(
     rows=st.lists(row, min_size=1, max_size=25),
     cuts=st.sets(st.integers(0, 6), max_size=3),
-    compact=st.booleans(),
+    forget=st.booleans(),
 )
-def test_incremental_equals_full_refresh(spark, tmp_path, rows, cuts, compact):
+def test_incremental_equals_full_refresh(spark, tmp_path, rows, cuts, forget):
     raw = raw_sales(
         spark,
         [
@@ -89,14 +94,12 @@ def test_incremental_equals_full_refresh(spark, tmp_path, rows, cuts, compact):
             for s, t, a, w, h in rows
         ],
     )
-    table = VersionedTable(
-        spark, f"{tmp_path}/t{next(counter)}", STAGE_SALES, SALES_KEYS, "loaded_at", "transaction_time"
-    )
+    table = sales_table(spark, f"{tmp_path}/t{next(counter)}")
     for cut in sorted(cuts | {6}):
         landed = raw.filter(raw.loaded_at <= at("2021-01-01") + cut * HOUR)
-        table.append_delta(stage_sales(high_water_filter(landed, table.high_water())))
-        if compact and cut % 2:
-            table.compact()
+        table.upsert(stage_sales(high_water_filter(landed, table.high_water())))
+        if forget:  # another session does not know the table yet
+            spark.sql(f"DROP TABLE {table.name}")
     full = stage_sales(raw)
     assert sorted(tuples(table.read()), key=str) == sorted(tuples(full), key=str)
     start = dt.date(2021, 2, 5)
@@ -104,116 +107,150 @@ def test_incremental_equals_full_refresh(spark, tmp_path, rows, cuts, compact):
     assert sorted(tuples(table.read(start)), key=str) == sorted(tuples(recent), key=str)
 
 
-def test_uncommitted_run_is_not_seen_and_is_replaced(spark, tmp_path):
-    path = f"{tmp_path}/t"
-    table = VersionedTable(spark, path, STAGE_SALES, SALES_KEYS, "loaded_at")
-    table.append_delta(staged(spark, [("a", "1", None, 1)]))
-    staged(spark, [("a", "2", None, 1)]).write.parquet(f"{path}/runs/seq=1")
-    assert table.read().count() == 1
-    table.append_delta(staged(spark, [("a", "3", None, 1)]))
-    assert sorted(tuples(table.read(), "transaction_id")) == [("1",), ("3",)]
+def sales_table(spark, path, **options):
+    return KeyedTable(spark, path, STAGE_SALES, SALES_KEYS, "loaded_at", "transaction_time", 2, **options)
+
+
+def later(rows, hours=1):
+    return rows.withColumn("loaded_at", F.col("loaded_at") + F.expr(f"INTERVAL {hours} HOURS"))
+
 
+def amounts(table):
+    return {r[0]: int(r[1]) for r in tuples(table.read(), "transaction_id", "amount")}
 
-def test_null_keys_add_one_row_per_delta(spark, tmp_path):
-    table = VersionedTable(spark, f"{tmp_path}/t", STAGE_SALES, SALES_KEYS, "loaded_at")
-    safe = VersionedTable(spark, f"{tmp_path}/s", STAGE_SALES, SALES_KEYS, "loaded_at", null_safe_keys=True)
+
+def test_null_keys_add_one_row_per_run(spark, tmp_path):
+    table, safe = sales_table(spark, f"{tmp_path}/t"), sales_table(spark, f"{tmp_path}/s", null_safe_keys=True)
     for amount in (1, 2, 3):
         for t in (table, safe):
-            t.append_delta(staged(spark, [("a", None, None, amount), ("a", "k", None, amount)]))
-    assert sorted(str(r[0]) for r in tuples(table.read().filter("transaction_id is null"), "amount")) == [
-        "1.00", "2.00", "3.00",
-    ]
-    assert tuples(safe.read().filter("transaction_id is null"), "amount") == tuples(
-        safe.read().filter("transaction_id = 'k'"), "amount"
-    )
-    table.compact()
-    assert table.read().count() == 4 and len(table.live_commits()) == 1
-
-
-def test_tidy_merges_small_deltas_and_rewrites_the_base_for_large_ones(spark, tmp_path):
-    table = VersionedTable(spark, f"{tmp_path}/t", STAGE_SALES, SALES_KEYS, "loaded_at", "transaction_time")
-    table.tidy(0)
-    time = "2021-01-01T10:00"
-    expected = {str(i): 0 for i in range(20)}
-    table.append_delta(staged(spark, [("a", k, time, v) for k, v in expected.items()]))
-    kinds = []
-    for run in range(1, 6):
-        changed = {"1": run, f"new{run}": run}
-        expected.update(changed)
-        table.append_delta(staged(spark, [("a", k, time, v) for k, v in changed.items()]))
-        table.tidy(1)
-        kinds.append([c.kind for c in table.live_commits()])
-        assert {r[0]: int(r[1]) for r in tuples(table.read(), "transaction_id", "amount")} == expected
-    assert kinds == [["base", "delta"], ["base", "merged"], ["base"], ["base", "delta"], ["base", "merged"]]
-    assert table.drop_merged_runs() == [0, 1, 2, 3, 4, 6, 7]
-    assert table.read().count() == len(expected)
-
-
-def test_empty_table_and_empty_delta(spark, tmp_path):
-    table = VersionedTable(spark, f"{tmp_path}/t", STAGE_SALES, SALES_KEYS, "loaded_at", "transaction_time")
+            t.upsert(later(staged(spark, [("a", None, None, amount), ("a", "k", None, amount)]), amount))
+    assert sorted(str(r[0]) for r in tuples(table.read().filter("transaction_id is null"), "amount")) == ["1.00", "2.00", "3.00"]
+    assert sorted(map(str, amounts(safe).items())) == ["('k', 3)", "(None, 3)"]
+
+
+def test_empty_table_and_empty_run(spark, tmp_path):
+    table = sales_table(spark, f"{tmp_path}/t")
     assert table.read().count() == 0 and table.high_water() is None
     nothing = staged(spark, [])
-    assert table.append_delta(nothing) == 0
+    table.upsert(nothing)
     assert table.read().count() == 0 and table.high_water() is None
-    assert table.append_delta(staged(spark, [("a", "1", "2021-01-01T10:00", 1)])) == 1
-    assert table.append_delta(nothing) == 0
-    assert [c.kind for c in table.live_commits()] == ["base", "delta"]
-    assert table.high_water() == at("2021-01-05 13:00:00")
+    table.upsert(staged(spark, [("a", "1", "2021-01-01T10:00", 1)]))
+    table.upsert(nothing)
+    assert amounts(table) == {"1": 1} and table.high_water() == at("2021-01-05 13:00:00")
+
+
+def test_a_correction_that_moves_a_row_empties_its_month(spark, tmp_path):
+    table = sales_table(spark, f"{tmp_path}/t")
+    table.upsert(staged(spark, [("a", "1", "2021-03-05T10:00", 1), ("a", "2", "2021-04-06T10:00", 1), ("a", "3", None, 1)]))
+    table.upsert(later(staged(spark, [("a", "1", "2021-01-05T10:00", 2), ("a", "3", "2021-01-07T10:00", 2)])))
+    months = sorted(name for name in os.listdir(f"{tmp_path}/t") if "=" in name)
+    assert months == ["transaction_time_month=2021-01-01", "transaction_time_month=2021-04-01"]
+    assert amounts(table) == {"1": 2, "2": 1, "3": 2}
+    assert tuples(table.read(dt.date(2021, 3, 1)), "transaction_id") == [("2",)]
 
 
-def test_corrected_row_that_left_the_range_hides_its_old_version(spark, tmp_path):
-    table = VersionedTable(spark, f"{tmp_path}/t", STAGE_SALES, SALES_KEYS, "loaded_at", "transaction_time")
-    table.append_delta(staged(spark, [("a", "1", "2021-03-05T10:00", 1), ("a", "2", "2021-03-06T10:00", 1)]))
-    table.append_delta(later(staged(spark, [("a", "1", "2021-01-05T10:00", 1)])))
-    assert tuples(table.read(dt.date(2021, 3, 1)), "transaction_id") == [("2",)]
-    assert table.read().count() == 2
+def test_months_without_a_change_keep_their_files(spark, tmp_path):
+    table = sales_table(spark, f"{tmp_path}/t")
+    table.upsert(staged(spark, [("a", str(k), f"2021-0{k}-05T10:00", 1) for k in range(1, 6)]))
 
+    def files():
+        return {name: sorted(os.listdir(f"{tmp_path}/t/{name}")) for name in os.listdir(f"{tmp_path}/t") if "=" in name}
 
-def later(rows, hours=1):
-    return rows.withColumn("loaded_at", F.col("loaded_at") + F.expr(f"INTERVAL {hours} HOURS"))
+    before = files()
+    table.upsert(later(staged(spark, [("a", "2", "2021-02-06T10:00", 2), ("a", "9", "2021-04-07T10:00", 2)])))
+    after = files()
+    changed = {name for name in before if before[name] != after[name]}
+    assert changed == {"transaction_time_month=2021-02-01", "transaction_time_month=2021-04-01"}
+    assert amounts(table) == {"1": 1, "2": 2, "3": 1, "4": 1, "5": 1, "9": 2}
 
 
 def test_the_newest_load_wins_in_whatever_order_runs_come(spark, tmp_path):
-    path = f"{tmp_path}/t"
-    table = VersionedTable(spark, path, STAGE_SALES, SALES_KEYS, "loaded_at", "transaction_time")
+    table = sales_table(spark, f"{tmp_path}/t")
     drops = [later(staged(spark, [("a", k, "2021-03-05T10:00", h) for k in keys]), h) for h, keys in ((2, "12"), (1, "123"), (4, "3"), (3, "34"))]
     for drop in [*drops, drops[1]]:
-        table.append_delta(drop)
-    expected = {"1": 2, "2": 2, "3": 4, "4": 3}
-    assert {r[0]: int(r[1]) for r in tuples(table.read(), "transaction_id", "amount")} == expected
-    table.compact()
-    assert {r[0]: int(r[1]) for r in tuples(table.read(), "transaction_id", "amount")} == expected
-
-
-def test_months_without_new_versions_are_read_without_a_join(spark, tmp_path):
-    table = VersionedTable(spark, f"{tmp_path}/t", STAGE_SALES, SALES_KEYS, "loaded_at", "transaction_time")
-    times = ["2021-01-05T10:00", "2021-02-05T10:00", "2021-03-05T10:00", None]
-    table.append_delta(staged(spark, [("a", str(k), t, 1) for k, t in enumerate(times)]))
-    table.append_delta(later(staged(spark, [("a", "1", "2021-03-06T10:00", 2), ("a", "9", "2021-01-07T10:00", 2)])))
-    assert table.live_commits()[-1].months == [dt.date(2021, 2, 1)]
-    assert len(tuples(table.read())) == 5
-    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        text = table.read()._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
-    scans = [line for line in text.splitlines() if "PartitionFilters" in line and "transaction_time_month" in line]
-    assert len(scans) == 2 and text.count("Exchange") == 2  # the two sides of the join over February
-    table.append_delta(later(staged(spark, [("a", "3", "2021-05-06T10:00", 3)]), 2))
-    assert table.live_commits()[-1].months == [None]
-    rows = {r[0]: int(r[1]) for r in tuples(table.read(), "transaction_id", "amount")}
-    assert rows == {"0": 1, "1": 2, "2": 1, "3": 3, "9": 2}
-    table.tidy(1, share=9)
-    assert table.live_commits()[-1].kind == "merged" and table.live_commits()[-1].months == [None, dt.date(2021, 2, 1)]
-    assert {r[0]: int(r[1]) for r in tuples(table.read(), "transaction_id", "amount")} == rows
-
-
-def test_merged_runs_can_be_dropped(spark, tmp_path):
-    table = VersionedTable(spark, f"{tmp_path}/t", STAGE_STORES, ["store_token"])
-    rows = [spark.createDataFrame([(k, "g", "n", None, None)], STAGE_STORES) for k in ("a", "b")]
+        table.upsert(drop)
+    assert amounts(table) == {"1": 2, "2": 2, "3": 4, "4": 3}
+    assert table.high_water() == at("2021-01-05 17:00:00")
+
+
+class Stopped(Exception):
+    pass
+
+
+@pytest.mark.parametrize("step", ["_insert", "_drop_months", "_note_mark"])
+def test_a_run_that_dies_is_finished_by_the_next(spark, tmp_path, monkeypatch, step):
+    """Whatever step it dies at once its rows are written aside, nothing is lost and the counts are added once."""
+    table = sales_table(spark, f"{tmp_path}/t", watched=("batch_date", "loaded_at"))
+    counts = SignedCounts(spark, f"{tmp_path}/counts")
+    table.upsert(staged(spark, [("a", "1", "2021-03-05T10:00", 1, "2021-01-01"), ("a", "2", "2021-04-06T10:00", 1, "2021-01-01")]), counts.add)
+
+    def stop(*_):
+        raise Stopped
+
+    with monkeypatch.context() as patched:
+        patched.setattr(KeyedTable, step, stop)
+        with pytest.raises(Stopped):
+            table.upsert(later(staged(spark, [("a", "1", "2021-02-05T10:00", 2, "2021-01-02")])), counts.add)
+    assert table.high_water() == at("2021-01-05 13:00:00")
+    table.recover(counts.add)
+    assert amounts(table) == {"1": 2, "2": 1} and table.high_water() == at("2021-01-05 14:00:00")
+    table.upsert(later(staged(spark, [("a", "3", "2021-02-05T10:00", 3, "2021-01-02")]), 2), counts.add)
+    assert amounts(table) == {"1": 2, "2": 1, "3": 3}
+    found = sorted(tuples(valid_stats(counts.read()), "batch_date", "total_valid_rows"))
+    assert found == [(dt.date(2021, 1, 1), 1), (dt.date(2021, 1, 2), 2)]
+
+
+def test_rows_written_aside_in_part_are_forgotten(spark, tmp_path):
+    table = sales_table(spark, f"{tmp_path}/t")
+    table.upsert(staged(spark, [("a", "1", None, 1)]))
+    staged(spark, [("a", "2", None, 1)]).write.parquet(f"{tmp_path}/t.pending/dead/sent")
+    assert amounts(table) == {"1": 1}
+    table.upsert(staged(spark, [("a", "3", None, 1)]))
+    assert amounts(table) == {"1": 1, "3": 1} and os.listdir(f"{tmp_path}/t.pending") == []
+
+
+def test_signed_counts_equal_a_full_count(spark, tmp_path):
+    """Batches sent again, corrected into other batches and out of order."""
+    table = sales_table(spark, f"{tmp_path}/t", watched=("batch_date", "loaded_at"))
+    counts = SignedCounts(spark, f"{tmp_path}/counts")
+    loads = KeyedTable(spark, f"{tmp_path}/loads", RAW_LOADS, ["batch_date", "loaded_at"], "loaded_at", "batch_date", null_safe_keys=True)
+    drops = []
+    for hour, day, keys in ((3, 3, "12"), (1, 1, "1234"), (2, 2, "34"), (5, 3, "56"), (2, 2, "34"), (4, 1, "6")):
+        moment = at("2021-01-05") + hour * HOUR
+        rows = [{"transaction_id": k, "loaded_at": moment, "batch_date": dt.date(2021, 1, day)} for k in keys]
+        if hour == 5:
+            rows += [{"store_token": "store_token", "loaded_at": moment, "batch_date": None}]
+        drops.append(raw_sales(spark, rows))
+    landed = {}
+    for k, drop in enumerate(drops):
+        table.upsert(stage_sales(drop), counts.add)
+        loads.upsert(raw_load_counts(drop))
+        landed[drop.first().loaded_at] = drop  # a load that is sent again is the same load
+        raw = None
+        for one in landed.values():
+            raw = one if raw is None else raw.unionByName(one)
+        got = marts.lifecycle_of_counts(raw_stats(loads.read()), valid_stats(counts.read()), dt.date(2021, 2, 1))
+        want = marts.report_transactions_lifecycle(raw, stage_sales(raw), dt.date(2021, 2, 1))
+        assert sorted(tuples(got), key=str) == sorted(tuples(want), key=str), k
+
+
+def test_tables_without_months_and_replaced_months(spark, tmp_path):
+    stores = KeyedTable(spark, f"{tmp_path}/s", STAGE_STORES, STORES_KEYS, "loaded_at")
+    rows = [spark.createDataFrame([(k, "g", n, None, at("2021-01-01"))], STAGE_STORES) for k, n in (("a", "x"), ("b", "y"), ("a", "z"))]
     for r in rows:
-        table.append_delta(r)
-    table.compact()
-    assert table.drop_merged_runs() == [0, 1]
-    assert sorted(tuples(table.read(), "store_token")) == [("a",), ("b",)]
+        stores.upsert(r)
+    assert sorted(tuples(stores.read(), "store_token", "store_name")) == [("a", "z"), ("b", "y")]
+    stores.replace(rows[0])
+    assert tuples(stores.read(), "store_name") == [("x",)]
+    table = sales_table(spark, f"{tmp_path}/t")
+    table.upsert(staged(spark, [("a", "1", "2021-03-05T10:00", 1), ("a", "2", "2021-04-06T10:00", 1), ("a", "3", None, 1)]))
+    table.replace_months(table.read_months([dt.date(2021, 3, 1), None]).where("transaction_id = '1'"), [dt.date(2021, 3, 1), None])
+    assert amounts(table) == {"1": 1, "2": 1}
+
+
+def test_newest_by_aggregate_equals_keep_latest(spark):
+    moments = [at("2021-01-01"), at("2021-01-02"), None]
+    rows = [{"transaction_id": str(k % 5), "loaded_at": moments[k % 3], "amount": [None, "1.00", "2.00"][k % 7 % 3]} for k in range(60)]
+    raw = raw_sales(spark, rows).dropDuplicates()
+    want = sorted(tuples(keep_latest(raw, SALES_KEYS), *raw.columns), key=str)
+    assert sorted(tuples(newest_by_aggregate(raw, SALES_KEYS), *raw.columns), key=str) == want

@@ -4,19 +4,29 @@ import datetime as dt
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from tallyhouse.checks import fixtures
 from tallyhouse.checks.queries import QUERIES
 from tallyhouse.functions.files import STORES
+from tallyhouse.operators.incremental import upsert
 from tallyhouse.operators.landing import good_lines, ingest_log
 from tallyhouse.plans import marts
 from tallyhouse.plans.stage import stage_sales
 from tallyhouse.schemas import SALES_KEYS, STAGE_SALES
+from tallyhouse.sources.keyed import KeyedTable
 from tallyhouse.sources.lines import read_lines
-from tallyhouse.sources.versioned import VersionedTable
 
 SF_DIR = "/root/testdata/sf0.001"
-WRITES = {"csv_stream_ingest", "csv_batch_ingest", "full_refresh_equivalence", "stream_upsert"}
+WRITES = {
+    "csv_stream_ingest",
+    "csv_batch_ingest",
+    "full_refresh_equivalence",
+    "lifecycle_rollup",
+    "stream_upsert",
+    "stream_daily_report",
+    "stream_lifecycle_report",
+}
 
 
 def plan(df):
@@ -26,11 +36,43 @@ def plan(df):
 @pytest.fixture(scope="module")
 def table(spark, tmp_path_factory):
     path = str(tmp_path_factory.mktemp("plans") / "t")
-    sales = VersionedTable(spark, path, STAGE_SALES, SALES_KEYS, "loaded_at", "transaction_time")
-    sales.append_delta(stage_sales(fixtures.raw_sales(spark, SF_DIR)))
+    sales = KeyedTable(spark, path, STAGE_SALES, SALES_KEYS, "loaded_at", "transaction_time", 2)
+    sales.upsert(stage_sales(fixtures.raw_sales(spark, SF_DIR)))
     return sales
 
 
+@pytest.fixture
+def no_broadcast(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def exchanged(text):
+    """The operators below each Exchange of a plan, as text."""
+    lines = text.splitlines()
+    depth = [len(line) - len(line.lstrip(" :+-*()0123456789")) for line in lines]
+    found = []
+    for k, line in enumerate(lines):
+        if "Exchange hashpartitioning" in line:
+            end = next((j for j in range(k + 1, len(lines)) if depth[j] <= depth[k]), len(lines))
+            found.append("\n".join(lines[k:end]))
+    return found
+
+
+def test_new_rows_meet_a_bucketed_stage_without_shuffling_it(spark, table, no_broadcast):
+    """Of the merge, of the search for touched months and of the plain upsert, only the sent rows are dealt by key."""
+    sent = stage_sales(fixtures.raw_sales(spark, SF_DIR)).withColumn("transaction_time_month", F.trunc("transaction_time", "MM"))
+    merged = plan(table._merged(table._rows(), sent, False))
+    touched = plan(table._touched(sent))
+    plain = plan(upsert(table.read(), stage_sales(fixtures.raw_sales(spark, SF_DIR)), SALES_KEYS))
+    for text in (merged, touched, plain):
+        assert "Bucketed: true" in text and "SortMergeJoin" in text
+        by_key = [below for below in exchanged(text) if "transaction_time_month" not in below.splitlines()[0]]
+        assert by_key and not any(table.name.split(".")[1] in below for below in by_key)
+
+
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - WRITES))
 def test_no_python_no_cross_join(spark, name):
     text = plan(QUERIES[name](spark, SF_DIR))

@@ -1,13 +1,17 @@
 import datetime as dt
 import os
 
+import pytest
+from pyspark.errors import StreamingQueryException
+
 from helpers import at, raw_sales, tuples
-from tallyhouse.plans.stage import stage_sales
-from tallyhouse.schemas import RAW_SALES, SALES_KEYS, STAGE_SALES
+from tallyhouse.operators.rollup import SignedCounts, valid_stats
+from tallyhouse.plans.stage import sales_versions
+from tallyhouse.schemas import RAW_SALES, REPORT_DAILY_SALES, SALES_KEYS, STAGE_SALES
+from tallyhouse.sources.keyed import KeyedTable
 from tallyhouse.sources.raw import read_raw
-from tallyhouse.sources.versioned import VersionedTable
 from tallyhouse.streaming.ingest import start_ingest
-from tallyhouse.streaming.stage import start_upsert
+from tallyhouse.streaming.stage import DailyReport, start_upsert
 
 TODAY = dt.date(2025, 1, 31)
 
@@ -58,36 +62,68 @@ def test_ingest_in_several_batches_and_nested_folders(spark, tmp_path):
     assert sales.select("ingest_batch").distinct().count() == 3
 
 
+def sales_table(spark, path, *watched):
+    return KeyedTable(spark, path, STAGE_SALES, SALES_KEYS, "loaded_at", "transaction_time", 2, watched=watched)
+
+
 def test_upsert_stream_keeps_latest_and_survives_replay(spark, tmp_path):
     raw, checkpoint = str(tmp_path / "raw"), str(tmp_path / "cp")
-    table = VersionedTable(spark, str(tmp_path / "stage"), STAGE_SALES, SALES_KEYS, "loaded_at", "transaction_time")
-
-    seen = []
+    table, counts, seen = sales_table(spark, str(tmp_path / "stage"), "batch_date", "loaded_at"), SignedCounts(spark, str(tmp_path / "n")), []
 
-    def run(max_deltas=20):
+    def run():
         start_upsert(
-            spark,
-            raw,
-            RAW_SALES,
-            table,
-            stage_sales,
-            checkpoint,
-            max_deltas=max_deltas,
-            after=lambda: seen.append(len(table.live_commits())),
+            spark, raw, RAW_SALES, table, sales_versions, checkpoint, on_change=counts.add, after=lambda: seen.append(table.high_water())
         ).awaitTermination()
-        return sorted(tuples(table.read(), "transaction_id", "receipt_token"))
+        return sorted(tuples(table.read(), "transaction_id", "receipt_token"), key=str)
+
+    def put_raw(*rows):
+        raw_sales(spark, list(rows)).write.mode("append").parquet(raw)
 
-    rows = [{"transaction_id": "1", "receipt_token": "old"}, {"transaction_id": "2", "receipt_token": "old"}]
-    raw_sales(spark, rows).write.parquet(raw)
-    assert run() == [("1", "old"), ("2", "old")]
+    put_raw({"transaction_id": "1", "receipt_token": "old"}, {"transaction_id": "2", "receipt_token": "old"}, {"transaction_id": None})
+    assert run() == [("1", "old"), ("2", "old"), (None, "r1")]
     later = {"loaded_at": at("2021-02-01 00:00:00"), "receipt_token": "new"}
-    raw_sales(spark, [{"transaction_id": "2", **later}, {"transaction_id": "3", **later}]).write.mode("append").parquet(raw)
-    expected = [("1", "old"), ("2", "new"), ("3", "new")]
+    put_raw({"transaction_id": "2", **later}, {"transaction_id": "3", **later}, {"transaction_id": None, **later})
+    expected = [("1", "old"), ("2", "new"), ("3", "new"), (None, "new")]
     assert run() == expected
     forget_last_commit(checkpoint)
     assert run() == expected
-    assert len(table.live_commits()) == 2
-    raw_sales(spark, [{"transaction_id": "4", **later}]).write.mode("append").parquet(raw)
-    assert run(max_deltas=1) == expected + [("4", "new")]
-    assert len(table.live_commits()) == 1
-    assert seen == [1, 2, 2, 1]
+    # Late rows of an earlier load, one of a new key; a tie in the load time is settled by the file time.
+    early = {"loaded_at": at("2021-01-04 00:00:00"), "receipt_token": "late"}
+    put_raw({"transaction_id": "3", **early}, {"transaction_id": "4", **early})
+    put_raw({"transaction_id": "1", "receipt_token": "a", "file_modified_at": at("2021-01-06 00:00:00")})
+    assert run() == [("1", "a"), ("2", "new"), ("3", "new"), ("4", "late"), (None, "new")]
+    assert sum(r[0] for r in tuples(valid_stats(counts.read()), "total_valid_rows")) == 5
+    assert seen[-1] == at("2021-02-01 00:00:00")
+    metadata = [name for name in os.listdir(f"{checkpoint}/state/0/0") if name.endswith(".zip") or name.endswith(".changelog")]
+    assert metadata  # the files of the store on disk
+
+
+def test_daily_report_follows_late_and_moved_days(spark, tmp_path):
+    """A late day months back, a day whose only row moves away, and a run that dies between the stage and the report."""
+    raw, checkpoint = str(tmp_path / "raw"), str(tmp_path / "cp")
+    table = sales_table(spark, str(tmp_path / "stage"), "transaction_time")
+    report = KeyedTable(spark, str(tmp_path / "report"), REPORT_DAILY_SALES, ["transaction_date"], month_of="transaction_date")
+    daily = DailyReport(table, report, TODAY)
+
+    def run(after=daily.after):
+        start_upsert(spark, raw, RAW_SALES, table, sales_versions, checkpoint, on_change=daily.on_change, after=after).awaitTermination()
+        return {r[0].isoformat(): int(r[1]) for r in tuples(report.read(), "transaction_date", "monthly_cumulative_sales")}
+
+    def put_raw(hour, *rows):
+        rows = [{"transaction_id": k, "transaction_time": f"{day}T100000.000", "amount": a, "loaded_at": at(f"2021-06-01 {hour}:00:00")} for k, day, a in rows]
+        raw_sales(spark, rows).write.mode("append").parquet(raw)
+
+    put_raw(10, ("1", "20210505", "1"), ("2", "20210507", "2"), ("3", "20210320", "4"))
+    assert run() == {"2021-05-05": 1, "2021-05-07": 3, "2021-03-20": 4}
+    put_raw(11, ("4", "20210301", "8"), ("2", "20210409", "2"))
+    assert run() == {"2021-05-05": 1, "2021-04-09": 2, "2021-03-01": 8, "2021-03-20": 12}
+
+    def die():
+        raise RuntimeError("stopped")
+
+    put_raw(12, ("3", "20210506", "4"))
+    with pytest.raises(StreamingQueryException):
+        run(die)
+    assert run() == {"2021-05-05": 1, "2021-05-06": 5, "2021-04-09": 2, "2021-03-01": 8}
+    with pytest.raises(ValueError):
+        DailyReport(sales_table(spark, str(tmp_path / "other")), report)

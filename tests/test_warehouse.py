@@ -1,4 +1,5 @@
 import datetime as dt
+import os
 from decimal import Decimal
 
 from helpers import tuples
@@ -78,7 +79,7 @@ def test_column_checks(spark, tmp_path):
 def test_incremental_runs(spark, tmp_path):
     inbox = tmp_path / "inbox"
     first_drop(inbox)
-    warehouse = Warehouse(spark, str(tmp_path / "wh"), [COMPACT, ISO_SPACE, ISO_T], max_deltas=0)
+    warehouse = Warehouse(spark, str(tmp_path / "wh"), [COMPACT, ISO_SPACE, ISO_T])
     warehouse.land(str(inbox))
     warehouse.run(AS_OF)
     eleven, twelve, thirteen = (dt.date(2025, 1, d) for d in (11, 12, 13))
@@ -115,8 +116,11 @@ def test_incremental_runs(spark, tmp_path):
     names = dict(tuples(warehouse.top_stores.read(), "store_token", "store_name"))
     assert names == {"kiosk_a": "Kiosk by the lift", "kiosk_b": None, "kiosk_c": "Kiosk at the pier", "kiosk_d": None}
     before = [daily(warehouse), lifecycle(warehouse), sorted(tuples(warehouse.sales.read()))]
-    warehouse.drop_merged_runs()
-    assert [daily(warehouse), lifecycle(warehouse), sorted(tuples(warehouse.sales.read()))] == before
+    other = Warehouse(spark, str(tmp_path / "wh"), [COMPACT, ISO_SPACE, ISO_T])
+    for table in (other.sales, other.stores, other.raw_loads, other.daily_sales, other.lifecycle):
+        spark.sql(f"DROP TABLE {table.name}")  # as another session would find them
+    other.run(AS_OF)
+    assert [daily(other), lifecycle(other), sorted(tuples(other.sales.read()))] == before
     warehouse.run(AS_OF, full_refresh=True)
     assert [daily(warehouse), lifecycle(warehouse), sorted(tuples(warehouse.sales.read()))] == before
 
@@ -170,3 +174,18 @@ def test_more_new_days_than_a_full_report_holds(spark, tmp_path):
     assert [r[0] for r in daily(warehouse)] == days and [r[0] for r in lifecycle(warehouse)] == days
     warehouse.run(AS_OF, full_refresh=True)
     assert [r[0] for r in daily(warehouse)] == days[-40:] and [r[0] for r in lifecycle(warehouse)] == days[-40:]
+
+
+def test_lifecycle_reads_neither_raw_nor_stage(spark, tmp_path, monkeypatch):
+    inbox = tmp_path / "inbox"
+    warehouse = Warehouse(spark, str(tmp_path / "wh"))
+    put(inbox, "sales_20250120.csv", *[f"a,t{d},r,202501{d}T100000.000,1.00,s,c" for d in (10, 11)])
+    warehouse.land(str(inbox))
+    warehouse.run_stage()
+    put(inbox, "sales_20250121.csv", "a,t11,r,20250111T100000.000,2.00,s,c", "store_token,,,,,,")
+    warehouse.land(str(inbox))
+    warehouse.run_stage()
+    for layer in ("raw/sales", "stage/sales"):
+        os.rename(tmp_path / "wh" / layer, tmp_path / "wh" / layer.replace("/", "-gone-"))
+    warehouse.run_lifecycle(AS_OF)
+    assert lifecycle(warehouse) == [(dt.date(2025, 1, 20), 2, 1, 1), (dt.date(2025, 1, 21), 2, 1, 1)]
