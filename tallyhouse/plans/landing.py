@@ -18,6 +18,7 @@ from pyspark.sql.types import (
     TimestampNTZType,
 )
 
+from tallyhouse.functions.clock import utc_now
 from tallyhouse.functions.files import STORES, TRANSACTIONS, in_inbox
 from tallyhouse.operators.landing import (
     BROADCAST_FILES,
@@ -166,7 +167,7 @@ def land_files(
             lines = read(spark, [exact_path(path) for path in paths], loaded_at)  # noqa: B023
             land(lines, root, label, run_date, archive, max_files)
 
-        _land_readable(spark, root, here, ingest_batch, land_paths, run_date)
+        land_readable(spark, root, here, ingest_batch, land_paths, run_date)
         _note(spark, root, [(None, None, None, loaded_at, "done", ingest_batch)])
         if move_to is not None:
             _move_landed(spark, root, ingest_batch, move_to)
@@ -180,7 +181,13 @@ def _is_unreadable(error: Exception) -> bool:
     return any(sign in str(error) for sign in UNREADABLE)
 
 
-def _land_readable(
+def forget_batch(spark: SparkSession, root: str, label: str) -> None:
+    """Delete what a try of a batch has left behind."""
+    for table in ("ingest_log", "raw/sales/*", "raw/stores/*", "history/*/*/*/*"):
+        delete_matching(spark, root, f"{table}/ingest_batch={label}")
+
+
+def land_readable(
     spark: SparkSession,
     root: str,
     paths: list[str],
@@ -197,15 +204,14 @@ def _land_readable(
     except Exception as error:
         if not _is_unreadable(error):
             raise
-    for table in ("ingest_log", "raw/sales/*", "raw/stores/*", "history/*/*/*/*"):
-        delete_matching(spark, root, f"{table}/ingest_batch={label}")
+    forget_batch(spark, root, label)
     if len(paths) == 1:
         reason = "unreadable" if path_exists(spark, paths[0]) else "missing"
         _turn_away(spark, root, paths, reason, label, run_date)
         return
     half = len(paths) // 2
-    _land_readable(spark, root, paths[:half], f"{label}-0", land_paths, run_date)
-    _land_readable(spark, root, paths[half:], f"{label}-1", land_paths, run_date)
+    land_readable(spark, root, paths[:half], f"{label}-0", land_paths, run_date)
+    land_readable(spark, root, paths[half:], f"{label}-1", land_paths, run_date)
 
 
 def _turn_away(
@@ -289,7 +295,7 @@ def _plan_batches(listing: DataFrame, root: str, max_files: int) -> None:
         files = list(itertools.islice(found, max_files))
         if not files:
             return
-        now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+        now = utc_now()
         newest = now if newest is None else max(now, newest + tick)
         label = f"{run}-{k:06d}"
         _note(spark, root, [(f.path, f.length, f.file_modified_at, newest, "planned", label) for f in files])

@@ -52,19 +52,22 @@ def read_lines(
     return _with_lineage(text, loaded_at)
 
 
-def stream_lines(spark: SparkSession, inbox: str, max_files: int = 1000, **options: str) -> DataFrame:
-    """Lines of files as they arrive.
+def stream_files(spark: SparkSession, inbox: str, max_files: int = 1000, **options: str) -> DataFrame:
+    """Files as they arrive: `path` and `loaded_at`. Their contents are not read, and one that has gone meanwhile is not there.
 
     The load time is fixed before the sink, so a batch that is replayed after a failure gets the
     same value. `options` go to the file source, such as `cleanSource` and `sourceArchiveDir`.
     """
-    text = (
-        spark.readStream.option("recursiveFileLookup", "true")
+    files = (
+        spark.readStream.format("binaryFile")
+        .schema("path string, modificationTime timestamp, length long, content binary")
+        .option("recursiveFileLookup", "true")
+        .option("ignoreMissingFiles", "true")
         .option("maxFilesPerTrigger", max_files)
         .options(**options)
-        .text(inbox)
+        .load(inbox)
     )
-    return _with_lineage(text, None)
+    return files.select("path", utc_clock(F.current_timestamp()).alias("loaded_at"))
 
 
 # The rest of a quoted field that an earlier line opened, and what a line may be to it.

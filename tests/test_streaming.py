@@ -62,6 +62,31 @@ def test_ingest_in_several_batches_and_nested_folders(spark, tmp_path):
     assert sales.select("ingest_batch").distinct().count() == 3
 
 
+def test_a_file_that_cannot_be_read_does_not_stop_the_stream(spark, tmp_path):
+    """A broken archive among good files, one with a blank in its name: it is in the log, they land, and later batches go on."""
+    inbox, root, checkpoint = tmp_path / "inbox", str(tmp_path / "wh"), str(tmp_path / "cp")
+
+    def run():
+        start_ingest(spark, str(inbox), root, checkpoint, TODAY).awaitTermination()
+        return sorted(r[0] for r in tuples(read_raw(spark, f"{root}/raw/sales", RAW_SALES), "transaction_id"))
+
+    put(inbox, "sales_20250111.csv", "A,x1,r1,t,1,clerk")
+    put(inbox, "sales 20250112.csv", "A,x2,r1,t,1,clerk")
+    (inbox / "sales_20250113.csv.gz").write_bytes(b"no archive")
+    assert run() == ["x1", "x2"]
+    log = spark.read.parquet(f"{root}/ingest_log")
+    found = {r.file_path.rpartition("/")[2]: (r.status, r.error) for r in log.collect()}
+    assert found == {
+        "sales_20250111.csv": ("loaded", None),
+        "sales 20250112.csv": ("loaded", None),
+        "sales_20250113.csv.gz": ("rejected", "unreadable"),
+    }
+    put(inbox, "sales_20250114.csv", "A,x4,r1,t,1,clerk")
+    assert run() == ["x1", "x2", "x4"]
+    forget_last_commit(checkpoint)
+    assert run() == ["x1", "x2", "x4"]
+
+
 def sales_table(spark, path, *watched):
     return KeyedTable(spark, path, STAGE_SALES, SALES_KEYS, "loaded_at", "transaction_time", 2, watched=watched)
 
