@@ -51,13 +51,7 @@ def is_bad_line(value: Column) -> Column:
     return value.contains('"') & ~value.rlike(WELL_FORMED)
 
 
-def field_texts(value: Column) -> Column:
-    """The texts between the commas outside quotes, as they are written."""
-    with_quotes = F.regexp_extract_all(F.concat(F.lit(","), value), F.lit(ANY_FIELD), F.lit(1))
-    return F.when(value.contains('"'), with_quotes).otherwise(F.split(value, ","))
-
-
-def unquoted(text: Column) -> Column:
+def _unquoted(text: Column) -> Column:
     """What a field says: without its quotes and with single ones inside; NULL for nothing at all.
 
     A field that begins with a quote but is not whole in quotes stays as it is written.
@@ -67,20 +61,30 @@ def unquoted(text: Column) -> Column:
     return F.when(whole, inside).when(text != "", text)
 
 
+def field_values(value: Column) -> Column:
+    """The fields between the commas outside quotes; the pattern and the unquoting are for lines with a quote only.
+
+    Nothing at all is NULL in a line with quotes and an empty text in one without.
+    """
+    with_quotes = F.regexp_extract_all(F.concat(F.lit(","), value), F.lit(ANY_FIELD), F.lit(1))
+    return F.when(value.contains('"'), F.transform(with_quotes, _unquoted)).otherwise(F.split(value, ","))
+
+
 def split_line(value: Column, width: int) -> Column:
     """Struct c1..cN of the comma-separated fields, quotes optional, doubled inside quotes.
 
-    Missing fields are NULL and extra fields are left out. No character of a line is lost: an unclosed quote stays in its field.
+    Missing and empty fields are NULL, `""` is an empty text, and extra fields are left out. No character of a line is lost: an
+    unclosed quote stays in its field.
     """
-    texts = field_texts(value)
-    return F.struct(*[unquoted(F.get(texts, F.lit(i))).alias(f"c{i + 1}") for i in range(width)])
+    fields = [F.get(field_values(value), F.lit(i)) for i in range(width)]
+    return F.struct(*[F.when(value.contains('"') | (f != ""), f).alias(f"c{i + 1}") for i, f in enumerate(fields)])
 
 
 def split_fields(lines: DataFrame, width: int) -> DataFrame:
     """The line frame with c1..cN in place of the text, null tokens taken out."""
-    split = lines.withColumn("_texts", field_texts(F.col("value")))
-    cleaned = {f"c{i + 1}": null_tokens(unquoted(F.get("_texts", F.lit(i)))) for i in range(width)}
-    return split.withColumns(cleaned).drop("_texts", "value")
+    split = lines.withColumn("_fields", field_values(F.col("value")))
+    cleaned = {f"c{i + 1}": null_tokens(F.get("_fields", F.lit(i))) for i in range(width)}
+    return split.withColumns(cleaned).drop("_fields", "value")
 
 
 def shift_roles(fields: DataFrame) -> DataFrame:
