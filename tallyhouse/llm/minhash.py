@@ -163,14 +163,14 @@ def minhash_components(documents: DataFrame, words: int = 5, percent: int = 80)
         F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig")
     )
     classes = scratch.write(classes, "classes")
-    # One id can stand for several classes only if its rows repeat; they link through the id itself.
+    again = scratch.write(_repeated_ids(rows, classes), "again")
     keys = chunk_keys(classes)
     shared = keys.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high")
     members = scratch.write(keys.join(shared.select("key"), "key").distinct(), "members")
     ids = scratch.write(members.select("id").distinct(), "ids")
     sets = scratch.write(_sets(documents, ids, words), "sets")
 
-    links, components, mixed_keys = None, None, members
+    links, components, mixed_keys = again, None, members
     for turn in range(ROUNDS + 1):
         labelled = _labelled(mixed_keys.select("key", "id"), components)
         spread = labelled.groupBy("key").agg(
@@ -196,7 +196,7 @@ def minhash_components(documents: DataFrame, words: int = 5, percent: int = 80)
         pairs = pairs.select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b")).distinct()
         near = scratch.write(_close(pairs, classes, percent), "near")
         found = scratch.write(_confirmed(near, sets, percent), "links")
-        links = found if links is None else links.unionByName(found)
+        links = links.unionByName(found)
         # Until all links are in, two rounds do: a component that is still in parts only means more to compare.
         rounds = 2 if turn < ROUNDS else None
         components = scratch.write(connected_components(links, scratch, rounds), "components")
@@ -209,6 +209,14 @@ def minhash_components(documents: DataFrame, words: int = 5, percent: int = 80)
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
+def _repeated_ids(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links from the classes of every doc_id whose rows differ in text to that doc_id."""
+    differing = rows.where("digest IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("digest").alias("low"), F.max("digest").alias("high"))
+    differing = differing.where("low < high").select("doc_id")
+    held = rows.join(differing, "doc_id").select("doc_id", "digest").distinct().join(classes.select("digest", "id"), "digest")
+    return held.select(F.least("id", "doc_id").alias("a"), F.greatest("id", "doc_id").alias("b")).where("a < b").distinct()
+
+
 def _cross_pairs(mixed_keys: DataFrame) -> DataFrame:
     """All pairs of members that share a key of few members but no component."""
     here = mixed_keys.select("key", "id", "component")

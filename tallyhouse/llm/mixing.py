@@ -21,6 +21,8 @@ from tallyhouse.llm.scratch import Scratch
 WEIGHTS = (3.0, 1.0, 2.0)
 #: Documents rounded in one group, and groups whose residuals meet in the next.
 LEAF, FANOUT = 20_000, 16
+#: Equal rows that one group takes, about.
+SHARE = 5_000
 #: Documents of each power of two of sizes that a group passes on unrounded, to settle the last residual with.
 RESERVE = 2
 _EDGE = 1e-12
@@ -123,14 +125,15 @@ def mix_sources(documents: DataFrame, total_share: float = 1.5, most: float = 2.
     times its size if `most` is whole. A null source is a source of its own. Repeated rows and rows without a doc_id count as they come.
     An empty table gives an empty result.
 
-    Groups for rounding go by a hash of the row, so reruns agree, however the table is cut into files.
+    Groups for rounding go by a hash of the row, so reruns agree, however the table is cut into files. Only rows that are equal and
+    thousands in number are dealt over groups by their place; there, reruns over the same files agree.
     Each group rounds all but a residual and a few documents of each size, at most about 30 rows a source; these meet in groups of 16 until one group is left.
     """
     scratch = Scratch(documents.sparkSession, "mix")
     text = F.col("text").cast("string")
     size = F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
     rows = documents.select(F.col("doc_id").cast("long"), F.col("source").cast("string"), size.alias("size"), F.xxhash64("doc_id", "source", text).alias("key"))
-    rows = scratch.write(rows, "sizes")
+    rows = scratch.write(rows, "sizes").withColumn("place", F.monotonically_increasing_id())
     sums = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     rates = source_targets(sums, total_share, most, weights).withColumnRenamed("source", "_source")
@@ -139,7 +142,11 @@ def mix_sources(documents: DataFrame, total_share: float = 1.5, most: float = 2.
     divisible = (F.col("size") > 0) & (F.col("share") > _EDGE) & (F.col("share") < 1 - _EDGE)
     extra = F.when(divisible, -1).when(F.col("share") >= 0.5, 1).otherwise(0).alias("extra")
     nodes = max(1, -(-rows.count() // LEAF))
-    node = F.pmod("key", F.lit(nodes)).alias("node")
+    # Rows that are equal share a key; a key of many rows is dealt over several groups.
+    many = rows.groupBy("key").agg(F.ceil(F.count("*") / SHARE).alias("parts")).where("parts > 1").withColumnRenamed("key", "_key")
+    rated = rated.join(many, F.col("_key") == F.col("key"), "left")
+    part = F.pmod(F.xxhash64("place"), F.coalesce("parts", F.lit(1)))
+    node = F.pmod(F.col("key") + part, F.lit(nodes)).alias("node")
     rated = scratch.write(rated.select("doc_id", "source", "size", "source_size", "target", "whole", "share", "key", extra, node), "rates")
 
     parts, level = [rated.where("extra >= 0")], 0

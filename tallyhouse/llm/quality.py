@@ -133,13 +133,17 @@ def fit_quality(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -
     """A model from at most `sample` labelled documents.
 
     `labels` has doc_id and quality (0 or 1; other values and nulls are left out). A bounded sample is what
-    the method broadcasts; it is drawn by a hash of doc_id. Labels without a document count for nothing.
+    the method broadcasts; it is drawn by a hash of doc_id. Labels without a document count for nothing, and of rows that
+    repeat a doc_id one votes, the one whose text has the smallest hash.
     """
     usable = labels.select(F.col("doc_id").cast("long"), F.col("quality").cast("int").alias("label"))
     usable = usable.where("doc_id IS NOT NULL AND label IN (0, 1)").groupBy("doc_id").agg(F.min("label").alias("label"))
     chosen = usable.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     texts = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     rows = texts.join(F.broadcast(chosen), "doc_id").select("label", "text", "doc_id")  # `sample` rows of 12 bytes
+    # One row for each id, whatever its number of rows: the sample's bound is one of rows, and each id votes once.
+    rows = rows.withColumn("of", F.xxhash64("text")).groupBy("doc_id").agg(F.min(F.struct("of", "label", "text")).alias("first"))
+    rows = rows.select("first.label", "first.text", "doc_id")
     found = rows.mapInArrow(_term_rows, "doc_id long, label int, terms binary").collect()
     found.sort(key=lambda r: (r["doc_id"], bytes(r["terms"])))  # the same model whatever order the rows arrive in
     matrix = np.frombuffer(b"".join(bytes(r["terms"]) for r in found), dtype=np.float32).reshape(len(found), TERMS)
