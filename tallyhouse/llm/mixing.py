@@ -133,7 +133,9 @@ def mix_sources(documents: DataFrame, total_share: float = 1.5, most: float = 2.
     text = F.col("text").cast("string")
     size = F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
     rows = documents.select(F.col("doc_id").cast("long"), F.col("source").cast("string"), size.alias("size"), F.xxhash64("doc_id", "source", text).alias("key"))
-    rows = scratch.write(rows, "sizes").withColumn("place", F.monotonically_increasing_id())
+    rows = scratch.write(rows, "sizes")
+    number = F.regexp_extract(F.col("_metadata.file_name"), r"^part-(\d+)", 1)  # files are listed in any order
+    rows = rows.withColumn("place", F.xxhash64(number, F.col("_metadata.row_index")))
     sums = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     rates = source_targets(sums, total_share, most, weights).withColumnRenamed("source", "_source")
@@ -145,7 +147,7 @@ def mix_sources(documents: DataFrame, total_share: float = 1.5, most: float = 2.
     # Rows that are equal share a key; a key of many rows is dealt over several groups.
     many = rows.groupBy("key").agg(F.ceil(F.count("*") / SHARE).alias("parts")).where("parts > 1").withColumnRenamed("key", "_key")
     rated = rated.join(many, F.col("_key") == F.col("key"), "left")
-    part = F.pmod(F.xxhash64("place"), F.coalesce("parts", F.lit(1)))
+    part = F.pmod("place", F.coalesce("parts", F.lit(1)))
     node = F.pmod(F.col("key") + part, F.lit(nodes)).alias("node")
     rated = scratch.write(rated.select("doc_id", "source", "size", "source_size", "target", "whole", "share", "key", extra, node), "rates")
 
