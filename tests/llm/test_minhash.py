@@ -120,3 +120,19 @@ def test_components_of_chains_stars_and_nothing(spark):
     want = {k: 100 for k in range(100, 401)} | {k: 1000 for k in range(1000, 1300)} | {7: 7, 8: 7}
     assert got == want
     assert connected_components(table.limit(0), Scratch(spark, "t")).count() == 0
+
+
+def test_rows_of_one_id_link_all_their_texts(spark):
+    """(3, A) (5, A) (5, B) (7, B): one component, whichever class an id is the smallest of; an id on a third of the rows."""
+    a, b, c = "one two three four", "five six seven eight", "nine ten eleven twelve"
+    rows = [(3, a), (5, a), (5, b), (7, b), (8, c), (9, "x y z"), (9, "u v w"), (4, "u v w"), (None, a), (None, c)]
+    found = minhash_components(spark.createDataFrame(rows, SCHEMA), words=2).collect()
+    assert len(found) == len(rows)
+    assert {(r.doc_id, r.component_id, r.kept) for r in found} == {
+        (3, 3, True), (5, 3, False), (7, 3, False), (8, 8, True), (4, 4, True), (9, 4, False), (None, None, True),
+    }
+    many = [(50, f"text number {k} of the hot id") for k in range(400)] + [(k, f"text number {k} of the hot id") for k in range(100, 300)]
+    many += [(k, f"other text with {k * k} words") for k in range(1000, 1400)]
+    found = minhash_components(spark.createDataFrame(many, SCHEMA), words=2).collect()
+    assert {r.component_id for r in found if r.doc_id < 1000} == {50}
+    assert all(r.component_id == r.doc_id for r in found if r.doc_id >= 1000)

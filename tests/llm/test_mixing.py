@@ -95,3 +95,20 @@ def test_edge_cases(spark):
     found = mix_sources(df).collect()
     assert sorted(r.size for r in found) == [0, 2, 2, 2, 200_000, 200_000]
     assert mix_sources(df.limit(0)).count() == 0
+
+
+def test_equal_rows_are_dealt_over_groups(spark, tmp_path, monkeypatch):
+    """A third of the rows is one row: no group takes them all, the targets hold and reruns over the same files agree."""
+    import tallyhouse.llm.mixing as module
+
+    monkeypatch.setattr(module, "LEAF", 200)
+    monkeypatch.setattr(module, "SHARE", 100)
+    df, rows = documents(spark, 5, 2000)
+    hot = spark.range(1000).selectExpr("cast(NULL AS long) AS doc_id", "'a' AS source", "'w w w w w' AS text")
+    df.select("doc_id", "source", "text").unionByName(hot).write.parquet(f"{tmp_path}/docs")
+    docs = spark.read.parquet(f"{tmp_path}/docs")
+    runs = [sorted((r.doc_id or -1, r.source_size, r.taken) for r in mix_sources(docs).collect()) for _ in range(2)]
+    assert runs[0] == runs[1] and len(runs[0]) == 3000
+    found = mix_sources(docs)
+    taken = found.groupBy("source_size").agg(F.sum("taken").alias("t"), F.max("target").alias("x")).collect()
+    assert all(r.t == pytest.approx(r.x, rel=0.01, abs=5) for r in taken)

@@ -53,3 +53,16 @@ def test_edge_cases(spark):
     assert len(none.voters) == 0 and {r.score for r in quality_scores(df, none).collect()} == {0.5}
     assert len(fit_quality(df, labels, sample=10).labels) == 10
     assert isinstance(none, QualityModel)
+
+
+def test_an_id_on_many_rows_votes_once(spark):
+    """A labelled doc_id on a third of the rows with different texts: one row of it reaches the model, the same one each time."""
+    rows = [(k, GOOD + f" {k}") for k in range(30)] + [(k, BAD * (k % 5 + 1)) for k in range(30, 60)]
+    rows += [(7, BAD + f" {k}") for k in range(300)] + [(8, None), (8, "")]
+    labels = spark.createDataFrame([(k, int(k < 30)) for k in range(60)], "doc_id long, quality int")
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    models = [fit_quality(x, labels) for x in (df, df.repartition(5))]
+    assert all(len(model.labels) == len(model.voters) == 60 for model in models)
+    assert np.array_equal(models[0].voters, models[1].voters)
+    found = {r.doc_id: r.predicted for r in quality_scores(df.where("doc_id NOT IN (7, 8)"), models[0]).collect()}
+    assert all(found[k] == int(k < 30) for k in found)

@@ -75,17 +75,52 @@ def test_phrases_of_different_documents_stay(spark):
 
 def test_windows_hold_the_least_words():
     rng = random.Random(10)
-    for text in (prose(rng, 300), " \n" + prose(rng, 40), "x" * 20_000 + " " + prose(rng, 30), prose(rng, 5), "", " "):
+    for text in (prose(rng, 300), " \n" + prose(rng, 40), prose(rng, 5), "", " "):
         raw = text.encode()
         ends = cuts(raw)
         starts = [0, *ends]
         words = lambda i, j: len(raw[starts[i] : ends[j]].split())
         n = len(ends)
         want = {(i, next(j for j in range(i, n) if words(i, j) >= 12)) for i in range(n) if words(i, n - 1) >= 12}
-        want |= {(next(i for i in range(j, -1, -1) if words(i, j) >= 12), j) for j in range(n) if words(0, j) >= 12}
+        want |= {(max(i for i in range(n) if words(i, n - 1) >= 12), n - 1)} if want else set()
         assert {(i, j) for i, j, _ in windows(raw, ends, 12)} == want
 
 
+def test_stretches_without_white_space(spark):
+    """Chinese texts, minified code: cuts between characters, passages found in other places and after one more character."""
+    rng = random.Random(12)
+    chinese = lambda n: "".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(n))
+    code = lambda n: "".join(rng.choice("abcdef(){};=.01") for _ in range(n))
+    for make, size in ((chinese, 150), (code, 400)):
+        passage = make(size)
+        whole = make(6000)
+        rows = [(1, make(500) + passage + make(500)), (2, make(333) + passage + make(100)), (3, whole), (4, make(1) + whole), (5, make(2000)), (6, make(60))]
+        got = {r.doc_id: r.text for r in substring_dedup(spark.createDataFrame(rows, SCHEMA)).collect()}
+        texts = dict(rows)
+        assert all(got[k] == texts[k] for k in (1, 3, 5, 6))
+        assert passage not in got[2] and len(texts[2]) - len(got[2]) > 0.6 * size
+        assert len(got[4]) < 0.02 * len(whole)
+        raw = whole.encode()
+        ends = cuts(raw)
+        assert 10 < len(raw) / len(ends) < 40
+        for a, b in zip([0, *ends], ends, strict=False):
+            raw[a:b].decode()
+        shift = cuts("中文".encode() + raw)
+        assert len({e - 6 for e in shift} ^ set(ends)) <= 8
+
+
+def test_planted_passages_of_51_words(spark):
+    """Hardly one of them stays, and texts without one stay as they are."""
+    rng = random.Random(13)
+    passages = [prose(rng, 51) for _ in range(400)]
+    rows = [(k, f"{prose(rng, 40)} {passage} {prose(rng, 40)}") for k, passage in enumerate(passages)]
+    rows += [(1000 + k, f"{prose(rng, 30)} {passage} {prose(rng, 50)}") for k, passage in enumerate(passages)]
+    rows += [(2000 + k, prose(rng, 200)) for k in range(400)]
+    got = {r.doc_id: r.text for r in substring_dedup(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert sum(passages[k] in got[1000 + k] for k in range(400)) <= 2
+    assert all(got[k] == text for k, text in rows if k < 1000 or k >= 2000)
+
+
 def test_whole_copies_keep_the_first(spark):
     rng = random.Random(3)
     text = prose(rng, 200)
@@ -93,23 +128,39 @@ def test_whole_copies_keep_the_first(spark):
     assert got.pop(5) == text and set(got.values()) == {""}
 
 
-def test_brute_force_over_chunks(spark):
-    """What goes are the runs of chunks that a smaller doc_id holds, found here with sets of chunk bytes."""
+def test_brute_force_over_words(spark):
+    """Runs of 28 words that an earlier document holds, by sets of words alone: what is cut lies in them, and of longer ones most is cut."""
     rows = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()]
     first = {}
     for doc_id, text in sorted(rows):
-        raw = text.encode()
-        ends = cuts(raw)
-        for a, b in zip([0, *ends], ends, strict=False):
-            first.setdefault(raw[a:b], doc_id)
-    got = {r.doc_id: [(s.start, s.end) for s in r.removed] for r in substring_dedup(spark.createDataFrame(rows, SCHEMA)).collect()}
+        words = text.split()
+        for k in range(len(words) - 27):
+            first.setdefault(tuple(words[k : k + 28]), doc_id)
+    got = {r.doc_id: r for r in substring_dedup(spark.createDataFrame(rows, SCHEMA)).collect()}
+    long_runs = caught = 0
     for doc_id, text in rows:
-        raw, want = text.encode(), []
-        ends = cuts(raw)
-        for a, b in zip([0, *ends], ends, strict=False):
-            if first[raw[a:b]] < doc_id:
-                want = [*want[:-1], (want[-1][0], b)] if want and want[-1][1] == a else [*want, (a, b)]
-        assert got[doc_id] == [(a, b) for a, b in want if len(raw[a:b].split()) >= 12]
+        words = text.split()
+        repeated = [False] * len(words)
+        for k in range(len(words) - 27):
+            if first[tuple(words[k : k + 28])] < doc_id:
+                repeated[k : k + 28] = [True] * 28
+        raw, gone = text.encode(), [False] * len(words)
+        for s in got[doc_id].removed:
+            before = len(raw[: s.start].split())
+            for k in range(before, before + len(raw[s.start : s.end].split())):
+                gone[k] = True
+        # A word at the edge of a span can be the rest of one that white space other than ASCII's parts.
+        assert sum(g and not r for g, r in zip(gone, repeated)) <= 2 * len(got[doc_id].removed)
+        at = 0
+        while at < len(words):
+            end = at
+            while end < len(words) and repeated[end]:
+                end += 1
+            if end - at > 50:
+                long_runs += 1
+                caught += sum(gone[at:end]) >= 0.5 * (end - at)
+            at = max(end, at + 1)
+    assert long_runs > 5 and caught >= 0.99 * long_runs
 
 
 def test_edge_cases(spark):
@@ -120,6 +171,9 @@ def test_edge_cases(spark):
     assert len(got) == len(rows) and got[0].asDict().keys() == {"doc_id", "text", "removed", "owner"}
     texts = sorted(((r.doc_id or 0, r.text) for r in got), key=str)
     assert (0, text) in texts and texts.count((4, text)) == 2 and (6, "") in texts and (1, None) in texts and (2, "") in texts
-    assert dict(texts)[7] == "x" * 300_000  # one word is no passage
+    assert dict(texts)[5] == "x" * 300_000 and len(dict(texts)[7]) < LARGEST  # the rest of the last piece of equal bytes
     assert substring_dedup(df.limit(0)).count() == 0
     assert removable(b"", set(), 1) == []
+    names = ["_cut", "_repeated", "_repeats_of", "_CUT_"]
+    df = spark.createDataFrame([(*r, *names) for r in rows], ", ".join([SCHEMA, *(f"{name} string" for name in names)]))
+    assert all([r[name] for name in names] == names for r in substring_dedup(df).collect())
