@@ -6,6 +6,7 @@ import datetime as dt
 import itertools
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,6 +39,9 @@ from tallyhouse.sources.raw import append_batch, append_raw
 # Files per landing batch; it bounds what a batch broadcasts.
 MAX_FILES = BROADCAST_FILES
 
+# Files that are moved at a time.
+MOVES = 16
+
 # Times that a listing starts anew because a file went meanwhile.
 LISTINGS = 5
 
@@ -147,8 +151,8 @@ def land_files(
     so a run that dies is taken up by the next one with the same files and the same load time.
     A file that has gone or cannot be read is turned away in the log, and the others of its batch land without it.
     `strict` raises once all batches are through if a file was rejected. `move_to` is a folder on the same file
-    system that landed files are moved to, below the name of their batch. `multiline` reads files whose quoted
-    fields may hold line breaks, each in one task.
+    system that landed files are moved to as they are, by feed, load day and batch; `restore_files` brings them back.
+    `multiline` reads files whose quoted fields may hold line breaks.
     """
     check_inbox(inbox)
     _plan_new(spark, inbox, root, max_files)
@@ -170,7 +174,7 @@ def land_files(
         land_readable(spark, root, here, ingest_batch, land_paths, run_date)
         _note(spark, root, [(None, None, None, loaded_at, "done", ingest_batch)])
         if move_to is not None:
-            _move_landed(spark, root, ingest_batch, move_to)
+            _move_landed(spark, root, ingest_batch, loaded_at, move_to)
         landed.append(ingest_batch)
     if strict:
         _raise_rejected(spark, root, landed)
@@ -240,13 +244,39 @@ def _batch_log(spark: SparkSession, root: str, batches: list[str]) -> DataFrame:
     return log.filter(F.substring_index("ingest_batch", "-", 2).isin(batches))
 
 
-def _move_landed(spark: SparkSession, root: str, ingest_batch: str, folder: str) -> None:
-    """Move the landed files of a batch, at most as many as a batch has, out of the inbox."""
+def _move_all(spark: SparkSession, moves: list[tuple[str, str]]) -> None:
+    """Rename files, several at a time, as each is one call to the file system."""
+    with ThreadPoolExecutor(MOVES) as pool:
+        list(pool.map(lambda names: move_path(spark, *names), moves))
+
+
+def _move_landed(spark: SparkSession, root: str, ingest_batch: str, loaded_at: dt.datetime, folder: str) -> None:
+    """Move the landed files of a batch, at most as many as a batch has, out of the inbox to the folders of their feed and load day."""
     if not path_exists(spark, f"{root}/ingest_log"):
         return
     landed = _batch_log(spark, root, [ingest_batch]).filter(F.col("status") == LOADED)
-    for row in landed.select("file_path").distinct().collect():
-        move_path(spark, row.file_path, f"{folder}/{ingest_batch}/{row.file_path.rpartition('inbox/')[2]}")
+    rows = landed.select("file_path", "file_type").distinct().collect()
+    day = loaded_at.strftime("year=%Y/month=%m/day=%d")
+    names = [(row.file_path, f"{row.file_type}/{day}/{ingest_batch}/{row.file_path.rpartition('inbox/')[2]}") for row in rows]
+    _move_all(spark, [(old, f"{folder}/{new}") for old, new in names])
+
+
+def restore_files(spark: SparkSession, folder: str, inbox: str, feed: str, day: dt.date) -> int:
+    """Move the files of a feed that landed on a day back below an inbox, byte by byte what they were; returns their number.
+
+    Files that came under one name in several batches go to a folder for each batch but the first.
+    """
+    source = f"{folder}/{feed}/{day:year=%Y/month=%m/day=%d}"
+    if not path_exists(spark, source):
+        return 0
+    taken: set[str] = set()
+    moves = []
+    for (path,) in list_files(spark, source).select("path").orderBy("path").toLocalIterator():
+        batch, _, name = path.rpartition(f"{day:day=%d}/")[2].partition("/")
+        moves.append((path, f"{inbox}/{f'{batch}/' if name in taken else ''}{name}"))
+        taken.add(name)
+    _move_all(spark, moves)
+    return len(moves)
 
 
 def _raise_rejected(spark: SparkSession, root: str, batches: list[str]) -> None:

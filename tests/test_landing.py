@@ -20,7 +20,7 @@ from tallyhouse.operators.landing import (
     stores_rows,
 )
 from tallyhouse.plans import landing
-from tallyhouse.plans.landing import INGEST_LOG, RejectedFiles, land_files, read_ledger
+from tallyhouse.plans.landing import INGEST_LOG, RejectedFiles, land_files, read_ledger, restore_files
 from tallyhouse.schemas import RAW_SALES, RAW_STORES, create_raw_tables
 from tallyhouse.sources.lines import read_multiline
 from tallyhouse.sources.raw import read_raw
@@ -277,15 +277,30 @@ def test_a_planned_file_that_is_gone_at_the_next_run(spark, tmp_path, monkeypatc
     assert names(spark, root) == {("sales_20250111.csv", "rejected"), ("sales_20250112.csv", "loaded")}
 
 
-def test_landed_files_can_leave_the_inbox(spark, tmp_path):
-    inbox, root = tmp_path / "inbox", str(tmp_path / "wh")
-    put(inbox, "sales_20250111.csv", "A,x1,r1,t,1,clerk")
-    put(inbox, "sub/sales 20250112.csv", "A,x2,r1,t,1,clerk")
+def test_landed_files_can_leave_the_inbox_and_come_back(spark, tmp_path):
+    """Moved as they are, CRLF and a last line without a break included; files of one name in two batches both come back."""
+    inbox, root, done = tmp_path / "inbox", str(tmp_path / "wh"), tmp_path / "done"
+    first = {"sales_20250111.csv": b"A,x1,r1,t,1,clerk\r\nA,x2,r1,t,1,clerk", "sub/sales 20250112.csv": b"\xef\xbb\xbfA,x3,r1,t,1,cl\xffrk\n\n"}
+    (inbox / "sub").mkdir(parents=True)
+    for name, content in first.items():
+        (inbox / name).write_bytes(content)
     put(inbox, "sales_99999999.csv", "A,x3,r1,t,1,clerk")
-    (batch,) = land_files(spark, str(inbox), root, TODAY, move_to=str(tmp_path / "done"))
+    put(inbox, "stores_20250111.csv", "G,A,Name")
+    (batch,) = land_files(spark, str(inbox), root, TODAY, move_to=str(done))
     left = {p.name for p in inbox.rglob("*.csv")}
     assert left == {"sales_99999999.csv"}
-    assert (tmp_path / "done" / batch / "sub" / "sales 20250112.csv").read_text() == "A,x2,r1,t,1,clerk\n"
+    day = dt.datetime.now(dt.timezone.utc).date()
+    folder = done / f"transactions/{day:year=%Y/month=%m/day=%d}" / batch
+    assert {name: (folder / name).read_bytes() for name in first} == first
+    assert (done / f"stores/{day:year=%Y/month=%m/day=%d}" / batch / "stores_20250111.csv").exists()
+    put(inbox, "sales_20250111.csv", "A,x9,r1,t,1,clerk")
+    (second,) = land_files(spark, str(inbox), root, TODAY, move_to=str(done))
+    days = [day, dt.datetime.now(dt.timezone.utc).date()]
+    back = tmp_path / "back" / "inbox"
+    assert sum(restore_files(spark, str(done), str(back), "transactions", d) for d in set(days)) == 3
+    found = sorted(p.read_bytes() for p in back.rglob("*.csv"))
+    assert found == sorted([*first.values(), b"A,x9,r1,t,1,clerk\n"])
+    assert restore_files(spark, str(done), str(back), "transactions", day) == 0
     assert land_files(spark, str(inbox), root, TODAY) == []
 
 
