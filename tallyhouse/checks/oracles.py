@@ -204,6 +204,19 @@ def oracle_sql() -> dict[str, str]:
         start = f"(select max(cast(transaction_time as date)) from ({built}) b) - interval 7 day"
         return f"select * from ({DAILY}) d where transaction_date >= {start}"
 
+    def daily_seeded(moment):
+        """Day totals of the older report before the start and of all rows from it on, then the running total over both."""
+        built = _stage(f"select * from ({RAW}) r where loaded_at <= timestamp '{moment}'")
+        start = f"((select max(cast(transaction_time as date)) from ({built}) b) - interval 7 day)"
+        older = f"""select cast(transaction_time as date) as day, sum(amount) as total from ({built}) b
+            where transaction_time < {start} and transaction_time >= date_trunc('month', {start}) group by 1"""
+        days = f"""select day, total from ({older}) o
+            union all select transaction_date, total_amount from ({STATS}) s where transaction_date >= {start}"""
+        running = f"""select day, cast(sum(total) over (partition by date_trunc('month', day) order by day) as varchar) as running
+            from ({days}) x"""
+        return f"""select d.* exclude (monthly_cumulative_sales), r.running as monthly_cumulative_sales
+            from ({DAILY}) d join ({running}) r on d.transaction_date = r.day where d.transaction_date >= {start}"""
+
     def lifecycle_after(moment):
         start = f"""(select max(cast(loaded_at as date)) from ({RAW}) r
             where loaded_at <= timestamp '{moment}') - interval 3 day"""
@@ -279,6 +292,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "stg_sales_incremental": STAGE_PLAIN.format(delta),
         "daily_lookback": daily_after(BUILT_TO),
+        "daily_lookback_seeded": daily_seeded(BUILT_TO),
         "lifecycle_lookback": lifecycle_after(BUILT_TO),
         "daily_gap_over_40_days": daily_after(GAP_FROM),
         "lifecycle_gap_over_40_days": lifecycle_after(GAP_FROM),

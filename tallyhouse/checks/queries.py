@@ -368,6 +368,14 @@ def _daily_after(spark, sf_dir, moment):
     return marts.report_daily_sales(stage_sales(raw), AS_OF, start)
 
 
+def daily_lookback_seeded(spark, sf_dir):
+    """The running total goes on from the report that was built before; no day before the lookback is read."""
+    raw = fixtures.raw_sales(spark, sf_dir)
+    target = marts.report_daily_sales(stage_sales(_until(raw, BUILT_TO)), AS_OF, limit=None)
+    start = lookback_start(target, "transaction_date", marts.DAILY_LOOKBACK_DAYS)
+    return marts.report_daily_sales(stage_sales(raw), AS_OF, start, seed=target)
+
+
 def daily_gap_over_40_days(spark, sf_dir):
     """More new days than a full report holds: none is left out."""
     return _daily_after(spark, sf_dir, GAP_FROM)
@@ -499,6 +507,7 @@ QUERIES: dict[str, Query] = {
     "upsert_merge": upsert_merge,
     "stg_sales_incremental": stg_sales_incremental,
     "daily_lookback": daily_lookback,
+    "daily_lookback_seeded": daily_lookback_seeded,
     "lifecycle_lookback": lifecycle_lookback,
     "daily_gap_over_40_days": daily_gap_over_40_days,
     "lifecycle_gap_over_40_days": lifecycle_gap_over_40_days,

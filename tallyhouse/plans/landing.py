@@ -32,6 +32,7 @@ from tallyhouse.operators.landing import (
     sales_rows,
     stores_rows,
 )
+from tallyhouse.operators.quality import NOT_NULL, NULL_COUNTS, counted_on_the_way, null_counts
 from tallyhouse.session import delete_matching, move_path, path_exists
 from tallyhouse.sources.lines import exact_path, list_files, read_lines, read_multiline
 from tallyhouse.sources.raw import append_batch, append_raw
@@ -39,6 +40,9 @@ from tallyhouse.sources.raw import append_batch, append_raw
 # Files per landing batch; it bounds what a batch broadcasts.
 MAX_FILES = BROADCAST_FILES
 
+# Counts of rows and NULLs per batch, below the root.
+RAW_CHECKS = "raw_checks"
+
 # Files that are moved at a time.
 MOVES = 16
 
@@ -97,7 +101,7 @@ def land(
 
     One bad file does not stop the others. Every write replaces what an earlier try of the same
     batch left behind. The log is written first and read back, so the files to turn away are known
-    before any of their rows land. `max_files` states a bound for the files of this batch, if any.
+    before any of their rows land. Rows and NULLs are counted by the job that writes them. `max_files` states a bound for the files of this batch, if any.
     """
     spark = lines.sparkSession
     lines = lines.filter(in_inbox(F.col("file_path")))
@@ -108,19 +112,31 @@ def land(
     own = StructType(INGEST_LOG.fields[:-1])
     log = spark.read.schema(own).parquet(log_path).withColumn("ingest_batch", F.lit(ingest_batch))
     feeds = {row[0] for row in log.filter(F.col("status") == LOADED).select("file_type").distinct().collect()}
+    counts: list[tuple] = []
     for feed, table, rows in (
         (TRANSACTIONS, "sales", sales_rows),
         (STORES, "stores", stores_rows),
     ):
         if feed in feeds:
-            accepted = rows(good_lines(lines, log, feed, max_files))
+            accepted, seen = counted_on_the_way(rows(good_lines(lines, log, feed, max_files)), NOT_NULL[table])
             append_raw(accepted, f"{root}/raw/{table}", ingest_batch)
+            counts += null_counts(seen, table, NOT_NULL[table])
+    if counts:
+        append_batch(spark.createDataFrame(counts, NULL_COUNTS).coalesce(1), f"{root}/{RAW_CHECKS}", ingest_batch, [])
     if archive and feeds:
         kept = archive_rows(lines, log, F.col("loaded_at"), max_files)
         append_batch(kept, f"{root}/history", ingest_batch, ["file_type", "year", "month", "day"])
     return log
 
 
+def read_null_counts(spark: SparkSession, root: str) -> DataFrame | None:
+    """Rows and NULLs per checked column of the raw tables, as counted when they were written; None if nothing was counted."""
+    if not path_exists(spark, f"{root}/{RAW_CHECKS}"):
+        return None
+    counts = spark.read.schema(NULL_COUNTS).parquet(f"{root}/{RAW_CHECKS}")
+    return counts.groupBy("table_name", "column_name").agg(F.sum("row_count").alias("row_count"), F.sum("failures").alias("failures"))
+
+
 def read_ledger(spark: SparkSession, root: str) -> DataFrame:
     path = f"{root}/ledger"
     if not path_exists(spark, path):
@@ -187,7 +203,7 @@ def _is_unreadable(error: Exception) -> bool:
 
 def forget_batch(spark: SparkSession, root: str, label: str) -> None:
     """Delete what a try of a batch has left behind."""
-    for table in ("ingest_log", "raw/sales/*", "raw/stores/*", "history/*/*/*/*"):
+    for table in ("ingest_log", RAW_CHECKS, "raw/sales/*", "raw/stores/*", "history/*/*/*/*"):
         delete_matching(spark, root, f"{table}/ingest_batch={label}")
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.operators.incremental import since
@@ -80,16 +80,20 @@ def report_daily_sales(
     month_anchored: bool = True,
     nulls_rank: str = "first",
     limit: int | None = REPORT_ROWS,
+    seed: DataFrame | None = None,
 ) -> DataFrame:
     """Daily totals, running month total and top store, newest days first.
 
     With `lookback_start`, a day or a one-row frame with column `start`, only days from then on are
     produced, all of them: `limit` is one of the whole report, and days beyond it would be missing from the table
     that the rows go to. The running total then still begins on the first of the month, unless
-    `month_anchored` is off: then it begins at the lookback start.
+    `month_anchored` is off: then it begins at the lookback start. With `seed`, the report as it stands, only days from the start on
+    are read, and the total goes on from the report's last day before it; corrections of days before the start are then not in it.
     """
     if lookback_start is None:
         scanned = sales
+    elif seed is not None:
+        scanned, month_anchored = since(sales, "transaction_time", lookback_start), False
     elif not month_anchored:
         scanned = since(sales, "transaction_time", lookback_start)
     elif isinstance(lookback_start, DataFrame):
@@ -98,6 +102,8 @@ def report_daily_sales(
         scanned = since(sales, "transaction_time", lookback_start.replace(day=1))
     days = daily_summary(daily_store_sales(scanned), nulls_rank)
     report = month_running_total(days, "transaction_date", "total_amount", "running")
+    if lookback_start is not None and seed is not None:
+        report = report.withColumn("running", _with_seed(report.sparkSession, lookback_start, seed))
     report = report.withColumns(
         {"monthly_cumulative_sales": F.col("running").cast(MONEY), "snapshot_date": _snapshot(as_of)}
     ).select(*REPORT_DAILY_SALES.fieldNames())
@@ -106,6 +112,18 @@ def report_daily_sales(
     return newest_rows(report, "transaction_date", limit if lookback_start is None else None)
 
 
+def _with_seed(spark: SparkSession, lookback_start: DataFrame | dt.date, seed: DataFrame) -> Column:
+    """The running total of the days in the start's month, with what the report held on its last day before the start."""
+    if not isinstance(lookback_start, DataFrame):
+        lookback_start = spark.createDataFrame([(lookback_start,)], "start date")
+    first = lookback_start.agg(F.max("start").alias("start"))
+    start, month = first.select("start").scalar(), first.select(F.trunc("start", "MM")).scalar()
+    before = seed.where((F.col("transaction_date") >= month) & (F.col("transaction_date") < start))
+    held = before.agg(F.max_by("monthly_cumulative_sales", "transaction_date").alias("held")).scalar()
+    carried = F.when(F.trunc("transaction_date", "MM") == month, F.coalesce(held, F.lit(0))).otherwise(F.lit(0))
+    return F.col("running") + carried
+
+
 def sales_with_stores(sales: DataFrame, stores: DataFrame) -> DataFrame:
     """Sales with the name of their store, NULL for an unknown store."""
     names = stores.select("store_token", "store_name")

@@ -10,10 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.operators.incremental import high_water_filter
-from tallyhouse.operators.quality import not_null, unique
+from tallyhouse.operators.quality import NOT_NULL, not_null, unique
 from tallyhouse.operators.rollup import WATCHED, SignedCounts, raw_load_counts, raw_stats, valid_stats
 from tallyhouse.plans import marts
-from tallyhouse.plans.landing import land_files
+from tallyhouse.plans.landing import land_files, read_null_counts
 from tallyhouse.plans.stage import stage_sales, stage_stores
 from tallyhouse.schemas import (
     RAW_LOADS,
@@ -100,20 +100,22 @@ class Warehouse:
     def check(self, layer: str | None = None) -> DataFrame:
         """Failures of the column checks, one row per check.
 
-        By default missing values are counted in the raw layer, as staging leaves out rows without a store, and repeated
+        By default missing values are those that landing counted while it wrote the raw layer, as staging leaves out rows without a store, and repeated
         stores in the stage layer, as stores are sent again when they change. `layer`, "stage" or "raw", runs all
         checks on one of the two.
         """
         if layer not in ("stage", "raw", None):
             raise ValueError("layer is 'stage', 'raw' or None")
         first, second = layer or "raw", layer or "stage"
-        sales = self.sales.read() if first == "stage" else self.raw_sales()
-        stores = {"stage": self.stores.read, "raw": self.raw_stores}
-        checks = [
-            ("sales", "not_null", not_null(sales, ["store_token", "transaction_id"])),
-            ("stores", "not_null", not_null(stores[first](), ["store_token"])),
-            ("stores", "unique", unique(stores[second](), "store_token")),
-        ]
+        counted = read_null_counts(self.spark, self.root) if first == "raw" else None
+        if counted is None:
+            sales = self.sales.read() if first == "stage" else self.raw_sales()
+            stores = self.stores.read() if first == "stage" else self.raw_stores()
+            found = [(table, not_null(rows, NOT_NULL[table])) for table, rows in (("sales", sales), ("stores", stores))]
+        else:
+            found = [(table, counted.where(F.col("table_name") == table)) for table in NOT_NULL]
+        checks = [(table, "not_null", rows) for table, rows in found]
+        checks.append(("stores", "unique", unique(self.stores.read() if second == "stage" else self.raw_stores(), "store_token")))
         named = [
             found.select(F.lit(table).alias("table_name"), "column_name", F.lit(kind).alias("check"), "failures")
             for table, kind, found in checks
@@ -163,11 +165,13 @@ class Warehouse:
             report.upsert(rows)
 
     def run_daily_sales(
-        self, as_of: dt.date | None = None, full_refresh: bool = False, month_anchored: bool = True
+        self, as_of: dt.date | None = None, full_refresh: bool = False, month_anchored: bool = True, seeded: bool = False
     ) -> None:
+        """`seeded` carries the running total on from the report's last day before the lookback and reads no day before it."""
         start = self._start(self.daily_sales, "transaction_date", marts.DAILY_LOOKBACK_DAYS, full_refresh)
-        scan_from = start.replace(day=1) if start and month_anchored else start
-        rows = marts.report_daily_sales(self.sales.read(scan_from), as_of, start, month_anchored)
+        scan_from = start.replace(day=1) if start and month_anchored and not seeded else start
+        seed = self.daily_sales.read() if start and seeded else None
+        rows = marts.report_daily_sales(self.sales.read(scan_from), as_of, start, month_anchored, seed=seed)
         self._merge(self.daily_sales, rows, start)
 
     def _recent_sales(self, dates: int) -> DataFrame:

@@ -4,7 +4,10 @@ from decimal import Decimal
 
 from helpers import tuples
 from tallyhouse.functions.cleaning import COMPACT, ISO_SPACE, ISO_T
+from tallyhouse.plans import marts
+from tallyhouse.plans.landing import land, read_null_counts
 from tallyhouse.plans.warehouse import Warehouse
+from tallyhouse.sources.lines import read_lines
 
 AS_OF = dt.date(2025, 2, 1)
 
@@ -74,6 +77,35 @@ def test_column_checks(spark, tmp_path):
     for layer, duplicated in (("stage", 0), ("raw", 1), (None, 0)):
         found = {r[:3]: r[3] for r in tuples(warehouse.check(layer), "table_name", "column_name", "check", "failures")}
         assert found == {**expected, ("stores", "store_token", "unique"): duplicated}
+    # Counted on the way: the raw layer is not read for it, and a batch that is landed again counts once.
+    counts = read_null_counts(spark, str(tmp_path / "wh"))
+    assert sorted(tuples(counts, "table_name", "column_name", "row_count", "failures")) == [
+        ("sales", "store_token", 2, 0), ("sales", "transaction_id", 2, 1), ("stores", "store_token", 2, 0),
+    ]
+    label = next(p.name for p in (tmp_path / "wh/raw_checks").iterdir() if "=" in p.name).partition("=")[2]
+    lines = read_lines(spark, str(inbox), AS_OF)
+    land(lines, str(tmp_path / "wh"), label, AS_OF)
+    assert sorted(r[0] for r in tuples(read_null_counts(spark, str(tmp_path / "wh")), "row_count")) == [2, 2, 2]
+    os.rename(tmp_path / "wh/raw/sales", tmp_path / "gone")
+    assert {r[:3]: r[3] for r in tuples(warehouse.check(), "table_name", "column_name", "check", "failures")} == expected
+
+
+def test_seeded_totals_go_on_from_the_report(spark, tmp_path):
+    """The total of a late row before the lookback is not in them, and no day before the lookback is read."""
+    inbox = tmp_path / "inbox"
+    warehouse = Warehouse(spark, str(tmp_path / "wh"))
+    put(inbox, "sales_20250120.csv", *[f"a,t{d},r,202501{d}T100000.000,1.00,s,c" for d in (10, 11, 12, 13, 20)])
+    warehouse.land(str(inbox))
+    warehouse.run(AS_OF)
+    put(inbox, "sales_20250121.csv", *[f"a,late{d},r,202501{d}T110000.000,5.00,s,c" for d in (12, 13)], "a,n,r,20250202T110000.000,7.00,s,c")
+    warehouse.land(str(inbox))
+    warehouse.run_stage()
+    warehouse.run_daily_sales(AS_OF, seeded=True)
+    assert {(r[0].month, r[0].day): int(r[3]) for r in daily(warehouse)} == {(1, 10): 1, (1, 11): 2, (1, 12): 3, (1, 13): 9, (1, 20): 10, (2, 2): 7}
+    start = dt.date(2025, 1, 13)
+    plan = marts.report_daily_sales(warehouse.sales.read(start), AS_OF, start, seed=warehouse.daily_sales.read())
+    text = plan._jdf.queryExecution().optimizedPlan().toString()
+    assert "transaction_time#" in text and "2025-01-13" in text and "2025-01-01 00:00:00" not in text.split("Aggregate")[-1]
 
 
 def test_incremental_runs(spark, tmp_path):
