@@ -34,37 +34,39 @@ def unescaped_role(role: Column) -> Column:
 
 
 def _positioned(turns: DataFrame) -> DataFrame:
-    """(conv_id, at, tokens, role, text): at is the sum of tokens of a conversation's earlier turns.
+    """The turns with at, the sum of tokens of a conversation's earlier turns, and large_before, the number of large turns up to each.
 
     Summed inside blocks of turn numbers and then over the blocks, so a long conversation is not one task's work.
     """
+    large = F.col("large").cast("long")
     inside = Window.partitionBy("conv_id", "block").orderBy("turn", "role", "text").rowsBetween(Window.unboundedPreceding, 0)
-    summed = turns.withColumn("upto", F.sum("tokens").over(inside))
-    blocks = turns.groupBy("conv_id", "block").agg(F.sum("tokens").alias("all"))
+    summed = turns.withColumn("upto", F.sum("tokens").over(inside)).withColumn("large_upto", F.sum(large).over(inside))
+    blocks = turns.groupBy("conv_id", "block").agg(F.sum("tokens").alias("all"), F.sum(large).alias("all_large"))
     before = Window.partitionBy("conv_id").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.withColumn("base", F.coalesce(F.sum("all").over(before), F.lit(0)))
-    blocks = blocks.select(F.col("conv_id").alias("_conv_id"), F.col("block").alias("_block"), "base")
+    base = [F.coalesce(F.sum(name).over(before), F.lit(0)).alias(f"base_{name}") for name in ("all", "all_large")]
+    blocks = blocks.select(F.col("conv_id").alias("_conv_id"), F.col("block").alias("_block"), *base)
     same = F.col("conv_id").eqNullSafe(F.col("_conv_id")) & F.col("block").eqNullSafe(F.col("_block"))
-    at = (F.col("base") + F.col("upto") - F.col("tokens")).alias("at")
-    return summed.join(blocks, same).select("conv_id", at, "tokens", "role", "text")
+    at = F.col("base_all") + F.col("upto") - F.col("tokens")
+    placed = summed.join(blocks, same).withColumns({"at": at, "large_before": F.col("base_all_large") + F.col("large_upto")})
+    return placed.select("conv_id", "at", "tokens", "role", "text", "large", "large_before", "cell")
 
 
 def format_chat(conversations: DataFrame, budget: int = 2048, history: int = 2, history_tokens: int = 512) -> DataFrame:
     """Conversations as windows of formatted text with the spans that count for the loss.
 
-    Returns one row per window: conv_id, window (its number, not always consecutive), n_turns, n_repeated (leading turns
+    Returns one row per window: conv_id, window (the tokens of its conversation before it), n_turns, n_repeated (leading turns
     that repeat earlier ones), formatted, and loss, an array of (start, end) in code points of `formatted` that
     covers the escaped texts of the assistant turns that are not repeated. Read are conv_id, turn, role and text; null roles and
     texts count as empty, a null turn comes first, ties go by role and text, and rows without a conv_id make one
     conversation. Repeated rows are turns of their own. Blank texts are turns too. An empty table gives no window.
 
-    Tokens are words plus four for a turn's marks. A turn belongs to the window in which it ends
-    when the conversation's tokens are cut every budget - history_tokens, so windows
-    hold whole turns and follow from prefix sums alone. A window begins with the conversation's first system turn,
-    if that lies before, and the last `history` turns before it, as far as they fit into history_tokens. A turn is never cut:
-    a window exceeds the budget by less than its first turn and the system turn.
+    Tokens are words plus four for a turn's marks. What the budget leaves beside the system turn and the history is a window's
+    room. A turn of over a quarter of it is a window by itself. The others belong to the window in which they end when the tokens between
+    two such turns are cut every three quarters of the room, so windows hold whole turns, follow from prefix sums alone and
+    keep to the room. A window begins with the conversation's first system turn, if that lies before, and the last `history` turns
+    before it, as far as they fit into history_tokens and the budget. A window exceeds the budget only if a single turn and the
+    system turn do.
     """
-    step = budget - history_tokens
     words = F.regexp_count(F.col("text"), F.lit(r"[^\x20\x09-\x0D]+"))
     turns = conversations.select(
         F.col("conv_id").cast("long"),
@@ -73,26 +75,37 @@ def format_chat(conversations: DataFrame, budget: int = 2048, history: int = 2,
         escaped_role(F.coalesce(F.col("role").cast("string"), F.lit(""))).alias("role"),
         escaped(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("text"),
     ).withColumn("tokens", (words + TURN_TOKENS).cast("long"))
-    placed = _positioned(turns).withColumn("window", F.ceil((F.col("at") + F.col("tokens")) / step) - 1)
+    # The first system turn in the order of the turns: a null turn comes first.
+    place = F.struct(F.col("turn").isNotNull().alias("numbered"), "turn", "role", "text")
+    sizes = turns.where("role = 'system'").groupBy("conv_id").agg(F.min_by("tokens", place).alias("system_tokens"))
+    sizes = sizes.select(F.col("conv_id").alias("_of"), "system_tokens")
+    turns = turns.join(sizes, F.col("conv_id").eqNullSafe(F.col("_of")), "left").drop("_of")
+    room = F.greatest(budget - history_tokens - F.coalesce("system_tokens", F.lit(0)), F.lit(1).cast("long"))
+    quarter = F.floor(room / 4)
+    turns = turns.withColumns({"large": F.col("tokens") > quarter, "cell": room - quarter})
+    placed = _positioned(turns)
+    cell = F.when(~F.col("large"), F.floor((F.col("at") + F.col("tokens") - 1) / F.col("cell")))
     turn = F.struct("at", "tokens", "role", "text")
-    windows = placed.groupBy("conv_id", "window").agg(F.array_sort(F.collect_list(turn)).alias("own"))
+    windows = placed.groupBy("conv_id", "large_before", "large", cell.alias("cell")).agg(
+        F.array_sort(F.collect_list(turn)).alias("own"), F.min("at").alias("window"), F.sum("tokens").alias("own_tokens")
+    ).select("conv_id", "window", "own", "own_tokens")
 
     order = Window.partitionBy("conv_id").orderBy("window")
-    numbers = placed.select("conv_id", "window").distinct().withColumn("next", F.lead("window").over(order))
+    numbers = windows.select("conv_id", "window").withColumn("next", F.lead("window").over(order))
     numbers = numbers.where("next IS NOT NULL").select(F.col("conv_id").alias("_c"), F.col("window").alias("_w"), "next")
     same = F.col("conv_id").eqNullSafe(F.col("_c")) & (F.col("window") == F.col("_w"))
     tail = F.slice("own", F.greatest(F.size("own") - history + 1, F.lit(1)), history) if history else F.slice("own", 1, 0)
-    after = F.col("own")[F.size("own") - 1]["at"] + F.col("own")[F.size("own") - 1]["tokens"]
-    passed_on = windows.select("conv_id", "window", tail.alias("tail"), after.alias("after"))
-    fitting = F.filter("tail", lambda t: F.col("after") - t["at"] <= history_tokens).alias("before")
-    passed_on = passed_on.join(numbers, same).select(F.col("conv_id").alias("_c"), F.col("next").alias("_w"), fitting)
+    passed_on = windows.select("conv_id", "window", tail.alias("tail")).join(numbers, same)
+    passed_on = passed_on.select(F.col("conv_id").alias("_c"), F.col("next").alias("_w"), "tail")
 
     system = placed.where("role = 'system'").groupBy("conv_id").agg(F.min_by(turn, "at").alias("system"))
     system = system.select(F.col("conv_id").alias("_s"), "system")
     rows = windows.join(passed_on, same, "left").join(system, F.col("conv_id").eqNullSafe(F.col("_s")), "left")
-    before = F.coalesce("before", F.slice("own", 1, 0))
+    left = budget - F.coalesce(F.col("system")["tokens"], F.lit(0)) - F.col("own_tokens")
+    rows = rows.withColumn("allowed", F.least(F.lit(history_tokens).cast("long"), left))
+    before = F.coalesce(F.filter("tail", lambda t: F.col("window") - t["at"] <= F.col("allowed")), F.slice("own", 1, 0))
     rows = rows.select("conv_id", "window", "own", "system", before.alias("before"))
-    first = F.coalesce(F.try_element_at("before", F.lit(1))["at"], F.col("own")[0]["at"])
+    first = F.coalesce(F.try_element_at("before", F.lit(1))["at"], F.col("window"))
     kept = F.when(F.col("system")["at"] < first, F.array("system")).otherwise(F.slice("own", 1, 0))
     rows = rows.withColumn("repeated", F.concat(kept, "before"))
     rows = rows.select("conv_id", "window", F.size("repeated").alias("n_repeated"), F.concat("repeated", "own").alias("turns"))

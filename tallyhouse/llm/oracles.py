@@ -54,7 +54,8 @@ SELECT e.vec_id, coalesce(c.n, 0) AS n_links, r.component_id, e.vec_id = r.compo
 FROM embeddings e JOIN roots r ON e.vec_id = r.vec_id LEFT JOIN counts c ON e.vec_id = c.vec_id
 """
 
-# Windows of 1536 tokens; the last two turns of a window are repeated in the next one if they end it within 512 tokens.
+# Turns of over a quarter of a window's room stand alone, others go by where they end in cells of three quarters of it; the last two
+# turns of a window are repeated in the next one as far as they fit into 512 tokens and the budget.
 OP9 = r"""
 WITH rows_in AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -67,21 +68,31 @@ WITH rows_in AS (
 ), counted AS (
   SELECT *, len(regexp_extract_all(e_text, '[^\x20\x09-\x0D]+')) + 4 AS tokens, 24 + length(e_role) + length(e_text) AS chars
   FROM written
+), firsts AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id, e_role ORDER BY turn NULLS FIRST, e_text) AS nth FROM counted
+), rooms AS (
+  SELECT c.*, coalesce(f.tokens, 0) AS s_tokens, greatest(2048 - 512 - coalesce(f.tokens, 0), 1) AS room
+  FROM counted c LEFT JOIN firsts f ON c.conv_id = f.conv_id AND f.e_role = 'system' AND f.nth = 1
 ), placed AS (
-  SELECT *, coalesce(sum(tokens) OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, e_role, e_text
-                                       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos
-  FROM counted
+  SELECT *, tokens > room // 4 AS large,
+         coalesce(sum(tokens) OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, e_role, e_text
+                                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos,
+         sum(CASE WHEN tokens > room // 4 THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, e_role, e_text
+                                    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS larges
+  FROM rooms
 ), windowed AS (
-  SELECT *, ceil((pos + tokens) / 1536.0) - 1 AS w FROM placed
+  SELECT *, min(pos) OVER (PARTITION BY conv_id, larges, large,
+                           CASE WHEN NOT large THEN (pos + tokens - 1) // (room - room // 4) END) AS w FROM placed
 ), spans AS (
-  SELECT conv_id, w, min(pos) AS first, max(pos + tokens) AS after FROM windowed GROUP BY conv_id, w
+  SELECT conv_id, w, min(pos) AS first, max(pos + tokens) AS after, sum(tokens) AS own, min(s_tokens) AS s_tokens
+  FROM windowed GROUP BY conv_id, w
 ), chained AS (
-  SELECT *, lead(w) OVER (PARTITION BY conv_id ORDER BY w) AS next_w FROM spans
+  SELECT *, lead(w) OVER (PARTITION BY conv_id ORDER BY w) AS next_w, lead(own) OVER (PARTITION BY conv_id ORDER BY w) AS next_own FROM spans
 ), backwards AS (
   SELECT *, row_number() OVER (PARTITION BY conv_id, w ORDER BY pos DESC) AS back FROM windowed
 ), history AS (
   SELECT b.conv_id, c.next_w AS w, b.pos, b.chars FROM backwards b JOIN chained c ON b.conv_id = c.conv_id AND b.w = c.w
-  WHERE b.back <= 2 AND c.after - b.pos <= 512 AND c.next_w IS NOT NULL
+  WHERE b.back <= 2 AND c.next_w IS NOT NULL AND c.after - b.pos <= least(512, 2048 - c.s_tokens - c.next_own)
 ), systems AS (
   SELECT conv_id, min(pos) AS pos, arg_min(chars, pos) AS chars FROM windowed WHERE e_role = 'system' GROUP BY conv_id
 ), begins AS (
