@@ -1,4 +1,5 @@
 import hashlib
+import random
 
 from pyspark.sql import functions as F
 
@@ -41,12 +42,12 @@ def test_round_trip_over_many_windows(spark):
 
 def test_windows_keep_system_turn_and_limited_history(spark):
     rows = [(1, 0, "system", "be kind"), *[(1, t, "user" if t % 2 else "assistant", " ".join(["w"] * 6)) for t in range(1, 41)]]
-    windows = format_chat(spark.createDataFrame(rows, SCHEMA), budget=60, history=2, history_tokens=20).orderBy("window").collect()
+    windows = format_chat(spark.createDataFrame(rows, SCHEMA), budget=100, history=2, history_tokens=20).orderBy("window").collect()
     assert len(windows) > 5
     for k, w in enumerate(windows):
         assert w.formatted.startswith(f"{START}system\nbe kind{END}\n") and w.formatted.count("be kind") == 1
         assert w.n_repeated == (3 if k else 0)
-        assert (w.n_turns - 1) * 10 <= 60 + 10
+        assert (w.n_turns - 1) * 10 + 6 <= 100
         inside = [w.formatted[s.start : s.end] for s in w.loss]
         assert inside == [" ".join(["w"] * 6)] * len(inside)
     assert sum(len(w.loss) for w in windows) == 20
@@ -86,3 +87,32 @@ def test_query_reads_back_every_conversation(spark):
         row = got[conv]
         sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
         assert (row.n_turns, row.turns_sha256, row.loss_chars, row.loss_sha256) == (n, sha(turns), len(loss), sha(loss))
+
+
+def sizes(window):
+    """Tokens of each turn of a window: words and four for the marks."""
+    return [4 + len(part.split("\n", 1)[1][: -len(END) - 1].split()) for part in window.formatted.split(START)[1:]]
+
+
+def test_every_window_keeps_its_budget(spark):
+    """Random turns, some of them larger than a window, with system turns of all sizes: only a turn alone may exceed the budget."""
+    rng = random.Random(17)
+    rows = [(0, t, "user", "w " * (900 if t % 2 else 240)) for t in range(16)]
+    for conv in range(1, 60):
+        longest = rng.choice([5, 40, 200, 900])
+        system = rng.choice([None, 3, 100, 700, 1700, 3000])
+        if system:
+            rows.append((conv, -1, "system", "s " * system))
+        rows += [(conv, t, "assistant" if t % 2 else "user", "w " * rng.randint(0, rng.choice([longest, 30]))) for t in range(rng.randint(1, 60))]
+    windows = format_chat(spark.createDataFrame(rows, SCHEMA)).collect()
+    alone = full = 0
+    for w in windows:
+        own = sizes(w)
+        if sum(own) > 2048:
+            alone += 1
+            repeated = own[: w.n_repeated]
+            assert w.n_turns - w.n_repeated == 1 and len(repeated) <= 1
+            assert not repeated or w.formatted.startswith(f"{START}system\n")
+        full += sum(own) > 1024
+    assert alone > 0 and full > len(windows) / 10
+    assert read(spark, rows) == digests(rows)
