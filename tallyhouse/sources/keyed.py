@@ -127,8 +127,12 @@ class KeyedTable:
         finally:
             conf.set(OVERWRITE_MODE, before)
 
-    def _mark_of(self, rows: DataFrame) -> dt.datetime | None:
-        return rows.agg(F.max(self.mark_column)).first()[0] if self.mark_column else None
+    def _months_and_mark(self, rows: DataFrame) -> tuple[set[dt.date | None], dt.datetime | None]:
+        """Months that have rows, a value per month, and the largest mark."""
+        month = F.col(self.month_column) if self.month_of else F.lit(None).cast("date")
+        mark = F.max(self.mark_column) if self.mark_column else F.lit(None)
+        months, undated, mark = rows.agg(F.collect_set(month), F.count_if(month.isNull()), mark).first()
+        return set(months) | ({None} if undated else set()), mark
 
     def replace(self, rows: DataFrame) -> None:
         """The rows are the whole new content. They must not be read from this table, which is emptied first."""
@@ -137,7 +141,7 @@ class KeyedTable:
             delete_path(self.spark, folder)
         self._create()
         self._insert(self._in_months(rows))
-        self._note_mark(self._mark_of(self._rows()))
+        self._note_mark(self._months_and_mark(self._rows())[1])
 
     def _same(self, other: str) -> Column:
         pairs = [(F.col(key), F.col(f"{other}{key}")) for key in self.keys]
@@ -209,10 +213,10 @@ class KeyedTable:
             gone = rows.where("went.held").select(*[F.col(f"went.{name}") for name in self.watched], F.lit(-1).alias("sign"))
             on_change(run, came.unionByName(gone))
         self._insert(rows)
+        filled, mark = self._months_and_mark(rows)
         if self.month_of:
-            empty = self._months(aside).subtract(rows.select(self.month_column))
-            self._drop_months({month for (month,) in empty.collect()})
-        self._note_mark(self._mark_of(rows))
+            self._drop_months({month for (month,) in self._months(aside).collect()} - filled)
+        self._note_mark(mark)
 
     def read_months(self, months: list[dt.date | None]) -> DataFrame:
         """Current rows of some months, from their folders only; None stands for the rows without a date."""
@@ -230,9 +234,8 @@ class KeyedTable:
         aside = f"{self.path}.months/{uuid.uuid4().hex}"
         self._in_months(rows).write.parquet(aside)
         rows = self.spark.read.schema(self._full).parquet(aside)
-        filled = {row[0] for row in rows.select(self.month_column).distinct().collect()}
         self._insert(rows)
-        self._drop_months(set(months) - filled)
+        self._drop_months(set(months) - self._months_and_mark(rows)[0])
         delete_path(self.spark, aside)
 
     def _drop_months(self, months: set[dt.date | None]) -> None:
