@@ -21,10 +21,11 @@ from tallyhouse.functions.clock import clock_literal
 from tallyhouse.functions.files import TRANSACTIONS
 from tallyhouse.operators.incremental import high_water_filter
 from tallyhouse.operators.landing import good_lines, ingest_log, sales_rows
+from tallyhouse.operators.rollup import WATCHED, SignedCounts, raw_load_counts, raw_stats, valid_stats
 from tallyhouse.plans import marts
 from tallyhouse.plans.landing import land_files
 from tallyhouse.plans.stage import stage_sales, stage_stores
-from tallyhouse.schemas import REPORT_DAILY_SALES, SALES_KEYS, STAGE_SALES, STAGE_STORES, STORES_KEYS
+from tallyhouse.schemas import RAW_LOADS, REPORT_DAILY_SALES, SALES_KEYS, STAGE_SALES, STAGE_STORES, STORES_KEYS
 from tallyhouse.session import build_session, scratch_dir
 from tallyhouse.sources.keyed import KeyedTable
 from tallyhouse.sources.lines import read_lines
@@ -55,13 +56,17 @@ def prepare(spark, root: str) -> dict:
     older = raw.filter(F.col("loaded_at") <= clock_literal(cut))
 
     def table(name):
-        return KeyedTable(spark, f"{root}/{name}", STAGE_SALES, SALES_KEYS, "loaded_at", "transaction_time", BUCKETS)
+        return KeyedTable(spark, f"{root}/{name}", STAGE_SALES, SALES_KEYS, "loaded_at", "transaction_time", BUCKETS, watched=WATCHED)
 
     whole, split, grown = table("stage_sales"), table("split_sales"), table("grown_sales")
     whole.replace(stage_sales(raw))
     split.replace(stage_sales(older))
     grown.replace(stage_sales(older))
-    grown.upsert(stage_sales(high_water_filter(raw, cut)))
+    counts = SignedCounts(spark, f"{root}/counts")
+    counts.count_whole(grown.read())
+    grown.upsert(stage_sales(high_water_filter(raw, cut)), counts.add)
+    loads = KeyedTable(spark, f"{root}/loads", RAW_LOADS, ["batch_date", "loaded_at"], "loaded_at", "batch_date", null_safe_keys=True)
+    loads.replace(raw_load_counts(raw))
     stage_of_stores = KeyedTable(spark, f"{root}/stage_stores", STAGE_STORES, STORES_KEYS, "loaded_at")
     stage_of_stores.replace(stage_stores(stores))
     return {
@@ -73,6 +78,8 @@ def prepare(spark, root: str) -> dict:
         "split": split,
         "grown": grown,
         "stores": stage_of_stores,
+        "counts": counts,
+        "loads": loads,
         "root": root,
     }
 
@@ -108,8 +115,9 @@ def jobs(spark, env: dict) -> dict:
         "report_transactions_lifecycle_full": lambda: run(
             marts.report_transactions_lifecycle(raw, env["whole"].read(), AS_OF)
         ),
+        # As a run has it: from the counts that stage runs keep.
         "report_transactions_lifecycle_lookback": lambda: run(
-            marts.report_transactions_lifecycle(raw, env["grown"].read(), AS_OF, start)
+            marts.lifecycle_of_counts(raw_stats(env["loads"].read()), valid_stats(env["counts"].read()), AS_OF, start)
         ),
     }
 
