@@ -84,7 +84,15 @@ class KeyedTable:
         self.spark.catalog.refreshTable(self.name)
 
     def _rows(self) -> DataFrame:
-        return self.spark.table(self.name) if self.exists() else self.spark.createDataFrame([], self._full)
+        """The rows as the folder has them now, whichever session wrote them last."""
+        if not self.exists():
+            return self.spark.createDataFrame([], self._full)
+        if self.month_of:
+            known = {row[0] for row in self.spark.sql(f"SHOW PARTITIONS {self.name}").collect()}
+            if known != set(child_names(self.spark, self.path, f"{self.month_column}=*")):
+                self._sync()
+        self.spark.catalog.refreshTable(self.name)
+        return self.spark.table(self.name)
 
     def read(self, since: dt.date | None = None) -> DataFrame:
         """Current rows, one per key; with `since` those whose `month_of` is on or after that day, from the months' folders only."""

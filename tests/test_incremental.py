@@ -164,6 +164,18 @@ def test_months_without_a_change_keep_their_files(spark, tmp_path):
     assert amounts(table) == {"1": 1, "2": 2, "3": 1, "4": 1, "5": 1, "9": 2}
 
 
+def test_what_another_session_writes_is_seen(spark, tmp_path):
+    """Another name for the same folder stands for another session's catalog: months that come, change and go are seen."""
+    here, there = sales_table(spark, f"{tmp_path}/t"), sales_table(spark, f"{tmp_path}/./t")
+    here.upsert(staged(spark, [("a", "1", "2021-03-05T10:00", 1), ("a", "2", "2021-04-06T10:00", 1)]))
+    assert amounts(there) == {"1": 1, "2": 1}
+    there.upsert(later(staged(spark, [("a", "3", "2021-05-05T10:00", 3), ("a", "1", "2021-03-06T10:00", 2)])))
+    assert amounts(here) == {"1": 2, "2": 1, "3": 3}
+    here.upsert(later(staged(spark, [("a", "2", "2021-03-07T10:00", 4)]), 2))
+    assert amounts(there) == {"1": 2, "2": 4, "3": 3}
+    assert there.high_water() == at("2021-01-05 15:00:00")
+
+
 def test_the_newest_load_wins_in_whatever_order_runs_come(spark, tmp_path):
     table = sales_table(spark, f"{tmp_path}/t")
     drops = [later(staged(spark, [("a", k, "2021-03-05T10:00", h) for k in keys]), h) for h, keys in ((2, "12"), (1, "123"), (4, "3"), (3, "34"))]
