@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyhouse.llm.scratch import Scratch
+
 START, END = "<|im_start|>", "<|im_end|>"
 #: What a turn's control strings count for, in tokens.
 TURN_TOKENS = 4
@@ -89,6 +91,8 @@ def format_chat(conversations: DataFrame, budget: int = 2048, history: int = 2,
     windows = placed.groupBy("conv_id", "large_before", "large", cell.alias("cell")).agg(
         F.array_sort(F.collect_list(turn)).alias("own"), F.min("at").alias("window"), F.sum("tokens").alias("own_tokens")
     ).select("conv_id", "window", "own", "own_tokens")
+    # Each text is moved twice up to here and not again for every use of the windows below.
+    windows = Scratch(conversations.sparkSession, "chat").write(windows, "windows")
 
     order = Window.partitionBy("conv_id").orderBy("window")
     numbers = windows.select("conv_id", "window").withColumn("next", F.lead("window").over(order))
@@ -98,7 +102,8 @@ def format_chat(conversations: DataFrame, budget: int = 2048, history: int = 2,
     passed_on = windows.select("conv_id", "window", tail.alias("tail")).join(numbers, same)
     passed_on = passed_on.select(F.col("conv_id").alias("_c"), F.col("next").alias("_w"), "tail")
 
-    system = placed.where("role = 'system'").groupBy("conv_id").agg(F.min_by(turn, "at").alias("system"))
+    system = windows.select("conv_id", F.explode(F.filter("own", lambda t: t["role"] == "system")).alias("t"))
+    system = system.groupBy("conv_id").agg(F.min_by("t", F.col("t.at")).alias("system"))
     system = system.select(F.col("conv_id").alias("_s"), "system")
     rows = windows.join(passed_on, same, "left").join(system, F.col("conv_id").eqNullSafe(F.col("_s")), "left")
     left = budget - F.coalesce(F.col("system")["tokens"], F.lit(0)) - F.col("own_tokens")
