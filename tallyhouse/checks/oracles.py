@@ -5,6 +5,7 @@ from __future__ import annotations
 from tallyhouse.checks.fixtures import (
     AS_OF,
     DUCKDB,
+    FEW_BAD_DROPS_SQL,
     FILE_NAMES_SQL,
     RAW_SALES_SQL,
     RAW_STORES_SQL,
@@ -20,6 +21,7 @@ AS_OF_SQL = f"date '{AS_OF}'"
 RAW = fill(RAW_SALES_SQL, DUCKDB)
 RAW_STORES = fill(RAW_STORES_SQL, DUCKDB)
 DROPS = fill(SALES_DROPS_SQL, DUCKDB)
+FEW_BAD_DROPS = fill(FEW_BAD_DROPS_SQL, DUCKDB)
 STORE_LINES = fill(STORE_LINES_SQL, DUCKDB)
 FILE_NAMES = fill(FILE_NAMES_SQL, DUCKDB)
 
@@ -116,28 +118,38 @@ HEADER_FIELDS = [
     "user_role",
 ]
 
+
 # The fields each line holds, stated from its logical values rather than by splitting text.
-FIELDS = f"""
+def _fields(drops: str) -> str:
+    return f"""
     select digits, shape, f1 as c1, f2 as c2, nullif(f3, '') as c3,
            case when shape = 'short' then null else f4 end as c4,
            case when shape = 'short' then null else f5 end as c5,
            case shape when 'short' then null when 'six' then job else source end as c6,
            case when shape in ('seven', 'wide') then job when 'open' = shape then '"' || job
                 when shape = 'tail' then '"' || job || '"x' end as c7
-    from ({DROPS}) d
+    from ({drops}) d
     union all
     select digits, 'seven', {", ".join(f"'{name}'" for name in HEADER_FIELDS)}
-    from (select distinct l_shipdate, digits from ({DROPS}) d) h where extract(day from l_shipdate) = 1"""
+    from (select distinct l_shipdate, digits from ({drops}) d) h where extract(day from l_shipdate) = 1"""
+
 
 NO_TOKEN = "case when c3 in ('NULL', 'null') then null else c3 end"
 
-LANDED = f"""
+
+def _landed(drops: str) -> str:
+    return f"""
     select digits, shape, c1 as store_token, c2 as transaction_id, {NO_TOKEN} as receipt_token, c4 as transaction_time,
            c5 as amount, case when c7 is not null then c6 end as source_id, coalesce(c7, c6) as user_role
-    from ({FIELDS}) f"""
+    from ({_fields(drops)}) f"""
+
+
+FIELDS = _fields(DROPS)
+LANDED = _landed(DROPS)
 
 ACCEPTED = f"""
-    select * from ({LANDED}) l where digits not in (select digits from ({DROPS}) d where shape in ('open', 'tail'))"""
+    select * from ({_landed(FEW_BAD_DROPS)}) l
+    where digits not in (select digits from ({FEW_BAD_DROPS}) d where shape in ('open', 'tail'))"""
 
 LINEAGE = "timestamp '2025-01-31 12:00:00' as file_modified_at, timestamp '2025-01-31 13:00:00' as loaded_at"
 LANDED_SALES = f"""

@@ -129,7 +129,7 @@ def bad_row_policy(spark, sf_dir):
 
 
 def raw_sales(spark, sf_dir):
-    return sales_rows(_accepted(fixtures.sales_lines(spark, sf_dir), TRANSACTIONS))
+    return sales_rows(_accepted(fixtures.sales_lines(spark, sf_dir, fixtures.FEW_BAD_DROPS_SQL), TRANSACTIONS))
 
 
 def raw_stores(spark, sf_dir):
