@@ -164,7 +164,7 @@ def _write_inbox(spark, sf_dir, inbox):
     late = F.substring_index(F.col("value"), ",", 1).endswith("1")
     fixtures.write_drop(lines.filter(~late & ~F.col("bad")), inbox, "sales_20250111")
     fixtures.write_drop(lines.filter(late & ~F.col("bad")), inbox, "sales 20250112")
-    fixtures.write_drop(lines.filter(F.col("bad")).coalesce(1), inbox, "sales_20250113")
+    fixtures.write_drop(lines.filter(F.col("bad")).repartition(1), inbox, "sales_20250113")
     fixtures.write_drop(fixtures.store_lines(spark, sf_dir), inbox, "stores_20250112")
 
 

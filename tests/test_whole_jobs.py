@@ -1,9 +1,14 @@
 """Queries over rows of our own: whole results, and work that is spread over tasks."""
 
 import datetime as dt
+import glob
 
+from pyspark import TaskContext
+from pyspark.sql import functions as F
+
+from tallyhouse.checks import fixtures
 from tallyhouse.checks.compare import difference
-from tallyhouse.checks.queries import QUERIES
+from tallyhouse.checks.queries import QUERIES, _write_inbox
 
 LINEITEM = """l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double,
     l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"""
@@ -37,3 +42,19 @@ def test_raw_sales_keeps_files_of_every_order_but_a_few(spark, tmp_path):
     got = {row.transaction_id for row in QUERIES["raw_sales"](spark, folder).where("store_token = 'store_1'").collect()}
     assert got == {f"{k}-1" for k in [*range(488, 502), *range(980, 1000), *range(4990, 5002)] if k not in (4993, 4999)}
     assert difference(spark, sql_of(folder), folder, "raw_sales")[1] == ""
+
+
+def test_no_task_reads_all_lines_for_the_bad_drop(spark, tmp_path, monkeypatch):
+    """The one file of bad lines is written by one task, and every task of the scan looks for them."""
+
+    def lines(spark, _):
+        task = F.udf(lambda _: f"A,x,{TaskContext.get().taskAttemptId()}")("id")
+        return spark.range(0, 80, 1, 4).select(task.alias("value"), (F.col("id") % 2 == 0).alias("bad"))
+
+    monkeypatch.setattr(fixtures, "sales_lines", lines)
+    monkeypatch.setattr(fixtures, "store_lines", lines)
+    _write_inbox(spark, "", f"{tmp_path}/inbox")
+    (found,) = glob.glob(f"{tmp_path}/inbox/sales_20250113*")
+    with open(found) as f:
+        read = f.read().splitlines()
+    assert len(read) == 40 and len(set(read)) == 4
