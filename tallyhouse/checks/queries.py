@@ -46,7 +46,7 @@ from tallyhouse.schemas import (
     create_raw_tables,
 )
 from tallyhouse.session import scratch_dir
-from tallyhouse.sources.keyed import KeyedTable
+from tallyhouse.sources.keyed import KeyedTable, buckets_for
 from tallyhouse.sources.raw import read_raw
 from tallyhouse.streaming.ingest import start_ingest
 from tallyhouse.streaming.stage import DailyReport, start_raw_counts, start_upsert
@@ -316,14 +316,16 @@ def stg_sales_incremental(spark, sf_dir):
     return stage_sales(high_water_filter(raw, high_water_mark(target)))
 
 
-def _stage_table(spark, root, watched=()):
-    return KeyedTable(spark, f"{root}/stage", STAGE_SALES, SALES_KEYS, "loaded_at", "transaction_time", 4, watched=watched)
+def _stage_table(raw, root, watched=()):
+    """A stage that all the raw rows go into; they are counted once to size its buckets."""
+    buckets = buckets_for(raw.count())
+    return KeyedTable(raw.sparkSession, f"{root}/stage", STAGE_SALES, SALES_KEYS, "loaded_at", "transaction_time", buckets, watched=watched)
 
 
 def upsert_merge(spark, sf_dir):
     """New rows into a bucketed table, which is not shuffled for that."""
     raw = fixtures.raw_sales(spark, sf_dir)
-    table = _stage_table(spark, scratch_dir(spark, "merge"))
+    table = _stage_table(raw, scratch_dir(spark, "merge"))
     table.replace(stage_sales(_until(raw, SPLIT)))
     return upsert(table.read(), stage_sales(high_water_filter(raw, SPLIT)), SALES_KEYS)
 
@@ -331,7 +333,7 @@ def upsert_merge(spark, sf_dir):
 def full_refresh_equivalence(spark, sf_dir):
     """A first run and two runs by high-water mark into a bucketed table; the result is that of one full run."""
     raw = fixtures.raw_sales(spark, sf_dir)
-    table = _stage_table(spark, scratch_dir(spark, "runs"))
+    table = _stage_table(raw, scratch_dir(spark, "runs"))
     for moment in (dt.datetime(2000, 6, 15), SPLIT, dt.datetime(9999, 1, 1)):
         table.upsert(stage_sales(high_water_filter(_until(raw, moment), table.high_water())))
     return table.read()
@@ -348,7 +350,7 @@ def lifecycle_rollup(spark, sf_dir):
     """Loads out of order into the stage; the report comes from signed counts and reads no table again."""
     root = scratch_dir(spark, "rollup")
     raw = fixtures.raw_sales(spark, sf_dir)
-    table = _stage_table(spark, root, ("batch_date", "loaded_at"))
+    table = _stage_table(raw, root, ("batch_date", "loaded_at"))
     counts = SignedCounts(spark, f"{root}/counts")
     loads = KeyedTable(spark, f"{root}/loads", RAW_LOADS, ["batch_date", "loaded_at"], "loaded_at", "batch_date", null_safe_keys=True)
     for drop in _drops_out_of_order(raw):
@@ -407,7 +409,7 @@ def _streamed(spark, sf_dir, root, run, repeat=True):
 
 def stream_upsert(spark, sf_dir):
     root = scratch_dir(spark, "stream-upsert")
-    table = _stage_table(spark, root)
+    table = _stage_table(fixtures.raw_sales(spark, sf_dir), root)
 
     def run(schema):
         start_upsert(spark, f"{root}/raw", schema, table, sales_versions, f"{root}/checkpoint").awaitTermination()
@@ -419,7 +421,7 @@ def stream_upsert(spark, sf_dir):
 def stream_daily_report(spark, sf_dir):
     """The daily report over all days, of which each run of the stream computes the months it changed anew."""
     root = scratch_dir(spark, "stream-daily")
-    table = _stage_table(spark, root, ("transaction_time",))
+    table = _stage_table(fixtures.raw_sales(spark, sf_dir), root, ("transaction_time",))
     report = KeyedTable(spark, f"{root}/report", REPORT_DAILY_SALES, ["transaction_date"], month_of="transaction_date")
     daily = DailyReport(table, report, AS_OF)
 
@@ -435,7 +437,7 @@ def stream_daily_report(spark, sf_dir):
 def stream_lifecycle_report(spark, sf_dir):
     """The lifecycle report over all batches from two streams: raw rows per load, and stage versions that come and go."""
     root = scratch_dir(spark, "stream-lifecycle")
-    table = _stage_table(spark, root, ("batch_date", "loaded_at"))
+    table = _stage_table(fixtures.raw_sales(spark, sf_dir), root, ("batch_date", "loaded_at"))
     counts = SignedCounts(spark, f"{root}/counts")
     loads = KeyedTable(spark, f"{root}/loads", RAW_LOADS, ["batch_date", "loaded_at"], "loaded_at", "batch_date", null_safe_keys=True)
 

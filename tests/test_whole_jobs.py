@@ -2,13 +2,16 @@
 
 import datetime as dt
 import glob
+import re
 
+import pytest
 from pyspark import TaskContext
 from pyspark.sql import functions as F
 
-from tallyhouse.checks import fixtures
+from tallyhouse.checks import fixtures, queries
 from tallyhouse.checks.compare import difference
 from tallyhouse.checks.queries import QUERIES, _write_inbox
+from tallyhouse.sources import keyed
 
 LINEITEM = """l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double,
     l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"""
@@ -58,3 +61,20 @@ def test_no_task_reads_all_lines_for_the_bad_drop(spark, tmp_path, monkeypatch):
     with open(found) as f:
         read = f.read().splitlines()
     assert len(read) == 40 and len(set(read)) == 4
+
+
+UPSERTS = "upsert_merge full_refresh_equivalence lifecycle_rollup stream_upsert stream_daily_report stream_lifecycle_report".split()
+
+
+@pytest.mark.parametrize("name", UPSERTS)
+def test_the_stage_has_as_many_buckets_as_its_rows_need(spark, tmp_path, monkeypatch, name):
+    """A task of an upsert holds a bucket, so buckets keep their size and grow in number."""
+    folder = str(tmp_path)
+    write_lines(spark, folder, range(1, 101), same_day=True)
+    monkeypatch.setattr(keyed, "ROWS_PER_BUCKET", 10, raising=False)
+    monkeypatch.setattr(queries, "scratch_dir", lambda spark, label: f"{folder}/scratch")
+    assert difference(spark, sql_of(folder), folder, name)[1] == ""
+    files = glob.glob(f"{folder}/scratch/stage/*/part-*.parquet")
+    buckets = {int(re.search(r"_(\d{5})\.", f).group(1)) for f in files}
+    assert len(buckets) > 4 and max(buckets) < 10
+    assert [keyed.buckets_for(n) for n in (0, 40, 41)] == [4, 4, 5]
