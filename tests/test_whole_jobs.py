@@ -47,6 +47,14 @@ def test_raw_sales_keeps_files_of_every_order_but_a_few(spark, tmp_path):
     assert difference(spark, sql_of(folder), folder, "raw_sales")[1] == ""
 
 
+def test_dq_not_null_checks_the_rows_of_nearly_all_files(spark, tmp_path):
+    """Orders divisible by 83 have short lines without a role; those divisible by 491 or 499 count as well."""
+    folder = str(tmp_path)
+    write_lines(spark, folder, [83, 491 * 83, 499 * 83])
+    found = {row.column_name: row.failures for row in QUERIES["dq_not_null"](spark, folder).where("table_name = 'sales'").collect()}
+    assert found["user_role"] == 3
+
+
 def test_no_task_reads_all_lines_for_the_bad_drop(spark, tmp_path, monkeypatch):
     """The one file of bad lines is written by one task, and every task of the scan looks for them."""
 
