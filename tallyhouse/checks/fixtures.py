@@ -90,6 +90,12 @@ from lineitem
 # The same lines with a tenth of the bad ones: a bad line turns its whole file away, and nearly all files are to land.
 FEW_BAD_DROPS_SQL = SALES_DROPS_SQL.replace("% 499 ", "% 4999 ").replace("% 491 ", "% 4993 ")
 
+# The lines that are checked for missing values: only files of a fifth of the month can hold bad ones, some of those of orders divisible
+# by 4999, so that one file in thirty is turned away at most, however many lines a file has.
+FIFTH_BAD_DROPS_SQL = SALES_DROPS_SQL.replace("% 499 = 0", "% 9998 = 4999 and extract(day from l_shipdate) = 5").replace(
+    "% 491 = 0", "% 9998 = 0 and extract(day from l_shipdate) = 5"
+)
+
 SALES_LINES_SQL = """
 select f1 || ',' || f2 || ',' ||
        case when k % 29 = 0 then '"' || replace(f3, '"', '""') || '"' else f3 end ||
@@ -117,6 +123,9 @@ union all
 select 'store_group,store_token,store_name', cast(n_nationkey as <S>), false from nation
 """
 
+# The same lines, bad ones of both kinds for suppliers divisible by 13 only.
+FEW_BAD_STORE_LINES_SQL = STORE_LINES_SQL.replace("% 13 ", "% 26 ").replace("% 17 ", "% 13 ")
+
 FILE_NAMES_SQL = """
 select o_orderkey,
        case cast(o_orderkey % 8 as int)
@@ -178,9 +187,9 @@ def sales_lines(spark: SparkSession, sf_dir: str, drops: str = SALES_DROPS_SQL)
     return _as_lines(spark, values, F.concat(F.lit("inbox/sales_"), F.col("digits"), F.lit(".csv")))
 
 
-def store_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def store_lines(spark: SparkSession, sf_dir: str, lines: str = STORE_LINES_SQL) -> DataFrame:
     """CSV lines in one stores file per nation."""
-    values = run(spark, sf_dir, STORE_LINES_SQL)
+    values = run(spark, sf_dir, lines)
     return _as_lines(spark, values, F.concat(F.lit("inbox/stores_20250112_"), F.col("part"), F.lit(".csv")))
 
 

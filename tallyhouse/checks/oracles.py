@@ -6,6 +6,7 @@ from tallyhouse.checks.fixtures import (
     AS_OF,
     DUCKDB,
     FEW_BAD_DROPS_SQL,
+    FIFTH_BAD_DROPS_SQL,
     FILE_NAMES_SQL,
     RAW_SALES_SQL,
     RAW_STORES_SQL,
@@ -22,6 +23,7 @@ RAW = fill(RAW_SALES_SQL, DUCKDB)
 RAW_STORES = fill(RAW_STORES_SQL, DUCKDB)
 DROPS = fill(SALES_DROPS_SQL, DUCKDB)
 FEW_BAD_DROPS = fill(FEW_BAD_DROPS_SQL, DUCKDB)
+FIFTH_BAD_DROPS = fill(FIFTH_BAD_DROPS_SQL, DUCKDB)
 STORE_LINES = fill(STORE_LINES_SQL, DUCKDB)
 FILE_NAMES = fill(FILE_NAMES_SQL, DUCKDB)
 
@@ -147,27 +149,41 @@ def _landed(drops: str) -> str:
 FIELDS = _fields(DROPS)
 LANDED = _landed(DROPS)
 
-ACCEPTED = f"""
-    select * from ({_landed(FEW_BAD_DROPS)}) l
-    where digits not in (select digits from ({FEW_BAD_DROPS}) d where shape in ('open', 'tail'))"""
-
 LINEAGE = "timestamp '2025-01-31 12:00:00' as file_modified_at, timestamp '2025-01-31 13:00:00' as loaded_at"
-LANDED_SALES = f"""
+
+
+def _accepted(drops: str) -> str:
+    return f"""
+    select * from ({_landed(drops)}) l
+    where digits not in (select digits from ({drops}) d where shape in ('open', 'tail'))"""
+
+
+def _landed_sales(drops: str) -> str:
+    return f"""
     select * exclude (digits, shape), 'inbox/sales_' || digits || '.csv' as source_filename,
            cast(strptime(digits, '%Y%m%d') as date) as batch_date, {LINEAGE}
-    from ({ACCEPTED}) a"""
+    from ({_accepted(drops)}) a"""
 
-# Bad store lines are those of suppliers divisible by 13 or 17 but not by 11.
-LANDED_STORES = f"""
+
+def _landed_stores(good: str) -> str:
+    return f"""
     select case when s_suppkey % 7 = 0 then n_name || ', Ltd' else n_name end as store_group,
            'store_' || s_suppkey as store_token,
            case when s_suppkey % 11 = 0 then null when s_suppkey % 5 = 1 then s_name || ' 5"' else s_name end as store_name,
            'inbox/stores_20250112_' || n_nationkey || '.csv' as source_filename, date '2025-01-12' as batch_date, {LINEAGE}
-    from supplier join nation on s_nationkey = n_nationkey where s_suppkey % 11 = 0 or (s_suppkey % 13 <> 0 and s_suppkey % 17 <> 0)
+    from supplier join nation on s_nationkey = n_nationkey where s_suppkey % 11 = 0 or ({good})
     union all
     select 'store_group', 'store_token', 'store_name', 'inbox/stores_20250112_' || n_nationkey || '.csv',
            date '2025-01-12', timestamp '2025-01-31 12:00:00', timestamp '2025-01-31 13:00:00' from nation"""
 
+
+LANDED_SALES = _landed_sales(FEW_BAD_DROPS)
+# Bad store lines are those of suppliers divisible by 13 or 17 but not by 11.
+LANDED_STORES = _landed_stores("s_suppkey % 13 <> 0 and s_suppkey % 17 <> 0")
+
+CHECKED_SALES = _landed_sales(FIFTH_BAD_DROPS)
+CHECKED_STORES = _landed_stores("s_suppkey % 13 <> 0")
+
 SALES_FILES = f"""
     select digits, sum(n) as line_count, sum(bad) as bad_line_count from (
         select digits, 1 as n, case when shape in ('open', 'tail') then 1 else 0 end as bad from ({DROPS}) d
@@ -315,17 +331,17 @@ def oracle_sql() -> dict[str, str]:
         "stream_lifecycle_report": f"select {AS_OF_SQL} as snapshot_date, * from ({LIFECYCLE}) l",
         "dq_not_null": f"""
             select 'sales' as table_name, 'store_token' as column_name,
-                   count(*) filter (where store_token is null) as failures from ({LANDED_SALES}) s
+                   count(*) filter (where store_token is null) as failures from ({CHECKED_SALES}) s
             union all select 'sales', 'transaction_id', count(*) filter (where transaction_id is null)
-                from ({LANDED_SALES}) s
+                from ({CHECKED_SALES}) s
             union all select 'sales', 'receipt_token', count(*) filter (where receipt_token is null)
-                from ({LANDED_SALES}) s
+                from ({CHECKED_SALES}) s
             union all select 'sales', 'user_role', count(*) filter (where user_role is null)
-                from ({LANDED_SALES}) s
+                from ({CHECKED_SALES}) s
             union all select 'stores', 'store_token', count(*) filter (where store_token is null)
-                from ({LANDED_STORES}) s
+                from ({CHECKED_STORES}) s
             union all select 'stores', 'store_name', count(*) filter (where store_name is null)
-                from ({LANDED_STORES}) s""",
+                from ({CHECKED_STORES}) s""",
         "dq_unique": f"""
             select 'raw' as table_name, 'store_token' as column_name, count(*) as failures
             from (select store_token from ({RAW_STORES}) s where store_token is not null

@@ -128,12 +128,12 @@ def bad_row_policy(spark, sf_dir):
     return kept.groupBy("file_path").agg(F.count("*").alias("kept_rows"))
 
 
-def raw_sales(spark, sf_dir):
-    return sales_rows(_accepted(fixtures.sales_lines(spark, sf_dir, fixtures.FEW_BAD_DROPS_SQL), TRANSACTIONS))
+def raw_sales(spark, sf_dir, drops=fixtures.FEW_BAD_DROPS_SQL):
+    return sales_rows(_accepted(fixtures.sales_lines(spark, sf_dir, drops), TRANSACTIONS))
 
 
-def raw_stores(spark, sf_dir):
-    return stores_rows(_accepted(fixtures.store_lines(spark, sf_dir), STORES))
+def raw_stores(spark, sf_dir, lines=fixtures.STORE_LINES_SQL):
+    return stores_rows(_accepted(fixtures.store_lines(spark, sf_dir, lines), STORES))
 
 
 def _all_lines(spark, sf_dir):
@@ -455,8 +455,8 @@ def stream_lifecycle_report(spark, sf_dir):
 
 
 def dq_not_null(spark, sf_dir):
-    sales = raw_sales(spark, sf_dir)
-    stores = raw_stores(spark, sf_dir)
+    sales = raw_sales(spark, sf_dir, fixtures.FIFTH_BAD_DROPS_SQL)
+    stores = raw_stores(spark, sf_dir, fixtures.FEW_BAD_STORE_LINES_SQL)
     sales_check = quality.not_null(sales, ["store_token", "transaction_id", "receipt_token", "user_role"])
     stores_check = quality.not_null(stores, ["store_token", "store_name"])
     return sales_check.withColumn("table_name", F.lit("sales")).unionByName(

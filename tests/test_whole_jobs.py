@@ -55,6 +55,28 @@ def test_dq_not_null_checks_the_rows_of_nearly_all_files(spark, tmp_path):
     assert found["user_role"] == 3
 
 
+def test_dq_not_null_leaves_out_files_of_a_fifth_only(spark, tmp_path):
+    """Lines without a receipt: those of orders divisible by 4999 or 4993 count too, unless a bad line lies in a file of a fifth."""
+    folder = str(tmp_path)
+    open_quote, tail, other = 37 * 4999, 74 * 4999, 37 * 4993
+    write_lines(spark, folder, [open_quote, tail, other, open_quote, *range(1, 31), tail])  # January 5 is the 4th, February 5 the last
+    found = {row.column_name: row.failures for row in QUERIES["dq_not_null"](spark, folder).where("table_name = 'sales'").collect()}
+    assert found["receipt_token"] == 3
+    assert difference(spark, sql_of(folder), folder, "dq_not_null")[1] == ""
+
+
+def test_dq_not_null_checks_the_stores_of_nearly_all_lines(spark, tmp_path, monkeypatch):
+    """Only lines of suppliers divisible by 13 and not by 11 are bad; the header is a row too."""
+    folder = str(tmp_path)
+    write_lines(spark, folder, [1])
+    suppliers = spark.range(1, 301).selectExpr("id AS s_suppkey", "'one' AS s_name", "1L AS s_nationkey")
+    suppliers.write.mode("overwrite").parquet(f"{folder}/supplier.parquet")
+    rows = lambda df, columns: df.agg(F.count("*").alias("failures")).withColumn("column_name", F.lit("rows"))
+    monkeypatch.setattr(queries.quality, "not_null", rows)
+    (found,) = QUERIES["dq_not_null"](spark, folder).where("table_name = 'stores'").collect()
+    assert found.failures == 1 + sum(k % 11 == 0 or k % 13 != 0 for k in range(1, 301))
+
+
 def test_no_task_reads_all_lines_for_the_bad_drop(spark, tmp_path, monkeypatch):
     """The one file of bad lines is written by one task, and every task of the scan looks for them."""
 
