@@ -403,7 +403,7 @@ def _streamed(spark, sf_dir, root, run, repeat=True):
     """Drops out of load order and one sent again, each taken up by a run of the same stream."""
     raw = fixtures.raw_sales(spark, sf_dir)
     for drop in _drops_out_of_order(raw)[: None if repeat else 3]:
-        drop.write.mode("append").parquet(f"{root}/raw")
+        drop.write.mode("append").option("compression", "zstd").parquet(f"{root}/raw")
         run(raw.schema)
 
 

@@ -14,6 +14,7 @@ from tallyhouse.operators.rollup import SignedCounts, raw_load_counts, raw_stats
 from tallyhouse.plans import marts
 from tallyhouse.plans.stage import stage_sales
 from tallyhouse.schemas import RAW_LOADS, SALES_KEYS, STAGE_SALES, STAGE_STORES, STORES_KEYS
+from tallyhouse.sources import keyed
 from tallyhouse.sources.keyed import KeyedTable
 
 HOUR = dt.timedelta(hours=1)
@@ -212,6 +213,45 @@ def test_a_run_that_dies_is_finished_by_the_next(spark, tmp_path, monkeypatch, s
     assert found == [(dt.date(2021, 1, 1), 1), (dt.date(2021, 1, 2), 2)]
 
 
+@pytest.mark.parametrize("step", ["_place", "move_path", "_drop_months", "_note_mark"])
+def test_a_run_that_dies_while_months_move_is_finished_by_the_next(spark, tmp_path, monkeypatch, step):
+    """Nobody watches, so months are laid aside as they will lie; `move_path` dies at the second month."""
+    table = sales_table(spark, f"{tmp_path}/t")
+    table.upsert(staged(spark, [("a", "1", "2021-03-05T10:00", 1), ("a", "2", "2021-04-06T10:00", 1), ("a", "3", None, 1)]))
+    real, moved = keyed.move_path, []
+
+    def stop(*args):
+        if step == "move_path" and not moved:
+            moved.append(args)
+            return real(*args)
+        raise Stopped
+
+    with monkeypatch.context() as patched:
+        patched.setattr(keyed if step == "move_path" else KeyedTable, step, stop)
+        with pytest.raises(Stopped):
+            table.upsert(later(staged(spark, [("a", "1", "2021-02-05T10:00", 2), ("a", "2", "2021-04-07T10:00", 2)])))
+    assert table.high_water() == at("2021-01-05 13:00:00")
+    table.upsert(later(staged(spark, [("a", "3", "2021-02-05T10:00", 3)]), 2))
+    assert amounts(table) == {"1": 2, "2": 2, "3": 3} and table.high_water() == at("2021-01-05 15:00:00")
+    months = sorted(name for name in os.listdir(f"{tmp_path}/t") if "=" in name)
+    assert months == ["transaction_time_month=2021-02-01", "transaction_time_month=2021-04-01"]
+    assert os.listdir(f"{tmp_path}/t.pending") == [] and not [t for t in spark.catalog.listTables("default") if t.name.startswith(table.name.split(".")[1] + "_")]
+
+
+def test_null_safe_merges_in_buckets_equal_those_without(spark, tmp_path):
+    """Rows with a NULL in their key go another way through the join; the others do not shuffle the table."""
+    times = ["2021-03-05T10:00", "2021-04-06T10:00", None]
+    keys = [(store, k) for store in ("a", "b", None) for k in ("1", "2", "3", None)]
+    drops = [later(staged(spark, [(*key, times[(n + h) % 3], h) for n, key in enumerate(keys) if (n * h) % 5 < 3]), h) for h in (3, 1, 2, 4, 3)]
+    got = []
+    for buckets in (3, 0):
+        table = KeyedTable(spark, f"{tmp_path}/t{buckets}", STAGE_SALES, SALES_KEYS, "loaded_at", "transaction_time", buckets, null_safe_keys=True)
+        for drop in drops:
+            table.upsert(drop)
+        got.append(sorted(tuples(table.read()), key=str))
+    assert got[0] == got[1] and len(got[0]) == len(keys)
+
+
 def test_rows_written_aside_in_part_are_forgotten(spark, tmp_path):
     table = sales_table(spark, f"{tmp_path}/t")
     table.upsert(staged(spark, [("a", "1", None, 1)]))

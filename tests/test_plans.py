@@ -2,6 +2,7 @@
 
 import datetime as dt
 import re
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -73,6 +74,17 @@ def test_new_rows_meet_a_bucketed_stage_without_shuffling_it(spark, table, no_br
         assert by_key and not any(table.name.split(".")[1] in below for below in by_key)
 
 
+def test_rows_of_a_stream_meet_a_bucketed_stage_without_shuffling_it(spark, table, no_broadcast):
+    """NULL keys match there; of the table, only rows with a NULL in their key are dealt."""
+    sent = stage_sales(fixtures.raw_sales(spark, SF_DIR)).withColumn("transaction_time_month", F.trunc("transaction_time", "MM"))
+    safe = replace(table, null_safe_keys=True)
+    for text in (plan(safe._merged(safe._rows(), sent, True)), plan(safe._touched(sent))):
+        assert "Bucketed: true" in text and "SortMergeJoin" in text
+        by_key = [below for below in exchanged(text) if "transaction_time_month" not in below.splitlines()[0]]
+        held = [below for below in by_key if table.name.split(".")[1] in below]
+        assert len(held) == 1 and "PushedFilters: [Or(IsNull(store_token),IsNull(transaction_id))]" in held[0]
+
+
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - WRITES))
 def test_no_python_no_cross_join(spark, name):
     text = plan(QUERIES[name](spark, SF_DIR))

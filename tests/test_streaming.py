@@ -1,4 +1,5 @@
 import datetime as dt
+import glob
 import os
 
 import pytest
@@ -123,6 +124,34 @@ def test_upsert_stream_keeps_latest_and_survives_replay(spark, tmp_path):
     assert metadata  # the files of the store on disk
 
 
+def test_upsert_stream_keeps_one_copy_of_its_rows_on_disk(spark, tmp_path, monkeypatch):
+    """When a batch's rows are in their places, no copy of them lies aside, in a shuffle or, of the state, on an executor's disk."""
+    raw, checkpoint = str(tmp_path / "raw"), str(tmp_path / "cp")
+    table = KeyedTable(spark, str(tmp_path / "stage"), STAGE_SALES, SALES_KEYS, "loaded_at", "transaction_time", 3)
+    (blocks,) = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+
+    def files(folder, pattern):
+        return {path for path in glob.glob(f"{folder}/{pattern}", recursive=True) if os.path.isfile(path)}
+
+    left = []
+
+    def note(self, months):
+        rows = files(f"{table.path}.pending", "*/**/part-*.parquet")
+        left.append([path for path in rows if not {"months", "filled"} & set(path.split("/"))])
+        left.append([path for path in files(blocks, "*/shuffle_*.data") - before if os.path.getsize(path) > 20_000])
+
+    monkeypatch.setattr(KeyedTable, "_drop_months", note)
+    for start in (0, 3000, 0):
+        before = files(blocks, "*/shuffle_*.data")
+        rows = [{"transaction_id": str(k), "receipt_token": f"{k * 7919 % 100_003}"} for k in range(start, start + 6000)]
+        raw_sales(spark, rows).coalesce(1).write.mode("append").parquet(raw)
+        start_upsert(spark, raw, RAW_SALES, table, sales_versions, checkpoint).awaitTermination()
+    assert table.read().count() == 9000
+    assert len(left) == 6 and not any(left)
+    state = [int(name) for name in os.listdir(f"{checkpoint}/state/0") if name.isdigit()]
+    assert sorted(state) == list(range(6))  # the next multiple of the buckets above the session's 4
+
+
 def test_daily_report_follows_late_and_moved_days(spark, tmp_path):
     """A late day months back, a day whose only row moves away, and a run that dies between the stage and the report."""
     raw, checkpoint = str(tmp_path / "raw"), str(tmp_path / "cp")
